@@ -1,52 +1,60 @@
-"""Attribute-id slugs and the printed nutrition list, as column expressions."""
+"""Attribute-id slugs and the printed nutrition list, as SQL expressions.
 
-from pyspark.sql import Column
+Expressions are SQL text, so that nested ones cost one parse instead of many
+calls into the JVM.
+"""
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Patterns that turn tuples and None in a printed list into JSON.
+LIST_REPAIRS = [
+    (r"""\((?=\s*['"\[])""", "["),
+    (r"""(?<=[\d\]eE'"l])\)(?=\s*[,\]]|\s*$)""", "]"),
+    (r"(?<=[,\[]\s{0,4})None(?=\s*[,\]\)])", "null"),
+]
+
 
-def strip_space(c: Column) -> Column:
+def strip_space(e: str) -> str:
     """Remove leading and trailing white space of any kind (trim() removes blanks only)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return rf"regexp_replace({e}, r'(?U)^\s+|\s+$', '')"
 
 
-def slug(prefix: str, c: Column) -> Column:
+def slug(prefix: str, e: str) -> str:
     """prefix + value with each blank as '_', lower-cased."""
-    return F.concat(F.lit(prefix), F.lower(F.replace(c, F.lit(" "), F.lit("_"))))
+    return f"concat('{prefix}', lower(replace({e}, ' ', '_')))"
 
 
-def code(prefix: str, c: Column) -> Column:
+def code(prefix: str, e: str) -> str:
     """prefix + value as text, unchanged."""
-    return F.concat(F.lit(prefix), c.cast("string"))
+    return f"concat('{prefix}', cast({e} AS string))"
 
 
-def nutrition_pairs(c: Column) -> Column:
-    """Printed list of [name, value] pairs -> array<struct<name string, value double>>.
+def with_nutrition_pairs(items: DataFrame, column: str = "nutrition_nm", out: str = "_pairs") -> DataFrame:
+    """Parse a printed list of [name, value] pairs into array<struct<name string, value double>>.
 
-    Tuples and None are turned into JSON first. Null, junk, or any element
-    that is not a pair gives an empty array; a value that is no number gives null.
+    Null, junk, or any element that is not a pair gives an empty array; a value
+    that is no number gives null; of two entries with one name the last stays.
     """
-    text = F.regexp_replace(c, r"""\((?=\s*['"\[])""", "[")
-    text = F.regexp_replace(text, r"""(?<=[\d\]eE'"l])\)(?=\s*[,\]]|\s*$)""", "]")
-    text = F.regexp_replace(text, r"(?<=[,\[]\s{0,4})None(?=\s*[,\]\)])", "null")
-    rows = F.from_json(text, "array<array<string>>")
-    malformed = F.exists(rows, lambda e: e.isNull() | (F.size(e) != 2) | F.get(e, F.lit(0)).isNull())
-    pairs = F.transform(
-        rows,
-        lambda e: F.struct(
-            F.lower(strip_space(F.get(e, F.lit(0)))).alias("name"),
-            _number(F.get(e, F.lit(1))).alias("value"),
-        ),
+    text = F.col(column)
+    for pattern, repl in LIST_REPAIRS:
+        text = F.regexp_replace(text, pattern, repl)
+    name = f"lower({strip_space('get(e, 0)')})"
+    value = "nullif(try_cast(get(e, 1) AS double), double('NaN'))"
+    pairs = f"""
+        CASE WHEN _rows IS NULL OR exists(_rows, e -> e IS NULL OR size(e) <> 2 OR get(e, 0) IS NULL)
+             THEN cast(array() AS array<struct<name: string, value: double>>)
+             ELSE transform(_rows, e -> named_struct('name', {name}, 'value', {value})) END"""
+    last = f"filter({out}, (e, i) -> NOT exists(slice({out}, i + 2, size({out})), x -> x.name = e.name))"
+    return (
+        items.withColumn("_rows", F.from_json(text, "array<array<string>>"))
+        .withColumn(out, F.expr(pairs))
+        .withColumn(out, F.expr(last))
+        .drop("_rows")
     )
-    empty = F.array().cast("array<struct<name:string,value:double>>")
-    return F.when(rows.isNull() | malformed, empty).otherwise(pairs)
-
-
-def _number(c: Column) -> Column:
-    v = c.try_cast("double")
-    return F.when(F.isnan(v), F.lit(None)).otherwise(v)
 
 
-def nutrient_value(pairs: Column, name: str) -> Column:
-    """Value of one nutrient; the last entry of that name wins."""
-    hits = F.filter(pairs, lambda e: e["name"] == F.lit(name))
-    return F.try_element_at(hits, F.lit(-1))["value"]
+def nutrient_value(name: str, pairs: str = "_pairs") -> str:
+    """Value of one nutrient, null when it is absent."""
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    return f"get(filter({pairs}, e -> e.name = '{quoted}'), 0).value"

@@ -1,9 +1,9 @@
 """Attribute vocabulary and item-to-attribute map."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import code, nutrient_value, nutrition_pairs, slug, strip_space
+from ..functions.text import code, slug, strip_space, with_nutrition_pairs
 
 # Upper limits of the low, medium and high bin of each nutrient; all start at 0.
 NUTRIENT_LIMITS = {
@@ -28,60 +28,39 @@ SINGLE_VALUED = [
 CLAIMS = ("health_clain_type_dsc", "health_claim", "health_")
 
 
-def _single(column: str, family: str, prefix: str, form) -> Column:
-    raw = F.col(column)
-    return F.struct(
-        form(prefix, raw).alias("attr_id"),
-        F.lit(family).alias("attr_family"),
-        raw.cast("string").alias("display_name"),
-        F.lit(column).alias("evidence_sources"),
+def _attribute(attr_id: str, family: str, name: str, source: str) -> str:
+    return (
+        f"named_struct('attr_id', {attr_id}, 'attr_family', '{family}', "
+        f"'display_name', {name}, 'evidence_sources', '{source}')"
     )
 
 
-def _claims() -> Column:
+def _claims() -> str:
     column, family, prefix = CLAIMS
+    parts = f"ifnull(split({column}, '/'), cast(array() AS array<string>))"
+    stripped = f"transform({parts}, c -> {strip_space('c')})"
+    return f"transform({stripped}, c -> {_attribute(slug(prefix, 'c'), family, 'c', column)})"
 
-    def one(part: Column) -> Column:
-        claim = strip_space(part)
-        return F.struct(
-            slug(prefix, claim).alias("attr_id"),
-            F.lit(family).alias("attr_family"),
-            claim.alias("display_name"),
-            F.lit(column).alias("evidence_sources"),
-        )
 
-    return F.transform(F.split(F.col(column), "/"), one)
+def _catalog() -> str:
+    singles = [_attribute(form(p, c), family, f"cast({c} AS string)", c) for c, family, p, form in SINGLE_VALUED]
+    return f"concat(array({', '.join(singles)}), {_claims()})"
 
 
-def _nutrition_levels() -> Column:
-    def one(nutrient: str) -> Column:
-        value = nutrient_value(F.col("_pairs"), nutrient)
-        level = F.when(value < 0, F.lit(None))
-        for limit, name in zip(NUTRIENT_LIMITS[nutrient], LEVELS):
-            level = level.when(value < limit, F.lit(name))
+def _nutrition_levels() -> str:
+    """Each parsed pair as the attribute of the bin its value falls in, null without a bin."""
+    cases = []
+    for nutrient, limits in NUTRIENT_LIMITS.items():
         stem = f"nutrition_{nutrient.replace(' ', '_')}_"
-        return F.struct(
-            F.concat(F.lit(stem), level).alias("attr_id"),
-            F.lit("nutrition").alias("attr_family"),
-            F.concat(F.lit(f"{nutrient.title()} - "), F.initcap(level)).alias("display_name"),
-            F.lit("nutrition_nm").alias("evidence_sources"),
-        )
-
-    return F.array(*[one(n) for n in NUTRIENT_LIMITS])
+        steps = " ".join(f"WHEN e.value < {hi} THEN '{stem}{level}'" for hi, level in zip(limits, LEVELS))
+        cases.append(f"WHEN '{nutrient}' THEN CASE WHEN e.value < 0 THEN NULL {steps} END")
+    attr_id = f"CASE e.name {' '.join(cases)} END"
+    return f"transform(_pairs, e -> {_attribute(attr_id, 'nutrition', 'e.name', 'nutrition_nm')})"
 
 
-def _exploded(items: DataFrame, blocks: Column, *keep: str) -> DataFrame:
+def _exploded(items: DataFrame, blocks: str, *keep: str) -> DataFrame:
     """One row per item attribute, in a single pass over the items."""
-    return (
-        items.select(*keep, F.explode(F.filter(blocks, lambda a: a["attr_id"].isNotNull())).alias("a"))
-        .select(*keep, "a.*")
-    )
-
-
-def _catalog_blocks() -> Column:
-    singles = F.array(*[_single(*spec) for spec in SINGLE_VALUED])
-    claims = _claims()
-    return F.when(F.col(CLAIMS[0]).isNull(), singles).otherwise(F.concat(singles, claims))
+    return items.select(*keep, F.expr(f"inline(filter({blocks}, a -> a.attr_id IS NOT NULL))"))
 
 
 def nutrition_vocabulary(spark) -> DataFrame:
@@ -100,14 +79,14 @@ def build_attr_meta(items: DataFrame) -> DataFrame:
 
     Values are made distinct as spelled, so two spellings with one slug keep two rows.
     """
-    found = _exploded(items, _catalog_blocks()).select("attr_id", "attr_family", "display_name").distinct()
+    found = _exploded(items, _catalog()).select("attr_id", "attr_family", "display_name").distinct()
     return found.unionByName(nutrition_vocabulary(items.sparkSession)).withColumn(
         "definition_json", F.lit(None).cast("string")
     )
 
 
 def health_vocabulary(items: DataFrame) -> DataFrame:
-    return _exploded(items.where(F.col(CLAIMS[0]).isNotNull()), _claims()).select(
+    return _exploded(items, _claims()).select(
         "attr_id", "attr_family", "display_name"
     ).distinct()
 
@@ -124,17 +103,16 @@ def build_map_item_attribute(items: DataFrame) -> DataFrame:
 
     All families come from one exploded scan; the only shuffle is the de-duplication.
     """
-    parsed = items.withColumn("_pairs", nutrition_pairs(F.col("nutrition_nm")))
-    return _as_map(_exploded(parsed, F.concat(_catalog_blocks(), _nutrition_levels()), "upc_nbr"))
+    blocks = f"concat({_catalog()}, {_nutrition_levels()})"
+    return _as_map(_exploded(with_nutrition_pairs(items), blocks, "upc_nbr"))
 
 
 def build_health_mapping(items: DataFrame) -> DataFrame:
-    return _as_map(_exploded(items.where(F.col(CLAIMS[0]).isNotNull()), _claims(), "upc_nbr"))
+    return _as_map(_exploded(items, _claims(), "upc_nbr"))
 
 
 def build_nutrition_mapping(items: DataFrame) -> DataFrame:
     """Items binned by nutrient value; no bin or no value gives no row."""
-    parsed = items.withColumn("_pairs", nutrition_pairs(F.col("nutrition_nm")))
-    return _exploded(parsed, _nutrition_levels(), "upc_nbr").select(
+    return _exploded(with_nutrition_pairs(items), _nutrition_levels(), "upc_nbr").select(
         "upc_nbr", "attr_id", F.lit(1.0).alias("p_attr"), "evidence_sources"
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import nutrient_value, nutrition_pairs
+from ..functions.text import nutrient_value, with_nutrition_pairs
 
 # Nutrient name -> column name, and the suffixes of the columns to keep.
 NUTRITION_COLUMNS = {
@@ -23,7 +23,7 @@ MAX_COLUMNS = 2000
 def nutrient_names(items: DataFrame) -> list[str]:
     """Names that occur in the data, sorted; they become columns, so their number is checked."""
     names = (
-        items.select(F.explode(nutrition_pairs(F.col("nutrition_nm"))["name"]).alias("name"))
+        with_nutrition_pairs(items).select(F.explode("_pairs.name").alias("name"))
         .distinct()
         .limit(MAX_COLUMNS + 1)
         .collect()
@@ -42,14 +42,21 @@ def build_item_nutrition(items: DataFrame, names: list[str] | None = None) -> Da
     wanted = nutrient_names(items) if names is None else names
     columns = {n: NUTRITION_COLUMNS.get(n, n) for n in wanted}
     kept = {n: c for n, c in columns.items() if c.endswith(KEPT_SUFFIXES)}
-    parsed = items.select(F.col("upc_nbr").alias("upc_id"), nutrition_pairs(F.col("nutrition_nm")).alias("p"))
-    return parsed.select("upc_id", *[nutrient_value(F.col("p"), n).alias(c) for n, c in kept.items()])
+    values = [F.expr(nutrient_value(n)).alias(c) for n, c in kept.items()]
+    return with_nutrition_pairs(items).select(F.col("upc_nbr").alias("upc_id"), *values)
 
 
 def nutrition_long(items: DataFrame) -> DataFrame:
-    """(upc_id, nutrient, value): the parsed list as rows, last entry of a name kept."""
-    parsed = items.select(F.col("upc_nbr").alias("upc_id"), nutrition_pairs(F.col("nutrition_nm")).alias("p"))
-    exploded = parsed.select("upc_id", F.posexplode("p").alias("pos", "e"))
-    return exploded.groupBy("upc_id", F.col("e.name").alias("nutrient")).agg(
-        F.max_by("e.value", "pos").alias("value")
+    """(upc_id, nutrient, value): the parsed list as rows."""
+    return with_nutrition_pairs(items).select(
+        F.col("upc_nbr").alias("upc_id"), F.expr("inline(_pairs) AS (nutrient, value)")
     )
+
+
+def pivot_nutrition(items: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """The wide table by a pivot of the long one: items with no nutrition have null columns."""
+    wanted = nutrient_names(items) if names is None else names
+    wide = nutrition_long(items).groupBy("upc_id").pivot("nutrient", wanted).agg(F.first("value"))
+    renamed = wide.withColumnsRenamed(NUTRITION_COLUMNS)
+    kept = [c for c in renamed.columns if c != "upc_id" and c.endswith(KEPT_SUFFIXES)]
+    return items.select(F.col("upc_nbr").alias("upc_id")).join(renamed.select("upc_id", *kept), "upc_id", "left")

@@ -127,7 +127,8 @@ oracle("map_health", ["claim"], """
            'health_clain_type_dsc' AS evidence_sources FROM claim""")
 oracle("map_nutrition_bins", ["nutrition_map"], "SELECT * FROM nutrition_map")
 oracle("item_nutrition", ["nutrition_wide"], "SELECT * FROM nutrition_wide")
-oracle("item_nutrition_pivot", ["nutrient"], "SELECT upc_nbr AS upc_id, name AS nutrient, value FROM nutrient")
+oracle("item_nutrition_pivot", ["nutrition_wide"], "SELECT * FROM nutrition_wide")
+oracle("nutrition_long", ["nutrient"], "SELECT upc_nbr AS upc_id, name AS nutrient, value FROM nutrient")
 
 # ---- household tables --------------------------------------------------------
 

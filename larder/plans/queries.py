@@ -107,6 +107,11 @@ def item_nutrition(spark, d):
 
 @query
 def item_nutrition_pivot(spark, d):
+    return N.pivot_nutrition(V.items(spark, d))
+
+
+@query
+def nutrition_long(spark, d):
     return N.nutrition_long(V.items(spark, d))
 
 
