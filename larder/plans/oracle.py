@@ -77,9 +77,60 @@ CTES: dict[str, tuple[list[str], str]] = {
                  AS hist_score,
                CAST(min(date_diff('day', txn_date, (SELECT max(txn_date) FROM joined))) AS BIGINT) AS last_seen_days
         FROM joined GROUP BY ALL HAVING hist_score > 0.01"""),
+    "item_pair": (["map"], """
+        SELECT a.attr_id AS src, b.attr_id AS dst, count(*) AS w
+        FROM map a JOIN map b ON a.upc_nbr = b.upc_nbr AND a.attr_id < b.attr_id GROUP BY ALL"""),
+    "hh_pair": (["hist"], """
+        SELECT a.attr_id AS src, b.attr_id AS dst, sum(sqrt(a.hist_score * b.hist_score)) AS w
+        FROM hist a JOIN hist b ON a.household_id = b.household_id AND a.attr_id < b.attr_id GROUP BY ALL"""),
+    "item_cell": (["item_pair"], "SELECT src, dst, w FROM item_pair UNION ALL SELECT dst, src, w FROM item_pair"),
+    "hh_cell": (["hh_pair"], "SELECT src, dst, w FROM hh_pair UNION ALL SELECT dst, src, w FROM hh_pair"),
+    "vocab": (["map"], "SELECT DISTINCT attr_id FROM map"),
+    "edge": (["item_pair", "hh_pair"], """
+        SELECT src, dst, sum(w) AS w
+        FROM (SELECT src, dst, CAST(w AS DOUBLE) AS w FROM item_pair UNION ALL SELECT src, dst, 0.5 * w FROM hh_pair)
+        GROUP BY ALL HAVING sum(w) >= 3"""),
+    "graph": (["edge", "vocab"], """
+        SELECT src, dst, w FROM edge UNION ALL SELECT dst, src, w FROM edge
+        UNION ALL SELECT attr_id, attr_id, 1.0 FROM vocab"""),
+    "family_long": (["meta", "vocab"], """
+        SELECT v.attr_id, f.pos, CAST(CASE WHEN m.attr_family = f.attr_family THEN 1 ELSE 0 END AS DOUBLE) AS value
+        FROM vocab v LEFT JOIN (SELECT DISTINCT attr_id, attr_family FROM meta) m USING (attr_id)
+        CROSS JOIN (SELECT attr_family, row_number() OVER (ORDER BY attr_family) - 1 AS pos
+                    FROM (SELECT DISTINCT attr_family FROM meta)) f"""),
+    "popularity_wide": (["map"], """
+        SELECT attr_id, ln(1 + count(*)) AS p0, ln(1 + count(DISTINCT upc_nbr)) AS p1 FROM map GROUP BY attr_id"""),
+    "popularity_long": (["popularity_wide"], """
+        SELECT attr_id, 0 AS pos, p0 AS value FROM popularity_wide UNION ALL SELECT attr_id, 1, p1 FROM popularity_wide"""),
+    "nutrition_mean": (["map", "nutrition_wide", "vocab"], """
+        SELECT v.attr_id, coalesce(avg(added_sugar_g), 0) AS n0, coalesce(avg(calories), 0) AS n1,
+               coalesce(avg(fiber_g), 0) AS n2
+        FROM vocab v LEFT JOIN map m USING (attr_id) LEFT JOIN nutrition_wide n ON m.upc_nbr = n.upc_id GROUP BY ALL"""),
+    "nutrition_long": (["nutrition_mean"], """
+        SELECT attr_id, unnest([0, 1, 2]) AS pos,
+               unnest([(n0 - (SELECT avg(n0) FROM nutrition_mean)) / ((SELECT stddev_pop(n0) FROM nutrition_mean) + 1e-6),
+                       (n1 - (SELECT avg(n1) FROM nutrition_mean)) / ((SELECT stddev_pop(n1) FROM nutrition_mean) + 1e-6),
+                       (n2 - (SELECT avg(n2) FROM nutrition_mean)) / ((SELECT stddev_pop(n2) FROM nutrition_mean) + 1e-6)
+                      ]) AS value
+        FROM nutrition_mean"""),
+    "feature_long": (["family_long", "popularity_long", "nutrition_long"], """
+        SELECT attr_id, pos, value FROM family_long
+        UNION ALL SELECT attr_id, pos + (SELECT max(pos) + 1 FROM family_long), value FROM popularity_long
+        UNION ALL SELECT attr_id, pos + (SELECT max(pos) + 3 FROM family_long), value FROM nutrition_long"""),
 }
 
 
+def uniform(*parts: str) -> str:
+    """The hash uniform of functions/hashing.py as SQL."""
+    text = " || '|' || ".join(parts)
+    return f"(CAST('0x' || substr(md5({text}), 1, 8) AS BIGINT) / 4294967296.0)"
+
+
+def hash_int(*parts: str) -> str:
+    text = " || '|' || ".join(parts)
+    return f"CAST('0x' || substr(md5({text}), 1, 15) AS BIGINT)"
+
+
 def with_tables(names: list[str], body: str) -> str:
     order: list[str] = []
 
@@ -151,3 +202,58 @@ oracle("history_top_attrs", ["hist"], """
            CAST(row_number() OVER (PARTITION BY household_id ORDER BY round(hist_score, 6) DESC, attr_id) AS INTEGER) AS rank
     FROM hist
     QUALIFY row_number() OVER (PARTITION BY household_id ORDER BY round(hist_score, 6) DESC, attr_id) <= 5""")
+
+# ---- co-occurrence -------------------------------------------------------------
+
+oracle("cooc_item", ["item_pair"], "SELECT src, dst, w FROM item_pair")
+oracle("cooc_household", ["hh_pair"], "SELECT src, dst, round(w, 4) AS w FROM hh_pair")
+oracle("cooc_marginals", ["item_cell"], "SELECT src AS attr_id, CAST(sum(w) AS BIGINT) AS total FROM item_cell GROUP BY src")
+oracle("cooc_stats", ["item_cell", "vocab"], """
+    SELECT n AS attributes, c AS cells, CAST(t AS DOUBLE) AS total, round(100.0 * c / (n * n), 6) AS density_pct,
+           round(100.0 - 100.0 * c / (n * n), 6) AS sparsity_pct
+    FROM (SELECT count(*) AS c, sum(w) AS t FROM item_cell), (SELECT count(*) AS n FROM vocab)""")
+
+
+def sppmi_sql(cells: str, shift: float) -> str:
+    return f"""
+    SELECT src, dst, round(w, 6) AS w FROM (
+      SELECT c.src, c.dst, ln(CAST(c.w AS DOUBLE) * t.t / (CAST(r.m AS DOUBLE) * k.m)) - {shift} AS w
+      FROM {cells} c JOIN (SELECT src, sum(w) AS m FROM {cells} GROUP BY src) r ON c.src = r.src
+      JOIN (SELECT src, sum(w) AS m FROM {cells} GROUP BY src) k ON c.dst = k.src
+      CROSS JOIN (SELECT sum(w) AS t FROM {cells}) t) WHERE w > 0"""
+
+
+oracle("sppmi_item", ["item_cell"], sppmi_sql("item_cell", 0.5))
+oracle("sppmi_household", ["hh_cell"], sppmi_sql("hh_cell", 0.0))
+
+# ---- graph -----------------------------------------------------------------------
+
+oracle("attr_vocab", ["vocab"], "SELECT attr_id, row_number() OVER (ORDER BY attr_id) - 1 AS idx FROM vocab")
+oracle("attr_graph", ["graph"], "SELECT src, dst, round(w, 4) AS w FROM graph")
+oracle("attr_graph_item_only", ["item_pair", "vocab"], """
+    SELECT src, dst, CAST(w AS DOUBLE) AS w FROM item_pair WHERE w >= 3
+    UNION ALL SELECT dst, src, CAST(w AS DOUBLE) FROM item_pair WHERE w >= 3
+    UNION ALL SELECT attr_id, attr_id, 1.0 FROM vocab""")
+oracle("graph_stats", ["graph", "vocab"], """
+    SELECT (SELECT count(*) FROM vocab) AS nodes, count(*) AS entries,
+           count(*) FILTER (src < dst) AS undirected_edges,
+           round(100.0 * count(*) / ((SELECT count(*) FROM vocab) * (SELECT count(*) FROM vocab)), 6) AS density_pct
+    FROM graph""")
+oracle("node_features_family", ["family_long"], "SELECT attr_id, CAST(pos AS BIGINT) AS pos, value FROM family_long")
+oracle("node_features_popularity", ["popularity_long"],
+       "SELECT attr_id, CAST(pos AS BIGINT) AS pos, round(value, 6) AS value FROM popularity_long")
+oracle("node_features_nutrition", ["nutrition_long"],
+       "SELECT attr_id, CAST(pos AS BIGINT) AS pos, round(value, 5) AS value FROM nutrition_long")
+oracle("node_features", ["feature_long"],
+       "SELECT attr_id, CAST(pos AS BIGINT) AS pos, round(value, 5) AS value FROM feature_long")
+oracle("edge_dropout", ["graph"], f"""
+    SELECT src, dst, round(w, 4) AS w FROM graph WHERE {uniform("'7'", "'1'", "src", "dst")} > 0.2""")
+oracle("feature_mask", ["feature_long"], f"""
+    SELECT attr_id, CAST(pos AS BIGINT) AS pos,
+           CASE WHEN {uniform("'7'", "'1'", "attr_id", "CAST(pos AS VARCHAR)")} > 0.1 THEN round(value, 5) ELSE 0.0 END AS value
+    FROM feature_long""")
+oracle("denoise_mask", ["item_cell"], f"""
+    SELECT src, dst, w FROM item_cell WHERE {uniform("'7'", "'3'", "src", "dst")} > 0.2""")
+oracle("neighbor_mean", ["graph", "popularity_long"], """
+    SELECT g.dst AS attr_id, CAST(p.pos AS BIGINT) AS pos, round(sum(g.w * p.value) / greatest(sum(g.w), 1.0), 6) AS value
+    FROM graph g JOIN popularity_long p ON g.src = p.attr_id GROUP BY g.dst, p.pos""")

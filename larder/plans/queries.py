@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import attributes as A
+from ..operators import cooccurrence as CO
+from ..operators import graph as G
 from ..operators import history as H
 from ..operators import nutrition as N
 from ..sources import retail_views as V
@@ -141,3 +143,127 @@ def hh_attr_history_refdate(spark, d):
 @query
 def history_top_attrs(spark, d):
     return H.top_attributes(rounded(_history(spark, d), 6, "hist_score"), 5)
+
+
+# ---- co-occurrence -------------------------------------------------------------
+
+@query
+def cooc_item(spark, d):
+    return CO.item_cooccurrence(_map(spark, d)).withColumn("w", F.col("w").cast("bigint"))
+
+
+@query
+def cooc_household(spark, d):
+    return rounded(CO.household_cooccurrence(_history(spark, d)), 4, "w")
+
+
+@query
+def cooc_marginals(spark, d):
+    cells = CO.mirror(CO.item_cooccurrence(_map(spark, d)))
+    return CO.marginals(cells).withColumn("total", F.col("total").cast("bigint"))
+
+
+@query
+def cooc_stats(spark, d):
+    item_attrs = _map(spark, d)
+    stats = CO.matrix_stats(CO.mirror(CO.item_cooccurrence(item_attrs)), G.attribute_vocabulary(item_attrs))
+    return rounded(stats, 6, "density_pct", "sparsity_pct")
+
+
+@query
+def sppmi_item(spark, d):
+    return rounded(CO.sppmi(CO.mirror(CO.item_cooccurrence(_map(spark, d))), 0.5), 6, "w")
+
+
+@query
+def sppmi_household(spark, d):
+    return rounded(CO.sppmi(CO.mirror(CO.household_cooccurrence(_history(spark, d))), 0.0), 6, "w")
+
+
+# ---- graph -----------------------------------------------------------------------
+
+@query
+def attr_vocab(spark, d):
+    return G.indexed_vocabulary(G.attribute_vocabulary(_map(spark, d), _history(spark, d)))
+
+
+def _graph(spark, d):
+    return G.build_attribute_graph(_map(spark, d), _history(spark, d))
+
+
+def _features(spark, d):
+    items = V.items(spark, d)
+    item_attrs = A.build_map_item_attribute(items)
+    return G.build_node_features(
+        G.attribute_vocabulary(item_attrs), A.build_attr_meta(items), item_attrs, N.build_item_nutrition(items)
+    )
+
+
+def _long(df, column, digits=6):
+    """(attr_id, pos, value): an array column as rows."""
+    return df.select("attr_id", F.posexplode(column).alias("pos", "value")).withColumns(
+        {"pos": F.col("pos").cast("bigint"), "value": F.round("value", digits)}
+    )
+
+
+@query
+def attr_graph(spark, d):
+    return rounded(_graph(spark, d), 4, "w")
+
+
+@query
+def attr_graph_item_only(spark, d):
+    return G.build_attribute_graph(_map(spark, d), use_household_edges=False)
+
+
+@query
+def graph_stats(spark, d):
+    return rounded(G.graph_stats(_graph(spark, d)), 6, "density_pct")
+
+
+@query
+def node_features_family(spark, d):
+    items = V.items(spark, d)
+    return _long(G.family_features(G.attribute_vocabulary(_map(spark, d)), A.build_attr_meta(items)), "family")
+
+
+@query
+def node_features_popularity(spark, d):
+    item_attrs = _map(spark, d)
+    return _long(G.popularity_features(G.attribute_vocabulary(item_attrs), item_attrs), "popularity")
+
+
+@query
+def node_features_nutrition(spark, d):
+    items = V.items(spark, d)
+    item_attrs = A.build_map_item_attribute(items)
+    out = G.nutrition_features(G.attribute_vocabulary(item_attrs), item_attrs, N.build_item_nutrition(items))
+    return _long(out, "nutrition", 5)
+
+
+@query
+def node_features(spark, d):
+    return _long(_features(spark, d), "features", 5)
+
+
+@query
+def edge_dropout(spark, d):
+    return rounded(G.drop_edges(_graph(spark, d), 0.2, seed=7, view=1), 4, "w")
+
+
+@query
+def feature_mask(spark, d):
+    return _long(G.mask_features(_features(spark, d), 0.1, seed=7, view=1), "features", 5)
+
+
+@query
+def denoise_mask(spark, d):
+    cells = CO.mirror(CO.item_cooccurrence(_map(spark, d)))
+    return G.denoise_mask(cells, 0.2, seed=7, epoch=3).withColumn("w", F.col("w").cast("bigint"))
+
+
+@query
+def neighbor_mean(spark, d):
+    item_attrs = _map(spark, d)
+    nodes = G.popularity_features(G.attribute_vocabulary(item_attrs), item_attrs)
+    return _long(G.neighbor_mean(_graph(spark, d), nodes, 2, "popularity"), "neighbors")
