@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_hex
 
 
-def with_global_rank(df: DataFrame, key: Column, name: str, splits: int = 256) -> DataFrame:
-    """Add the 0-based rank of a unique string key.
+def with_running_total(df: DataFrame, key: Column, value: Column, name: str, splits: int = 256) -> DataFrame:
+    """Add the sum of `value` over all rows with a smaller key; keys are unique strings.
 
-    Rows are cut into ranges at up to `splits` keys picked by hash. The rank is the
-    rank inside a range plus the number of rows in earlier ranges; only the
-    (at most splits + 1) range counts meet in one task, and they are broadcast.
+    Rows are cut into ranges at up to `splits` keys picked by hash. The total is the
+    one inside a range plus that of earlier ranges; only the (at most splits + 1)
+    range sums meet in one task, and they are broadcast.
     """
-    keyed = df.withColumn("_key", key)
+    keyed = df.withColumns({"_key": key, "_value": value.cast("bigint")})
     picked = keyed.select("_key").orderBy(hash_hex(F.col("_key")), "_key").limit(splits)
     bounds = picked.agg(F.array_sort(F.collect_list("_key"))).scalar()
     ranged = keyed.withColumn("_bounds", bounds).withColumn(
@@ -21,18 +21,23 @@ def with_global_rank(df: DataFrame, key: Column, name: str, splits: int = 256) -
     ).drop("_bounds")
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+        ranged.groupBy("_range").agg(F.sum("_value").alias("_n"))
         .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = F.row_number().over(Window.partitionBy("_range").orderBy("_key"))
+    inside = Window.partitionBy("_range").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
     return (
-        ranged.withColumn("_pos", inside)
+        ranged.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
         .join(F.broadcast(offsets), "_range")
-        .withColumn(name, (F.col("_offset") + F.col("_pos") - 1).cast("bigint"))
-        .drop("_key", "_range", "_pos", "_offset")
+        .withColumn(name, F.col("_offset") + F.col("_inside"))
+        .drop("_key", "_value", "_range", "_inside", "_offset")
     )
 
 
+def with_global_rank(df: DataFrame, key: Column, name: str, splits: int = 256) -> DataFrame:
+    """Add the 0-based rank of a unique string key."""
+    return with_running_total(df, key, F.lit(1), name, splits)
+
+
 def top_k(scored: DataFrame, group: str | list[str], score: str, tie: str, k: int, rank: str = "rank") -> DataFrame:
     """The k best rows of each group, rank from 1 without gaps."""
     w = Window.partitionBy(group).orderBy(F.desc(score), tie)

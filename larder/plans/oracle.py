@@ -117,6 +117,77 @@ CTES: dict[str, tuple[list[str], str]] = {
         SELECT attr_id, pos, value FROM family_long
         UNION ALL SELECT attr_id, pos + (SELECT max(pos) + 1 FROM family_long), value FROM popularity_long
         UNION ALL SELECT attr_id, pos + (SELECT max(pos) + 3 FROM family_long), value FROM nutrition_long"""),
+    "emb": ([], "SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v, CAST(label AS VARCHAR) AS family FROM embeddings"),
+    "item_vec": (["emb"], "SELECT CAST(p_partkey AS VARCHAR) AS item_id, v FROM part JOIN emb ON p_partkey = vec_id"),
+    "attr_vec": (["vocab", "emb"], """
+        SELECT attr_id, v FROM (SELECT attr_id, row_number() OVER (ORDER BY attr_id) - 1 AS idx FROM vocab)
+        JOIN emb ON vec_id = idx * 3"""),
+    "pos": (["map", "item_vec", "attr_vec"], """
+        SELECT upc_nbr AS item_id, attr_id FROM map
+        WHERE upc_nbr IN (SELECT item_id FROM item_vec) AND attr_id IN (SELECT attr_id FROM attr_vec)"""),
+    "pop": (["map", "attr_vec"], """
+        SELECT a.attr_id, coalesce(c.n, 1) AS n_rows
+        FROM attr_vec a LEFT JOIN (SELECT attr_id, count(*) AS n FROM map GROUP BY attr_id) c USING (attr_id)"""),
+    "lacking": (["pos", "pop"], """
+        SELECT item_id, attr_id AS neg_attr, row_number() OVER w - 1 AS r, count(*) OVER (PARTITION BY item_id) AS free,
+               sum(n_rows) OVER w - n_rows AS lo, sum(n_rows) OVER w AS hi, sum(n_rows) OVER (PARTITION BY item_id) AS weight
+        FROM (SELECT i.item_id, p.attr_id, p.n_rows FROM (SELECT DISTINCT item_id FROM pos) i CROSS JOIN pop p
+              WHERE NOT EXISTS (SELECT 1 FROM pos x WHERE x.item_id = i.item_id AND x.attr_id = p.attr_id))
+        WINDOW w AS (PARTITION BY item_id ORDER BY attr_id)"""),
+    "slot": (["pos"], "SELECT item_id, attr_id, unnest([0, 1, 2, 3, 4]) AS slot FROM pos"),
+    "triple": (["slot", "lacking", "item_vec"], """
+        SELECT CASE WHEN k.rk <= floor((SELECT count(*) FROM item_vec) * 0.8) THEN 'train' ELSE 'val' END AS split,
+               s.item_id, s.attr_id AS pos_attr, s.slot, l.neg_attr
+        FROM slot s JOIN lacking l ON s.item_id = l.item_id AND l.r = CAST('0x' || substr(md5(
+               '42|0|' || s.item_id || '|' || s.attr_id || '|' || s.slot), 1, 15) AS BIGINT) % l.free
+        JOIN (SELECT item_id, row_number() OVER (ORDER BY md5('42|' || item_id), item_id) AS rk FROM item_vec) k
+          ON k.item_id = s.item_id"""),
+    "w1": ([], """
+        SELECT i, j, ((i * 7 + j * 3) % 11 - 5) / 10.0 AS w
+        FROM (SELECT unnest(range(64)) AS i), (SELECT unnest(range(4)) AS j)"""),
+    "aligned": (["attr_vec", "w1"], """
+        SELECT attr_id, pos, o / sqrt(sum(o * o) OVER (PARTITION BY attr_id)) AS value FROM (
+          SELECT attr_id, o.pos, sum(h * ((j * 5 + o.pos * 2) % 7 - 3) / 10.0) + (o.pos % 3) / 10.0 AS o FROM (
+            SELECT attr_id, j,
+                   (greatest(sum(x * w) + (j + 1) / 10.0, 0) - j / 10.0) / sqrt(1 + j / 4.0 + 1e-5) * (1 + j / 10.0)
+                     + j / 20.0 AS h
+            FROM (SELECT attr_id, unnest(v) AS x, unnest(range(64)) AS i FROM attr_vec) JOIN w1 USING (i)
+            GROUP BY attr_id, j)
+          CROSS JOIN (SELECT unnest(range(64)) AS pos) o GROUP BY attr_id, o.pos)"""),
+    "aligned_vec": (["aligned"], "SELECT attr_id, list(value ORDER BY pos) AS a FROM aligned GROUP BY attr_id"),
+    "score": (["item_vec", "emb"], """
+        SELECT item_id, 'attr_' || e.vec_id AS attr_id, list_cosine_similarity(i.v, e.v) AS affinity_score
+        FROM item_vec i CROSS JOIN emb e"""),
+    "best": (["score"], """
+        SELECT item_id, attr_id, affinity_score,
+               CAST(row_number() OVER (PARTITION BY item_id ORDER BY affinity_score DESC, attr_id) AS INTEGER) AS rank
+        FROM score QUALIFY rank <= 50"""),
+    "provider": (["emb"], """
+        SELECT 'attr_' || vec_id AS attr_id, family, 'plain' AS provider, v FROM emb
+        UNION ALL SELECT 'attr_' || vec_id, family, 'reversed', list_reverse(v) FROM emb
+        UNION ALL SELECT attr_id, family, 'weighted',
+                         list_transform(d, lambda x: x / sqrt(list_dot_product(d, d))) FROM (
+          SELECT 'attr_' || vec_id AS attr_id, family,
+                 list_transform(v, lambda x, k: CASE WHEN k % 2 = 1 THEN x * 2.0 ELSE x END) AS d FROM emb)"""),
+    "neighbor": (["provider"], """
+        SELECT a.provider, a.attr_id, b.attr_id AS neighbor, a.family, b.family AS other_family,
+               list_dot_product(a.v, b.v) AS score,
+               CAST(row_number() OVER (PARTITION BY a.provider, a.attr_id
+                                       ORDER BY list_dot_product(a.v, b.v) DESC, b.attr_id) AS INTEGER) AS rank
+        FROM provider a JOIN provider b ON a.provider = b.provider AND a.attr_id <> b.attr_id QUALIFY rank <= 10"""),
+    "norm": (["provider"], """
+        SELECT provider, avg(n) AS norm_mean, stddev_pop(n) AS norm_std
+        FROM (SELECT provider, sqrt(list_dot_product(v, v)) AS n FROM provider) GROUP BY provider"""),
+    "sample": (["provider"], """
+        SELECT attr_id, row_number() OVER (ORDER BY md5('42|' || attr_id), attr_id) AS pos
+        FROM (SELECT DISTINCT attr_id FROM provider) QUALIFY pos <= 1000"""),
+    "distance": (["provider", "sample"], """
+        SELECT provider, count(*) AS n_distances, avg(d) AS dist_mean, stddev_pop(d) AS dist_std FROM (
+          SELECT a.provider, list_distance(a.v, b.v) AS d,
+                 row_number() OVER (PARTITION BY a.provider, a.attr_id ORDER BY sb.pos) AS nth
+          FROM provider a JOIN sample sa ON a.attr_id = sa.attr_id
+          JOIN provider b ON a.provider = b.provider AND a.attr_id <> b.attr_id JOIN sample sb ON b.attr_id = sb.attr_id)
+        WHERE nth <= 100 GROUP BY provider"""),
 }
 
 
@@ -143,6 +214,8 @@ def with_tables(names: list[str], body: str) -> str:
     for n in names:
         visit(n)
     ctes = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in order)
+    if order and body.lstrip().startswith("WITH "):
+        return f"WITH {ctes},\n{body.lstrip()[5:]}"
     return f"WITH {ctes}\n{body}" if order else body
 
 
@@ -257,3 +330,109 @@ oracle("denoise_mask", ["item_cell"], f"""
 oracle("neighbor_mean", ["graph", "popularity_long"], """
     SELECT g.dst AS attr_id, CAST(p.pos AS BIGINT) AS pos, round(sum(g.w * p.value) / greatest(sum(g.w), 1.0), 6) AS value
     FROM graph g JOIN popularity_long p ON g.src = p.attr_id GROUP BY g.dst, p.pos""")
+
+# ---- vectors and the store -------------------------------------------------------------
+
+oracle("l2_normalize", ["emb"], """
+    SELECT 'attr_' || vec_id AS attr_id, CAST(pos AS BIGINT) AS pos,
+           round(x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)), 6) AS value
+    FROM (SELECT vec_id, pos, y * (pos + 1) AS x
+          FROM (SELECT vec_id, unnest(v) AS y, unnest(range(len(v))) AS pos FROM emb))""")
+oracle("vector_store_write_read", ["provider"], """
+    SELECT attr_id, provider, 'reversed_2024-05-01' AS model_version, 'v1' AS vocab_version, 'test' AS built_from,
+           CAST(len(v) AS BIGINT) AS dim, round(v[1], 6) AS first_value, round(sqrt(list_dot_product(v, v)), 6) AS norm
+    FROM provider WHERE provider = 'reversed'""")
+oracle("vector_store_latest", ["provider"], """
+    SELECT attr_id, provider, provider || '_2024-05-01' AS model_version, 'v1' AS vocab_version, 'test' AS built_from,
+           CAST(len(v) AS BIGINT) AS dim, round(v[1], 6) AS first_value, round(sqrt(list_dot_product(v, v)), 6) AS norm
+    FROM provider""")
+oracle("frozen_item_vectors", ["emb"], """
+    SELECT 'sku_' || p_partkey AS item_id, round(v[1], 6) AS first_value FROM part JOIN emb ON p_partkey = vec_id
+    UNION ALL SELECT 'item_' || vec_id, round(v[1], 6) FROM emb""")
+oracle("infonce_loss", ["emb"], """
+    SELECT round(avg(lse - pos), 6) AS loss, count(*) AS n_anchors FROM (
+      SELECT a.id, a.view, ln(sum(exp(list_dot_product(a.u, b.u) / 0.5)) FILTER (a.id <> b.id OR a.view <> b.view)) AS lse,
+             max(list_dot_product(a.u, b.u) / 0.5) FILTER (a.id = b.id AND a.view <> b.view) AS pos
+      FROM (SELECT vec_id AS id, 1 AS view, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM emb
+            UNION ALL SELECT vec_id, 2, list_reverse(list_transform(v, lambda x: x / sqrt(list_dot_product(v, v)))) FROM emb) a
+      CROSS JOIN (SELECT vec_id AS id, 1 AS view, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM emb
+            UNION ALL SELECT vec_id, 2, list_reverse(list_transform(v, lambda x: x / sqrt(list_dot_product(v, v)))) FROM emb) b
+      GROUP BY a.id, a.view)""")
+
+# ---- samples ---------------------------------------------------------------------------------
+
+oracle("positive_samples", ["pos"], "SELECT * FROM pos")
+oracle("attr_popularity", ["pop"], """
+    SELECT attr_id, CAST(n_rows AS BIGINT) AS n_rows, round(n_rows / (SELECT sum(n_rows) FROM pop), 8) AS probability FROM pop""")
+DRAW = hash_int("'42'", "'1'", "s.item_id", "s.attr_id", "s.slot")
+oracle("negatives_uniform", ["slot", "lacking"], f"""
+    SELECT s.item_id, s.attr_id, CAST(s.slot AS BIGINT) AS slot, l.neg_attr
+    FROM slot s JOIN lacking l ON s.item_id = l.item_id AND l.r = {DRAW} % l.free""")
+oracle("negatives_popularity", ["slot", "lacking"], f"""
+    SELECT s.item_id, s.attr_id, CAST(s.slot AS BIGINT) AS slot, l.neg_attr
+    FROM slot s JOIN lacking l ON s.item_id = l.item_id
+     AND {DRAW} % CAST(l.weight AS BIGINT) >= l.lo AND {DRAW} % CAST(l.weight AS BIGINT) < l.hi""")
+oracle("train_val_split", ["item"], """
+    SELECT upc_nbr AS item_id,
+           CASE WHEN row_number() OVER (ORDER BY md5('42|' || upc_nbr), upc_nbr) <= floor((SELECT count(*) FROM item) * 0.8)
+                THEN 'train' ELSE 'val' END AS split FROM item""")
+oracle("training_triples", ["triple"], "SELECT * REPLACE (CAST(slot AS BIGINT) AS slot) FROM triple")
+oracle("item_profiles", ["pos"], "SELECT item_id, string_agg(attr_id, ',' ORDER BY attr_id) AS attrs FROM pos GROUP BY item_id")
+
+# ---- alignment with fixed weights ----------------------------------------------------------------
+
+oracle("align_forward", ["aligned"], "SELECT attr_id, CAST(pos AS BIGINT) AS pos, round(value, 6) AS value FROM aligned")
+oracle("align_logits", ["triple", "aligned_vec", "item_vec"], """
+    SELECT t.item_id, t.pos_attr, CAST(t.slot AS BIGINT) AS slot,
+           round(list_cosine_similarity(i.v, a.a) / 0.07, 5) AS logit
+    FROM (SELECT item_id, pos_attr, slot + 1 AS slot, neg_attr AS attr_id FROM triple
+          UNION ALL SELECT DISTINCT item_id, pos_attr, 0, pos_attr FROM triple) t
+    JOIN aligned_vec a ON a.attr_id = t.attr_id JOIN item_vec i ON i.item_id = t.item_id""")
+
+# ---- affinity ----------------------------------------------------------------------------------------
+
+oracle("affinity_scores", ["score"], "SELECT item_id, attr_id, round(affinity_score, 6) AS affinity_score FROM score")
+oracle("affinity_topk", ["best"], "SELECT item_id, attr_id, round(affinity_score, 6) AS affinity_score, rank FROM best")
+oracle("affinity_summary", ["best"], """
+    SELECT count(*) AS n_rows, round(avg(affinity_score), 6) AS mean_score, round(min(affinity_score), 6) AS min_score,
+           round(max(affinity_score), 6) AS max_score, count(DISTINCT item_id) AS n_items,
+           count(DISTINCT attr_id) AS n_attributes, round(count(*) / count(DISTINCT item_id), 6) AS rows_per_item
+    FROM best""")
+oracle("affinity_sample", ["best"], """
+    SELECT item_id, attr_id, round(affinity_score, 6) AS affinity_score, rank FROM best ORDER BY item_id, rank LIMIT 20""")
+oracle("household_affinity_topk", ["hist", "attr_vec"], """
+    WITH profile AS (
+      SELECT household_id, list(x ORDER BY i) AS v FROM (
+        SELECT household_id, i, sum(hist_score * x) AS x
+        FROM (SELECT h.household_id, h.hist_score, unnest(a.v) AS x, unnest(range(len(a.v))) AS i
+              FROM hist h JOIN attr_vec a USING (attr_id)) GROUP BY household_id, i) GROUP BY household_id)
+    SELECT household_id, attr_id, round(score, 6) AS affinity_score, CAST(rank AS INTEGER) AS rank FROM (
+      SELECT p.household_id, a.attr_id, list_cosine_similarity(p.v, a.v) AS score,
+             row_number() OVER (PARTITION BY p.household_id ORDER BY list_cosine_similarity(p.v, a.v) DESC, a.attr_id) AS rank
+      FROM profile p CROSS JOIN attr_vec a) WHERE rank <= 10""")
+
+# ---- comparison of providers ------------------------------------------------------------------------------
+
+oracle("provider_similarity", ["provider"], """
+    WITH asked AS (SELECT unnest(['plain', 'reversed', 'weighted', 'absent']) AS p)
+    SELECT x.p AS provider_a, y.p AS provider_b, round(avg(list_cosine_similarity(a.v, b.v)), 6) AS mean_cosine
+    FROM asked x CROSS JOIN asked y LEFT JOIN provider a ON a.provider = x.p
+    LEFT JOIN provider b ON b.provider = y.p AND b.attr_id = a.attr_id GROUP BY ALL""")
+oracle("common_attrs", ["provider"], """
+    SELECT attr_id FROM provider
+    WHERE NOT (provider = 'plain' AND family = '0') AND NOT (provider = 'reversed' AND family = '1')
+    GROUP BY attr_id HAVING count(DISTINCT provider) = 3""")
+oracle("nearest_neighbors", ["neighbor"], """
+    SELECT attr_id, neighbor, round(score, 6) AS score, rank FROM neighbor WHERE provider = 'weighted'""")
+oracle("coherence", ["neighbor"], """
+    SELECT provider, count(*) AS n_neighbors, count(*) FILTER (family = other_family) AS n_same_family,
+           round(count(*) FILTER (family = other_family) / count(*), 6) AS coherence FROM neighbor GROUP BY provider""")
+oracle("norm_stats", ["norm"], """
+    SELECT provider, round(norm_mean, 5) AS norm_mean, round(norm_std, 5) AS norm_std FROM norm""")
+oracle("distance_stats", ["distance"], """
+    SELECT provider, n_distances, round(dist_mean, 6) AS dist_mean, round(dist_std, 6) AS dist_std FROM distance""")
+oracle("provider_verdicts", ["norm", "distance"], """
+    SELECT provider, round(norm_mean, 5) AS norm_mean, round(dist_std / dist_mean, 5) AS spread,
+           CASE WHEN norm_mean BETWEEN 0.95 AND 1.05 THEN 'normalized' ELSE 'not normalized' END AS norm_verdict,
+           CASE WHEN dist_std / dist_mean < 0.2 THEN 'clustered' ELSE 'spread' END AS spread_verdict
+    FROM norm JOIN distance USING (provider)""")

@@ -2,19 +2,29 @@
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import vectors as X
+from ..operators import alignment as AL
 from ..operators import attributes as A
+from ..operators import comparison as C
+from ..operators import contrastive as L
 from ..operators import cooccurrence as CO
 from ..operators import graph as G
 from ..operators import history as H
 from ..operators import nutrition as N
+from ..operators import sampling as P
+from ..operators import scoring as R
+from ..session import scratch_path
 from ..sources import retail_views as V
 from ..sources import tables as T
+from ..sources import vector_store as S
 
 AS_OF = "1999-06-30"
 REF_DATE = "1998-01-01"
+PROVIDERS = ["plain", "reversed", "weighted"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -267,3 +277,226 @@ def neighbor_mean(spark, d):
     item_attrs = _map(spark, d)
     nodes = G.popularity_features(G.attribute_vocabulary(item_attrs), item_attrs)
     return _long(G.neighbor_mean(_graph(spark, d), nodes, 2, "popularity"), "neighbors")
+
+
+# ---- vectors and the store -------------------------------------------------------------
+
+@query
+def l2_normalize(spark, d):
+    scaled = V.labelled_vectors(spark, d).withColumn("vector", F.transform("vector", lambda x, k: x * (k + 1)))
+    return _long(scaled.select("attr_id", X.l2_normalize("vector").alias("v")), "v")
+
+
+def _store(spark, d):
+    """A store of three providers; 'plain' has an older version that holds the reversed vectors."""
+    path = scratch_path(spark, "store")
+    vectors = V.provider_vectors(spark, d)
+    created = F.to_timestamp(F.lit("2024-05-01 00:00:00"))
+    for name in PROVIDERS:
+        rows = vectors.where(F.col("provider") == name)
+        S.write_vectors(S.store_rows(rows, name, f"{name}_2024-05-01", built_from="test", created_at=created), path)
+    older = vectors.where(F.col("provider") == "reversed")
+    S.write_vectors(S.store_rows(older, "plain", "plain_2024-04-01", created_at=created), path)
+    return path
+
+
+def _store_view(rows):
+    return rows.select(
+        "attr_id", "provider", "model_version", "vocab_version", "built_from", F.col("dim").cast("bigint").alias("dim"),
+        F.round(F.get("vector", F.lit(0)), 6).alias("first_value"), F.round(X.vec_norm("vector"), 6).alias("norm"),
+    )
+
+
+@query
+def vector_store_write_read(spark, d):
+    return _store_view(S.load_vectors(spark, _store(spark, d), "reversed", "reversed_2024-05-01"))
+
+
+@query
+def vector_store_latest(spark, d):
+    return _store_view(S.latest_vectors(S.read_store(spark, _store(spark, d))))
+
+
+@query
+def frozen_item_vectors(spark, d):
+    vectors = spark.read.parquet(f"{d}/embeddings.parquet").select(
+        F.col("vec_id").alias("idx"), F.col("embedding").cast("array<double>").alias("vector")
+    )
+    id_map = spark.read.parquet(f"{d}/part.parquet").select(
+        F.concat(F.lit("sku_"), F.col("p_partkey").cast("string")).alias("item_id"), F.col("p_partkey").alias("idx")
+    )
+    named = S.frozen_item_vectors(vectors, id_map).unionByName(S.frozen_item_vectors(vectors))
+    return named.select("item_id", F.round(F.get("vector", F.lit(0)), 6).alias("first_value"))
+
+
+@query
+def infonce_loss(spark, d):
+    z1 = V.labelled_vectors(spark, d)
+    z2 = z1.withColumn("vector", F.reverse("vector"))
+    return rounded(L.infonce_loss(z1, z2, 0.5), 6, "loss")
+
+
+# ---- samples ---------------------------------------------------------------------------------
+
+def _attr_vectors(spark, d):
+    """Vectors of the mapped attributes: attribute number i takes the embedding numbered 3 i, where there is one."""
+    vocabulary = G.indexed_vocabulary(G.attribute_vocabulary(_map(spark, d)))
+    vectors = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
+    return vocabulary.join(vectors, F.col("vec_id") == F.col("idx") * 3).select(
+        "attr_id", F.col("embedding").cast("array<double>").alias("vector")
+    )
+
+
+def _positives(spark, d):
+    return P.positive_samples(_map(spark, d), V.item_vectors(spark, d), _attr_vectors(spark, d))
+
+
+@query
+def positive_samples(spark, d):
+    return _positives(spark, d)
+
+
+@query
+def attr_popularity(spark, d):
+    return rounded(P.attribute_popularity(_map(spark, d), _attr_vectors(spark, d)), 8, "probability")
+
+
+@query
+def negatives_uniform(spark, d):
+    out = P.uniform_negatives(_positives(spark, d), _attr_vectors(spark, d), k=5, seed=42, epoch=1)
+    return out.withColumn("slot", F.col("slot").cast("bigint"))
+
+
+@query
+def negatives_popularity(spark, d):
+    popularity = P.attribute_popularity(_map(spark, d), _attr_vectors(spark, d))
+    out = P.popularity_negatives(_positives(spark, d), popularity, k=5, seed=42, epoch=1)
+    return out.withColumn("slot", F.col("slot").cast("bigint"))
+
+
+@query
+def train_val_split(spark, d):
+    items = V.items(spark, d).select(F.col("upc_nbr").alias("item_id"))
+    return P.train_val_split(items, 0.8, seed=42)
+
+
+def _triples(spark, d):
+    return P.training_triples(_map(spark, d), V.item_vectors(spark, d), _attr_vectors(spark, d))
+
+
+@query
+def training_triples(spark, d):
+    return _triples(spark, d).select(
+        "split", "item_id", "pos_attr", F.posexplode("neg_attrs").alias("slot", "neg_attr")
+    ).withColumn("slot", F.col("slot").cast("bigint"))
+
+
+@query
+def item_profiles(spark, d):
+    return P.item_profiles(_positives(spark, d)).select("item_id", F.concat_ws(",", "attrs").alias("attrs"))
+
+
+# ---- alignment with fixed weights ----------------------------------------------------------------
+
+def fixed_params(dim: int = 64, hidden: int = 4, out: int = 64) -> dict:
+    i, j, o = np.arange(dim)[:, None], np.arange(hidden), np.arange(out)
+    return {
+        "w1": ((i * 7 + j * 3) % 11 - 5) / 10.0, "b1": (j + 1) / 10.0,
+        "gamma": 1 + j / 10.0, "beta": j / 20.0, "mean": j / 10.0, "var": 1 + j / 4.0,
+        "w2": ((j[:, None] * 5 + o * 2) % 7 - 3) / 10.0, "b2": (o % 3) / 10.0, "temperature": np.array(0.07),
+    }
+
+
+@query
+def align_forward(spark, d):
+    return _long(AL.align_attributes(_attr_vectors(spark, d), fixed_params()), "vector")
+
+
+@query
+def align_logits(spark, d):
+    rows = P.attach_vectors(_triples(spark, d), V.item_vectors(spark, d), _attr_vectors(spark, d))
+    out = AL.align_logits(rows, fixed_params())
+    return rounded(out.withColumn("slot", F.col("slot").cast("bigint")), 5, "logit")
+
+
+# ---- affinity ----------------------------------------------------------------------------------------
+
+def _attr_side(spark, d):
+    return V.labelled_vectors(spark, d).select("attr_id", "vector")
+
+
+@query
+def affinity_scores(spark, d):
+    return rounded(R.affinity_scores(V.item_vectors(spark, d), _attr_side(spark, d)), 6, "affinity_score")
+
+
+def _topk(spark, d):
+    return R.affinity_topk(V.item_vectors(spark, d), _attr_side(spark, d), k=50)
+
+
+@query
+def affinity_topk(spark, d):
+    return rounded(_topk(spark, d), 6, "affinity_score")
+
+
+@query
+def affinity_summary(spark, d):
+    return rounded(R.affinity_summary(_topk(spark, d)), 6, "mean_score", "min_score", "max_score", "rows_per_item")
+
+
+@query
+def affinity_sample(spark, d):
+    return rounded(R.affinity_sample(_topk(spark, d), 20), 6, "affinity_score")
+
+
+@query
+def household_affinity_topk(spark, d):
+    return rounded(R.household_affinity_topk(_history(spark, d), _attr_vectors(spark, d), k=10), 6, "affinity_score")
+
+
+# ---- comparison of providers ------------------------------------------------------------------------------
+
+def _compared(spark, d, part):
+    """One table of the comparison; attribute families are the labels."""
+    vectors = V.provider_vectors(spark, d)
+    meta = V.labelled_vectors(spark, d).select("attr_id", "attr_family")
+    return C.compare_embeddings(vectors, [*PROVIDERS, "absent"], meta)[part]
+
+
+@query
+def provider_similarity(spark, d):
+    return rounded(_compared(spark, d, "similarity"), 6, "mean_cosine")
+
+
+@query
+def common_attrs(spark, d):
+    """Three providers that each lack some labels, so that the intersection is smaller than any of them."""
+    gaps = (F.col("provider") == "plain") & (F.col("attr_family") == "0")
+    gaps = gaps | ((F.col("provider") == "reversed") & (F.col("attr_family") == "1"))
+    return C.common_attributes(V.provider_vectors(spark, d).where(~gaps), len(PROVIDERS))
+
+
+@query
+def nearest_neighbors(spark, d):
+    vectors = V.provider_vectors(spark, d).where(F.col("provider") == "weighted")
+    return rounded(C.nearest_neighbors(vectors.select("attr_id", "vector")), 6, "score")
+
+
+@query
+def coherence(spark, d):
+    return rounded(_compared(spark, d, "coherence"), 6, "coherence")
+
+
+@query
+def norm_stats(spark, d):
+    return rounded(_compared(spark, d, "norms"), 5, "norm_mean", "norm_std")
+
+
+@query
+def distance_stats(spark, d):
+    return rounded(_compared(spark, d, "distances"), 6, "dist_mean", "dist_std")
+
+
+@query
+def provider_verdicts(spark, d):
+    return rounded(_compared(spark, d, "verdicts"), 5, "norm_mean", "spread")
