@@ -32,5 +32,9 @@ def vec_cos(a, b) -> Column:
 
 def l2_normalize(v) -> Column:
     """Unit-length copy of a vector; a zero vector stays zero."""
-    norm = vec_norm(v)
-    return F.when(norm == 0.0, as_doubles(v)).otherwise(F.transform(as_doubles(v), lambda x: x / norm))
+    # The norm is bound as the one element of an array, so that it is not computed again per component.
+    unit = F.transform(
+        F.array(vec_norm(v)),
+        lambda n: F.when(n == 0.0, as_doubles(v)).otherwise(F.transform(as_doubles(v), lambda x: x / n)),
+    )
+    return F.get(unit, F.lit(0))

@@ -1,15 +1,21 @@
-"""Alignment of attribute vectors to frozen item vectors: the model and its application."""
+"""Alignment of attribute vectors to frozen item vectors: the model, its use and its training."""
+
+import copy
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import l2_normalize, vec_dot
-from .blocks import to_matrix
+from ..session import materialize
+from .blocks import BROADCAST_BYTES, to_matrix, vector_bytes
+from .params import SUM_SCHEMA, Adam, Params, as_chunks, linear_init, sum_over_tasks
+from .ranking import with_global_rank
+from .sampling import attach_vectors, indexed_profiles, positive_samples, train_val_split, uniform_draws
 
 BN_EPS = 1e-5
-Params = dict[str, np.ndarray]
 
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
@@ -59,3 +65,243 @@ def align_logits(triples: DataFrame, params: Params) -> DataFrame:
         forward, "item_id string, pos_attr string, slot int, item array<double>, vector array<double>"
     )
     return aligned.select("item_id", "pos_attr", "slot", (vec_dot("item", "vector") / temperature).alias("logit"))
+
+
+# Configuration defaults.
+ALIGN_DEFAULTS = {
+    "train_ratio": 0.8, "batch_size": 256, "negatives_per_pos": 5, "hidden_dim": 128,
+    "output_dim": 64, "dropout": 0.2, "epochs": 10, "lr": 0.001, "seed": 42,
+}
+START_TEMPERATURE = 0.07
+BN_MOMENTUM = 0.1
+
+
+def init_params(dim: int, hidden: int, out: int, seed: int) -> Params:
+    rng = np.random.default_rng(seed)
+    w1, b1 = linear_init(rng, dim, hidden)
+    w2, b2 = linear_init(rng, hidden, out)
+    return {
+        "w1": w1, "b1": b1, "gamma": np.ones(hidden), "beta": np.zeros(hidden), "w2": w2, "b2": b2,
+        "temperature": np.array(START_TEMPERATURE), "mean": np.zeros(hidden), "var": np.ones(hidden),
+    }
+
+
+def _tower(params: Params, x: np.ndarray, keep: np.ndarray):
+    """Training forward pass of the attribute tower and its backward pass."""
+    a = x @ params["w1"] + params["b1"]
+    h = np.maximum(a, 0)
+    mean, var = h.mean(0), h.var(0)
+    inv = 1.0 / np.sqrt(var + BN_EPS)
+    xhat = (h - mean) * inv
+    y = (xhat * params["gamma"] + params["beta"]) * keep
+    o = y @ params["w2"] + params["b2"]
+    norm = np.linalg.norm(o, axis=1, keepdims=True)
+    norm = np.where(norm == 0, 1.0, norm)
+    u = o / norm
+
+    def backward(du: np.ndarray) -> Params:
+        do = (du - u * (u * du).sum(1, keepdims=True)) / norm
+        dy = (do @ params["w2"].T) * keep
+        dx = dy * params["gamma"]
+        dh = inv * (dx - dx.mean(0) - xhat * (dx * xhat).mean(0)) * (a > 0)
+        return {
+            "w2": y.T @ do, "b2": do.sum(0), "gamma": (dy * xhat).sum(0), "beta": dy.sum(0),
+            "w1": x.T @ dh, "b1": dh.sum(0),
+        }
+
+    return u, backward, mean, var
+
+
+def cross_entropy(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Loss per row for class 0, and the softmax."""
+    top = logits.max(1, keepdims=True)
+    e = np.exp(logits - top)
+    total = e.sum(1, keepdims=True)
+    return (np.log(total) + top - logits[:, :1])[:, 0], e / total
+
+
+def train_gradient(params: Params, item, pos, neg, keep_pos, keep_neg):
+    """Gradient, loss and batch statistics of one mini-batch; neg is [batch * k, dim] in row order."""
+    n, k = len(pos), len(neg) // len(pos)
+    u = unit_rows(item)
+    p, back_p, mean_p, var_p = _tower(params, pos, keep_pos)
+    q, back_q, mean_q, var_q = _tower(params, neg, keep_neg)
+    q3, t = q.reshape(n, k, -1), float(params["temperature"])
+    logits = np.concatenate([(u * p).sum(1, keepdims=True), np.einsum("nkd,nd->nk", q3, u)], axis=1) / t
+    loss, soft = cross_entropy(logits)
+    d = soft
+    d[:, 0] -= 1.0
+    d /= n
+    gp, gq = back_p(d[:, :1] * u / t), back_q((d[:, 1:, None] * u[:, None, :] / t).reshape(n * k, -1))
+    grads = {name: gp[name] + gq[name] for name in gp}
+    grads["temperature"] = np.array(-(d * logits).sum() / t)
+    return grads, float(loss.mean()), [(mean_p, var_p, n), (mean_q, var_q, n * k)]
+
+
+def _expanded(batch: pa.RecordBatch, attrs: np.ndarray | None, k: int):
+    """(item vectors, positive vectors, negative vectors) of a batch of training rows."""
+    items = to_matrix(batch.column("vector"))
+    if attrs is None:
+        return items, to_matrix(batch.column("pos_vector")), to_matrix(pa.ListArray.flatten(batch.column("neg_vectors")))
+    counts = np.diff(batch.column("pos").offsets.to_numpy())
+    pos, neg = batch.column("pos").flatten().to_numpy(), batch.column("neg").flatten().to_numpy()
+    return np.repeat(items, counts, axis=0), attrs[pos], attrs[neg]
+
+
+def training_rows(profiles: DataFrame, attr_vectors: DataFrame, k: int, seed: int, epoch: int, indexed: bool) -> DataFrame:
+    """Rows of one epoch with fresh negatives.
+
+    Indexed: one row per item with positive and negative attribute numbers, for a broadcast
+    attribute matrix. Otherwise one row per positive with the attribute vectors joined on.
+    """
+    draws = uniform_draws(k, seed, epoch)
+    if indexed:
+        negs = F.expr(f"flatten(transform(profile, p -> {draws}))")
+        return profiles.select("vector", F.expr("profile.idx").alias("pos"), negs.alias("neg"))
+    triples = profiles.select(
+        "item_id", F.expr(f"inline(transform(profile, p -> struct(p.idx AS pos_attr, {draws} AS neg_attrs)))")
+    )
+    joined = attach_vectors(triples, profiles, attr_vectors.select(F.col("idx").alias("attr_id"), "vector"))
+    return joined.select(F.col("item_vector").alias("vector"), "pos_vector", "neg_vectors")
+
+
+def train_epoch(
+    rows: DataFrame, attrs, params: Params, adam: Adam, cfg: dict, epoch: int
+) -> tuple[Params, Adam, float]:
+    """One epoch: each task runs mini-batch Adam on its rows from the shared start, then models and
+    optimizer states are averaged by row count. With one task this is plain mini-batch training."""
+    handle = rows.sparkSession.sparkContext.broadcast((params, adam))
+    trained = [n for n in params if n not in ("mean", "var")]
+
+    def local_sgd(batches):
+        model, opt = copy.deepcopy(handle.value)
+        rng = np.random.default_rng([cfg["seed"], epoch, TaskContext.get().partitionId()])
+        matrix = None if attrs is None else attrs.value
+        k, keep_p = cfg["negatives_per_pos"], 1 - cfg["dropout"]
+        seen, loss_sum = 0, 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            item, pos, neg = _expanded(batch, matrix, k)
+            order = rng.permutation(len(pos))
+            for lo in range(0, len(order), cfg["batch_size"]):
+                at = order[lo : lo + cfg["batch_size"]]
+                neg_at = (at[:, None] * k + np.arange(k)).ravel()
+                hidden = len(model["b1"])
+                masks = [(rng.random((m, hidden)) < keep_p) / keep_p for m in (len(at), len(neg_at))]
+                grads, loss, stats = train_gradient(model, item[at], pos[at], neg[neg_at], *masks)
+                opt.step(model, grads)
+                for mean, var, m in stats:
+                    unbiased = var * m / max(m - 1, 1)
+                    model["mean"] = (1 - BN_MOMENTUM) * model["mean"] + BN_MOMENTUM * mean
+                    model["var"] = (1 - BN_MOMENTUM) * model["var"] + BN_MOMENTUM * unbiased
+                seen += len(at)
+                loss_sum += loss * len(at)
+        if seen:
+            state = {f"p.{n}": a * seen for n, a in model.items()}
+            state |= {f"m.{n}": opt.m[n] * seen for n in trained} | {f"v.{n}": opt.v[n] * seen for n in trained}
+            state["sums"] = np.array([seen, loss_sum, opt.t * seen])
+            yield pa.RecordBatch.from_pandas(as_chunks(state), preserve_index=False)
+
+    sums = sum_over_tasks(rows.mapInArrow(local_sgd, SUM_SCHEMA))
+    handle.destroy()
+    if not sums:
+        raise ValueError("no training rows: no mapped attribute has both vectors")
+    seen, loss_sum, t = sums["sums"]
+    mean = {n: a / seen for n, a in sums.items()}
+    new = {n: mean[f"p.{n}"].reshape(np.shape(a)) for n, a in params.items()}
+    m, v = ({n: mean[f"{s}.{n}"].reshape(np.shape(params[n])) for n in trained} for s in ("m", "v"))
+    return new, Adam(adam.lr, m, v, t / seen), float(loss_sum / seen)
+
+
+def evaluate(rows: DataFrame, attrs, params: Params, cfg: dict) -> tuple[float, float]:
+    """(mean loss, share of rows whose positive scores highest) in inference mode."""
+    handle = rows.sparkSession.sparkContext.broadcast(params)
+
+    def score(batches):
+        model, k = handle.value, cfg["negatives_per_pos"]
+        matrix = None if attrs is None else align_rows(model, attrs.value)
+        total = np.zeros(3)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            item, p, q = _expanded(batch, matrix, k)
+            if matrix is None:
+                p, q = align_rows(model, p), align_rows(model, q)
+            u = unit_rows(item)
+            logits = np.concatenate(
+                [(u * p).sum(1, keepdims=True), np.einsum("nkd,nd->nk", q.reshape(len(p), k, -1), u)], axis=1
+            ) / float(model["temperature"])
+            total += [len(p), cross_entropy(logits)[0].sum(), (logits.argmax(1) == 0).sum()]
+        yield pa.RecordBatch.from_pydict({"n": [total[0]], "loss": [total[1]], "hits": [total[2]]})
+
+    n, loss, hits = (
+        rows.mapInArrow(score, "n double, loss double, hits double").agg(F.sum("n"), F.sum("loss"), F.sum("hits")).first()
+    )
+    handle.destroy()
+    return (loss / n, hits / n) if n else (float("nan"), float("nan"))
+
+
+def train_alignment(
+    item_attrs: DataFrame,
+    item_vectors: DataFrame,
+    attr_vectors: DataFrame,
+    config: dict | None = None,
+    partitions: int | None = None,
+    limit_bytes: int = BROADCAST_BYTES,
+) -> dict:
+    """Train the attribute tower; returns history, metrics, and best and final parameters.
+
+    history rows are (epoch, train_loss, val_loss, val_acc). 'best' is the epoch of the strictly smallest
+    validation loss. Attribute vectors are broadcast when their checked size fits, joined onto the rows otherwise.
+    """
+    cfg = ALIGN_DEFAULTS | (config or {})
+    spark, seed = item_attrs.sparkSession, cfg["seed"]
+    vocabulary = materialize(with_global_rank(attr_vectors.select("attr_id", "vector"), F.col("attr_id"), "idx"))
+    split = train_val_split(item_vectors, cfg["train_ratio"], seed)
+    positives = positive_samples(item_attrs, item_vectors, attr_vectors)
+    profiles = (
+        indexed_profiles(positives, vocabulary)
+        .join(item_vectors.select("item_id", "vector"), "item_id")
+        .join(split, "item_id")
+    )
+    profiles = materialize(profiles.repartition(partitions or spark.sparkContext.defaultParallelism, "item_id"))
+    dim, width = vocabulary.select(F.size("vector")).first()[0], item_vectors.select(F.size("vector")).first()[0]
+    if width != cfg["output_dim"]:
+        raise ValueError(f"item vectors have {width} dimensions, the model gives {cfg['output_dim']}")
+
+    n_attrs, size = vector_bytes(vocabulary)
+    attrs = None
+    if size <= limit_bytes:
+        table = vocabulary.select("idx", "vector").toArrow().sort_by("idx")
+        attrs = spark.sparkContext.broadcast(to_matrix(table.column("vector")))
+
+    def rows(part: str, epoch: int) -> DataFrame:
+        chosen = profiles.where(F.col("split") == part)
+        return training_rows(chosen, vocabulary, cfg["negatives_per_pos"], seed, epoch, attrs is not None)
+
+    params = init_params(dim, cfg["hidden_dim"], cfg["output_dim"], seed)
+    adam, best, best_loss, history = Adam(cfg["lr"]), params, float("inf"), []
+    for epoch in range(cfg["epochs"]):
+        params, adam, train_loss = train_epoch(rows("train", epoch), attrs, params, adam, cfg, epoch)
+        val_loss, val_acc = evaluate(rows("val", epoch), attrs, params, cfg)
+        history.append((epoch + 1, train_loss, val_loss, val_acc))
+        if val_loss < best_loss:
+            best, best_loss = params, val_loss
+    metrics = {
+        "best_val_loss": best_loss, "final_val_loss": history[-1][2],
+        "final_val_acc": history[-1][3], "final_train_loss": history[-1][1],
+    }
+    frame = spark.createDataFrame(
+        [(e, *map(float, m)) for e, *m in history], "epoch int, train_loss double, val_loss double, val_acc double"
+    )
+    return {"history": frame, "metrics": metrics, "best": best, "final": params}
+
+
+def write_training(result: dict, history_path: str, metrics_path: str) -> None:
+    """History as CSV with a header, metrics as one JSON row."""
+    history = result["history"]
+    history.coalesce(1).orderBy("epoch").write.mode("overwrite").option("header", True).csv(history_path)
+    metrics = {k: float(v) for k, v in result["metrics"].items()}
+    row = history.sparkSession.createDataFrame([tuple(metrics.values())], ", ".join(f"{k} double" for k in metrics))
+    row.coalesce(1).write.mode("overwrite").json(metrics_path)

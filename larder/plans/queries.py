@@ -17,7 +17,7 @@ from ..operators import history as H
 from ..operators import nutrition as N
 from ..operators import sampling as P
 from ..operators import scoring as R
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources import retail_views as V
 from ..sources import tables as T
 from ..sources import vector_store as S
@@ -39,11 +39,18 @@ def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
 
 
 def _map(spark, d):
-    return A.build_map_item_attribute(V.items(spark, d))
+    """The item map as a written table, as every later step of the pipeline reads it."""
+    return materialize(A.build_map_item_attribute(V.items(spark, d)))
+
 
+def _history(spark, d, item_attrs=None):
+    item_attrs = _map(spark, d) if item_attrs is None else item_attrs
+    return H.build_hh_attr_history(V.transactions(spark, d), item_attrs)
 
-def _history(spark, d):
-    return H.build_hh_attr_history(V.transactions(spark, d), _map(spark, d))
+
+def _map_and_history(spark, d):
+    item_attrs = _map(spark, d)
+    return item_attrs, materialize(_history(spark, d, item_attrs))
 
 
 # ---- scans ---------------------------------------------------------------
@@ -67,7 +74,7 @@ def scan_households(spark, d):
 @query
 def table_counts(spark, d):
     items, txns = V.items(spark, d), V.transactions(spark, d)
-    item_attrs = A.build_map_item_attribute(items)
+    item_attrs = _map(spark, d)
     return T.table_counts({
         "attr_meta": A.build_attr_meta(items),
         "map_item_attribute": item_attrs,
@@ -99,7 +106,7 @@ def attr_meta_nutrition(spark, d):
 
 @query
 def map_item_attribute(spark, d):
-    return _map(spark, d)
+    return A.build_map_item_attribute(V.items(spark, d))
 
 
 @query
@@ -182,28 +189,28 @@ def cooc_stats(spark, d):
 
 @query
 def sppmi_item(spark, d):
-    return rounded(CO.sppmi(CO.mirror(CO.item_cooccurrence(_map(spark, d))), 0.5), 6, "w")
+    return rounded(CO.sppmi(materialize(CO.mirror(CO.item_cooccurrence(_map(spark, d)))), 0.5), 6, "w")
 
 
 @query
 def sppmi_household(spark, d):
-    return rounded(CO.sppmi(CO.mirror(CO.household_cooccurrence(_history(spark, d))), 0.0), 6, "w")
+    return rounded(CO.sppmi(materialize(CO.mirror(CO.household_cooccurrence(_history(spark, d)))), 0.0), 6, "w")
 
 
 # ---- graph -----------------------------------------------------------------------
 
 @query
 def attr_vocab(spark, d):
-    return G.indexed_vocabulary(G.attribute_vocabulary(_map(spark, d), _history(spark, d)))
+    return G.indexed_vocabulary(materialize(G.attribute_vocabulary(*_map_and_history(spark, d))))
 
 
 def _graph(spark, d):
-    return G.build_attribute_graph(_map(spark, d), _history(spark, d))
+    return G.build_attribute_graph(*_map_and_history(spark, d))
 
 
 def _features(spark, d):
     items = V.items(spark, d)
-    item_attrs = A.build_map_item_attribute(items)
+    item_attrs = _map(spark, d)
     return G.build_node_features(
         G.attribute_vocabulary(item_attrs), A.build_attr_meta(items), item_attrs, N.build_item_nutrition(items)
     )
@@ -246,7 +253,7 @@ def node_features_popularity(spark, d):
 @query
 def node_features_nutrition(spark, d):
     items = V.items(spark, d)
-    item_attrs = A.build_map_item_attribute(items)
+    item_attrs = _map(spark, d)
     out = G.nutrition_features(G.attribute_vocabulary(item_attrs), item_attrs, N.build_item_nutrition(items))
     return _long(out, "nutrition", 5)
 
@@ -274,9 +281,9 @@ def denoise_mask(spark, d):
 
 @query
 def neighbor_mean(spark, d):
-    item_attrs = _map(spark, d)
+    item_attrs, history = _map_and_history(spark, d)
     nodes = G.popularity_features(G.attribute_vocabulary(item_attrs), item_attrs)
-    return _long(G.neighbor_mean(_graph(spark, d), nodes, 2, "popularity"), "neighbors")
+    return _long(G.neighbor_mean(G.build_attribute_graph(item_attrs, history), nodes, 2, "popularity"), "neighbors")
 
 
 # ---- vectors and the store -------------------------------------------------------------
@@ -338,39 +345,48 @@ def infonce_loss(spark, d):
 
 # ---- samples ---------------------------------------------------------------------------------
 
-def _attr_vectors(spark, d):
+def _attr_vectors(spark, d, item_attrs):
     """Vectors of the mapped attributes: attribute number i takes the embedding numbered 3 i, where there is one."""
-    vocabulary = G.indexed_vocabulary(G.attribute_vocabulary(_map(spark, d)))
+    vocabulary = G.indexed_vocabulary(materialize(G.attribute_vocabulary(item_attrs)))
     vectors = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
-    return vocabulary.join(vectors, F.col("vec_id") == F.col("idx") * 3).select(
-        "attr_id", F.col("embedding").cast("array<double>").alias("vector")
+    return materialize(
+        vocabulary.join(vectors, F.col("vec_id") == F.col("idx") * 3).select(
+            "attr_id", F.col("embedding").cast("array<double>").alias("vector")
+        )
     )
 
 
-def _positives(spark, d):
-    return P.positive_samples(_map(spark, d), V.item_vectors(spark, d), _attr_vectors(spark, d))
+def _sampled(spark, d):
+    """(map, item vectors, attribute vectors)."""
+    item_attrs = _map(spark, d)
+    return item_attrs, V.item_vectors(spark, d), _attr_vectors(spark, d, item_attrs)
 
 
 @query
 def positive_samples(spark, d):
-    return _positives(spark, d)
+    return P.positive_samples(*_sampled(spark, d))
 
 
 @query
 def attr_popularity(spark, d):
-    return rounded(P.attribute_popularity(_map(spark, d), _attr_vectors(spark, d)), 8, "probability")
+    item_attrs, _, attr_vectors = _sampled(spark, d)
+    return rounded(P.attribute_popularity(item_attrs, attr_vectors), 8, "probability")
 
 
 @query
 def negatives_uniform(spark, d):
-    out = P.uniform_negatives(_positives(spark, d), _attr_vectors(spark, d), k=5, seed=42, epoch=1)
+    item_attrs, item_vectors, attr_vectors = _sampled(spark, d)
+    positives = P.positive_samples(item_attrs, item_vectors, attr_vectors)
+    out = P.uniform_negatives(positives, attr_vectors, k=5, seed=42, epoch=1)
     return out.withColumn("slot", F.col("slot").cast("bigint"))
 
 
 @query
 def negatives_popularity(spark, d):
-    popularity = P.attribute_popularity(_map(spark, d), _attr_vectors(spark, d))
-    out = P.popularity_negatives(_positives(spark, d), popularity, k=5, seed=42, epoch=1)
+    item_attrs, item_vectors, attr_vectors = _sampled(spark, d)
+    positives = P.positive_samples(item_attrs, item_vectors, attr_vectors)
+    popularity = materialize(P.attribute_popularity(item_attrs, attr_vectors))
+    out = P.popularity_negatives(positives, popularity, k=5, seed=42, epoch=1)
     return out.withColumn("slot", F.col("slot").cast("bigint"))
 
 
@@ -380,20 +396,17 @@ def train_val_split(spark, d):
     return P.train_val_split(items, 0.8, seed=42)
 
 
-def _triples(spark, d):
-    return P.training_triples(_map(spark, d), V.item_vectors(spark, d), _attr_vectors(spark, d))
-
-
 @query
 def training_triples(spark, d):
-    return _triples(spark, d).select(
+    return P.training_triples(*_sampled(spark, d)).select(
         "split", "item_id", "pos_attr", F.posexplode("neg_attrs").alias("slot", "neg_attr")
     ).withColumn("slot", F.col("slot").cast("bigint"))
 
 
 @query
 def item_profiles(spark, d):
-    return P.item_profiles(_positives(spark, d)).select("item_id", F.concat_ws(",", "attrs").alias("attrs"))
+    positives = P.positive_samples(*_sampled(spark, d))
+    return P.item_profiles(positives).select("item_id", F.concat_ws(",", "attrs").alias("attrs"))
 
 
 # ---- alignment with fixed weights ----------------------------------------------------------------
@@ -409,12 +422,14 @@ def fixed_params(dim: int = 64, hidden: int = 4, out: int = 64) -> dict:
 
 @query
 def align_forward(spark, d):
-    return _long(AL.align_attributes(_attr_vectors(spark, d), fixed_params()), "vector")
+    return _long(AL.align_attributes(_attr_vectors(spark, d, _map(spark, d)), fixed_params()), "vector")
 
 
 @query
 def align_logits(spark, d):
-    rows = P.attach_vectors(_triples(spark, d), V.item_vectors(spark, d), _attr_vectors(spark, d))
+    item_attrs, item_vectors, attr_vectors = _sampled(spark, d)
+    triples = P.training_triples(item_attrs, item_vectors, attr_vectors)
+    rows = P.attach_vectors(triples, item_vectors, attr_vectors)
     out = AL.align_logits(rows, fixed_params())
     return rounded(out.withColumn("slot", F.col("slot").cast("bigint")), 5, "logit")
 
@@ -451,21 +466,26 @@ def affinity_sample(spark, d):
 
 @query
 def household_affinity_topk(spark, d):
-    return rounded(R.household_affinity_topk(_history(spark, d), _attr_vectors(spark, d), k=10), 6, "affinity_score")
+    item_attrs = _map(spark, d)
+    history, attr_vectors = _history(spark, d, item_attrs), _attr_vectors(spark, d, item_attrs)
+    return rounded(R.household_affinity_topk(history, attr_vectors, k=10), 6, "affinity_score")
 
 
 # ---- comparison of providers ------------------------------------------------------------------------------
 
-def _compared(spark, d, part):
-    """One table of the comparison; attribute families are the labels."""
-    vectors = V.provider_vectors(spark, d)
-    meta = V.labelled_vectors(spark, d).select("attr_id", "attr_family")
-    return C.compare_embeddings(vectors, [*PROVIDERS, "absent"], meta)[part]
+def _common(spark, d):
+    return C.common_vectors(V.provider_vectors(spark, d), [*PROVIDERS, "absent"])
+
+
+def _meta(spark, d):
+    """Attribute families are the labels."""
+    return V.labelled_vectors(spark, d).select("attr_id", "attr_family")
 
 
 @query
 def provider_similarity(spark, d):
-    return rounded(_compared(spark, d, "similarity"), 6, "mean_cosine")
+    _, common = _common(spark, d)
+    return rounded(C.provider_similarity(common, [*PROVIDERS, "absent"]), 6, "mean_cosine")
 
 
 @query
@@ -484,19 +504,21 @@ def nearest_neighbors(spark, d):
 
 @query
 def coherence(spark, d):
-    return rounded(_compared(spark, d, "coherence"), 6, "coherence")
+    present, common = _common(spark, d)
+    return rounded(C.coherence_by_provider(common, _meta(spark, d), present), 6, "coherence")
 
 
 @query
 def norm_stats(spark, d):
-    return rounded(_compared(spark, d, "norms"), 5, "norm_mean", "norm_std")
+    return rounded(C.norm_stats(_common(spark, d)[1]), 5, "norm_mean", "norm_std")
 
 
 @query
 def distance_stats(spark, d):
-    return rounded(_compared(spark, d, "distances"), 6, "dist_mean", "dist_std")
+    return rounded(C.distance_stats(_common(spark, d)[1]), 6, "dist_mean", "dist_std")
 
 
 @query
 def provider_verdicts(spark, d):
-    return rounded(_compared(spark, d, "verdicts"), 5, "norm_mean", "spread")
+    tables = C.compare_embeddings(V.provider_vectors(spark, d), [*PROVIDERS, "absent"])
+    return rounded(tables["verdicts"], 5, "norm_mean", "spread")
