@@ -46,14 +46,16 @@ def _add(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"name": pdf["name"].iloc[:1], "at": pdf["at"].iloc[:1], "values": [total]})
 
 
-def sum_over_tasks(chunks: DataFrame) -> Params:
-    """Sum equal chunks on the executors, in two levels, and return flat arrays by name.
+def sum_over_tasks(chunks: DataFrame, two_levels: bool = True) -> Params:
+    """Sum equal chunks on the executors and return flat arrays by name.
 
     What reaches the driver is one copy of the model, whatever the number of tasks.
+    Two levels keep the rows that meet in one task few when there are many tasks.
     """
-    salted = chunks.withColumn("salt", F.spark_partition_id() % 16)
-    partial = salted.groupBy("name", "at", "salt").applyInPandas(_add, SUM_SCHEMA)
-    total = partial.groupBy("name", "at").applyInPandas(_add, SUM_SCHEMA).toPandas()
+    if two_levels:
+        salted = chunks.withColumn("salt", F.spark_partition_id() % 16)
+        chunks = salted.groupBy("name", "at", "salt").applyInPandas(_add, SUM_SCHEMA)
+    total = chunks.groupBy("name", "at").applyInPandas(_add, SUM_SCHEMA).toPandas()
     return {
         name: np.concatenate(list(part.sort_values("at")["values"])) for name, part in total.groupby("name")
     }
