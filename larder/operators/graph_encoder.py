@@ -5,11 +5,11 @@ block, target block). A layer is a join of edge cells with node blocks, a produc
 per cell, and a sum per target block; the loss joins every block with every other.
 Backward passes run the same joins the other way. What a task holds is a few
 blocks, whatever the size of the graph; the driver sees batch statistics, the loss
-and the gradient. Intermediate blocks are persisted for one epoch and rebuilt from
-the written inputs if an executor is lost.
+and the gradient. Intermediate blocks are written to the shared folder, so a lost
+executor costs a re-read, and dropped after the epoch.
 """
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import l2_normalize
-from ..session import materialize
+from ..session import Scratch, materialize
 from .alignment import BN_EPS, BN_MOMENTUM, unit_rows
 from .params import SUM_SCHEMA, Adam, Params, as_chunks, linear_init, shaped, sum_over_tasks
 
@@ -31,8 +31,8 @@ DROPOUT = 0.2
 BLOCK = 1024
 
 NODE = "view int, blk int, m binary"
-STATE = "view int, blk int, h binary, nb binary, deg binary, p binary"
-GRAD = STATE + ", dh binary, loss double"
+STATE = "view int, blk int, h binary, nb binary, deg binary, p binary, sums binary"
+GRAD = "view int, blk int, h binary, nb binary, deg binary, p binary, dh binary, sums binary"
 PART = "view int, blk int, m binary, deg binary, loss double"
 
 
@@ -109,15 +109,7 @@ class _Pass:
     block: int
     cfg: dict
     epoch: int | None = None  # None: inference, nothing is dropped
-    held: list[DataFrame] = field(default_factory=list)
-
-    def keep(self, df: DataFrame) -> DataFrame:
-        self.held.append(df.persist())
-        return df
-
-    def release(self) -> None:
-        for df in self.held:
-            df.unpersist()
+    scratch: Scratch | None = None
 
     def width(self, layer: int) -> int:
         return self.cfg["dim"] if layer == self.n_layers else self.cfg["hidden_dim"]
@@ -233,26 +225,29 @@ def _convolve(run: _Pass, layer: int, h: DataFrame) -> DataFrame:
         nb = _total(parts, "m", hidden, len(m)) / deg
         q = t.model.value
         p = m @ q[f"ws{layer}"] + q[f"bs{layer}"] + nb @ q[f"wn{layer}"] + q[f"bn{layer}"]
-        return r.view, r.blk, r.m, _bytes(nb), _bytes(deg), _bytes(p)
+        sums = np.concatenate([[len(p)], p.sum(0), (p * p).sum(0)])
+        return r.view, r.blk, r.m, _bytes(nb), _bytes(deg), _bytes(p), _bytes(sums)
 
     met = run.edges.join(h.withColumnRenamed("blk", "sb"), "sb")
     return _combine(h, _per_row(met, message, PART), combine, STATE)
 
 
-def _batch_stats(run: _Pass, layer: int, state: DataFrame) -> dict:
-    """Mean and population variance per view, and the number of nodes."""
-    d = run.width(layer)
+def _view_sums(blocks: DataFrame) -> dict[int, np.ndarray]:
+    """The sums of all blocks of a view: one short row per block."""
+    out: dict[int, np.ndarray] = {}
+    for r in blocks.select("view", "sums").collect():
+        out[r["view"]] = out.get(r["view"], 0.0) + np.frombuffer(r["sums"])
+    return out
 
-    def sums(r):
-        p = _rows(r.p, d)
-        yield f"{r.view}", 0, np.concatenate([[len(p)], p.sum(0), (p * p).sum(0)])
 
-    out = {}
-    for view, s in sum_over_tasks(_per_row(state, sums, SUM_SCHEMA), two_levels=False).items():
+def _batch_stats(run: _Pass, layer: int, state: DataFrame) -> dict:
+    """Mean and population variance per view, and the number of nodes."""
+    d, out = run.width(layer), {}
+    for view, s in _view_sums(state).items():
         mean = s[1 : d + 1] / s[0]
-        out[int(view)] = (mean, np.maximum(s[d + 1 :] / s[0] - mean * mean, 0.0))
-        n = s[0]
-    return out | {"n": n}
+        out[view] = (mean, np.maximum(s[d + 1 :] / s[0] - mean * mean, 0.0))
+        out["n"] = s[0]
+    return out
 
 
 def _activated(run: _Pass, layer: int, state: DataFrame, stats: dict) -> DataFrame:
@@ -307,7 +302,7 @@ def _loss_parts(run: _Pass, z: DataFrame, n: int) -> DataFrame:
         return r.view, r.blk, r.m, _bytes(_total(parts, "m", 1, len(_rows(r.m, dim))))
 
     sums = _per_row(_met_blocks(z, n_blocks), exp_sums, PART)
-    known = run.keep(_combine(z, sums, with_total, NODE + ", e binary"))
+    known = run.scratch.keep(_combine(z, sums, with_total, NODE + ", e binary"))
 
     def gradients(r):
         u, o, e = affinity(r)
@@ -323,35 +318,24 @@ def _loss_parts(run: _Pass, z: DataFrame, n: int) -> DataFrame:
 
 
 def _with_gradient(run: _Pass, layer: int, state: DataFrame, stats: dict, parts: DataFrame) -> DataFrame:
-    """GRAD rows: state with the gradient by the layer's output."""
+    """GRAD rows: state with the gradient by the layer's output, and what batch norm needs to sum: loss, dy, dy * x-hat."""
     t, d, last = run.state(), run.width(layer), layer == run.n_layers
 
     def combine(r, parts):
-        out = t.activate(layer, r, stats)[0]
+        out, xhat, _, passed = t.activate(layer, r, stats)
         dh = _total(parts, "m", d, len(out))
         if last:
             norm = np.linalg.norm(out, axis=1, keepdims=True)
             norm = np.where(norm == 0, 1.0, norm)
             u = out / norm
             dh = (dh - u * (u * dh).sum(1, keepdims=True)) / norm
-        return r.view, r.blk, r.h, r.nb, r.deg, r.p, _bytes(dh), float(parts["loss"].sum())
+        dy = dh * passed
+        sums = np.concatenate([[parts["loss"].sum()], dy.sum(0), (dy * xhat).sum(0)])
+        return r.view, r.blk, r.h, r.nb, r.deg, r.p, _bytes(dh), _bytes(sums)
 
     return _combine(state, parts, combine, GRAD)
 
 
-def _norm_sums(run: _Pass, layer: int, grads: DataFrame, stats: dict) -> tuple[dict, float]:
-    """Sums that batch norm needs backwards, per view: (sum dy, sum dy * x-hat); and the loss."""
-    t, d = run.state(), run.width(layer)
-
-    def sums(r):
-        _, xhat, _, passed = t.activate(layer, r, stats)
-        dy = _rows(r.dh, d) * passed
-        yield f"{r.view}", 0, np.concatenate([[r.loss], dy.sum(0), (dy * xhat).sum(0)])
-
-    found = sum_over_tasks(_per_row(grads, sums, SUM_SCHEMA), two_levels=False)
-    return {int(v): (s[1 : d + 1], s[d + 1 :]) for v, s in found.items()}, sum(s[0] for s in found.values())
-
-
 def _dp(t: _Task, layer: int, r, stats: dict, sums: dict):
     """Gradient by the layer's linear output, and the arrays around it."""
     d = t.width(layer)
@@ -416,16 +400,18 @@ def contrastive_gradient(run: _Pass, n: int) -> tuple[Params, float, list[dict]]
     """Gradient, loss and batch statistics per layer of one full-batch contrastive step over two views."""
     h, states, stats = _input_blocks(run, [1, 2]), [], []
     for layer in range(1, run.n_layers + 1):
-        states.append(run.keep(_convolve(run, layer, h)))
+        states.append(run.scratch.keep(_convolve(run, layer, h)))
         stats.append(_batch_stats(run, layer, states[-1]))
         h = _activated(run, layer, states[-1], stats[-1])
 
     parts, flat, pieces, loss = _loss_parts(run, h, n), {}, None, 0.0
     for layer in range(run.n_layers, 0, -1):
         state, st = states[layer - 1], stats[layer - 1]
-        grads = run.keep(_with_gradient(run, layer, state, st, parts))
-        sums, found = _norm_sums(run, layer, grads, st)
-        loss += found
+        grads = run.scratch.keep(_with_gradient(run, layer, state, st, parts))
+        d = run.width(layer)
+        found = _view_sums(grads)
+        sums = {view: (v[1 : d + 1], v[d + 1 :]) for view, v in found.items()}
+        loss += float(sum(v[0] for v in found.values()))
         flat[f"beta{layer}"] = sum(s[0] for s in sums.values())
         flat[f"gamma{layer}"] = sum(s[1] for s in sums.values())
         piece = _weight_grads(run, layer, grads, st, sums)
@@ -451,9 +437,9 @@ def fit_graph_encoder(
     running, adam, losses = init_running(params, cfg["n_layers"]), Adam(cfg["lr"]), []
     for epoch in range(cfg["epochs"]):
         model = sc.broadcast(params)
-        run = _Pass(cells, nodes, model, n_in, cfg["n_layers"], block, cfg, epoch)
+        run = _Pass(cells, nodes, model, n_in, cfg["n_layers"], block, cfg, epoch, Scratch(edges.sparkSession))
         flat, loss, stats = contrastive_gradient(run, n)
-        run.release()
+        run.scratch.release()
         model.destroy()
         params = dict(params)
         adam.step(params, shaped(flat, params))

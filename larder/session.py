@@ -44,3 +44,23 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Written tables that live for one step of a loop."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, "step")
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for p in self.paths:
+            path = jvm.org.apache.hadoop.fs.Path(p)
+            path.getFileSystem(conf).delete(path, True)
+        self.paths = []
