@@ -436,3 +436,18 @@ oracle("provider_verdicts", ["norm", "distance"], """
            CASE WHEN norm_mean BETWEEN 0.95 AND 1.05 THEN 'normalized' ELSE 'not normalized' END AS norm_verdict,
            CASE WHEN dist_std / dist_mean < 0.2 THEN 'clustered' ELSE 'spread' END AS spread_verdict
     FROM norm JOIN distance USING (provider)""")
+
+# ---- whole runs ------------------------------------------------------------------------------------------
+
+oracle("full_etl", ["meta", "map", "txn", "household", "nutrition_wide"], f"""
+    WITH recent AS (SELECT * FROM txn WHERE txn_date >= DATE '{AS_OF}' - INTERVAL 2 YEAR),
+    scored AS (
+      SELECT household_id, attr_id FROM recent JOIN map USING (upc_nbr) GROUP BY ALL
+      HAVING sum(item_qount * p_attr * exp(-(date_diff('day', txn_date,
+               (SELECT max(txn_date) FROM recent JOIN map USING (upc_nbr)))) / 90.0)) > 0.01)
+    SELECT 'attr_meta' AS table_name, count(*) AS row_count FROM meta
+    UNION ALL SELECT 'map_item_attribute', count(*) FROM map
+    UNION ALL SELECT 'hh_item', count(*) FROM recent
+    UNION ALL SELECT 'hh_attr_history', count(*) FROM scored
+    UNION ALL SELECT 'item_nutrition', count(*) FROM nutrition_wide
+    UNION ALL SELECT 'hh_meta', count(*) FROM household""")

@@ -21,6 +21,8 @@ from ..session import materialize, scratch_path
 from ..sources import retail_views as V
 from ..sources import tables as T
 from ..sources import vector_store as S
+from . import pipeline as PL
+from . import providers as PR
 
 AS_OF = "1999-06-30"
 REF_DATE = "1998-01-01"
@@ -522,3 +524,101 @@ def distance_stats(spark, d):
 def provider_verdicts(spark, d):
     tables = C.compare_embeddings(V.provider_vectors(spark, d), [*PROVIDERS, "absent"])
     return rounded(tables["verdicts"], 5, "norm_mean", "spread")
+
+
+# ---- trained models: few epochs over the whole tables; no SQL equivalent -------------------------------------
+
+@query
+def cooc_ae_item(spark, d):
+    provider = PR.CooccurrenceProvider({"source": "item", "epochs": 3})
+    provider.fit({"map_item_attribute": _map(spark, d)})
+    return provider.vectors()
+
+
+@query
+def cooc_ae_hh(spark, d):
+    provider = PR.CooccurrenceProvider({"source": "household", "epochs": 3, "pmi_shift": 0.0})
+    provider.fit({"hh_attr_history": materialize(_history(spark, d))})
+    return provider.vectors()
+
+
+def _graph_inputs(spark, d):
+    items = V.items(spark, d)
+    item_attrs, history = _map_and_history(spark, d)
+    return {
+        "attr_meta": materialize(A.build_attr_meta(items)), "map_item_attribute": item_attrs,
+        "hh_attr_history": history, "item_nutrition": materialize(N.build_item_nutrition(items)),
+    }
+
+
+@query
+def gcl_embed(spark, d):
+    provider = PR.GraphProvider({"epochs": 1})
+    provider.fit(_graph_inputs(spark, d))
+    return provider.vectors()
+
+
+@query
+def graph_encode(spark, d):
+    """The encoder with its starting weights."""
+    provider = PR.GraphProvider({"epochs": 0})
+    provider.fit(_graph_inputs(spark, d))
+    return provider.vectors()
+
+
+@query
+def align_train(spark, d):
+    return AL.train_alignment(*_sampled(spark, d), {"epochs": 2})["history"]
+
+
+@query
+def train_history(spark, d):
+    """History and metrics as written by a run, read back."""
+    result = AL.train_alignment(*_sampled(spark, d), {"epochs": 2})
+    out = scratch_path(spark, "training")
+    AL.write_training(result, f"{out}/history", f"{out}/metrics")
+    history = spark.read.option("header", True).schema(
+        "epoch int, train_loss double, val_loss double, val_acc double"
+    ).csv(f"{out}/history")
+    metrics = spark.read.schema("best_val_loss double, final_val_acc double").json(f"{out}/metrics")
+    return history.withColumn("best_val_loss", metrics.select("best_val_loss").scalar())
+
+
+def _etl(spark, d):
+    root = scratch_path(spark, "etl")
+    counts = PL.run_etl(V.items(spark, d), V.transactions(spark, d), V.households(spark, d), root, as_of=AS_OF)
+    return root, counts
+
+
+@query
+def full_etl(spark, d):
+    return _etl(spark, d)[1]
+
+
+@query
+def run_providers(spark, d):
+    """The vectors of two providers in one store."""
+    root, _ = _etl(spark, d)
+    specs = [
+        {"name": "cooc_ae_item", "model_version": "a1", "config": {"source": "item", "epochs": 2}},
+        {"name": "cooc_ae_hh", "model_version": "a1", "config": {"source": "household", "epochs": 2}},
+    ]
+    PR.run_all_providers(spark, root, f"{root}/attr_embeddings", specs)
+    return S.latest_vectors(S.read_store(spark, f"{root}/attr_embeddings")).select("provider", "attr_id", "dim")
+
+
+@query
+def pipeline(spark, d):
+    """All steps; one row per scored side."""
+    specs = [
+        {"name": "cooc_ae_item", "model_version": "a1", "config": {"source": "item", "epochs": 2}},
+        {"name": "cooc_ae_hh", "model_version": "a1", "config": {"source": "household", "epochs": 2}},
+        {"name": "gcl", "model_version": "a1", "config": {"epochs": 1}},
+    ]
+    out = PL.run_pipeline(
+        V.items(spark, d), V.transactions(spark, d), V.households(spark, d), V.item_vectors(spark, d),
+        scratch_path(spark, "pipeline"), specs, {"epochs": 1}, as_of=AS_OF, top_k=10,
+    )
+    return out["items"].withColumn("side", F.lit("item")).unionByName(
+        out["households"].withColumn("side", F.lit("household"))
+    )
