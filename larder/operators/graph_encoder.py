@@ -26,8 +26,8 @@ from .params import SUM_SCHEMA, Adam, Params, as_chunks, linear_init, shaped, su
 GRAPH_DEFAULTS = {
     "dim": 64, "hidden_dim": 128, "n_layers": 3, "drop_edge_prob": 0.2, "drop_feat_prob": 0.1,
     "temperature": 0.5, "epochs": 100, "lr": 0.001, "use_household_edges": True, "min_cooccur": 3, "seed": 42,
+    "dropout": 0.2,
 }
-DROPOUT = 0.2
 BLOCK = 1024
 
 NODE = "view int, blk int, m binary"
@@ -160,7 +160,7 @@ class _Task(_Pass):
             passed = (y > 0).astype(float)
             if self.epoch is not None:
                 drawn = self.rng(3, layer, r.view, r.blk).random(y.shape)
-                passed *= (drawn >= DROPOUT) / (1 - DROPOUT)
+                passed *= (drawn >= self.cfg["dropout"]) / (1 - self.cfg["dropout"])
         out = y * passed
         return (h + out if h.shape == out.shape else out), xhat, inv, passed
 
