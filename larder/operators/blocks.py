@@ -73,14 +73,22 @@ def block_product(
 
         return left.select("id", "vector").mapInArrow(against_all, schema), True
 
+    # Every left pack meets every right block. Right blocks are copied `salts` times, so that
+    # the packs of one block spread over that many tasks.
     n_left = left.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    blocks, packs = math.ceil(n_right / RIGHT_BLOCK), max(1, math.ceil(n_left / LEFT_PACK))
+    blocks, packs = max(1, math.ceil(n_right / RIGHT_BLOCK)), max(1, math.ceil(n_left / LEFT_PACK))
+    salts = max(1, math.ceil(min(packs, spark.sparkContext.defaultParallelism) / blocks))
     rows = F.array_sort(F.collect_list(F.struct("id", "vector")))
-    right_blocks = right.groupBy(F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block")).agg(rows.alias("r"))
-    left_packs = left.groupBy(F.pmod(F.xxhash64("id"), F.lit(packs)).alias("pack")).agg(rows.alias("l"))
-    met = left_packs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("bigint")).join(
-        right_blocks, "block"
+    right_blocks = (
+        right.groupBy(F.expr(f"pmod(xxhash64(id), {blocks})").alias("block")).agg(rows.alias("r"))
+        .withColumn("salt", F.expr(f"explode(sequence(0L, {salts} - 1L))"))
     )
+    left_packs = (
+        left.groupBy(F.expr(f"pmod(xxhash64(id), {packs})").alias("pack")).agg(rows.alias("l"))
+        .withColumn("salt", F.expr(f"pack % {salts}"))
+        .withColumn("block", F.expr(f"explode(sequence(0L, {blocks} - 1L))"))
+    )
+    met = left_packs.join(right_blocks, ["block", "salt"])
 
     def against_block(batches):
         for batch in batches:
