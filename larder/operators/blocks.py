@@ -103,10 +103,14 @@ def block_product(
 
 
 def best_k(k: int, skip_self: bool = False, digits: int = 12) -> Kernel:
-    """Kernel: the k largest dot products per left id; ties by right id. Scores are rounded so that equal pairs tie."""
+    """Kernel: the k largest dot products per left id; ties by right id.
+
+    The order is by rounded scores, so that equal pairs tie whatever block they were in; scores come out unrounded.
+    """
 
     def kernel(ids, left, right_ids, right):
-        scores = np.round(left @ right.T, digits)
+        raw = left @ right.T
+        scores = np.round(raw, digits)
         if skip_self:
             at = np.minimum(np.searchsorted(right_ids.astype(str), ids.astype(str)), len(right_ids) - 1)
             same = np.flatnonzero(right_ids[at] == ids)
@@ -125,7 +129,7 @@ def best_k(k: int, skip_self: bool = False, digits: int = 12) -> Kernel:
         keep = (rank <= k) & np.isfinite(values)
         return pd.DataFrame({
             "id": ids[rows[keep]], "other": right_ids[cols[keep]],
-            "score": values[keep], "rank": rank[keep].astype(np.int32),
+            "score": raw[rows[keep], cols[keep]], "rank": rank[keep].astype(np.int32),
         })
 
     return kernel
