@@ -15,9 +15,16 @@ LIST_REPAIRS = [
 ]
 
 
+# The characters that count as white space.
+WHITE_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008"
+    "\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip_space(e: str) -> str:
-    """Remove leading and trailing white space of any kind (trim() removes blanks only)."""
-    return rf"regexp_replace({e}, r'(?U)^\s+|\s+$', '')"
+    """Remove leading and trailing white space of any kind (plain trim() removes blanks only)."""
+    return f"trim(BOTH '{WHITE_SPACE}' FROM {e})"
 
 
 def slug(prefix: str, e: str) -> str:
@@ -39,6 +46,7 @@ def with_nutrition_pairs(items: DataFrame, column: str = "nutrition_nm", out: st
     text = F.col(column)
     for pattern, repl in LIST_REPAIRS:
         text = F.regexp_replace(text, pattern, repl)
+    plain = ~(F.contains(F.col(column), F.lit("(")) | F.contains(F.col(column), F.lit("None")))
     name = f"lower({strip_space('get(e, 0)')})"
     value = "nullif(try_cast(get(e, 1) AS double), double('NaN'))"
     pairs = f"""
@@ -47,7 +55,7 @@ def with_nutrition_pairs(items: DataFrame, column: str = "nutrition_nm", out: st
              ELSE transform(_rows, e -> named_struct('name', {name}, 'value', {value})) END"""
     last = f"filter({out}, (e, i) -> NOT exists(slice({out}, i + 2, size({out})), x -> x.name = e.name))"
     return (
-        items.withColumn("_rows", F.from_json(text, "array<array<string>>"))
+        items.withColumn("_rows", F.from_json(F.when(plain, F.col(column)).otherwise(text), "array<array<string>>"))
         .withColumn(out, F.expr(pairs))
         .withColumn(out, F.expr(last))
         .drop("_rows")

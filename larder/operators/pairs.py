@@ -11,9 +11,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 WIDE = 4000
 KEY_BLOCKS = 32
 TILE = 2048
@@ -164,26 +166,44 @@ def pair_sums(
 ) -> DataFrame:
     """(src, dst, w) with src < dst and w = sum over groups of value_src * value_dst.
 
-    Null groups and keys are dropped; a key counts once per group.
+    Null groups and keys are dropped; a key counts once per group. Groups are counted
+    first, so pass a written table.
     """
-    unique = (
-        rows.where(F.col(group).isNotNull() & F.col(key).isNotNull())
-        .select(F.col(group).cast("string").alias("grp"), F.col(key).cast("string").alias("key"), value.alias("val"))
-        .repartition("grp")
-        .groupBy("grp", "key")
-        .agg(F.max("val").cast("double").alias("val"))
+    named = rows.where(F.col(group).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(group).cast("string").alias("grp"), F.col(key).cast("string").alias("key"), value.alias("val")
+    )
+    wide_groups = materialize(named.groupBy("grp").count().where(F.col("count") > wide).select("grp"))
+    if wide_groups.isEmpty():
+        sums = _narrow(named)
+    else:
+        sums = _narrow(named.join(wide_groups, "grp", "left_anti")).unionByName(
+            _wide(named.join(wide_groups, "grp", "left_semi"), key_blocks)
+        )
+    return sums.groupBy("src", "dst").agg(F.sum("w").alias("w"))
+
+
+def _narrow(rows: DataFrame) -> DataFrame:
+    """Whole groups side by side: one shuffle, then the sums of each task."""
+    return (
+        rows.repartition("grp")
+        .groupBy("grp", "key").agg(F.max("val").cast("double").alias("val"))
+        .sortWithinPartitions("grp")
+        .mapInPandas(_within_groups, SCHEMA)
     )
-    sized = unique.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("grp")))
-    narrow = sized.where(F.col("n").between(2, wide)).drop("n").mapInPandas(_within_groups, SCHEMA)
-
-    block = F.pmod(F.xxhash64("key"), F.lit(key_blocks)).cast("int")
-    wide_rows = (
-        sized.where(F.col("n") > wide)
-        .withColumn("block", block)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(key_blocks - 1))))
-        .select("grp", "key", "val", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+
+
+def _wide(rows: DataFrame, key_blocks: int) -> DataFrame:
+    """Pairs of key blocks as units, shuffled by block pair and a hash of the group."""
+    other = F.explode(F.sequence(F.lit(0), F.lit(key_blocks - 1)))
+    return (
+        rows.groupBy("grp", "key").agg(F.max("val").cast("double").alias("val"))
+        .withColumn("block", F.pmod(F.xxhash64("key"), F.lit(key_blocks)).cast("int"))
+        .withColumn("other", other)
+        .select(
+            "grp", "key", "val", "block",
+            F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+        )
         .repartition("lo", "hi", F.pmod(F.xxhash64("grp"), F.lit(64)))
         .sortWithinPartitions("lo", "hi", "grp")
         .mapInPandas(_between_blocks, SCHEMA)
     )
-    return narrow.unionByName(wide_rows).groupBy("src", "dst").agg(F.sum("w").alias("w"))

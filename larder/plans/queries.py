@@ -173,7 +173,7 @@ def cooc_item(spark, d):
 
 @query
 def cooc_household(spark, d):
-    return rounded(CO.household_cooccurrence(_history(spark, d)), 4, "w")
+    return rounded(CO.household_cooccurrence(_map_and_history(spark, d)[1]), 4, "w")
 
 
 @query
@@ -196,7 +196,7 @@ def sppmi_item(spark, d):
 
 @query
 def sppmi_household(spark, d):
-    return rounded(CO.sppmi(materialize(CO.mirror(CO.household_cooccurrence(_history(spark, d)))), 0.0), 6, "w")
+    return rounded(CO.sppmi(materialize(CO.mirror(CO.household_cooccurrence(_map_and_history(spark, d)[1]))), 0.0), 6, "w")
 
 
 # ---- graph -----------------------------------------------------------------------
@@ -538,7 +538,7 @@ def cooc_ae_item(spark, d):
 @query
 def cooc_ae_hh(spark, d):
     provider = PR.CooccurrenceProvider({"source": "household", "epochs": 3, "pmi_shift": 0.0})
-    provider.fit({"hh_attr_history": materialize(_history(spark, d))})
+    provider.fit({"hh_attr_history": _map_and_history(spark, d)[1]})
     return provider.vectors()
 
 
