@@ -608,7 +608,7 @@ def run_providers(spark, d):
 
 
 @query
-def pipeline(spark, d):
+def retail_pipeline(spark, d):
     """All steps; one row per scored side."""
     specs = [
         {"name": "cooc_ae_item", "model_version": "a1", "config": {"source": "item", "epochs": 2}},
