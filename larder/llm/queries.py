@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import packing, sharding
+from larder.llm import fingerprint, packing, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +27,16 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op4_token_files(spark, sf_dir):
+    return token_files.read(token_files.write(documents(spark, sf_dir), vocabulary()))
+
+
+@query
+def op5_fingerprint(spark, sf_dir):
+    return fingerprint.compare_with_next(documents(spark, sf_dir))
+
+
 @query
 def op9_sharding(spark, sf_dir):
     return sharding.place(documents(spark, sf_dir).select("doc_id"), SHARDS)
