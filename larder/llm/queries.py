@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import fingerprint, packing, sharding, token_files
+from larder.llm import fingerprint, packing, secrets, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +27,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op3_secrets(spark, sf_dir):
+    return secrets.scan(documents(spark, sf_dir))
+
+
 @query
 def op4_token_files(spark, sf_dir):
     return token_files.read(token_files.write(documents(spark, sf_dir), vocabulary()))
