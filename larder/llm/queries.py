@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import fingerprint, packing, secrets, sharding, token_files
+from larder.llm import decontaminate, fingerprint, language, packing, secrets, sharding, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -42,6 +42,17 @@ def op5_fingerprint(spark, sf_dir):
     return fingerprint.compare_with_next(documents(spark, sf_dir))
 
 
+@query
+def op7_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return language.predict(docs, language.train(docs))
+
+
+@query
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.contaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query
 def op9_sharding(spark, sf_dir):
     return sharding.place(documents(spark, sf_dir).select("doc_id"), SHARDS)
