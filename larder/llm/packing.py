@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.llm.tokens import Encoder
+from larder.llm.tokens import shared_encoder
 from larder.llm.words import text_column
 from larder.session import materialize
 
@@ -36,7 +36,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end
     """doc_id, piece, start, length, ids_crc32 of each piece of each document."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary)
+        encoder = shared_encoder(vocabulary)
         for batch in batches:
             ids_of = batch.column(0)
             for first, counts, ids in encoder.ids(text_column(batch, "text")):

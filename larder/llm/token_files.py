@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm import ranges
-from larder.llm.tokens import Encoder
+from larder.llm.tokens import shared_encoder
 from larder.llm.words import text_column
 from larder.session import materialize
 
@@ -125,7 +125,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int = END_ID, block_tokens:
     cuts = ranges.cut_points(docs, buckets)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, held, size, bucket, block = Encoder(vocabulary), [], 0, None, 0
+        encoder, held, size, bucket, block = shared_encoder(vocabulary), [], 0, None, 0
 
         def flush() -> pa.RecordBatch:
             nonlocal held, size, block

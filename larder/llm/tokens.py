@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,7 @@ import pyarrow as pa
 from larder.llm.words import LOWER, SLICE_BYTES, U64, Words, raw, slices
 
 KNOWN_PIECES = 1 << 20
+SLOTS = 1 << 20
 BATCH = 4096
 # Kinds of bytes: 0 separator, 1 ASCII letter, 2 digit, 3 other ASCII, 4 part of a character beyond ASCII.
 KIND = np.full(256, 3, np.uint8)
@@ -29,6 +31,12 @@ KIND[128:] = 4
 KIND[:9] = KIND[14:32] = KIND[127] = 4  # controls: whether they are white space is left to the tokenizer
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str) -> Encoder:
+    """One encoder for all tasks of a worker process, with the pieces it has learnt."""
+    return Encoder(path)
+
+
 class Encoder:
     """`ids(col)` yields, slice by slice, the ids of the texts of an Arrow column: (first text, counts, ids)."""
 
@@ -42,6 +50,8 @@ class Encoder:
 
     def _forget(self) -> None:
         self.key, self.at, self.count, self.pool = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        # A direct-mapped cache over the sorted keys: the piece that a slot was last used for.
+        self.slot_key, self.slot_at, self.slot_count = np.zeros(SLOTS, U64), np.zeros(SLOTS, np.int32), np.zeros(SLOTS, np.int32)
 
     def whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
@@ -60,8 +70,7 @@ class Encoder:
                 if b"<|" in one:
                     odd[k] = self.whole(one.decode())
         pieces = Pieces(body, off)
-        where = self._look_up(pieces)
-        count, start = self.count[where], self.at[where]
+        start, count = self._look_up(pieces)
         total = int(count.sum())
         begin = np.cumsum(count) - count
         flat = self.pool[np.repeat(start - begin, count) + np.arange(total)]
@@ -72,26 +81,39 @@ class Encoder:
         parts = [odd.get(k, flat[bounds[k] : bounds[k + 1]]) for k in range(len(off) - 1)]
         return np.array([len(p) for p in parts], np.int64), np.concatenate(parts)
 
-    def _look_up(self, pieces: Pieces) -> np.ndarray:
-        if len(self.key) > KNOWN_PIECES:
+    def _look_up(self, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
+        """Where each piece's ids start in the pool, and their count."""
+        if len(self.key) > KNOWN_PIECES or len(self.pool) > 1 << 30:
             self._forget()
-        key, place, back = np.unique(pieces.hashes(lower=True), return_index=True, return_inverse=True)
+        h = pieces.hashes(lower=True)
+        h[h == 0] = 1  # 0 is an empty slot
+        slot = (h & U64(SLOTS - 1)).astype(np.int32)
+        start, count = self.slot_at[slot], self.slot_count[slot]
+        miss = np.flatnonzero(self.slot_key[slot] != h)
+        if len(miss):
+            key, place, back = np.unique(h[miss], return_index=True, return_inverse=True)
+            self._learn(pieces, key, miss[place])
+            at = np.searchsorted(self.key, key)
+            start[miss], count[miss] = self.at[at][back], self.count[at][back]
+            used = slot[miss[place]]
+            self.slot_key[used], self.slot_at[used], self.slot_count[used] = key, self.at[at], self.count[at]
+        return start, count
+
+    def _learn(self, pieces: Pieces, key: np.ndarray, place: np.ndarray) -> None:
+        """Encode those of the sorted keys that are new; place: a piece of each."""
         at = np.searchsorted(self.key, key)
         new = at == len(self.key)
         new[~new] = self.key[at[~new]] != key[~new]
-        if new.any():
-            low = LOWER[pieces.body].tobytes()
-            text = [low[s:e].decode() for s, e in zip(pieces.start[place[new]].tolist(), pieces.end[place[new]].tolist(), strict=True)]
-            ids, count = self._encode(text)
-            begin = np.cumsum(count) - count + len(self.pool)
-            self.pool = np.concatenate([self.pool, ids])
-            merged = np.concatenate([self.key, key[new]])
-            order = np.argsort(merged, kind="stable")
-            self.key = merged[order]
-            self.at = np.concatenate([self.at, begin])[order]
-            self.count = np.concatenate([self.count, count])[order]
-            at = np.searchsorted(self.key, key)
-        return at[back]
+        if not new.any():
+            return
+        low = LOWER[pieces.body].tobytes()
+        text = [low[s:e].decode() for s, e in zip(pieces.start[place[new]].tolist(), pieces.end[place[new]].tolist(), strict=True)]
+        ids, count = self._encode(text)
+        begin = np.cumsum(count) - count + len(self.pool)
+        self.pool = np.concatenate([self.pool, ids])
+        self.key = np.insert(self.key, at[new], key[new])
+        self.at = np.insert(self.at, at[new], begin)
+        self.count = np.insert(self.count, at[new], count)
 
     def _encode(self, text: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row and their counts; texts are joined by spaces, at which the tokenizer cuts."""
@@ -114,25 +136,17 @@ class Pieces(Words):
     """Words cut further between ASCII characters of different kind."""
 
     def __init__(self, body: np.ndarray, off: np.ndarray):
-        super().__init__(body, off)
         kind = KIND[body]
         left, right = kind[:-1], kind[1:]
-        cut = (left != right) | (left == 2)
-        cut &= (left > 0) & (right > 0) & (left < 4) & (right < 4)
+        cut = np.zeros(len(body), bool)
+        cut[1:] = ((left != right) | (left == 2)) & (left < 4) & (right < 4)
         if (body == 39).any():
-            word = np.zeros(len(body) + 1, np.int32)
-            np.add.at(word, self.start, 1)
-            word = np.cumsum(word[:-1]) - 1
-            quoted = np.zeros(len(self.start), bool)
-            quoted[word[np.flatnonzero(body == 39)]] = True
-            cut &= ~quoted[word[:-1]]
-        more = np.flatnonzero(cut) + 1
-        edge = np.zeros(len(body) + 1, bool)
-        edge[off] = True
-        more = more[~edge[more]]
-        self.start = np.sort(np.concatenate([self.start, more]))
-        self.end = np.sort(np.concatenate([self.end, more]))
-        self.first = np.searchsorted(self.start, off)
+            words = Words(body, off)
+            quoted = np.zeros(len(words.start), bool)
+            quoted[np.searchsorted(words.start, np.flatnonzero(body == 39), "right") - 1] = True
+            for s, e in zip(words.start[quoted].tolist(), words.end[quoted].tolist(), strict=True):
+                cut[s + 1 : e] = False
+        super().__init__(body, off, kind > 0, cut)
 
 
 def crc(ids: np.ndarray) -> int:

@@ -48,11 +48,12 @@ class _Table:
         return self.values[:count]
 
 
-_BYTE_BASE = _Table(0x9E3779B97F4A7C15)
+_BYTE_UP, _BYTE_DOWN = (_Table(b) for b in (0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)))
 _BASES = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 _UP = [_Table(b) for b in _BASES]
 _DOWN = [_Table(pow(b, -1, 1 << 64)) for b in _BASES]
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=U64) * U64(0x9E3779B97F4A7C15))
+_LOWER_VALUE = _BYTE_VALUE[LOWER]
 
 
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
@@ -82,36 +83,34 @@ def slices(off: np.ndarray, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
 
 
 class Words:
-    """The words of a slice of texts: `start` and `end` (bytes), `first` (word index at which each text starts)."""
+    """The words of a slice of texts: `start` and `end` (bytes), `first` (word index at which each text starts).
 
-    def __init__(self, body: np.ndarray, off: np.ndarray, inside: np.ndarray | None = None):
+    `cut` marks bytes before which a word ends even though it goes on.
+    """
+
+    def __init__(self, body: np.ndarray, off: np.ndarray, inside: np.ndarray | None = None, cut: np.ndarray | None = None):
         self.body, self.off = body, off
         inside = ~SEPARATOR[body] if inside is None else inside
-        edge = np.zeros(len(body) + 1, bool)
-        edge[off] = True
-        before = np.empty(len(body), bool)
-        before[:1] = False
-        before[1:] = inside[:-1]
-        self.start = np.flatnonzero(inside & (~before | edge[:-1]))
-        after = np.empty(len(body), bool)
-        after[-1:] = False
-        after[:-1] = inside[1:]
-        self.end = np.flatnonzero(inside & (~after | edge[1:])) + 1
+        fresh = np.ones(len(body) + 1, bool)  # no word goes on from the byte before
+        fresh[1:-1] = ~inside[:-1]
+        fresh[off] = True
+        if cut is not None:
+            fresh[:-1] |= cut
+        self.start = np.flatnonzero(inside & fresh[:-1])
+        last = inside.copy()
+        last[:-1] &= fresh[1:-1] | ~inside[1:]
+        self.end = np.flatnonzero(last) + 1
         self.first = np.searchsorted(self.start, off)
-        self.inside = inside
 
     def hashes(self, lower: bool = False) -> np.ndarray:
         if not len(self.start):
             return np.zeros(0, U64)
-        body = LOWER[self.body] if lower else self.body
-        value = _BYTE_VALUE[body]
-        value[~self.inside] = 0
-        length = self.end - self.start
-        gap = np.diff(np.append(self.start, len(body)))
-        place = np.arange(self.start[0], len(body), dtype=np.int64) - np.repeat(self.start, gap)
-        np.minimum(place, length.max() - 1, out=place)  # separators after a word count nothing
-        value = value[self.start[0] :] * _BYTE_BASE.upto(int(length.max()))[place]
-        return mix(np.add.reduceat(value, self.start - self.start[0]) + length.astype(U64))
+        value = (_LOWER_VALUE if lower else _BYTE_VALUE)[self.body]
+        value *= _BYTE_UP.upto(len(value))
+        total = np.zeros(len(value) + 1, U64)
+        np.cumsum(value, out=total[1:])
+        length = (self.end - self.start).astype(U64)
+        return mix((total[self.end] - total[self.start]) * _BYTE_DOWN.upto(len(value))[self.start] + length)
 
     def text_of(self) -> np.ndarray:
         """The text (0, 1, ...) of each word."""
