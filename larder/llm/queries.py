@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, fingerprint, language, packing, secrets, sharding, token_files
+from larder.llm import decontaminate, fingerprint, language, packing, secrets, sharding, substring_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +28,25 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op2_substring_dedup"] = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+     s AS (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS i FROM w WHERE len(words) >= 50),
+     k AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS key FROM s),
+     f AS (SELECT key, min(doc_id) AS first FROM k GROUP BY key),
+     r AS (SELECT DISTINCT k.doc_id, unnest(range(i, i + 50)) AS p FROM k JOIN f USING (key) WHERE k.doc_id > f.first),
+     g AS (SELECT doc_id, list(p) AS gone FROM r GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(words, lambda x, p: gone IS NULL OR NOT list_contains(gone, p)), ' '), '')) AS kept_sha256
+FROM w LEFT JOIN g USING (doc_id)
+"""
+
+
 @query
 def op3_secrets(spark, sf_dir):
     return secrets.scan(documents(spark, sf_dir))
