@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, fingerprint, language, ngram_join, packing, secrets, sharding, substring_dedup, token_files
+from larder.llm import decontaminate, fingerprint, html_blocks, language, ngram_join, packing, secrets, sharding, substring_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,6 +28,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_html(spark, sf_dir):
+    return html_blocks.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 @query
 def op2_substring_dedup(spark, sf_dir):
     kept = substring_dedup.remove_repeats(documents(spark, sf_dir))
