@@ -46,4 +46,7 @@ PAGES = [
     f"""<body><p>Coast blog</p><p><a href="/x">About us</a></p><p data-main>{_MID}</p><p data-main>{_SOME}</p><p data-main>{_ONE}</p><p data-main>{_MID}</p><p data-main>{_SOME}</p>
     <p><a href="/next">Next</a></p><p>Terms of use</p></body>""",
     f"""<body><p><a href="/x">Coast blog</a></p><p data-main>{_ONE}</p><p data-main>{_ONE}</p><p data-main>{_SOME}</p><p data-main>{_ONE}</p><p>{_SHORT}</p><p><a href="/y">{_SOME}</a></p></body>""",
+    # Teasers: long texts that are links.
+    f"""<body><div><a href="/1">{_ONE}</a></div><div><a href="/2">{_LONG}</a></div><div><a href="/3">{_SOME}</a> {_SHORT}</div><p data-main>{_SOME}</p><p data-main>{_LONG}</p>
+    <p data-main>{_ONE}</p><div><a href="/4">{_ONE}</a></div><div><a href="/5">{_SOME}</a></div><div><a href="/6">{_LONG}</a></div></body>""",
 ]

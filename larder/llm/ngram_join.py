@@ -388,6 +388,6 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs`, all columns, without those that are linked to a smaller doc_id."""
+    """The rows of `docs`, all columns, without those that are linked to a smaller doc_id (rows without an id stay)."""
     gone = near_duplicates(docs, percent).filter("component_id < doc_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
