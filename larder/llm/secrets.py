@@ -5,7 +5,7 @@ more characters of the usual encodings that holds a letter and a digit is a cand
 characters it uses, and three statistics are taken of its symbols under the hypothesis that they are drawn uniformly from
 that encoding's alphabet:
 
-* chi-squared of the symbol counts (as a normal deviate by the Wilson-Hilferty cube root),
+* chi-squared of the symbol counts, in as many equal cells of the alphabet as the length can fill (as a normal deviate by the Wilson-Hilferty cube root),
 * the number of runs of symbols in the lower and the upper half of the alphabet,
 * the serial correlation of neighbouring symbols.
 
@@ -37,6 +37,7 @@ ALPHABETS = {"base16": "0123456789abcdef", "base32": UPPER + "234567", "base36":
              "base62": DIGITS + UPPER + LOWER, "base64": UPPER + LOWER + DIGITS + "+/"}
 BANDS = [24, 32, 48, 64, 128]  # a band starts at each of these lengths
 LEVEL = 0.05
+PER_CELL = 4  # symbols that a cell of the chi-squared table expects at least
 STEPS = 512  # p-values are counted in steps of 1 / STEPS of their logarithm's range
 LEAST_LOG = -40.0
 MASK = "[SECRET]"
@@ -103,10 +104,16 @@ def p_value(run: Column) -> Column:
     def tests(x: Column) -> Column:
         symbols, k = x["symbols"], x["k"]
         n = F.size(symbols).cast("double")
-        square = F.aggregate(F.array_distinct(symbols), F.lit(0.0),
-                             lambda a, s: a + F.pow(F.size(F.filter(symbols, lambda y: y == s)).cast("double"), 2.0))
-        free = k - 1
-        chi = F.greatest(square * k / n - n, F.lit(0.0))
+        cells = F.least(k, F.greatest(F.lit(2.0), F.floor(n / PER_CELL).cast("double")))
+        cell = F.transform(symbols, lambda v: F.floor(v * cells / k).cast("int"))
+
+        def share(c: Column) -> Column:
+            return (F.ceil((c + 1) * k / cells) - F.ceil(c * k / cells)) / k
+
+        square = F.aggregate(F.array_distinct(cell), F.lit(0.0),
+                             lambda a, c: a + F.pow(F.size(F.filter(cell, lambda y: y == c)).cast("double"), 2.0) / share(c))
+        free = cells - 1
+        chi = F.greatest(square / n - n, F.lit(0.0))
         z1 = (F.pow(chi / free, 1.0 / 3) - (1 - 2 / (9 * free))) / F.sqrt(2 / (9 * free))
         pairs = F.arrays_zip(F.slice(symbols, F.lit(1), F.size(symbols) - 1).alias("a"),
                              F.slice(symbols, F.lit(2), F.size(symbols) - 1).alias("b"))
