@@ -4,7 +4,6 @@ import copy
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +71,7 @@ ALIGN_DEFAULTS = {
     "train_ratio": 0.8, "batch_size": 256, "negatives_per_pos": 5, "hidden_dim": 128,
     "output_dim": 64, "dropout": 0.2, "epochs": 10, "lr": 0.001, "seed": 42,
 }
+SHARD_ROWS = 16_384
 START_TEMPERATURE = 0.07
 BN_MOMENTUM = 0.1
 
@@ -138,14 +138,16 @@ def train_gradient(params: Params, item, pos, neg, keep_pos, keep_neg):
     return grads, float(loss.mean()), [(mean_p, var_p, n), (mean_q, var_q, n * k)]
 
 
-def _expanded(batch: pa.RecordBatch, attrs: np.ndarray | None, k: int):
+def _expanded(batch: pa.RecordBatch | pa.Table, attrs: np.ndarray | None, k: int):
     """(item vectors, positive vectors, negative vectors) of a batch of training rows."""
     items = to_matrix(batch.column("vector"))
     if attrs is None:
-        return items, to_matrix(batch.column("pos_vector")), to_matrix(pa.ListArray.flatten(batch.column("neg_vectors")))
-    counts = np.diff(batch.column("pos").offsets.to_numpy())
-    pos, neg = batch.column("pos").flatten().to_numpy(), batch.column("neg").flatten().to_numpy()
-    return np.repeat(items, counts, axis=0), attrs[pos], attrs[neg]
+        negatives = batch.column("neg_vectors")
+        negatives = negatives.combine_chunks() if isinstance(negatives, pa.ChunkedArray) else negatives
+        return items, to_matrix(batch.column("pos_vector")), to_matrix(pa.ListArray.flatten(negatives))
+    pos, neg = (c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in map(batch.column, ("pos", "neg")))
+    counts = np.diff(pos.offsets.to_numpy())
+    return np.repeat(items, counts, axis=0), attrs[pos.flatten().to_numpy()], attrs[neg.flatten().to_numpy()]
 
 
 def training_rows(profiles: DataFrame, attr_vectors: DataFrame, k: int, seed: int, epoch: int, indexed: bool) -> DataFrame:
@@ -157,53 +159,63 @@ def training_rows(profiles: DataFrame, attr_vectors: DataFrame, k: int, seed: in
     draws = uniform_draws(k, seed, epoch)
     if indexed:
         negs = F.expr(f"flatten(transform(profile, p -> {draws}))")
-        return profiles.select("vector", F.expr("profile.idx").alias("pos"), negs.alias("neg"))
+        return profiles.select("item_id", "vector", F.expr("profile.idx").alias("pos"), negs.alias("neg"))
     triples = profiles.select(
         "item_id", F.expr(f"inline(transform(profile, p -> struct(p.idx AS pos_attr, {draws} AS neg_attrs)))")
     )
     joined = attach_vectors(triples, profiles, attr_vectors.select(F.col("idx").alias("attr_id"), "vector"))
-    return joined.select(F.col("item_vector").alias("vector"), "pos_vector", "neg_vectors")
+    return joined.select("item_id", "pos_attr", F.col("item_vector").alias("vector"), "pos_vector", "neg_vectors")
+
+
+def _row_order(table: pa.Table, indexed: bool) -> np.ndarray:
+    """The order of the table's training rows by item and attribute number, however they arrived."""
+    items = table.column("item_id").to_numpy(zero_copy_only=False).astype(str)
+    if not indexed:
+        return np.lexsort((table.column("pos_attr").to_numpy(), items))
+    pos = table.column("pos").combine_chunks()
+    pos = pos.combine_chunks() if isinstance(pos, pa.ChunkedArray) else pos
+    return np.lexsort((pos.flatten().to_numpy(), np.repeat(items, np.diff(pos.offsets.to_numpy()))))
 
 
 def train_epoch(
-    rows: DataFrame, attrs, params: Params, adam: Adam, cfg: dict, epoch: int
+    rows: DataFrame, attrs, params: Params, adam: Adam, cfg: dict, epoch: int, shards: int = 1
 ) -> tuple[Params, Adam, float]:
-    """One epoch: each task runs mini-batch Adam on its rows from the shared start, then models and
-    optimizer states are averaged by row count. With one task this is plain mini-batch training."""
+    """One epoch: each shard of items runs mini-batch Adam on its rows from the shared start, then models and optimizer
+    states are averaged by row count.
+
+    Shards are hashes of the item, their rows are put in order and their seeds come from the shard, so that neither the
+    number of tasks or cores nor the way the vectors arrive shapes the result. With one shard this is plain mini-batch
+    training.
+    """
     handle = rows.sparkSession.sparkContext.broadcast((params, adam))
     trained = [n for n in params if n not in ("mean", "var")]
 
-    def local_sgd(batches):
+    def local_sgd(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         model, opt = copy.deepcopy(handle.value)
-        rng = np.random.default_rng([cfg["seed"], epoch, TaskContext.get().partitionId()])
-        matrix = None if attrs is None else attrs.value
+        rng = np.random.default_rng([cfg["seed"], epoch, key[0].as_py()])
         k, keep_p = cfg["negatives_per_pos"], 1 - cfg["dropout"]
-        seen, loss_sum = 0, 0.0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            item, pos, neg = _expanded(batch, matrix, k)
-            order = rng.permutation(len(pos))
-            for lo in range(0, len(order), cfg["batch_size"]):
-                at = order[lo : lo + cfg["batch_size"]]
-                neg_at = (at[:, None] * k + np.arange(k)).ravel()
-                hidden = len(model["b1"])
-                masks = [(rng.random((m, hidden)) < keep_p) / keep_p for m in (len(at), len(neg_at))]
-                grads, loss, stats = train_gradient(model, item[at], pos[at], neg[neg_at], *masks)
-                opt.step(model, grads)
-                for mean, var, m in stats:
-                    unbiased = var * m / max(m - 1, 1)
-                    model["mean"] = (1 - BN_MOMENTUM) * model["mean"] + BN_MOMENTUM * mean
-                    model["var"] = (1 - BN_MOMENTUM) * model["var"] + BN_MOMENTUM * unbiased
-                seen += len(at)
-                loss_sum += loss * len(at)
-        if seen:
-            state = {f"p.{n}": a * seen for n, a in model.items()}
-            state |= {f"m.{n}": opt.m[n] * seen for n in trained} | {f"v.{n}": opt.v[n] * seen for n in trained}
-            state["sums"] = np.array([seen, loss_sum, opt.t * seen])
-            yield pa.RecordBatch.from_pandas(as_chunks(state), preserve_index=False)
-
-    sums = sum_over_tasks(rows.mapInArrow(local_sgd, SUM_SCHEMA))
+        item, pos, neg = _expanded(table, None if attrs is None else attrs.value, k)
+        order = rng.permutation(_row_order(table, attrs is not None))
+        loss_sum, hidden = 0.0, len(model["b1"])
+        for lo in range(0, len(order), cfg["batch_size"]):
+            at = order[lo : lo + cfg["batch_size"]]
+            neg_at = (at[:, None] * k + np.arange(k)).ravel()
+            masks = [(rng.random((m, hidden)) < keep_p) / keep_p for m in (len(at), len(neg_at))]
+            grads, loss, stats = train_gradient(model, item[at], pos[at], neg[neg_at], *masks)
+            opt.step(model, grads)
+            for mean, var, m in stats:
+                unbiased = var * m / max(m - 1, 1)
+                model["mean"] = (1 - BN_MOMENTUM) * model["mean"] + BN_MOMENTUM * mean
+                model["var"] = (1 - BN_MOMENTUM) * model["var"] + BN_MOMENTUM * unbiased
+            loss_sum += loss * len(at)
+        seen = len(order)
+        state = {f"p.{n}": a * seen for n, a in model.items()}
+        state |= {f"m.{n}": opt.m[n] * seen for n in trained} | {f"v.{n}": opt.v[n] * seen for n in trained}
+        state["sums"] = np.array([seen, loss_sum, opt.t * seen])
+        return pa.Table.from_pandas(as_chunks(state), preserve_index=False)
+
+    sharded = rows.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)))
+    sums = sum_over_tasks(sharded.groupBy("shard").applyInArrow(local_sgd, SUM_SCHEMA))
     handle.destroy()
     if not sums:
         raise ValueError("no training rows: no mapped attribute has both vectors")
@@ -214,8 +226,8 @@ def train_epoch(
     return new, Adam(adam.lr, m, v, t / seen), float(loss_sum / seen)
 
 
-def evaluate(rows: DataFrame, attrs, params: Params, cfg: dict) -> tuple[float, float]:
-    """(mean loss, share of rows whose positive scores highest) in inference mode."""
+def evaluate(rows: DataFrame, attrs, params: Params, cfg: dict) -> tuple[float | None, float | None]:
+    """(mean loss, share of rows whose positive scores highest) in inference mode; nulls without rows."""
     handle = rows.sparkSession.sparkContext.broadcast(params)
 
     def score(batches):
@@ -239,7 +251,24 @@ def evaluate(rows: DataFrame, attrs, params: Params, cfg: dict) -> tuple[float,
         rows.mapInArrow(score, "n double, loss double, hits double").agg(F.sum("n"), F.sum("loss"), F.sum("hits")).first()
     )
     handle.destroy()
-    return (loss / n, hits / n) if n else (float("nan"), float("nan"))
+    return (loss / n, hits / n) if n else (None, None)
+
+
+def best_epoch(history: DataFrame) -> DataFrame:
+    """One row (epoch, val_loss): the first epoch of the smallest validation loss; the last epoch where there is none."""
+    known = F.col("val_loss").isNotNull()
+    order = F.when(known, F.struct("val_loss", "epoch"))
+    return history.agg(
+        F.coalesce(F.min_by("epoch", order), F.max("epoch")).alias("epoch"), F.min("val_loss").alias("val_loss")
+    )
+
+
+def known_settings(defaults: dict, config: dict | None) -> dict:
+    """The defaults under the given settings; a setting that has no default is an error."""
+    unknown = sorted(set(config or {}) - set(defaults))
+    if unknown:
+        raise ValueError(f"unknown settings: {', '.join(unknown)}")
+    return defaults | (config or {})
 
 
 def train_alignment(
@@ -249,13 +278,16 @@ def train_alignment(
     config: dict | None = None,
     partitions: int | None = None,
     limit_bytes: int = BROADCAST_BYTES,
+    shard_rows: int = SHARD_ROWS,
 ) -> dict:
     """Train the attribute tower; returns history, metrics, and best and final parameters.
 
-    history rows are (epoch, train_loss, val_loss, val_acc). 'best' is the epoch of the strictly smallest
-    validation loss. Attribute vectors are broadcast when their checked size fits, joined onto the rows otherwise.
+    history rows are (epoch, train_loss, val_loss, val_acc). 'best' is the epoch of the strictly smallest validation loss,
+    or the last epoch if there are no validation rows; losses and accuracy are null then. Attribute vectors are broadcast
+    when their checked size fits, joined onto the rows otherwise; the model is the same either way, and for any number of
+    partitions.
     """
-    cfg = ALIGN_DEFAULTS | (config or {})
+    cfg = known_settings(ALIGN_DEFAULTS, config)
     spark, seed = item_attrs.sparkSession, cfg["seed"]
     vocabulary = materialize(with_global_rank(attr_vectors.select("attr_id", "vector"), F.col("attr_id"), "idx"))
     split = train_val_split(item_vectors, cfg["train_ratio"], seed)
@@ -269,8 +301,10 @@ def train_alignment(
     dim, width = vocabulary.select(F.size("vector")).first()[0], item_vectors.select(F.size("vector")).first()[0]
     if width != cfg["output_dim"]:
         raise ValueError(f"item vectors have {width} dimensions, the model gives {cfg['output_dim']}")
+    n_rows = profiles.where("split = 'train'").agg(F.sum(F.size("profile"))).first()[0] or 0
+    shards = max(1, -(-n_rows // shard_rows))
 
-    n_attrs, size = vector_bytes(vocabulary)
+    _, size = vector_bytes(vocabulary)
     attrs = None
     if size <= limit_bytes:
         table = vocabulary.select("idx", "vector").toArrow().sort_by("idx")
@@ -281,27 +315,25 @@ def train_alignment(
         return training_rows(chosen, vocabulary, cfg["negatives_per_pos"], seed, epoch, attrs is not None)
 
     params = init_params(dim, cfg["hidden_dim"], cfg["output_dim"], seed)
-    adam, best, best_loss, history = Adam(cfg["lr"]), params, float("inf"), []
+    adam, best, best_loss, history = Adam(cfg["lr"]), None, None, []
     for epoch in range(cfg["epochs"]):
-        params, adam, train_loss = train_epoch(rows("train", epoch), attrs, params, adam, cfg, epoch)
+        params, adam, train_loss = train_epoch(rows("train", epoch), attrs, params, adam, cfg, epoch, shards)
         val_loss, val_acc = evaluate(rows("val", epoch), attrs, params, cfg)
         history.append((epoch + 1, train_loss, val_loss, val_acc))
-        if val_loss < best_loss:
+        if val_loss is not None and (best_loss is None or val_loss < best_loss):
             best, best_loss = params, val_loss
     metrics = {
         "best_val_loss": best_loss, "final_val_loss": history[-1][2],
         "final_val_acc": history[-1][3], "final_train_loss": history[-1][1],
     }
-    frame = spark.createDataFrame(
-        [(e, *map(float, m)) for e, *m in history], "epoch int, train_loss double, val_loss double, val_acc double"
-    )
-    return {"history": frame, "metrics": metrics, "best": best, "final": params}
+    frame = spark.createDataFrame(history, "epoch int, train_loss double, val_loss double, val_acc double")
+    return {"history": frame, "metrics": metrics, "best": params if best is None else best, "final": params}
 
 
 def write_training(result: dict, history_path: str, metrics_path: str) -> None:
     """History as CSV with a header, metrics as one JSON row."""
     history = result["history"]
     history.coalesce(1).orderBy("epoch").write.mode("overwrite").option("header", True).csv(history_path)
-    metrics = {k: float(v) for k, v in result["metrics"].items()}
+    metrics = {k: None if v is None else float(v) for k, v in result["metrics"].items()}
     row = history.sparkSession.createDataFrame([tuple(metrics.values())], ", ".join(f"{k} double" for k in metrics))
     row.coalesce(1).write.mode("overwrite").json(metrics_path)

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import top_k
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 RIGHT_BLOCK = 4096
 LEFT_PACK = 2048
@@ -31,9 +33,10 @@ def to_matrix(column: pa.Array) -> np.ndarray:
 
 
 def vector_bytes(vectors: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) of a vector table, from one small aggregate."""
-    row = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
-    return row["n"], row["n"] * (row["dim"] or 0) * 8
+    """(rows, bytes) of a vector table with its ids, from one small aggregate."""
+    names = F.sum(F.octet_length(F.col("id").cast("string")) + 64) if "id" in vectors.columns else F.lit(0)
+    row = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim"), names.alias("names")).first()
+    return row["n"], row["n"] * (row["dim"] or 0) * 8 + (row["names"] or 0)
 
 
 def sorted_matrix(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +108,8 @@ def block_product(
 def best_k(k: int, skip_self: bool = False, digits: int = 12) -> Kernel:
     """Kernel: the k largest dot products per left id; ties by right id.
 
-    The order is by rounded scores, so that equal pairs tie whatever block they were in; scores come out unrounded.
+    The order is by rounded scores (column `by`), so that equal pairs tie whatever block they were in; partial results of
+    blocks merge by the same order (`best_matches`).  Scores come out unrounded.
     """
 
     def kernel(ids, left, right_ids, right):
@@ -129,12 +133,24 @@ def best_k(k: int, skip_self: bool = False, digits: int = 12) -> Kernel:
         keep = (rank <= k) & np.isfinite(values)
         return pd.DataFrame({
             "id": ids[rows[keep]], "other": right_ids[cols[keep]],
-            "score": raw[rows[keep], cols[keep]], "rank": rank[keep].astype(np.int32),
+            "score": raw[rows[keep], cols[keep]], "by": values[keep], "rank": rank[keep].astype(np.int32),
         })
 
     return kernel
 
 
+def best_matches(
+    left: DataFrame, right: DataFrame, k: int, skip_self: bool = False, limit_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """(id, other, score, rank): the k largest dot products per left id, the same whether right was broadcast or not."""
+    best, whole = block_product(
+        left, right, best_k(k, skip_self), "id string, other string, score double, by double, rank int", limit_bytes
+    )
+    if not whole:
+        best = top_k(best.drop("rank"), "id", "by", "other", k)
+    return best.select("id", "other", "score", "rank")
+
+
 def all_scores(ids, left, right_ids, right) -> pd.DataFrame:
     """Kernel: every dot product."""
     scores = left @ right.T

@@ -1,10 +1,19 @@
 """Session settings, and the shared folder that cuts lineage."""
 
+import atexit
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROOT = Path(__file__).resolve().parent.parent
+_local_dirs: dict[str, str] = {}
+_written: list[str] = []
+_shipped: set[str] = set()
+
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "larder") -> SparkSession:
     """A local session with the settings tests and the bench use."""
@@ -23,15 +32,32 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the workers, unless they find it by PYTHONPATH or lie in its folder."""
+    sc = spark.sparkContext
+    known = [*os.environ.get("PYTHONPATH", "").split(os.pathsep), os.getcwd()]
+    if sc.applicationId in _shipped or str(ROOT) in known:
+        return
+    archive = f"{tempfile.mkdtemp(prefix='larder-package-')}/larder.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted((ROOT / "larder").rglob("*.py")):
+            z.write(path, path.relative_to(ROOT))
+    sc.addPyFile(archive)
+    _shipped.add(sc.applicationId)
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: spark.checkpoint.dir, set here only where it is unset."""
+    """The folder all executors see: spark.checkpoint.dir, or the context's checkpoint folder.
+
+    Only a local master, whose executors share the driver's disk, may go without; it gets a temporary folder.
+    """
     sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named and not sc.getCheckpointDir():
-        named = tempfile.mkdtemp(prefix="larder-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(named)
-    return named or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if named:
+        return named
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return _local_dirs.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="larder-"))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -40,12 +66,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write once to the shared folder and read from there, so that lineage ends and an executor loss costs a re-read."""
+    """Write once to the shared folder and read from there, so that lineage ends and an executor loss costs a re-read.
+
+    The table is deleted when the driver ends.
+    """
     path = scratch_path(df.sparkSession, "table")
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(conf).delete(path, True)
+
+
+@atexit.register
+def release_tables() -> None:
+    """Delete what materialize() has written; called when the driver ends."""
+    spark = SparkSession.getActiveSession()
+    if spark is not None and _written:
+        delete_paths(spark, _written)
+        _written.clear()
+
+
 class Scratch:
     """Written tables that live for one step of a loop."""
 
@@ -59,8 +105,5 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
-        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
-        for p in self.paths:
-            path = jvm.org.apache.hadoop.fs.Path(p)
-            path.getFileSystem(conf).delete(path, True)
+        delete_paths(self.spark, self.paths)
         self.paths = []

@@ -112,6 +112,34 @@ def test_alignment_learns(alignable, limit):
     assert history[-1]["val_acc"] > 1 / 6
 
 
+def test_alignment_gives_one_model_for_any_partitions_and_path(alignable):
+    cfg = {"epochs": 2, "hidden_dim": 8, "output_dim": 8, "batch_size": 32}
+    first = None
+    for partitions, limit in ((1, 1 << 20), (3, 1 << 20), (8, 0), (2, 0)):
+        out = AL.train_alignment(*alignable, cfg, partitions=partitions, limit_bytes=limit, shard_rows=150)
+        first = first or out
+        for part in ("best", "final"):
+            for name in out[part]:
+                assert out[part][name] == pytest.approx(first[part][name], rel=1e-9, abs=1e-12)
+        assert out["metrics"] == pytest.approx(first["metrics"], rel=1e-9)
+    assert AL.best_epoch(first["history"]).first()["val_loss"] == pytest.approx(first["metrics"]["best_val_loss"])
+
+
+def test_alignment_without_validation_rows_keeps_the_last_epoch(alignable, tmp_path):
+    cfg = {"epochs": 2, "hidden_dim": 8, "output_dim": 8, "train_ratio": 1.0}
+    out = AL.train_alignment(*alignable, cfg)
+    assert all(np.array_equal(out["best"][n], out["final"][n]) for n in out["final"])
+    assert not np.array_equal(out["best"]["w1"], AL.init_params(8, 8, 8, 42)["w1"])
+    assert out["metrics"]["best_val_loss"] is None and out["metrics"]["final_val_acc"] is None
+    assert AL.best_epoch(out["history"]).first()["epoch"] == 2
+    AL.write_training(out, str(tmp_path / "h"), str(tmp_path / "m"))
+
+
+def test_alignment_rejects_unknown_settings(alignable):
+    with pytest.raises(ValueError, match="epohcs"):
+        AL.train_alignment(*alignable, {"epohcs": 1})
+
+
 def test_alignment_rejects_a_width_that_does_not_match(alignable):
     with pytest.raises(ValueError):
         AL.train_alignment(*alignable, {"epochs": 1, "output_dim": 64})

@@ -39,6 +39,21 @@ def test_topk_broadcast_and_block_join_agree_with_numpy(monkeypatch, sides, limi
     assert R.affinity_scores(left, right, limit_bytes=limit).count() == 40 * 23
 
 
+def test_block_join_and_broadcast_agree_on_ties(monkeypatch, spark):
+    """Copies and multiples of nine directions: most places of a ranking are ties, which ids decide."""
+    monkeypatch.setattr(blocks, "RIGHT_BLOCK", 16)
+    rng = np.random.default_rng(7)
+    directions = rng.normal(size=(9, 6))
+    right = table(spark, directions[rng.integers(0, 9, 180)] * rng.uniform(0.5, 3, (180, 1)), "attr")
+    left = table(spark, rng.normal(size=(50, 6)), "item")
+    key = ["item_id", "rank"]
+    got = [R.affinity_topk(left, right, k=30, limit_bytes=b).toPandas().sort_values(key).reset_index(drop=True) for b in (1 << 20, 0)]
+    assert got[0][["item_id", "attr_id", "rank"]].equals(got[1][["item_id", "attr_id", "rank"]])
+    unit_rows = right.withColumn("vector", X.l2_normalize("vector"))
+    near = [C.nearest_neighbors(unit_rows, 30, b).toPandas().sort_values(["attr_id", "rank"]).reset_index(drop=True) for b in (1 << 20, 0)]
+    assert near[0][["attr_id", "neighbor", "rank"]].equals(near[1][["attr_id", "neighbor", "rank"]])
+
+
 def test_neighbors_drop_self_by_id_even_when_tied(spark):
     twins = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.0]), ("c", [0.0, 1.0])], "attr_id string, vector array<double>")
     got = {(r["attr_id"], r["rank"]): r["neighbor"] for r in C.nearest_neighbors(twins, 2).collect()}
