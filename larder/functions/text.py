@@ -4,15 +4,14 @@ Expressions are SQL text, so that nested ones cost one parse instead of many
 calls into the JVM.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Patterns that turn tuples and None in a printed list into JSON.
-LIST_REPAIRS = [
-    (r"""\((?=\s*['"\[])""", "["),
-    (r"""(?<=[\d\]eE'"l])\)(?=\s*[,\]]|\s*$)""", "]"),
-    (r"(?<=[,\[]\s{0,4})None(?=\s*[,\]\)])", "null"),
-]
+# The tokens of a printed list: quoted strings first, so that nothing inside them is taken for a bracket or a name.
+LIST_TOKEN = r"""("(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'|[A-Za-z_]+|[-+]?(?:\d+\.?\d*|\.\d+)(?:[eE][-+]?\d+)?|\S)"""
+NUMBER = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
+# Text that JSON reads differently from the printed list: tuples, single quotes, None, open commas, bare signs and dots.
+NOT_JSON = r"""[('+\\]|None|,\s*\]|[^0-9]\.[0-9]|[0-9]\.[^0-9]"""
 
 
 # The characters that count as white space.
@@ -37,25 +36,41 @@ def code(prefix: str, e: str) -> str:
     return f"concat('{prefix}', cast({e} AS string))"
 
 
+def _as_json(text: Column) -> Column:
+    """A printed list as JSON: tuples become lists, numbers and both kinds of quotes JSON strings, None null."""
+    tokens = F.regexp_extract_all(text, F.lit(LIST_TOKEN), F.lit(1))
+    closing = lambda i: F.coalesce(F.get(tokens, i + 1).isin("]", ")"), F.lit(False))
+    kept = F.filter(tokens, lambda t, i: ~((t == ",") & closing(i)))
+
+    def json(t: Column) -> Column:
+        inner = F.substring(t, F.lit(2), F.length(t) - 2)
+        plain = F.replace(inner, F.lit("\\'"), F.lit("'"))
+        return (
+            F.when(t == "(", "[").when(t == ")", "]").when(t == "None", "null")
+            .when(F.startswith(t, F.lit("'")), F.concat(F.lit('"'), F.regexp_replace(plain, r'(?<!\\)"', r'\\"'), F.lit('"')))
+            .when(F.startswith(t, F.lit('"')), F.concat(F.lit('"'), plain, F.lit('"')))
+            .when(t.rlike(NUMBER), F.concat(F.lit('"'), t, F.lit('"'))).otherwise(t)
+        )
+
+    return F.array_join(F.transform(kept, json), " ")
+
+
 def with_nutrition_pairs(items: DataFrame, column: str = "nutrition_nm", out: str = "_pairs") -> DataFrame:
     """Parse a printed list of [name, value] pairs into array<struct<name string, value double>>.
 
-    Null, junk, or any element that is not a pair gives an empty array; a value
-    that is no number gives null; of two entries with one name the last stays.
+    Lists and tuples, both kinds of quotes, None and open commas are read. Null, junk, or any element that is not a
+    pair gives an empty array; a value that is no number gives null; of two entries with one name the last stays.
     """
-    text = F.col(column)
-    for pattern, repl in LIST_REPAIRS:
-        text = F.regexp_replace(text, pattern, repl)
-    plain = ~(F.contains(F.col(column), F.lit("(")) | F.contains(F.col(column), F.lit("None")))
+    text = F.when(F.col(column).rlike(NOT_JSON), _as_json(F.col(column))).otherwise(F.col(column))
     name = f"lower({strip_space('get(e, 0)')})"
-    value = "nullif(try_cast(get(e, 1) AS double), double('NaN'))"
+    value = f"CASE WHEN rlike(get(e, 1), r'{NUMBER}') THEN try_cast(trim(get(e, 1)) AS double) END"
     pairs = f"""
         CASE WHEN _rows IS NULL OR exists(_rows, e -> e IS NULL OR size(e) <> 2 OR get(e, 0) IS NULL)
              THEN cast(array() AS array<struct<name: string, value: double>>)
              ELSE transform(_rows, e -> named_struct('name', {name}, 'value', {value})) END"""
     last = f"filter({out}, (e, i) -> NOT exists(slice({out}, i + 2, size({out})), x -> x.name = e.name))"
     return (
-        items.withColumn("_rows", F.from_json(F.when(plain, F.col(column)).otherwise(text), "array<array<string>>"))
+        items.withColumn("_rows", F.from_json(text, "array<array<string>>"))
         .withColumn(out, F.expr(pairs))
         .withColumn(out, F.expr(last))
         .drop("_rows")

@@ -1,8 +1,8 @@
 """Household-item table and time-decayed household-by-attribute history."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
 
 def build_hh_item(txns: DataFrame, basket: str = "txn") -> DataFrame:
@@ -21,6 +21,16 @@ def build_hh_item(txns: DataFrame, basket: str = "txn") -> DataFrame:
     )
 
 
+def _clock(ts: Column) -> Column:
+    """Seconds since midnight."""
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts)
+
+
+def days_between(ref: Column, ts: Column) -> Column:
+    """Whole days from ts to ref: the floor of the exact difference."""
+    return F.datediff(ref, ts) - (_clock(ref) < _clock(ts)).cast("int")
+
+
 def build_hh_attr_history(
     txns: DataFrame,
     item_attrs: DataFrame,
@@ -31,23 +41,25 @@ def build_hh_attr_history(
     """(household_id, attr_id, hist_score, last_seen_days).
 
     A purchase weighs quantity * p_attr * exp(-days_ago / decay_days): decay_days is
-    the time to fall to 1/e. The reference day is the last purchase of any mapped item
+    the time to fall to 1/e. Days are whole ones: of two timestamps, the floor of their difference. The reference day is the last purchase of any mapped item
     unless given. Purchases of one item by one household are summed before they fan
     out to the item's attributes, so the join and the last shuffle carry pairs
     (household, item), not transactions.
     """
     mapped = item_attrs.where("upc_nbr IS NOT NULL AND attr_id IS NOT NULL").select("upc_nbr", "attr_id", "p_attr")
+    timed = isinstance(txns.schema["txn_date"].dataType, (TimestampType, TimestampNTZType))
+    kind = "timestamp_ntz" if timed else "date"
     bought = txns.where(F.col("upc_nbr").isNotNull()).select(
-        "household_id", "upc_nbr", F.to_date("txn_date").alias("day"), F.col("item_qount").alias("quantity")
+        "household_id", "upc_nbr", F.col("txn_date").cast(kind).alias("day"), F.col("item_qount").alias("quantity")
     )
     if ref_date is None:
         last_by_item = bought.groupBy("upc_nbr").agg(F.max("day").alias("day"))
         ref = last_by_item.join(mapped.select("upc_nbr"), "upc_nbr", "left_semi").agg(F.max("day")).scalar()
     else:
-        ref = F.lit(ref_date).cast("date")
+        ref = F.lit(ref_date).cast(kind)
 
     quantity = F.when(~F.isnan("quantity"), F.col("quantity"))
-    days_ago = F.datediff(ref, F.col("day"))
+    days_ago = days_between(ref, F.col("day")) if timed else F.datediff(ref, F.col("day"))
     by_item = (
         bought.where(F.col("household_id").isNotNull())
         .select("household_id", "upc_nbr", days_ago.alias("days_ago"), quantity.cast("double").alias("quantity"))

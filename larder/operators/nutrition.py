@@ -17,30 +17,20 @@ NUTRITION_COLUMNS = {
     "fiber": "fiber_g",
 }
 KEPT_SUFFIXES = ("_g", "_mg", "calories")
-MAX_COLUMNS = 2000
 
 
-def nutrient_names(items: DataFrame) -> list[str]:
-    """Names that occur in the data, sorted; they become columns, so their number is checked."""
-    names = (
-        with_nutrition_pairs(items).select(F.explode("_pairs.name").alias("name"))
-        .distinct()
-        .limit(MAX_COLUMNS + 1)
-        .collect()
-    )
-    if len(names) > MAX_COLUMNS:
-        raise ValueError(f"more than {MAX_COLUMNS} nutrient names; pass the wanted names")
-    return sorted(r["name"] for r in names)
+def nutrient_names(items: DataFrame) -> DataFrame:
+    """(name): the names that occur in the data."""
+    return with_nutrition_pairs(items).select(F.explode("_pairs.name").alias("name")).distinct()
 
 
-def build_item_nutrition(items: DataFrame, names: list[str] | None = None) -> DataFrame:
-    """One row per item: upc_id and one column per kept nutrient.
+def build_item_nutrition(items: DataFrame, names: list[str] = list(NUTRITION_COLUMNS)) -> DataFrame:
+    """One row per item: upc_id and one column per kept nutrient among `names`.
 
-    Without names the columns are those met in the data. Wide rows are made
+    Names become columns, so the caller says which; the known ones are the default. Wide rows are made
     in place from the parsed list, without a shuffle.
     """
-    wanted = nutrient_names(items) if names is None else names
-    columns = {n: NUTRITION_COLUMNS.get(n, n) for n in wanted}
+    columns = {n: NUTRITION_COLUMNS.get(n, n) for n in names}
     kept = {n: c for n, c in columns.items() if c.endswith(KEPT_SUFFIXES)}
     values = [F.expr(nutrient_value(n)).alias(c) for n, c in kept.items()]
     return with_nutrition_pairs(items).select(F.col("upc_nbr").alias("upc_id"), *values)
@@ -53,10 +43,9 @@ def nutrition_long(items: DataFrame) -> DataFrame:
     )
 
 
-def pivot_nutrition(items: DataFrame, names: list[str] | None = None) -> DataFrame:
+def pivot_nutrition(items: DataFrame, names: list[str] = list(NUTRITION_COLUMNS)) -> DataFrame:
     """The wide table by a pivot of the long one: items with no nutrition have null columns."""
-    wanted = nutrient_names(items) if names is None else names
-    wide = nutrition_long(items).groupBy("upc_id").pivot("nutrient", wanted).agg(F.first("value"))
+    wide = nutrition_long(items).groupBy("upc_id").pivot("nutrient", list(names)).agg(F.first("value"))
     renamed = wide.withColumnsRenamed(NUTRITION_COLUMNS)
     kept = [c for c in renamed.columns if c != "upc_id" and c.endswith(KEPT_SUFFIXES)]
     return items.select(F.col("upc_nbr").alias("upc_id")).join(renamed.select("upc_id", *kept), "upc_id", "left")

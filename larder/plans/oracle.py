@@ -121,7 +121,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     "item_vec": (["emb"], "SELECT CAST(p_partkey AS VARCHAR) AS item_id, v FROM part JOIN emb ON p_partkey = vec_id"),
     "attr_vec": (["vocab", "emb"], """
         SELECT attr_id, v FROM (SELECT attr_id, row_number() OVER (ORDER BY attr_id) - 1 AS idx FROM vocab)
-        JOIN emb ON vec_id = idx * 3"""),
+        JOIN emb ON vec_id = (idx * 3) % (SELECT count(*) FROM emb)"""),
     "pos": (["map", "item_vec", "attr_vec"], """
         SELECT upc_nbr AS item_id, attr_id FROM map
         WHERE upc_nbr IN (SELECT item_id FROM item_vec) AND attr_id IN (SELECT attr_id FROM attr_vec)"""),
@@ -252,6 +252,17 @@ oracle("map_health", ["claim"], """
 oracle("map_nutrition_bins", ["nutrition_map"], "SELECT * FROM nutrition_map")
 oracle("item_nutrition", ["nutrition_wide"], "SELECT * FROM nutrition_wide")
 oracle("item_nutrition_pivot", ["nutrition_wide"], "SELECT * FROM nutrition_wide")
+oracle("nutrition_text", [], """
+    WITH p AS (SELECT CAST(p_partkey AS VARCHAR) AS upc_id, p_partkey % 9 AS form, CAST(p_size AS DOUBLE) AS s FROM part)
+    SELECT upc_id, 'calories' AS nutrient, s AS value FROM p WHERE form IN (0, 1, 2, 3)
+    UNION ALL SELECT upc_id, 'fiber', 2 FROM p WHERE form IN (0, 1)
+    UNION ALL SELECT upc_id, 'it''s "x"', 0.5 FROM p WHERE form = 2
+    UNION ALL SELECT upc_id, 'sodium', -100 FROM p WHERE form = 3
+    UNION ALL SELECT upc_id, 'vitamin a (rae), total', s FROM p WHERE form = 4
+    UNION ALL SELECT upc_id, 'a, none, b', NULL FROM p WHERE form = 4
+    UNION ALL SELECT upc_id, 'calories', NULL FROM p WHERE form = 5
+    UNION ALL SELECT upc_id, 'fiber', s FROM p WHERE form = 5
+    UNION ALL SELECT upc_id, 'a', s FROM p WHERE form = 8""")
 oracle("nutrition_long", ["nutrient"], "SELECT upc_nbr AS upc_id, name AS nutrient, value FROM nutrient")
 
 # ---- household tables --------------------------------------------------------
@@ -270,6 +281,13 @@ oracle("hh_attr_history_refdate", ["joined"], f"""
            CAST(min(date_diff('day', txn_date, DATE '{REF_DATE}')) AS BIGINT) AS last_seen_days
     FROM joined GROUP BY household_id, attr_id
     HAVING sum(item_qount * p_attr * exp(-(date_diff('day', txn_date, DATE '{REF_DATE}')) / 365.0)) > 0.01""")
+oracle("hh_attr_history_timestamps", ["txn", "map"], """
+    WITH timed AS (SELECT household_id, item_qount, attr_id, p_attr,
+                          CAST(txn_date AS TIMESTAMP) + to_hours(CAST(txn_id AS BIGINT) % 24) AS ts FROM txn JOIN map USING (upc_nbr)),
+    aged AS (SELECT *, floor((epoch_us((SELECT max(ts) FROM timed)) - epoch_us(ts)) / 86400000000) AS days FROM timed)
+    SELECT household_id, attr_id, round(sum(item_qount * p_attr * exp(-days / 90.0)), 6) AS hist_score,
+           CAST(min(days) AS BIGINT) AS last_seen_days
+    FROM aged GROUP BY ALL HAVING sum(item_qount * p_attr * exp(-days / 90.0)) > 0.01""")
 oracle("history_top_attrs", ["hist"], """
     SELECT household_id, attr_id, round(hist_score, 6) AS hist_score, last_seen_days,
            CAST(row_number() OVER (PARTITION BY household_id ORDER BY round(hist_score, 6) DESC, attr_id) AS INTEGER) AS rank
@@ -340,11 +358,13 @@ oracle("l2_normalize", ["emb"], """
           FROM (SELECT vec_id, unnest(v) AS y, unnest(range(len(v))) AS pos FROM emb))""")
 oracle("vector_store_write_read", ["provider"], """
     SELECT attr_id, provider, 'reversed_2024-05-01' AS model_version, 'v1' AS vocab_version, 'test' AS built_from,
-           CAST(len(v) AS BIGINT) AS dim, round(v[1], 6) AS first_value, round(sqrt(list_dot_product(v, v)), 6) AS norm
+           CAST(len(v) AS BIGINT) AS dim, round(v[1], 6) AS first_value, round(sqrt(list_dot_product(v, v)), 6) AS norm,
+           '2024-05-01 00:00:00' AS created_at
     FROM provider WHERE provider = 'reversed'""")
 oracle("vector_store_latest", ["provider"], """
     SELECT attr_id, provider, provider || '_2024-05-01' AS model_version, 'v1' AS vocab_version, 'test' AS built_from,
-           CAST(len(v) AS BIGINT) AS dim, round(v[1], 6) AS first_value, round(sqrt(list_dot_product(v, v)), 6) AS norm
+           CAST(len(v) AS BIGINT) AS dim, round(v[1], 6) AS first_value, round(sqrt(list_dot_product(v, v)), 6) AS norm,
+           '2024-05-01 00:00:00' AS created_at
     FROM provider""")
 oracle("frozen_item_vectors", ["emb"], """
     SELECT 'sku_' || p_partkey AS item_id, round(v[1], 6) AS first_value FROM part JOIN emb ON p_partkey = vec_id
@@ -422,8 +442,8 @@ oracle("common_attrs", ["provider"], """
     SELECT attr_id FROM provider
     WHERE NOT (provider = 'plain' AND family = '0') AND NOT (provider = 'reversed' AND family = '1')
     GROUP BY attr_id HAVING count(DISTINCT provider) = 3""")
-oracle("nearest_neighbors", ["neighbor"], """
-    SELECT attr_id, neighbor, round(score, 6) AS score, rank FROM neighbor WHERE provider = 'weighted'""")
+for _key in ("nearest_neighbors", "nearest_neighbors_blocks"):
+    oracle(_key, ["neighbor"], "SELECT provider, attr_id, neighbor, round(score, 6) AS score, rank FROM neighbor")
 oracle("coherence", ["neighbor"], """
     SELECT provider, count(*) AS n_neighbors, count(*) FILTER (family = other_family) AS n_same_family,
            round(count(*) FILTER (family = other_family) / count(*), 6) AS coherence FROM neighbor GROUP BY provider""")
@@ -431,6 +451,14 @@ oracle("norm_stats", ["norm"], """
     SELECT provider, round(norm_mean, 5) AS norm_mean, round(norm_std, 5) AS norm_std FROM norm""")
 oracle("distance_stats", ["distance"], """
     SELECT provider, n_distances, round(dist_mean, 6) AS dist_mean, round(dist_std, 6) AS dist_std FROM distance""")
+oracle("distance_stats_sampled", ["provider", "sample"], """
+    SELECT provider, count(*) AS n_distances, round(avg(d), 6) AS dist_mean, round(stddev_pop(d), 6) AS dist_std FROM (
+      SELECT a.provider, list_distance(a.v, b.v) AS d,
+             row_number() OVER (PARTITION BY a.provider, a.attr_id ORDER BY sb.pos) AS nth
+      FROM provider a JOIN sample sa ON a.attr_id = sa.attr_id AND sa.pos <= 120
+      JOIN provider b ON a.provider = b.provider AND a.attr_id <> b.attr_id
+      JOIN sample sb ON b.attr_id = sb.attr_id AND sb.pos <= 120)
+    WHERE nth <= 30 GROUP BY provider""")
 oracle("provider_verdicts", ["norm", "distance"], """
     SELECT provider, round(norm_mean, 5) AS norm_mean, round(dist_std / dist_mean, 5) AS spread,
            CASE WHEN norm_mean BETWEEN 0.95 AND 1.05 THEN 'normalized' ELSE 'not normalized' END AS norm_verdict,
@@ -451,3 +479,10 @@ oracle("full_etl", ["meta", "map", "txn", "household", "nutrition_wide"], f"""
     UNION ALL SELECT 'hh_attr_history', count(*) FROM scored
     UNION ALL SELECT 'item_nutrition', count(*) FROM nutrition_wide
     UNION ALL SELECT 'hh_meta', count(*) FROM household""")
+oracle("etl_written_map", ["map"], "SELECT * FROM map")
+oracle("etl_written_history", ["txn", "map"], f"""
+    WITH recent AS (SELECT * FROM txn JOIN map USING (upc_nbr) WHERE txn_date >= DATE '{AS_OF}' - INTERVAL 2 YEAR),
+    aged AS (SELECT *, date_diff('day', txn_date, (SELECT max(txn_date) FROM recent)) AS days FROM recent)
+    SELECT household_id, attr_id, round(sum(item_qount * p_attr * exp(-days / 90.0)), 6) AS hist_score,
+           CAST(min(days) AS BIGINT) AS last_seen_days
+    FROM aged GROUP BY ALL HAVING sum(item_qount * p_attr * exp(-days / 90.0)) > 0.01""")

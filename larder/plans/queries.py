@@ -18,6 +18,7 @@ from ..operators import nutrition as N
 from ..operators import sampling as P
 from ..operators import scoring as R
 from ..session import materialize, scratch_path
+from ..operators.blocks import BROADCAST_BYTES
 from ..sources import retail_views as V
 from ..sources import tables as T
 from ..sources import vector_store as S
@@ -27,6 +28,7 @@ from . import providers as PR
 AS_OF = "1999-06-30"
 REF_DATE = "1998-01-01"
 PROVIDERS = ["plain", "reversed", "weighted"]
+NUTRIENTS = ["added sugar", "calories", "fiber"]  # those that the item view prints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -82,7 +84,7 @@ def table_counts(spark, d):
         "map_item_attribute": item_attrs,
         "hh_item": H.build_hh_item(txns),
         "hh_attr_history": H.build_hh_attr_history(txns, item_attrs),
-        "item_nutrition": N.build_item_nutrition(items),
+        "item_nutrition": N.build_item_nutrition(items, NUTRIENTS),
         "hh_meta": T.scan_households(V.households(spark, d)),
     })
 
@@ -123,12 +125,12 @@ def map_nutrition_bins(spark, d):
 
 @query
 def item_nutrition(spark, d):
-    return N.build_item_nutrition(V.items(spark, d))
+    return N.build_item_nutrition(V.items(spark, d), NUTRIENTS)
 
 
 @query
 def item_nutrition_pivot(spark, d):
-    return N.pivot_nutrition(V.items(spark, d))
+    return N.pivot_nutrition(V.items(spark, d), NUTRIENTS)
 
 
 @query
@@ -136,6 +138,12 @@ def nutrition_long(spark, d):
     return N.nutrition_long(V.items(spark, d))
 
 
+@query
+def nutrition_text(spark, d):
+    """Nutrition printed in nine ways."""
+    return N.nutrition_long(V.items_with_nutrition_text(spark, d))
+
+
 # ---- household tables --------------------------------------------------------
 
 @query
@@ -159,6 +167,12 @@ def hh_attr_history_refdate(spark, d):
     return rounded(out, 5, "hist_score")
 
 
+@query
+def hh_attr_history_timestamps(spark, d):
+    """Purchases at an hour of the day: days are floors of exact differences."""
+    return rounded(H.build_hh_attr_history(V.timed_transactions(spark, d), _map(spark, d)), 6, "hist_score")
+
+
 @query
 def history_top_attrs(spark, d):
     return H.top_attributes(rounded(_history(spark, d), 6, "hist_score"), 5)
@@ -214,7 +228,7 @@ def _features(spark, d):
     items = V.items(spark, d)
     item_attrs = _map(spark, d)
     return G.build_node_features(
-        G.attribute_vocabulary(item_attrs), A.build_attr_meta(items), item_attrs, N.build_item_nutrition(items)
+        G.attribute_vocabulary(item_attrs), A.build_attr_meta(items), item_attrs, N.build_item_nutrition(items, NUTRIENTS)
     )
 
 
@@ -256,7 +270,7 @@ def node_features_popularity(spark, d):
 def node_features_nutrition(spark, d):
     items = V.items(spark, d)
     item_attrs = _map(spark, d)
-    out = G.nutrition_features(G.attribute_vocabulary(item_attrs), item_attrs, N.build_item_nutrition(items))
+    out = G.nutrition_features(G.attribute_vocabulary(item_attrs), item_attrs, N.build_item_nutrition(items, NUTRIENTS))
     return _long(out, "nutrition", 5)
 
 
@@ -313,6 +327,7 @@ def _store_view(rows):
     return rows.select(
         "attr_id", "provider", "model_version", "vocab_version", "built_from", F.col("dim").cast("bigint").alias("dim"),
         F.round(F.get("vector", F.lit(0)), 6).alias("first_value"), F.round(X.vec_norm("vector"), 6).alias("norm"),
+        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"),
     )
 
 
@@ -348,11 +363,12 @@ def infonce_loss(spark, d):
 # ---- samples ---------------------------------------------------------------------------------
 
 def _attr_vectors(spark, d, item_attrs):
-    """Vectors of the mapped attributes: attribute number i takes the embedding numbered 3 i, where there is one."""
+    """Vectors of all mapped attributes: attribute number i takes the embedding numbered 3 i modulo their number."""
     vocabulary = G.indexed_vocabulary(materialize(G.attribute_vocabulary(item_attrs)))
     vectors = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
+    n = vectors.agg(F.count(F.lit(1))).scalar()
     return materialize(
-        vocabulary.join(vectors, F.col("vec_id") == F.col("idx") * 3).select(
+        vocabulary.join(vectors, F.col("vec_id") == F.pmod(F.col("idx") * 3, n)).select(
             "attr_id", F.col("embedding").cast("array<double>").alias("vector")
         )
     )
@@ -498,10 +514,24 @@ def common_attrs(spark, d):
     return C.common_attributes(V.provider_vectors(spark, d).where(~gaps), len(PROVIDERS))
 
 
+def _neighbors(spark, d, limit_bytes):
+    vectors, out = V.provider_vectors(spark, d), None
+    for p in PROVIDERS:
+        one = C.nearest_neighbors(vectors.where(F.col("provider") == p).select("attr_id", "vector"), limit_bytes=limit_bytes)
+        one = one.select(F.lit(p).alias("provider"), "*")
+        out = one if out is None else out.unionByName(one)
+    return rounded(out, 6, "score")
+
+
 @query
 def nearest_neighbors(spark, d):
-    vectors = V.provider_vectors(spark, d).where(F.col("provider") == "weighted")
-    return rounded(C.nearest_neighbors(vectors.select("attr_id", "vector")), 6, "score")
+    return _neighbors(spark, d, BROADCAST_BYTES)
+
+
+@query
+def nearest_neighbors_blocks(spark, d):
+    """The same by joined blocks, as for vectors too many to broadcast."""
+    return _neighbors(spark, d, 0)
 
 
 @query
@@ -520,6 +550,12 @@ def distance_stats(spark, d):
     return rounded(C.distance_stats(_common(spark, d)[1]), 6, "dist_mean", "dist_std")
 
 
+@query
+def distance_stats_sampled(spark, d):
+    """A sample smaller than the attributes."""
+    return rounded(C.distance_stats(_common(spark, d)[1], attributes=120, others=30), 6, "dist_mean", "dist_std")
+
+
 @query
 def provider_verdicts(spark, d):
     tables = C.compare_embeddings(V.provider_vectors(spark, d), [*PROVIDERS, "absent"])
@@ -547,7 +583,7 @@ def _graph_inputs(spark, d):
     item_attrs, history = _map_and_history(spark, d)
     return {
         "attr_meta": materialize(A.build_attr_meta(items)), "map_item_attribute": item_attrs,
-        "hh_attr_history": history, "item_nutrition": materialize(N.build_item_nutrition(items)),
+        "hh_attr_history": history, "item_nutrition": materialize(N.build_item_nutrition(items, NUTRIENTS)),
     }
 
 
@@ -595,6 +631,17 @@ def full_etl(spark, d):
     return _etl(spark, d)[1]
 
 
+@query
+def etl_written_map(spark, d):
+    """The item map as a whole run has written it."""
+    return T.read_table(spark, f"{_etl(spark, d)[0]}/map_item_attribute")
+
+
+@query
+def etl_written_history(spark, d):
+    return rounded(T.read_table(spark, f"{_etl(spark, d)[0]}/hh_attr_history"), 6, "hist_score")
+
+
 @query
 def run_providers(spark, d):
     """The vectors of two providers in one store."""

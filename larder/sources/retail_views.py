@@ -30,6 +30,23 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def items_with_nutrition_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items whose nutrition is printed as lists, tuples, with either quote, signs, open commas, brackets in names, None or junk."""
+    key, size = F.col("p_partkey"), F.col("p_size").cast("string")
+    forms = [
+        '[["Calories", #], ["Fiber", 2]]', '(("calories", #), ("fiber", 2))', "[['Calories', #], ['it\\'s \"x\"', .5]]", '[["calories", +#], ["sodium", -1e2],]',
+        '[["Vitamin A (RAE), total", #], ["a, None, b", None]]', '[["calories", "#d"], (" Fiber ", "#")]', '[["calories", #d]]', '[["x"]]', '[["a", 1], ["A ", #]]',
+    ]
+    text = F.element_at(F.array(*[F.lit(f) for f in forms]), (key % len(forms) + 1).cast("int"))
+    return _load(spark, sf_dir, "part").select(key.cast("string").alias("upc_nbr"), F.replace(text, F.lit("#"), size).alias("nutrition_nm"))
+
+
+def timed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with an hour of the day from the order's number."""
+    hour = F.make_dt_interval(F.lit(0), (F.col("txn_id").cast("bigint") % 24).cast("int"))
+    return transactions(spark, sf_dir).withColumn("txn_date", F.col("txn_date").cast("timestamp_ntz") + hour)
+
+
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _load(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     orders = _load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")

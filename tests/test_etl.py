@@ -74,10 +74,12 @@ def test_wide_nutrition(spark):
     rows = items(
         spark, ("1", "b", None, '[["Calories", 180], ["Saturated Fat", 3], ["Fat Calories", 9]]'), ("2", "b", None, None)
     )
-    wide = N.build_item_nutrition(rows)
+    names = ["calories", "fat calories", "saturated fat"]
+    assert sorted(r["name"] for r in N.nutrient_names(rows).collect()) == names
+    wide = N.build_item_nutrition(rows, names)
     assert wide.columns == ["upc_id", "calories", "fat calories"]
     assert {r["upc_id"]: r["calories"] for r in wide.collect()} == {"1": 180.0, "2": None}
-    pivoted = N.pivot_nutrition(rows)
+    pivoted = N.pivot_nutrition(rows, names)
     assert sorted(map(tuple, pivoted.collect())) == sorted(map(tuple, wide.collect()))
 
 
@@ -112,6 +114,14 @@ def test_history_reference_before_purchase_and_returns(spark, one_attr):
     assert got[0]["hist_score"] == pytest.approx(math.exp(10 / 90))
 
 
+def test_days_between_timestamps(spark, one_attr):
+    rows = spark.createDataFrame(
+        [("h", "u1", "t1", dt.datetime(2024, 1, 10, 23), 1.0), ("g", "u1", "t2", dt.datetime(2024, 1, 12, 1), 1.0)],
+        "household_id string, upc_nbr string, txn_id string, txn_date timestamp, item_qount double")
+    got = {r["household_id"]: r["last_seen_days"] for r in H.build_hh_attr_history(rows, one_attr).collect()}
+    assert got == {"h": 1, "g": 0}
+
+
 def test_hh_item_baskets(spark):
     rows = txns(spark, ("h", "u", "t9", dt.date(2024, 2, 29), 1.0))
     assert H.build_hh_item(rows).first()["basket_id"] == "t9"
