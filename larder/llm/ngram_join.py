@@ -3,15 +3,18 @@
 A document's set holds 48-bit hashes of its distinct five-word shingles (of the whole sequence where there are fewer words).
 Equal sets are one node from here on, however many copies they have.
 
-1. *Routing.*  Two sets of similarity t share one of the n - ceil(t n) + 1 first shingles of each, in any common order.  The
-   order puts shingles that many documents have last (a bounded list of them, found by counting in every task), then
-   goes by hash.  Nodes that share a routed shingle, and whose sizes are linked by steps of at most 1/t, form a candidate cluster
-   (connected components of star edges: one edge a node and shingle, never all pairs).
-2. *Tree.*  Within a cluster each set is a point: its shingles are hashed into GROUPS groups and counted.  Points are packed by
-   size and coordinates into an R-tree whose boxes keep the largest coordinates; the sum of coordinate minima bounds the
-   overlap of a query with anything in a box, and then with each point.  Surviving pairs are verified on the sets.  Pairs that
-   are connected already aren't verified again, so a dense group costs about one test a node.
-3. *Large clusters* are cut into leaves of at most LEAF nodes.  Leaves are joined in themselves, with a few nodes of the cluster
+1. *Groups.*  Shingles are hashed into groups, more groups than two linked sets can differ in shingles: sets of n and m
+   shingles and similarity t differ in at most (n + m) (1 - t) / (1 + t).  So one group at least is the same, and not empty, in
+   both; nodes meet by the hash of a group's whole content.  The number of groups goes by a level of sizes, which a
+   set shares with every set it can be linked to.  (A set with too few non-empty groups meets by single shingles instead.)
+2. *Bound.*  Each set is a point: its counts in a power of two of groups.  The sum of coordinate minima of two points bounds their
+   overlap; pairs that meet and whose bound is too low are dropped.  Where more than MANY nodes meet, no pairs are listed; the
+   nodes are kept together by star edges.
+3. *Tree.*  Connected pairs and stars form clusters, and each is searched in one task: its points are packed by size and
+   coordinates into an R-tree whose boxes keep the largest coordinates; minima bound the overlap of a query with anything in
+   a box, and then with each point.  Surviving pairs are verified on the sets.  Pairs that are connected already aren't
+   verified again, so a dense group costs about one test a node.
+4. *Large clusters* are cut into leaves of at most LEAF nodes.  Leaves are joined in themselves, with a few nodes of the cluster
    in all of them; if that leaves several components, every pair of leaves that can still hold a link is joined too.
 
 No bucket, cluster or partner list is capped.  Components follow from the links.
@@ -31,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.components import components
-from larder.llm.substring_dedup import _Members, _split
+from larder.llm.substring_dedup import _split
 from larder.llm.words import U64, Words, mix, raw, run_inside, shingles, slices, text_column
 from larder.session import materialize
 
@@ -43,11 +46,21 @@ LEAF = 4096
 LEAF_SHINGLES = 2_000_000
 SHARED_NODES = 16
 SHARD_BYTES = 24 << 20
-FREQUENT = 100_000  # shingles in the list that goes last
-FREQUENT_SHARE = 0.001  # a task reports those that this share of its documents has
-LEAST_FREQUENT = 8
+MANY = 64
+HELD_KEYS = 1 << 22
 HASH_BITS = U64(48)
 TRIES = 12
+STEP = 1.25  # ratio of the sizes of neighbouring levels
+
+
+def _levels(percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each level its smallest size, the most shingles in which two of its linked sets differ, and its groups."""
+    least = [1]
+    while least[-1] < 1 << 40:
+        least.append(max(least[-1] + 1, int(least[-1] * STEP)))
+    least = np.array(least)
+    differ = 2 * (least[1:] - 1) * (100 - percent) // (100 + percent)
+    return least[:-1], differ, np.maximum(differ + 1, -(-5 * differ // 4)) + 1
 
 
 def shingle_sets(words: Words, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -92,132 +105,171 @@ def least_overlap(n, m, percent: int = PERCENT):
     return -(-percent * (n + m) // (100 + percent))
 
 
-def set_table(docs: DataFrame) -> DataFrame:
-    """Rows of each document (doc_id, n, node), and of each shingle that is frequent in a task (shingle, count)."""
+def _points(hashes: np.ndarray, start: np.ndarray) -> list[bytes]:
+    """Counts of each set in a power of two of groups, about four shingles to a group; a point of twice the groups folds onto it."""
+    size = np.diff(start)
+    groups = 1 << np.maximum(3, np.ceil(np.log2(np.maximum(size, 1) / 4)).astype(np.int64))
+    base = np.cumsum(groups) - groups
+    owner = np.repeat(np.arange(len(size)), size)
+    at = base[owner] + (mix(hashes) & (groups[owner] - 1).astype(U64)).astype(np.int64)
+    count = np.minimum(np.bincount(at, minlength=int(groups.sum())), 255).astype(np.uint8).tobytes()
+    return [count[b : b + g] for b, g in zip(base.tolist(), groups.tolist(), strict=True)]
+
 
+def set_table(docs: DataFrame) -> DataFrame:
+    """doc_id, n, node, point of each document, as a written table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, docs_seen = [], 0, 0
         for b in batches:
-            size, names = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64)
+            size, names, points = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), []
             for i, j, h, start in _sets(text_column(b, "text")):
                 size[i:j], names[i:j] = np.diff(start), set_names(h, start)
-                held.append(h)
-                rows += len(h)
-                docs_seen += j - i
-                if rows > 1 << 22:
-                    yield from counted(held, docs_seen)
-                    held, rows, docs_seen = [], 0, 0
-            yield out(b.column(0), size, names, None, None)
-        if held:
-            yield from counted(held, docs_seen)
-
-    def counted(held: list[np.ndarray], docs_seen: int) -> Iterator[pa.RecordBatch]:
-        all_ = np.concatenate(held)
-        all_.sort()
-        new = np.flatnonzero(np.r_[True, all_[1:] != all_[:-1]]) if len(all_) else np.zeros(0, np.int64)
-        count = np.diff(np.append(new, len(all_)))
-        much = np.flatnonzero(count >= max(LEAST_FREQUENT, FREQUENT_SHARE * docs_seen))
-        yield out(None, None, None, all_[new[much]].view(np.int64), count[much])
-
-    def out(*columns) -> pa.RecordBatch:
-        n = max(len(c) for c in columns if c is not None)
-        return pa.RecordBatch.from_arrays(
-            [pa.nulls(n, pa.int64()) if c is None else c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns],
-            names=["doc_id", "n", "node", "shingle", "count"])
+                points += _points(h, start)
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(size), pa.array(names), pa.array(points, pa.binary())], names=["doc_id", "n", "node", "point"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, shingle long, count long"))
-
-
-def frequent_shingles(table: DataFrame, most: int = FREQUENT) -> tuple[np.ndarray, np.ndarray]:
-    """The shingles with the largest counts, ascending, with a class that grows with the count; at most `most`."""
-    total = table.filter("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("count").alias("count"))
-    rows = total.orderBy(F.desc("count"), "shingle").limit(most).toPandas()
-    shingle, count = rows["shingle"].to_numpy(np.int64).view(U64), rows["count"].to_numpy(np.int64)
-    order = np.argsort(shingle)
-    return shingle[order], (np.log2(np.maximum(count[order], 1)) + 1).astype(np.int64)
-
+    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, point binary"))
 
-PIECE = "shard int, node binary, size binary, count binary, shingle binary"
 
-
-def _routed(frequent: tuple[np.ndarray, np.ndarray], shards: int, percent: int):
-    """Each set's first shingles, packed by shard, once for each set in a task."""
+def group_keys(hashes: np.ndarray, start: np.ndarray, use: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the marked sets, and whose they are: two linked sets that differ have a key in common."""
+    least, differ, groups = _levels(percent)
+    size = np.diff(start)
+    owner = np.repeat(np.arange(len(size)), size)
+    low = np.searchsorted(least, np.maximum(size, 1), "right") - 1
+    high = np.searchsorted(least, np.maximum(size, 1) * 100 // percent, "right") - 1
+    spread, keys, owners = mix(hashes ^ U64(0x5851F42D4C957F2D)), [], []
+    for step in range(int((high - low).max(initial=-1)) + 1):
+        level = low + step
+        here = use & (size > 0) & (level <= high)
+        if not here.any():
+            continue
+        many = np.where(here, groups[level], 0)
+        base = np.cumsum(many) - many
+        mine = here[owner]
+        who, h = owner[mine], hashes[mine]
+        at = base[who] + ((spread[mine] >> U64(20)) % many[who].astype(U64)).astype(np.int64)
+        content = np.zeros(int(many.sum()), U64)
+        np.add.at(content, at, spread[mine])
+        filled = np.flatnonzero(np.bincount(at, minlength=len(content)))
+        whose = np.flatnonzero(here)[np.searchsorted(base[here], filled, "right") - 1]
+        place = (filled - base[whose]).astype(U64) + (level[whose].astype(U64) << U64(32))
+        keys.append(mix(content[filled] + mix(place)))
+        owners.append(whose)
+        few = here & (np.bincount(whose, minlength=len(size)) <= differ[level])
+        single = few[who]
+        keys.append(mix(h[single] + mix(level[who[single]].astype(U64) + U64(1 << 62))))
+        owners.append(who[single])
+    return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, U64), np.zeros(0, np.int64))
+
+
+PIECE = "shard int, node binary, count binary, key binary"
+KEY_BYTES = 5
+
+
+def _routed(shards: int, percent: int):
+    """Each set's keys, packed by shard, once for each set in a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, held, rows = _Members(frequent[0]), [], 0
+        held, rows, seen = [], 0, np.zeros(0, np.int64)
         for b in batches:
             for _, _, h, start in _sets(text_column(b, "text")):
-                size = np.diff(start)
-                cls = np.zeros(len(h), np.int64)
-                if len(frequent[0]):
-                    at, place = common.find(h)
-                    cls[at] = frequent[1][place]
-                owner = np.repeat(np.arange(len(size)), size)
-                order = np.argsort(owner * 128 + cls, kind="stable")
-                rank = np.arange(len(h)) - start[owner]
-                need = size - -(-percent * size // 100) + 1
-                keep = rank < need[owner]
-                held.append((h[order][keep], owner[keep] + (held[-1][4] if held else 0), set_names(h, start), size,
-                             (held[-1][4] if held else 0) + len(size)))
-                rows += len(held[-1][0])
-                if rows > 1 << 22:
+                names = set_names(h, start)
+                use = np.zeros(len(names), bool)
+                use[np.unique(names, return_index=True)[1]] = True
+                use &= ~np.isin(names, seen)
+                seen = np.concatenate([seen, names[use]])
+                key, who = group_keys(h, start, use, percent)
+                held.append((key, names[who]))
+                rows += len(key)
+                if rows > HELD_KEYS:
                     yield from pack(held)
-                    held, rows = [], 0
-        if held:
+                    held, rows, seen = [], 0, seen[:0]
+        if rows:
             yield from pack(held)
 
     def pack(held: list) -> Iterator[pa.RecordBatch]:
-        h, owner, names, size = (np.concatenate([x[k] for x in held]) for k in range(4))
-        _, first = np.unique(names, return_index=True)
-        once = np.zeros(len(names), bool)
-        once[first] = True
-        h, owner = h[once[owner]], owner[once[owner]]
-        shard = (h % U64(shards)).astype(np.int64)
-        order = np.lexsort((owner, shard))
-        h, owner, shard = h[order], owner[order], shard[order]
+        key, node = (np.concatenate([x[k] for x in held]) for k in (0, 1))
+        shard = (key >> U64(40)) % U64(shards)
+        order = np.lexsort((node, shard))
+        key, node, shard = key[order], node[order], shard[order].astype(np.int64)
         out = []
         for s, r in _split(shard):
-            who, count = np.unique(owner[r], return_counts=True)
-            out.append((s, names[who].tobytes(), size[who].astype("<u4").tobytes(), count.astype("<u4").tobytes(),
-                        h[r].view(np.uint8).reshape(-1, 8)[:, :6].tobytes()))
+            who, count = np.unique(node[r], return_counts=True)
+            out.append((s, who.tobytes(), count.astype("<u4").tobytes(), key[r].view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()))
         for i in range(0, len(out), 64):
             part = list(zip(*out[i : i + 64], strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), *(pa.array(p, pa.binary()) for p in part[1:])],
-                                             names=["shard", "node", "size", "count", "shingle"])
+                                             names=["shard", "node", "count", "key"])
 
     return run
 
 
-def _star_edges(percent: int):
-    """Edges of a shard: nodes with a routed shingle in common, from the smallest of each chain of sizes."""
+def _met(many: int):
+    """Pairs of nodes with a key of the shard in common; stars where more than `many` have it."""
     def run(table: pa.Table) -> pa.Table:
-        node, size, count, shingle = (table.column(c).to_pylist() for c in ("node", "size", "count", "shingle"))
+        node, count, key = (table.column(c).to_pylist() for c in ("node", "count", "key"))
         node = np.concatenate([np.frombuffer(x, "<i8") for x in node])
-        size = np.concatenate([np.frombuffer(x, "<u4") for x in size]).astype(np.int64)
         count = np.concatenate([np.frombuffer(x, "<u4") for x in count])
-        six = np.concatenate([np.frombuffer(x, np.uint8) for x in shingle]).reshape(-1, 6)
-        h = np.zeros((len(six), 8), np.uint8)
-        h[:, :6] = six
-        h = h.view("<u8").ravel()
-        owner = np.repeat(np.arange(len(node)), count)
-        order = np.argsort(h, kind="stable")
-        h, owner = h[order], owner[order]
-        same = np.r_[False, h[1:] == h[:-1]]
+        part = np.concatenate([np.frombuffer(x, np.uint8) for x in key]).reshape(-1, KEY_BYTES)
+        key = np.zeros((len(part), 8), np.uint8)
+        key[:, :KEY_BYTES] = part
+        key = key.view("<u8").ravel()
+        node = np.repeat(node, count)
+        order = np.argsort(key, kind="stable")
+        key, node = key[order], node[order]
+        same = np.r_[False, key[1:] == key[:-1]]
         more = same | np.r_[same[1:], False]
-        h, owner = h[more], owner[more]
-        order = np.lexsort((node[owner], size[owner], h))
-        h, owner = h[order], owner[order]
-        n, who = size[owner], node[owner]
-        if not len(h):
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-        fresh = np.r_[True, (h[1:] != h[:-1]) | (n[:-1] * 100 < n[1:] * percent)]
-        hub = who[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]]
-        pair = np.unique(np.stack([hub, who], 1)[hub != who], axis=0)
-        return pa.table({"a": pa.array(pair[:, 0]), "b": pa.array(pair[:, 1])})
+        key, node = key[more], node[more]
+        order = np.lexsort((node, key))
+        key, node = key[order], node[order]
+        once = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.zeros(0, bool)
+        key, node = key[once], node[once]
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+        size = np.diff(np.append(start, len(key)))
+        listed, stars = [np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]
+        for m in np.unique(size[(size > 1) & (size <= many)]):
+            i, j = np.triu_indices(m, 1)
+            first = start[size == m]
+            per = max(1, (1 << 20) // len(i))
+            for k in range(0, len(first), per):
+                member = node[first[k : k + per, None] + np.arange(m)]
+                listed.append(np.unique(np.stack([member[:, i].ravel(), member[:, j].ravel()], 1), axis=0))
+        for k in np.flatnonzero(size > many):
+            member = node[start[k] : start[k] + size[k]]
+            stars.append(np.stack([np.full(len(member) - 1, member[0]), member[1:]], 1))
+        listed, stars = (np.unique(np.concatenate(x), axis=0) for x in (listed, stars))
+        both = np.concatenate([listed, stars])
+        return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1]), "star": pa.array(np.arange(len(both)) >= len(listed))})
 
     return run
 
 
+def overlap_bounds(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """The sum of coordinate minima of each pair of points."""
+    wide = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
+    out = np.zeros(len(a), np.int64)
+    for p, q in np.unique(wide, axis=0):
+        at, g = np.flatnonzero((wide == (p, q)).all(1)), min(p, q)
+        x, y = (np.frombuffer(b"".join([v[k] for k in at]), np.uint8).reshape(len(at), -1, g).astype(np.int32).sum(1) for v in (a, b))
+        out[at] = np.minimum(x, y).sum(1)
+    return out
+
+
+def bounded_pairs(met: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a, b: the pairs whose points leave room for the overlap that a link needs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n, m = (b.column(k).to_numpy() for k in (2, 3))
+            bound = overlap_bounds(b.column(4).to_pylist(), b.column(5).to_pylist())
+            yield b.select(["a", "b"]).filter(pa.array(bound >= least_overlap(n, m, percent)))
+
+    pairs = met.filter("NOT star").select("a", "b").distinct()
+    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("point").alias(f"p{k}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").filter(
+        F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    return joined.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
+
+
 class CountTree:
     """An R-tree of one level of boxes over group counts, packed by size and then by coordinates."""
 
@@ -373,12 +425,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach) of each document."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    table = set_table(docs)
-    sets = table.filter("node IS NOT NULL").select("doc_id", "n", "node")
-    routed = docs.select("text").mapInArrow(_routed(frequent_shingles(table), shards, percent), PIECE)
-    edges = materialize(routed.groupBy("shard").applyInArrow(_star_edges(percent), "a long, b long"))
+    sets = set_table(docs)
+    nodes = materialize(sets.filter("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")))
+    routed = docs.select("text").mapInArrow(_routed(shards, percent), PIECE)
+    met = materialize(routed.groupBy("shard").applyInArrow(_met(MANY), "a long, b long, star boolean"))
+    edges = bounded_pairs(met, nodes, percent).union(met.filter("star").select("a", "b"))
     clusters = materialize(components(edges))
-    nodes = materialize(sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")))
+    nodes = nodes.drop("point")
     linked = components(verified_links(docs, nodes, clusters, shards, percent))
     label = nodes.join(linked, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))
     least = label.groupBy("root").agg(F.min("rep").alias("component_id"))

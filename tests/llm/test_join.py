@@ -53,9 +53,10 @@ def families(seed=11):
     return rows
 
 
-@pytest.mark.parametrize("leaf,shard_bytes,shared", [(4096, 24 << 20, 16), (4, 2000, 2), (2, 2000, 0)])
-def test_equals_brute_force(make, monkeypatch, leaf, shard_bytes, shared):
+@pytest.mark.parametrize("leaf,shard_bytes,shared,many", [(4096, 24 << 20, 16, 64), (4, 2000, 2, 3), (2, 2000, 0, 1)])
+def test_equals_brute_force(make, monkeypatch, leaf, shard_bytes, shared, many):
     monkeypatch.setattr(N, "LEAF", leaf)
+    monkeypatch.setattr(N, "MANY", many)
     monkeypatch.setattr(N, "SHARD_BYTES", shard_bytes)
     monkeypatch.setattr(N, "SHARED_NODES", shared)
     rows = families()
@@ -87,6 +88,27 @@ def test_tree_bound_never_loses_a_pair():
         assert near <= set(tree.search(i).tolist())
 
 
+def test_linked_sets_have_a_key_in_common_and_room_in_their_points():
+    rng = np.random.default_rng(1)
+    sets = []
+    for n in [*range(1, 40), *rng.integers(40, 4000, 40)]:
+        base = rng.integers(0, 1 << 48, n).astype(np.uint64)
+        for gone, new in ((n // 5, 0), (0, n // 4), (n // 10, n // 10), (1, 0), (0, 1)):
+            sets += [np.unique(base), np.unique(np.concatenate([base[gone:], rng.integers(0, 1 << 48, new).astype(np.uint64)]))]
+    start = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    key, who = N.group_keys(np.concatenate(sets), start, np.ones(len(sets), bool))
+    points = N._points(np.concatenate(sets), start)
+    linked = 0
+    for i in range(0, len(sets), 2):
+        a, b = sets[i], sets[i + 1]
+        both = len(np.intersect1d(a, b))
+        assert N.overlap_bounds([points[i]], [points[i + 1]])[0] >= both
+        if both and 100 * both >= 80 * len(np.union1d(a, b)):
+            assert np.intersect1d(key[who == i], key[who == i + 1]).size
+            linked += 1
+    assert linked > 250
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(1000 + rng.randrange(80), 1000 + rng.randrange(80)) for _ in range(60)] + [(7, 7), (-5, 2000)]
