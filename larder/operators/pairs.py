@@ -21,6 +21,7 @@ KEY_BLOCKS = 32
 TILE = 2048
 CHUNK_ROWS = 100_000
 SLICE_CELLS = 4_000_000
+MOST_CELLS = 8_000_000  # sums a task holds before it sends them on
 SCHEMA = "src string, dst string, w double"
 
 
@@ -66,11 +67,12 @@ def _listed_pairs(code, values, starts, sizes):
 
 
 class _Cells:
-    """Cell sums of one task, dense while its keys are few; the upper triangle holds the result."""
+    """Cell sums of one task: a dense matrix while its keys are few, sorted cells beyond; each cell leaves about once."""
 
     def __init__(self):
         self.names: dict[str, int] = {}
         self.sums = np.zeros((0, 0))
+        self.sparse = np.zeros(0, np.uint64), np.zeros(0)
 
     def add(self, groups, keys, values) -> Iterator[pd.DataFrame]:
         local, uniq = pd.factorize(keys)
@@ -79,12 +81,13 @@ class _Cells:
         sizes = np.diff(np.r_[starts, len(groups)])
         n = len(self.names)
         if n > TILE:
-            yield from self.flush(keep_names=True)
-            names = np.array(list(self.names), dtype=object)
+            self._to_sparse()
             for a, b, w in _listed_pairs(code, values, starts, sizes):
-                cells, at = np.unique(a * n + b, return_inverse=True)
-                yield _frame(names[cells // n], names[cells % n], np.bincount(at, w))
-            self.names = {}
+                self._merge(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64), w)
+                if len(self.sparse[0]) > MOST_CELLS:
+                    yield from self.flush()
+            if not len(self.sparse[0]):
+                self.names = {}
             return
         if len(self.sums) < n:
             wider = np.zeros((min(TILE, 2 * n),) * 2)
@@ -98,6 +101,16 @@ class _Cells:
             for a, b, w in _listed_pairs(code, values, starts, sizes):
                 self.sums += np.bincount(a * m + b, w, m * m).reshape(m, m)
 
+    def _merge(self, cells: np.ndarray, w: np.ndarray) -> None:
+        cells, at = np.unique(np.concatenate([self.sparse[0], cells]), return_inverse=True)
+        self.sparse = cells, np.bincount(at, np.concatenate([self.sparse[1], w]))
+
+    def _to_sparse(self) -> None:
+        if len(self.sums):
+            a, b = np.nonzero(np.triu(self.sums, 1))
+            self._merge(a.astype(np.uint64) << np.uint64(32) | b.astype(np.uint64), self.sums[a, b])
+            self.sums = np.zeros((0, 0))
+
     def _multiply(self, code, values, starts, sizes) -> None:
         n = len(self.names)
         per = max(1, SLICE_CELLS // n)
@@ -108,14 +121,15 @@ class _Cells:
             x[np.repeat(np.arange(hi - lo), sizes[lo:hi]), code[rows]] = values[rows]
             self.sums[:n, :n] += x.T @ x
 
-    def flush(self, keep_names: bool = False) -> Iterator[pd.DataFrame]:
-        if len(self.sums):
-            names = np.array(list(self.names), dtype=object)
-            a, b = np.nonzero(np.triu(self.sums, 1))
-            yield _frame(names[a], names[b], self.sums[a, b])
-        self.sums = np.zeros((0, 0))
-        if not keep_names:
-            self.names = {}
+    def flush(self) -> Iterator[pd.DataFrame]:
+        """The sums so far, as rows of bounded frames."""
+        self._to_sparse()
+        names = np.array(list(self.names), dtype=object)
+        cells, w = self.sparse
+        for lo in range(0, len(cells), 1_000_000):
+            part = cells[lo : lo + 1_000_000]
+            yield _frame(names[(part >> np.uint64(32)).astype(np.int64)], names[(part & np.uint64(0xFFFFFFFF)).astype(np.int64)], w[lo : lo + 1_000_000])
+        self.sparse = np.zeros(0, np.uint64), np.zeros(0)
 
 
 def _within_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

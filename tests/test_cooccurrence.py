@@ -93,6 +93,29 @@ def test_task_kernels_in_small_slices(monkeypatch, tile, chunk):
     assert all(out[p] == pytest.approx(want[p]) for p in want)
 
 
+def test_cells_leave_a_task_about_once(monkeypatch):
+    """Many groups over a vocabulary far above the dense limit."""
+    monkeypatch.setattr(pairs, "TILE", 64)
+    monkeypatch.setattr(pairs, "CHUNK_ROWS", 500)
+    monkeypatch.setattr(pairs, "SLICE_CELLS", 3000)
+    rng = np.random.default_rng(3)
+    rows = [(f"g{g:04d}", f"k{k}", float(1 + k % 3)) for g in range(400) for k in np.unique(rng.zipf(1.3, 12) % 500)]
+    frame = pd.DataFrame(rows, columns=["grp", "key", "val"])
+    out = list(pairs._within_groups(iter([frame.iloc[i : i + 300] for i in range(0, len(frame), 300)])))
+    want = {}
+    for _, part in frame.groupby("grp"):
+        for i, (k, v) in enumerate(zip(part["key"], part["val"], strict=True)):
+            for j, w in zip(part["key"].iloc[:i], part["val"].iloc[:i], strict=True):
+                pair = (min(k, j), max(k, j))
+                want[pair] = want.get(pair, 0.0) + v * w
+    sent = pd.concat(out)
+    assert len(sent) == len(want)
+    assert {(r.src, r.dst): r.w for r in sent.itertuples()} == pytest.approx(want)
+    monkeypatch.setattr(pairs, "MOST_CELLS", 1000)
+    again = pd.concat(pairs._within_groups(iter([frame]))).groupby(["src", "dst"])["w"].sum()
+    assert again.to_dict() == pytest.approx(want)
+
+
 def test_graph_weights(shop):
     got = cells(G.undirected_edges(shop["map_item_attribute"], shop["hh_attr_history"], min_cooccur=1))
     want = {
