@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import l2_normalize, vec_dot
 from ..session import materialize
 from .blocks import BROADCAST_BYTES, to_matrix, vector_bytes
-from .params import SUM_SCHEMA, Adam, Params, as_chunks, linear_init, sum_over_tasks
+from .params import SUM_SCHEMA, Adam, Params, as_chunks, known_settings, linear_init, sum_over_tasks
 from .ranking import with_global_rank
 from .sampling import attach_vectors, indexed_profiles, positive_samples, train_val_split, uniform_draws
 
@@ -263,14 +263,6 @@ def best_epoch(history: DataFrame) -> DataFrame:
     )
 
 
-def known_settings(defaults: dict, config: dict | None) -> dict:
-    """The defaults under the given settings; a setting that has no default is an error."""
-    unknown = sorted(set(config or {}) - set(defaults))
-    if unknown:
-        raise ValueError(f"unknown settings: {', '.join(unknown)}")
-    return defaults | (config or {})
-
-
 def train_alignment(
     item_attrs: DataFrame,
     item_vectors: DataFrame,

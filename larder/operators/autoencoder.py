@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_uniform
 from ..session import materialize
 from .alignment import unit_rows
-from .params import SUM_SCHEMA, Adam, Params, as_chunks, linear_init, shaped, sum_over_tasks
+from .params import SUM_SCHEMA, Adam, Params, as_chunks, known_settings, linear_init, shaped, sum_over_tasks
 
 # Configuration defaults.
 AE_DEFAULTS = {
@@ -121,7 +121,7 @@ def fit_autoencoder(cells: DataFrame, vocabulary: DataFrame, config: dict | None
 
     vocabulary is (attr_id, idx); an attribute without cells has an all-zero row and still gets a vector.
     """
-    cfg = AE_DEFAULTS | (config or {})
+    cfg = known_settings(AE_DEFAULTS, config)
     n = vocabulary.count()
     if n > MAX_ATTRIBUTES:
         raise ValueError(f"{n} attributes: the first and last layer grow with them; use at most {MAX_ATTRIBUTES}")

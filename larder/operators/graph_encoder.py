@@ -2,10 +2,11 @@
 
 Nodes are numbered and cut into blocks of BLOCK rows; edges into cells (source
 block, target block). A layer is a join of edge cells with node blocks, a product
-per cell, and a sum per target block; the loss joins every block with every other.
-Backward passes run the same joins the other way. What a task holds is a few
-blocks, whatever the size of the graph; the driver sees batch statistics, the loss
-and the gradient. Intermediate blocks are written to the shared folder, so a lost
+per cell, and a sum per target block; the loss takes the nodes in batches of blocks,
+dealt anew each epoch, and each node's negatives are the other nodes of its batch.
+Backward passes run the same joins the other way. Partial sums are added up in every
+task before they meet. What a task holds is a few blocks, whatever the size of the
+graph; the driver sees batch statistics, the loss and the gradient. Intermediate blocks are written to the shared folder, so a lost
 executor costs a re-read, and dropped after the epoch.
 """
 
@@ -20,15 +21,17 @@ from pyspark.sql import functions as F
 from ..functions.vectors import l2_normalize
 from ..session import Scratch, materialize
 from .alignment import BN_EPS, BN_MOMENTUM, unit_rows
-from .params import SUM_SCHEMA, Adam, Params, as_chunks, linear_init, shaped, sum_over_tasks
+from .params import SUM_SCHEMA, Adam, Params, as_chunks, known_settings, linear_init, shaped, sum_over_tasks
 
 # Configuration defaults.
 GRAPH_DEFAULTS = {
     "dim": 64, "hidden_dim": 128, "n_layers": 3, "drop_edge_prob": 0.2, "drop_feat_prob": 0.1,
     "temperature": 0.5, "epochs": 100, "lr": 0.001, "use_household_edges": True, "min_cooccur": 3, "seed": 42,
     "dropout": 0.2,
-}
+} | {"batch_blocks": 8}  # blocks of nodes that are each other's negatives in an epoch; with no more blocks, all are
 BLOCK = 1024
+HELD_SUMS = 32
+SLICE_EDGES = 1 << 16
 
 NODE = "view int, blk int, m binary"
 STATE = "view int, blk int, h binary, nb binary, deg binary, p binary, sums binary"
@@ -137,15 +140,13 @@ class _Task(_Pass):
     def project(self, x: np.ndarray) -> np.ndarray:
         return np.maximum(x @ self.model.value["w0"] + self.model.value["b0"], 0)
 
-    def cell(self, r) -> np.ndarray:
-        """Dense source-by-target weights of an edge cell, after edge dropout."""
+    def cell(self, r) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sources, targets and weights of an edge cell, after edge dropout."""
         s, d, w = np.frombuffer(r.s, np.int32), np.frombuffer(r.d, np.int32), np.frombuffer(r.w)
         if self.epoch is not None:
             kept = self.rng(2, r.view, r.sb, r.db).random(len(w)) > self.cfg["drop_edge_prob"]
             s, d, w = s[kept], d[kept], w[kept]
-        a = np.zeros((self.block, self.block))
-        a[s, d] = w
-        return a
+        return s, d, w
 
     def activate(self, layer: int, r, stats) -> tuple:
         """(next h, x-hat, 1/std, mask of what passes) of a block row at a layer."""
@@ -165,6 +166,48 @@ class _Task(_Pass):
         return (h + out if h.shape == out.shape else out), xhat, inv, passed
 
 
+def _weighted_sum(to: np.ndarray, source: np.ndarray, w: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """For each target the sum of w * m[source] over its edges; as many rows as the largest target needs."""
+    out = np.zeros((int(to.max()) + 1 if len(to) else 0, m.shape[1]))
+    order = np.argsort(to, kind="stable")
+    for lo in range(0, len(order), SLICE_EDGES):
+        at = order[lo : lo + SLICE_EDGES]
+        first = np.flatnonzero(np.r_[True, np.diff(to[at]) != 0])
+        out[to[at][first]] += np.add.reduceat(w[at, None] * m[source[at]], first, axis=0)
+    return out
+
+
+def _longer_sum(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sum of two flat arrays; the shorter one counts as zero beyond its end."""
+    a, b = (a, b) if len(a) >= len(b) else (b, a)
+    a = a.copy()
+    a[: len(b)] += b
+    return a
+
+
+def _presummed(parts: DataFrame) -> DataFrame:
+    """PART rows added up by block within each task, a bounded number of blocks at a time."""
+    def run(batches):
+        held: dict[tuple[int, int], list] = {}
+
+        def frame():
+            rows = [(*k, m.tobytes(), d.tobytes(), loss) for k, (m, d, loss) in held.items()]
+            held.clear()
+            return pd.DataFrame(rows, columns=["view", "blk", "m", "deg", "loss"])
+
+        for pdf in batches:
+            for r in pdf.itertuples(index=False):
+                new = np.frombuffer(r.m), np.frombuffer(r.deg), r.loss
+                old = held.get((r.view, r.blk))
+                held[r.view, r.blk] = new if old is None else (_longer_sum(old[0], new[0]), _longer_sum(old[1], new[1]), old[2] + new[2])
+                if len(held) > HELD_SUMS:
+                    yield frame()
+        if held:
+            yield frame()
+
+    return parts.mapInPandas(run, PART)
+
+
 def _per_row(df: DataFrame, fn, schema: str) -> DataFrame:
     """fn(row) -> iterable of tuples, over rows that are whole blocks."""
     names = [c.strip().split(" ")[0] for c in schema.split(",")]
@@ -188,13 +231,14 @@ def _combine(own: DataFrame, parts: DataFrame, fn, schema: str) -> DataFrame:
         return pd.DataFrame(rows, columns=names)
 
     keys = ["view", "blk"]
-    return own.groupBy(keys).cogroup(parts.groupBy(keys)).applyInPandas(run, schema)
+    return own.groupBy(keys).cogroup(_presummed(parts).groupBy(keys)).applyInPandas(run, schema)
 
 
 def _total(parts: pd.DataFrame, column: str, dim: int, n: int) -> np.ndarray:
     total = np.zeros((n, dim))
     for b in parts[column]:
-        total += _rows(b, dim)[:n]
+        rows = _rows(b, dim)[:n]
+        total[: len(rows)] += rows
     return total
 
 
@@ -214,10 +258,8 @@ def _convolve(run: _Pass, layer: int, h: DataFrame) -> DataFrame:
     t, hidden = run.state(), run.cfg["hidden_dim"]
 
     def message(r):
-        a = t.cell(r)
-        m = _rows(r.m, hidden)
-        a = a[: len(m)]
-        yield r.view, r.db, _bytes(a.T @ m), _bytes(a.sum(0)), 0.0
+        s, d, w = t.cell(r)
+        yield r.view, r.db, _bytes(_weighted_sum(d, s, w, _rows(r.m, hidden))), _bytes(np.bincount(d, w)), 0.0
 
     def combine(r, parts):
         m = _rows(r.m, hidden)
@@ -275,16 +317,27 @@ def graph_encode(
     return named.mapInPandas(unpack, "attr_id string, vector array<double>")
 
 
-def _met_blocks(left: DataFrame, n_blocks: int) -> DataFrame:
-    """Every block of both views next to every other, by an equi-join on block numbers."""
+def dealt(n_blocks: int, per_batch: int, seed: int, epoch: int) -> tuple[int, int, int]:
+    """(a, inverse of a, c) of the permutation x -> (a x + c) mod n_blocks whose runs of per_batch blocks are the batches."""
+    rng = np.random.default_rng([seed, epoch, 4])
+    a = next(k for k in range(int(rng.integers(1, max(2, n_blocks))), 2 * n_blocks + 1) if np.gcd(k, n_blocks) == 1)
+    return a, pow(a, -1, n_blocks) if n_blocks > 1 else 0, int(rng.integers(0, n_blocks))
+
+
+def _met_blocks(run: _Pass, left: DataFrame, n_blocks: int) -> DataFrame:
+    """Every block of both views next to every other of its batch, by an equi-join on block numbers."""
+    per = min(run.cfg["batch_blocks"], n_blocks)
+    a, inverse, c = dealt(n_blocks, per, run.cfg["seed"], run.epoch)
+    first = f"pmod(blk * {a}L + {c}L, {n_blocks}L) div {per} * {per}"
+    block = f"cast(pmod((x - {c}L) * {inverse}L, {n_blocks}L) AS int)"
+    members = f"transform(sequence({first}, least({first} + {per}, {n_blocks}L) - 1), x -> array(struct(1 AS v, {block} AS b), struct(2 AS v, {block} AS b)))"
     other = left.select(*[F.col(c).alias(f"o_{c}") for c in left.columns])
-    targets = F.explode(F.expr(f"flatten(transform(sequence(0, {n_blocks} - 1), b -> array(struct(1 AS v, b AS b), struct(2 AS v, b AS b))))"))
-    wanted = left.withColumn("t", targets)
+    wanted = left.withColumn("t", F.explode(F.expr(f"flatten({members})")))
     return wanted.join(other, (F.col("t.v") == F.col("o_view")) & (F.col("t.b") == F.col("o_blk"))).drop("t")
 
 
 def _loss_parts(run: _Pass, z: DataFrame, n: int) -> DataFrame:
-    """PART rows whose m is the loss gradient by unit vector, and whose loss adds up to the mean loss."""
+    """PART rows whose m is the loss gradient by unit vector, and whose loss adds up to the mean loss over in-batch negatives."""
     dim, tau = run.cfg["dim"], run.cfg["temperature"]
     n_blocks = -(-n // run.block)
 
@@ -301,7 +354,7 @@ def _loss_parts(run: _Pass, z: DataFrame, n: int) -> DataFrame:
     def with_total(r, parts):
         return r.view, r.blk, r.m, _bytes(_total(parts, "m", 1, len(_rows(r.m, dim))))
 
-    sums = _per_row(_met_blocks(z, n_blocks), exp_sums, PART)
+    sums = _per_row(_met_blocks(run, z, n_blocks), exp_sums, PART)
     known = run.scratch.keep(_combine(z, sums, with_total, NODE + ", e binary"))
 
     def gradients(r):
@@ -314,7 +367,7 @@ def _loss_parts(run: _Pass, z: DataFrame, n: int) -> DataFrame:
             loss = float((np.log(own[:, 0]) + 1.0 / tau - (u * o).sum(1) / tau).sum()) / (2 * n)
         yield r.view, r.blk, _bytes(du / (2 * n * tau)), b"", loss
 
-    return _per_row(_met_blocks(known, n_blocks), gradients, PART)
+    return _per_row(_met_blocks(run, known, n_blocks), gradients, PART)
 
 
 def _with_gradient(run: _Pass, layer: int, state: DataFrame, stats: dict, parts: DataFrame) -> DataFrame:
@@ -361,8 +414,8 @@ def _back_parts(run: _Pass, layer: int, grads: DataFrame, stats: dict, sums: dic
         yield r.view, r.blk, _bytes((dp @ t.model.value[f"wn{layer}"].T) / _rows(r.deg, 1))
 
     def message(r):
-        m = _rows(r.m, hidden)
-        yield r.view, r.sb, _bytes(t.cell(r)[:, : len(m)] @ m), b"", 0.0
+        s, d, w = t.cell(r)
+        yield r.view, r.sb, _bytes(_weighted_sum(s, d, w, _rows(r.m, hidden))), b"", 0.0
 
     by_target = _per_row(grads, to_neighbours, NODE).withColumnRenamed("blk", "db")
     return _per_row(grads, own, PART).unionByName(_per_row(run.edges.join(by_target, "db"), message, PART))
@@ -428,7 +481,7 @@ def fit_graph_encoder(
 
     vocabulary is (attr_id, idx) with idx from 0 and covers all nodes.
     """
-    cfg = GRAPH_DEFAULTS | (config or {})
+    cfg = known_settings(GRAPH_DEFAULTS, config)
     sc = edges.sparkSession.sparkContext
     n = vocabulary.count()
     n_in = features.select(F.size("features")).first()[0]

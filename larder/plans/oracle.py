@@ -412,7 +412,8 @@ oracle("align_logits", ["triple", "aligned_vec", "item_vec"], """
 # ---- affinity ----------------------------------------------------------------------------------------
 
 oracle("affinity_scores", ["score"], "SELECT item_id, attr_id, round(affinity_score, 6) AS affinity_score FROM score")
-oracle("affinity_topk", ["best"], "SELECT item_id, attr_id, round(affinity_score, 6) AS affinity_score, rank FROM best")
+for _key in ("affinity_topk", "affinity_topk_blocks"):
+    oracle(_key, ["best"], "SELECT item_id, attr_id, round(affinity_score, 6) AS affinity_score, rank FROM best")
 oracle("affinity_summary", ["best"], """
     SELECT count(*) AS n_rows, round(avg(affinity_score), 6) AS mean_score, round(min(affinity_score), 6) AS min_score,
            round(max(affinity_score), 6) AS max_score, count(DISTINCT item_id) AS n_items,

@@ -472,6 +472,13 @@ def affinity_topk(spark, d):
     return rounded(_topk(spark, d), 6, "affinity_score")
 
 
+@query
+def affinity_topk_blocks(spark, d):
+    """The same by joined blocks, as for vectors too many to broadcast."""
+    best = R.affinity_topk(V.item_vectors(spark, d), _attr_side(spark, d), k=50, limit_bytes=0)
+    return rounded(best, 6, "affinity_score")
+
+
 @query
 def affinity_summary(spark, d):
     return rounded(R.affinity_summary(_topk(spark, d)), 6, "mean_score", "min_score", "max_score", "rows_per_item")
@@ -562,18 +569,18 @@ def provider_verdicts(spark, d):
     return rounded(tables["verdicts"], 5, "norm_mean", "spread")
 
 
-# ---- trained models: few epochs over the whole tables; no SQL equivalent -------------------------------------
+# ---- trained models; no SQL equivalent -------------------------------------
 
 @query
 def cooc_ae_item(spark, d):
-    provider = PR.CooccurrenceProvider({"source": "item", "epochs": 3})
+    provider = PR.CooccurrenceProvider({"source": "item"})
     provider.fit({"map_item_attribute": _map(spark, d)})
     return provider.vectors()
 
 
 @query
 def cooc_ae_hh(spark, d):
-    provider = PR.CooccurrenceProvider({"source": "household", "epochs": 3, "pmi_shift": 0.0})
+    provider = PR.CooccurrenceProvider({"source": "household", "pmi_shift": 0.0})
     provider.fit({"hh_attr_history": _map_and_history(spark, d)[1]})
     return provider.vectors()
 
@@ -604,13 +611,13 @@ def graph_encode(spark, d):
 
 @query
 def align_train(spark, d):
-    return AL.train_alignment(*_sampled(spark, d), {"epochs": 2})["history"]
+    return AL.train_alignment(*_sampled(spark, d))["history"]
 
 
 @query
 def train_history(spark, d):
     """History and metrics as written by a run, read back."""
-    result = AL.train_alignment(*_sampled(spark, d), {"epochs": 2})
+    result = AL.train_alignment(*_sampled(spark, d))
     out = scratch_path(spark, "training")
     AL.write_training(result, f"{out}/history", f"{out}/metrics")
     history = spark.read.option("header", True).schema(
@@ -647,8 +654,8 @@ def run_providers(spark, d):
     """The vectors of two providers in one store."""
     root, _ = _etl(spark, d)
     specs = [
-        {"name": "cooc_ae_item", "model_version": "a1", "config": {"source": "item", "epochs": 2}},
-        {"name": "cooc_ae_hh", "model_version": "a1", "config": {"source": "household", "epochs": 2}},
+        {"name": "cooc_ae_item", "model_version": "a1", "config": {"source": "item"}},
+        {"name": "cooc_ae_hh", "model_version": "a1", "config": {"source": "household"}},
     ]
     PR.run_all_providers(spark, root, f"{root}/attr_embeddings", specs)
     return S.latest_vectors(S.read_store(spark, f"{root}/attr_embeddings")).select("provider", "attr_id", "dim")
@@ -658,8 +665,8 @@ def run_providers(spark, d):
 def retail_pipeline(spark, d):
     """All steps; one row per scored side."""
     specs = [
-        {"name": "cooc_ae_item", "model_version": "a1", "config": {"source": "item", "epochs": 2}},
-        {"name": "cooc_ae_hh", "model_version": "a1", "config": {"source": "household", "epochs": 2}},
+        {"name": "cooc_ae_item", "model_version": "a1", "config": {"source": "item"}},
+        {"name": "cooc_ae_hh", "model_version": "a1", "config": {"source": "household"}},
         {"name": "gcl", "model_version": "a1", "config": {"epochs": 1}},
     ]
     out = PL.run_pipeline(

@@ -237,6 +237,60 @@ def test_contrastive_step_does_not_depend_on_blocks(graph, spark):
     assert all(np.allclose(one[k], many[k], atol=1e-9) for k in params)
 
 
+def test_weighted_sums_of_edges(monkeypatch):
+    monkeypatch.setattr(GE, "SLICE_EDGES", 7)
+    rng = np.random.default_rng(0)
+    s, d, w, m = rng.integers(0, 9, 60), rng.integers(0, 6, 60), rng.random(60), rng.normal(size=(9, 3))
+    dense = np.zeros((9, 6))
+    np.add.at(dense, (s, d), w)
+    assert np.allclose(GE._weighted_sum(d, s, w, m), (dense.T @ m)[: d.max() + 1])
+    assert GE._weighted_sum(d[:0], s[:0], w[:0], m).shape == (0, 3)
+
+
+@pytest.mark.parametrize("n_blocks", [1, 2, 9, 20])
+def test_batches_deal_every_block_once(spark, n_blocks):
+    run = GE._Pass(None, None, None, 1, 1, 2, {"batch_blocks": 4, "seed": 3}, 5)
+    left = spark.createDataFrame([(v, b, b"x") for v in (1, 2) for b in range(n_blocks)], "view int, blk int, m binary")
+    met = {}
+    for r in GE._met_blocks(run, left, n_blocks).collect():
+        met.setdefault((r["view"], r["blk"]), []).append((r["o_view"], r["o_blk"]))
+    assert len(met) == 2 * n_blocks
+    groups = {tuple(sorted(v)) for v in met.values()}
+    assert sorted(x for g in groups for x in g) == sorted(met) and len(groups) == -(-n_blocks // 4)
+    assert all(len(set(v)) == len(v) and k in v for k, v in met.items())
+
+
+def test_loss_over_batches_of_many_blocks(spark):
+    """Twenty-one blocks of two nodes in batches of three, against the dense definition."""
+    rng = np.random.default_rng(4)
+    z = [rng.normal(size=(42, 5)) for _ in (1, 2)]
+    cfg = {"dim": 5, "temperature": 0.5, "batch_blocks": 3, "seed": 3}
+    blocks = spark.createDataFrame([(v, b, bytearray(GE._bytes(z[v - 1][2 * b : 2 * b + 2]))) for v in (1, 2) for b in range(21)], GE.NODE)
+    run = GE._Pass(None, None, spark.sparkContext.broadcast({}), 1, 1, 2, cfg, 1, GE.Scratch(spark))
+    parts = GE._loss_parts(run, blocks, 42).toPandas()
+    a, _, c = GE.dealt(21, 3, 3, 1)
+    batch = np.array([(a * (i // 2) + c) % 21 // 3 for i in range(42)] * 2)
+    u = np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True) for x in z])
+
+    def loss(u):
+        sim = u @ u.T / 0.5
+        sim[batch[:, None] != batch[None]] = -np.inf
+        np.fill_diagonal(sim, -np.inf)
+        partner = np.r_[np.arange(42) + 42, np.arange(42)]
+        return np.mean(np.log(np.exp(sim).sum(1)) - sim[np.arange(84), partner])
+
+    assert parts["loss"].sum() == pytest.approx(loss(u))
+    got = np.zeros((84, 5))
+    for r in parts.itertuples():
+        at = (r.view - 1) * 42 + 2 * r.blk
+        got[at : at + 2] += GE._rows(r.m, 5)
+    for i, j in ((0, 0), (50, 3), (83, 4)):
+        up, down = u.copy(), u.copy()
+        up[i, j] += 1e-6
+        down[i, j] -= 1e-6
+        assert got[i, j] == pytest.approx((loss(up) - loss(down)) / 2e-6, abs=1e-6)
+
+
 def test_graph_provider(shop):
     provider = PR.GraphProvider({"dim": 16, "hidden_dim": 32, "n_layers": 2, "epochs": 3, "lr": 0.01, "min_cooccur": 1})
     provider.fit(shop)
