@@ -7,9 +7,10 @@ Equal sets are one node from here on, however many copies they have.
    shingles and similarity t differ in at most (n + m) (1 - t) / (1 + t).  So one group at least is the same, and not empty, in
    both; nodes meet by the hash of a group's whole content.  The number of groups goes by a level of sizes, which a
    set shares with every set it can be linked to.  (A set with too few non-empty groups meets by single shingles instead.)
-2. *Bound.*  Each set is a point: its counts in a power of two of groups.  The sum of coordinate minima of two points bounds their
-   overlap; pairs that meet and whose bound is too low are dropped.  Where more than MANY nodes meet, no pairs are listed; the
-   nodes are kept together by star edges.
+2. *Bound.*  Pairs that meet in fewer groups than linked sets of their sizes have the same are dropped.  Each set is also a
+   point: its counts in a power of two of groups.  The sum of coordinate minima of two points bounds their overlap; pairs
+   whose bound is too low are dropped too.  Where more than MANY nodes meet, no pairs are listed; the nodes are kept together
+   by star edges (a pair that meets nowhere else has all its meetings counted).
 3. *Tree.*  Connected pairs and stars form clusters, and each is searched in one task: its points are packed by size and
    coordinates into an R-tree whose boxes keep the largest coordinates; minima bound the overlap of a query with anything in
    a box, and then with each point.  Surviving pairs are verified on the sets.  Pairs that are connected already aren't
@@ -47,6 +48,7 @@ LEAF_SHINGLES = 2_000_000
 SHARED_NODES = 16
 SHARD_BYTES = 24 << 20
 MANY = 64
+FILTER_BITS = 1 << 24  # of the bitmap of wanted documents, 2 MB whatever the input
 HELD_KEYS = 1 << 22
 HASH_BITS = U64(48)
 TRIES = 12
@@ -116,40 +118,69 @@ def _points(hashes: np.ndarray, start: np.ndarray) -> list[bytes]:
     return [count[b : b + g] for b, g in zip(base.tolist(), groups.tolist(), strict=True)]
 
 
-def set_table(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node, point of each document, as a written table."""
+def filled_groups(hashes: np.ndarray, start: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[list[int]]]:
+    """The level of each set, and how many of its groups have shingles there and at each higher level it emits keys for."""
+    size = np.diff(start)
+    owner = np.repeat(np.arange(len(size)), size)
+    out: list[list[int]] = [[] for _ in size]
+    low = np.zeros(len(size), np.int64)
+    for here, level, base, at in _grouped(hashes, start, size > 0, owner, percent):
+        whose = owner[here[owner]]
+        filled = np.unique(base[whose] + at)
+        count = np.bincount(np.flatnonzero(here)[np.searchsorted(base[here], filled, "right") - 1], minlength=len(size))
+        for k in np.flatnonzero(here).tolist():
+            if not out[k]:
+                low[k] = level[k]
+            out[k].append(int(count[k]))
+    return low, out
+
+
+def set_table(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n, node, point, level, filled (see `filled_groups`) of each document, as a written table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size, names, points = np.zeros(b.num_rows, np.int64), np.zeros(b.num_rows, np.int64), []
+            size, names, level = (np.zeros(b.num_rows, np.int64) for _ in range(3))
+            points, filled = [], []
             for i, j, h, start in _sets(text_column(b, "text")):
                 size[i:j], names[i:j] = np.diff(start), set_names(h, start)
                 points += _points(h, start)
+                level[i:j], more = filled_groups(h, start, percent)
+                filled += more
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(size), pa.array(names), pa.array(points, pa.binary())], names=["doc_id", "n", "node", "point"])
+                [b.column(0), pa.array(size), pa.array(names), pa.array(points, pa.binary()), pa.array(level), pa.array(filled, pa.list_(pa.int64()))],
+                names=["doc_id", "n", "node", "point", "level", "filled"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, point binary"))
+    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, point binary, level long, filled array<long>"))
 
 
-def group_keys(hashes: np.ndarray, start: np.ndarray, use: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the marked sets, and whose they are: two linked sets that differ have a key in common."""
-    least, differ, groups = _levels(percent)
+def _grouped(hashes: np.ndarray, start: np.ndarray, use: np.ndarray, owner: np.ndarray, percent: int):
+    """For each level step: the marked sets that are at it, their levels, where their groups start, and the group of each of
+    their shingles."""
+    least, _, groups = _levels(percent)
     size = np.diff(start)
-    owner = np.repeat(np.arange(len(size)), size)
     low = np.searchsorted(least, np.maximum(size, 1), "right") - 1
     high = np.searchsorted(least, np.maximum(size, 1) * 100 // percent, "right") - 1
-    spread, keys, owners = mix(hashes ^ U64(0x5851F42D4C957F2D)), [], []
+    spread = mix(hashes ^ U64(0x5851F42D4C957F2D)) >> U64(20)
     for step in range(int((high - low).max(initial=-1)) + 1):
         level = low + step
         here = use & (size > 0) & (level <= high)
-        if not here.any():
-            continue
-        many = np.where(here, groups[level], 0)
-        base = np.cumsum(many) - many
+        if here.any():
+            many = np.where(here, groups[level], 0)
+            mine = here[owner]
+            yield here, level, np.cumsum(many) - many, (spread[mine] % many[owner[mine]].astype(U64)).astype(np.int64)
+
+
+def group_keys(hashes: np.ndarray, start: np.ndarray, use: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the marked sets, and whose they are: two linked sets that differ have a key in common."""
+    _, differ, groups = _levels(percent)
+    size = np.diff(start)
+    owner = np.repeat(np.arange(len(size)), size)
+    spread, keys, owners = mix(hashes ^ U64(0x14057B7EF767814F)), [], []
+    for here, level, base, at in _grouped(hashes, start, use, owner, percent):
         mine = here[owner]
-        who, h = owner[mine], hashes[mine]
-        at = base[who] + ((spread[mine] >> U64(20)) % many[who].astype(U64)).astype(np.int64)
-        content = np.zeros(int(many.sum()), U64)
+        who, at = owner[mine], base[owner[mine]] + at
+        content = np.zeros(int(np.where(here, groups[level], 0).sum()), U64)
         np.add.at(content, at, spread[mine])
         filled = np.flatnonzero(np.bincount(at, minlength=len(content)))
         whose = np.flatnonzero(here)[np.searchsorted(base[here], filled, "right") - 1]
@@ -158,7 +189,7 @@ def group_keys(hashes: np.ndarray, start: np.ndarray, use: np.ndarray, percent:
         owners.append(whose)
         few = here & (np.bincount(whose, minlength=len(size)) <= differ[level])
         single = few[who]
-        keys.append(mix(h[single] + mix(level[who[single]].astype(U64) + U64(1 << 62))))
+        keys.append(mix(hashes[mine][single] + mix(level[who[single]].astype(U64) + U64(1 << 62))))
         owners.append(who[single])
     return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, U64), np.zeros(0, np.int64))
 
@@ -205,7 +236,7 @@ def _routed(shards: int, percent: int):
 
 
 def _met(many: int):
-    """Pairs of nodes with a key of the shard in common; stars where more than `many` have it."""
+    """Pairs of nodes with keys of the shard in common and how many; stars where more than `many` nodes have one."""
     def run(table: pa.Table) -> pa.Table:
         node, count, key = (table.column(c).to_pylist() for c in ("node", "count", "key"))
         node = np.concatenate([np.frombuffer(x, "<i8") for x in node])
@@ -226,24 +257,35 @@ def _met(many: int):
         key, node = key[once], node[once]
         start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
         size = np.diff(np.append(start, len(key)))
-        listed, stars = [np.zeros((0, 2), np.int64)], [np.zeros((0, 2), np.int64)]
+        listed, stars = [(np.zeros((0, 2), np.int64), np.zeros(0, np.int64))], [np.zeros((0, 2), np.int64)]
         for m in np.unique(size[(size > 1) & (size <= many)]):
             i, j = np.triu_indices(m, 1)
             first = start[size == m]
             per = max(1, (1 << 20) // len(i))
             for k in range(0, len(first), per):
                 member = node[first[k : k + per, None] + np.arange(m)]
-                listed.append(np.unique(np.stack([member[:, i].ravel(), member[:, j].ravel()], 1), axis=0))
+                listed.append(_counted(np.stack([member[:, i].ravel(), member[:, j].ravel()], 1)))
         for k in np.flatnonzero(size > many):
             member = node[start[k] : start[k] + size[k]]
             stars.append(np.stack([np.full(len(member) - 1, member[0]), member[1:]], 1))
-        listed, stars = (np.unique(np.concatenate(x), axis=0) for x in (listed, stars))
-        both = np.concatenate([listed, stars])
-        return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1]), "star": pa.array(np.arange(len(both)) >= len(listed))})
+        pairs, count = _counted(*(np.concatenate(x) for x in zip(*listed, strict=True)))
+        stars = _counted(np.concatenate(stars))[0]
+        both = np.concatenate([pairs, stars])
+        return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1]),
+                         "met": pa.array(np.concatenate([count, np.zeros(len(stars), np.int64)]))})
 
     return run
 
 
+def _counted(pairs: np.ndarray, count: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and the sums of their counts."""
+    order = np.lexsort((pairs[:, 1], pairs[:, 0]))
+    pairs = pairs[order]
+    first = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(1)]) if len(pairs) else np.zeros(0, np.int64)
+    total = np.concatenate([[0], np.cumsum(np.ones(len(pairs), np.int64) if count is None else count[order])])
+    return pairs[first], total[np.append(first[1:], len(pairs))] - total[first] if len(pairs) else np.zeros(0, np.int64)
+
+
 def overlap_bounds(a: list[bytes], b: list[bytes]) -> np.ndarray:
     """The sum of coordinate minima of each pair of points."""
     wide = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
@@ -256,18 +298,27 @@ def overlap_bounds(a: list[bytes], b: list[bytes]) -> np.ndarray:
 
 
 def bounded_pairs(met: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b: the pairs whose points leave room for the overlap that a link needs."""
+    """a, b: the pairs that meet as often, and whose points leave room for as much overlap, as a link needs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, m = (b.column(k).to_numpy() for k in (2, 3))
             bound = overlap_bounds(b.column(4).to_pylist(), b.column(5).to_pylist())
             yield b.select(["a", "b"]).filter(pa.array(bound >= least_overlap(n, m, percent)))
 
-    pairs = met.filter("NOT star").select("a", "b").distinct()
-    side = lambda k: nodes.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("point").alias(f"p{k}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").filter(
+    def side(k: str, *columns: str) -> DataFrame:
+        return nodes.select(F.col("node").alias(k), *[F.col(c).alias(c + k) for c in columns])
+
+    def same(k: str) -> Column:
+        """Groups of set k that are the same in any set it is linked to, of the other's size."""
+        return F.get(F.col(f"filled{k}"), (F.greatest("levela", "levelb") - F.col(f"level{k}")).cast("int")) - F.col("differ")
+
+    pairs = met.filter("met > 0").groupBy("a", "b").agg(F.sum("met").alias("met"))
+    sized = pairs.join(side("a", "n", "level", "filled"), "a").join(side("b", "n", "level", "filled"), "b").filter(
         F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    return joined.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
+    differ = F.floor((F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent))
+    enough = sized.withColumn("differ", differ).filter(F.col("met") >= F.greatest(same("a"), same("b"), F.lit(1)))
+    joined = enough.select("a", "b", "na", "nb").join(side("a", "point"), "a").join(side("b", "point"), "b")
+    return joined.select("a", "b", "na", "nb", "pointa", "pointb").mapInArrow(run, "a long, b long")
 
 
 class CountTree:
@@ -380,15 +431,27 @@ def _salt(node: Column, leaves: Column) -> Column:
     return F.pmod(F.xxhash64(node, F.lit("leaf")), leaves).cast("int")
 
 
+def wanted(texts: DataFrame, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
+    """The rows of `texts` (rep, ...) whose rep is among `ids`, and some others: a bitmap of hashes, of fixed size, is broadcast so
+    that most texts that a join would drop aren't shuffled for it."""
+    place = F.pmod(F.xxhash64("rep"), F.lit(bits))
+    marks = ids.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap"))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.expr("substring(bitmap, cast(bit div 8 + 1 AS int), 1)")), 16, 10).cast("int")
+    seen = texts.withColumns({"part": F.bitmap_bucket_number(place), "bit": at}).join(F.broadcast(marks), "part")
+    return seen.filter(F.getbit(byte.cast("long"), F.pmod(F.col("bit"), F.lit(8)).cast("int")) == 1).select(*texts.columns)
+
+
 def verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, units: int, percent: int = PERCENT) -> DataFrame:
     """a, b: links that connect all nodes of a cluster that are connected by links.
 
     nodes: node, rep (a document that has the set), n.  clusters: node, component.  Both are written tables.
     """
-    texts = docs.select(F.col("doc_id").alias("rep"), "text")
     member = clusters.withColumnRenamed("component", "cluster").join(nodes, "node")
     sums = member.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     member = materialize(member.join(sums, "cluster").withColumn("leaves", _leaf(F.col("c"), F.col("s"))))
+    texts = wanted(docs.select(F.col("doc_id").alias("rep"), "text"), member.select("rep"))
     join = lambda rows: rows.join(texts, rows["rep"].eqNullSafe(texts["rep"])).select(
         "unit", "job", "node", "known", "text").groupBy("unit").applyInArrow(_joined(percent), "a long, b long")
 
@@ -425,14 +488,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach) of each document."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    sets = set_table(docs)
+    sets = set_table(docs, percent)
     nodes = materialize(sets.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("point").alias("point")))
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "point", "level", "filled")]))
     routed = docs.select("text").mapInArrow(_routed(shards, percent), PIECE)
-    met = materialize(routed.groupBy("shard").applyInArrow(_met(MANY), "a long, b long, star boolean"))
-    edges = bounded_pairs(met, nodes, percent).union(met.filter("star").select("a", "b"))
+    met = materialize(routed.groupBy("shard").applyInArrow(_met(MANY), "a long, b long, met long"))
+    edges = bounded_pairs(met, nodes, percent).union(met.filter("met = 0").select("a", "b"))
     clusters = materialize(components(edges))
-    nodes = nodes.drop("point")
+    nodes = nodes.select("node", "rep", "n")
     linked = components(verified_links(docs, nodes, clusters, shards, percent))
     label = nodes.join(linked, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))
     least = label.groupBy("root").agg(F.min("rep").alias("component_id"))

@@ -98,17 +98,28 @@ def test_linked_sets_have_a_key_in_common_and_room_in_their_points():
     start = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
     key, who = N.group_keys(np.concatenate(sets), start, np.ones(len(sets), bool))
     points = N._points(np.concatenate(sets), start)
+    level, filled = N.filled_groups(np.concatenate(sets), start)
     linked = 0
     for i in range(0, len(sets), 2):
         a, b = sets[i], sets[i + 1]
         both = len(np.intersect1d(a, b))
         assert N.overlap_bounds([points[i]], [points[i + 1]])[0] >= both
         if both and 100 * both >= 80 * len(np.union1d(a, b)):
-            assert np.intersect1d(key[who == i], key[who == i + 1]).size
+            met = np.intersect1d(key[who == i], key[who == i + 1]).size
+            top, differ = max(level[i : i + 2]), (len(a) + len(b)) * 20 // 180
+            assert met >= max(1, filled[i][top - level[i]] - differ, filled[i + 1][top - level[i + 1]] - differ)
             linked += 1
     assert linked > 250
 
 
+def test_wanted_texts(spark):
+    texts = spark.createDataFrame([(i, f"t{i}") for i in range(2000)] + [(None, "none")], "rep long, text string")
+    some = spark.createDataFrame([(i,) for i in range(0, 2000, 7)] + [(None,)], "rep long")
+    got = {r["rep"] for r in N.wanted(texts, some).collect()}
+    assert {*range(0, 2000, 7), None} <= got and len(got) < 300
+    assert {r["rep"] for r in N.wanted(texts, some, 1 << 15).collect()} >= got
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(60)] + [(1000 + rng.randrange(80), 1000 + rng.randrange(80)) for _ in range(60)] + [(7, 7), (-5, 2000)]
