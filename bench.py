@@ -1,10 +1,15 @@
-"""Wall time of the headline queries.  Prints one JSON line."""
+"""Wall time of the headline queries.  Prints one JSON line.
+
+The tables that queries share are built first and timed on their own; a query's time is the median of three runs (trained
+models: one run at their default settings).
+"""
 
 import json
 import os
 import time
+from statistics import median
 
-from larder.plans.queries import QUERIES
+from larder.plans.queries import QUERIES, build_shared_tables
 from larder.session import local_session
 
 HEADLINE = [
@@ -13,8 +18,10 @@ HEADLINE = [
     "edge_dropout", "neighbor_mean", "vector_store_latest", "infonce_loss", "negatives_uniform",
     "negatives_popularity", "train_val_split", "training_triples", "align_logits", "affinity_topk",
     "affinity_summary", "household_affinity_topk", "provider_similarity", "nearest_neighbors", "coherence",
-    "distance_stats", "cooc_ae_item", "align_train", "gcl_embed", "full_etl",
+    "distance_stats", "full_etl",
 ]
+TRAINED = ["cooc_ae_item", "align_train", "gcl_embed"]
+RUNS = 3
 
 
 def main() -> None:
@@ -22,11 +29,16 @@ def main() -> None:
     cores = int(os.environ.get("BENCH_CPUS", "8"))
     spark = local_session(cores, shuffle_partitions=cores, app="larder-bench")
     QUERIES["scan_items"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times = {}
-    for key in HEADLINE:
-        start = time.time()
-        QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[key] = round(time.time() - start, 3)
+    start = time.time()
+    build_shared_tables(spark, sf_dir)
+    times = {"shared_tables": round(time.time() - start, 3)}
+    for key in HEADLINE + TRAINED:
+        taken = []
+        for _ in range(RUNS if key in HEADLINE else 1):
+            start = time.time()
+            QUERIES[key](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            taken.append(time.time() - start)
+        times[key] = round(median(taken), 3)
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

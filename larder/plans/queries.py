@@ -42,9 +42,19 @@ def rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
 
+_built: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _once(name: str, spark: SparkSession, d: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A written table that the queries of one application share, as the steps of the pipeline do."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _built:
+        _built[key] = materialize(build())
+    return _built[key]
+
+
 def _map(spark, d):
-    """The item map as a written table, as every later step of the pipeline reads it."""
-    return materialize(A.build_map_item_attribute(V.items(spark, d)))
+    return _once("map_item_attribute", spark, d, lambda: A.build_map_item_attribute(V.items(spark, d)))
 
 
 def _history(spark, d, item_attrs=None):
@@ -53,8 +63,12 @@ def _history(spark, d, item_attrs=None):
 
 
 def _map_and_history(spark, d):
-    item_attrs = _map(spark, d)
-    return item_attrs, materialize(_history(spark, d, item_attrs))
+    return _map(spark, d), _once("hh_attr_history", spark, d, lambda: _history(spark, d))
+
+
+def build_shared_tables(spark: SparkSession, d: str) -> None:
+    """The map and the history, written for the queries that read them."""
+    _map_and_history(spark, d)
 
 
 # ---- scans ---------------------------------------------------------------
