@@ -305,9 +305,9 @@ oracle("cooc_stats", ["item_cell", "vocab"], """
     FROM (SELECT count(*) AS c, sum(w) AS t FROM item_cell), (SELECT count(*) AS n FROM vocab)""")
 
 
-def sppmi_sql(cells: str, shift: float) -> str:
+def sppmi_sql(cells: str, shift: float, value: str = "round(w, 6)") -> str:
     return f"""
-    SELECT src, dst, round(w, 6) AS w FROM (
+    SELECT src, dst, {value} AS w FROM (
       SELECT c.src, c.dst, ln(CAST(c.w AS DOUBLE) * t.t / (CAST(r.m AS DOUBLE) * k.m)) - {shift} AS w
       FROM {cells} c JOIN (SELECT src, sum(w) AS m FROM {cells} GROUP BY src) r ON c.src = r.src
       JOIN (SELECT src, sum(w) AS m FROM {cells} GROUP BY src) k ON c.dst = k.src
@@ -432,6 +432,48 @@ oracle("household_affinity_topk", ["hist", "attr_vec"], """
              row_number() OVER (PARTITION BY p.household_id ORDER BY list_cosine_similarity(p.v, a.v) DESC, a.attr_id) AS rank
       FROM profile p CROSS JOIN attr_vec a) WHERE rank <= 10""")
 
+# ---- encoders with fixed weights ------------------------------------------------------------------------
+
+
+def pattern(i: str, j: str, a: int, b: int, c: int, m: int) -> str:
+    """The weight at row i, column j of the queries' fixed matrices."""
+    return f"((({i}) * {a} + ({j}) * {b} + {c}) % {m} - {m // 2}) / 10.0"
+
+
+oracle("ae_encode_fixed", ["item_cell", "vocab"], f"""
+    WITH idx AS (SELECT attr_id, row_number() OVER (ORDER BY attr_id) - 1 AS i FROM vocab),
+    w AS ({sppmi_sql("item_cell", 0.5, "w")}),
+    hid AS (SELECT v.attr_id, j, greatest(coalesce(sum(w.w * ({pattern("d.i", "j", 7, 3, 0, 11)})), 0) + (j + 1) / 10.0, 0) AS h
+            FROM vocab v CROSS JOIN (SELECT unnest(range(4)) AS j) LEFT JOIN w ON w.src = v.attr_id LEFT JOIN idx d ON d.attr_id = w.dst
+            GROUP BY v.attr_id, j),
+    z AS (SELECT attr_id, pos, sum(h * ({pattern("j", "pos", 5, 2, 1, 7)})) + pos / 20.0 AS z
+          FROM hid CROSS JOIN (SELECT unnest(range(3)) AS pos) GROUP BY attr_id, pos)
+    SELECT attr_id, CAST(pos AS BIGINT) AS pos,
+           round(z / CASE WHEN sum(z * z) OVER p = 0 THEN 1 ELSE sqrt(sum(z * z) OVER p) END, 5) AS value
+    FROM z WINDOW p AS (PARTITION BY attr_id)""")
+
+
+def convolution(before: str, layer: int, width: int) -> str:
+    """A layer of the graph encoder on (attr_id, i, h) rows: normalised linear maps of a node and of its neighbours' mean."""
+    own, mean = pattern("b.i", "j", 2, 3, layer, 5), pattern("n.i", "j", 3, 1, layer, 7)
+    return f"""
+      SELECT attr_id, j, (p - j / 10.0) / sqrt(1 + j / 4.0 + 1e-5) * (1 + j / 10.0) + j / 20.0 AS y FROM (
+        SELECT attr_id, j, sum(v) + (j + {layer}) / 20.0 + j / 30.0 AS p FROM (
+          SELECT b.attr_id, j, b.h * ({own}) AS v FROM {before} b CROSS JOIN (SELECT unnest(range({width})) AS j)
+          UNION ALL SELECT n.attr_id, j, n.h * ({mean}) FROM (
+            SELECT g.dst AS attr_id, b.i, sum(g.w * b.h) / greatest(sum(g.w), 1.0) AS h
+            FROM graph g JOIN {before} b ON g.src = b.attr_id GROUP BY g.dst, b.i) n CROSS JOIN (SELECT unnest(range({width})) AS j))
+        GROUP BY attr_id, j)"""
+
+
+oracle("graph_encode_fixed", ["feature_long", "graph"], f"""
+    WITH h0 AS (SELECT attr_id, j AS i, greatest(sum(value * ({pattern("f.pos", "j", 5, 3, 0, 7)})) + (j + 1) / 10.0, 0) AS h
+                FROM feature_long f CROSS JOIN (SELECT unnest(range(3)) AS j) GROUP BY attr_id, j),
+    y1 AS ({convolution("h0", 1, 3)}),
+    h1 AS (SELECT h0.attr_id, h0.i, h0.h + greatest(y1.y, 0) AS h FROM h0 JOIN y1 ON h0.attr_id = y1.attr_id AND h0.i = y1.j),
+    y2 AS ({convolution("h1", 2, 2)})
+    SELECT attr_id, CAST(j AS BIGINT) AS pos, round(y, 5) AS value FROM y2""")
+
 # ---- comparison of providers ------------------------------------------------------------------------------
 
 oracle("provider_similarity", ["provider"], """

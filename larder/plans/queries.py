@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from ..functions import vectors as X
 from ..operators import alignment as AL
 from ..operators import attributes as A
+from ..operators import autoencoder as AE
 from ..operators import comparison as C
 from ..operators import contrastive as L
 from ..operators import cooccurrence as CO
 from ..operators import graph as G
+from ..operators import graph_encoder as GE
 from ..operators import history as H
 from ..operators import nutrition as N
 from ..operators import sampling as P
@@ -510,6 +512,44 @@ def household_affinity_topk(spark, d):
     return rounded(R.household_affinity_topk(history, attr_vectors, k=10), 6, "affinity_score")
 
 
+# ---- encoders with fixed weights ------------------------------------------------------------------------
+
+def _pattern(rows: int, cols: int, a: int, b: int, c: int, m: int) -> np.ndarray:
+    i, j = np.arange(rows)[:, None], np.arange(cols)
+    return ((i * a + j * b + c) % m - m // 2) / 10.0
+
+
+@query
+def ae_encode_fixed(spark, d):
+    """The autoencoder's bottleneck of the items' SPPMI rows."""
+    item_attrs = _map(spark, d)
+    cells = CO.sppmi(materialize(CO.mirror(CO.item_cooccurrence(item_attrs))), 0.5)
+    vocabulary = materialize(G.indexed_vocabulary(materialize(G.attribute_vocabulary(item_attrs))))
+    n = vocabulary.count()
+    params = {"w1": _pattern(n, 4, 7, 3, 0, 11), "b1": np.arange(1, 5) / 10.0,
+              "w2": _pattern(4, 3, 5, 2, 1, 7), "b2": np.arange(3) / 20.0}
+    return _long(AE.encode(AE.matrix_rows(cells, vocabulary), params, n), "vector", 5)
+
+
+@query
+def graph_encode_fixed(spark, d):
+    """Two layers of the graph encoder, with running statistics."""
+    features = materialize(_features(spark, d))
+    vocabulary = materialize(G.indexed_vocabulary(materialize(G.attribute_vocabulary(_map(spark, d)))))
+    edges = _graph(spark, d)
+    n_in = features.select(F.size("features")).first()[0]
+    cfg = GE.GRAPH_DEFAULTS | {"hidden_dim": 3, "dim": 2, "n_layers": 2}
+    params, running = {"w0": _pattern(n_in, 3, 5, 3, 0, 7), "b0": np.arange(1, 4) / 10.0}, {}
+    for layer, width in ((1, 3), (2, 2)):
+        j = np.arange(width)
+        params |= {f"ws{layer}": _pattern(3, width, 2, 3, layer, 5), f"bs{layer}": (j + layer) / 20.0,
+                   f"wn{layer}": _pattern(3, width, 3, 1, layer, 7), f"bn{layer}": j / 30.0,
+                   f"gamma{layer}": 1 + j / 10.0, f"beta{layer}": j / 20.0}
+        running |= {f"mean{layer}": j / 10.0, f"var{layer}": 1 + j / 4.0}
+    cells, nodes = GE.edge_cells(edges, vocabulary, 64), materialize(GE.node_blocks(features, vocabulary, 64))
+    return _long(GE.graph_encode(materialize(cells), nodes, params, running, cfg, n_in, 64), "vector", 5)
+
+
 # ---- comparison of providers ------------------------------------------------------------------------------
 
 def _common(spark, d):
