@@ -9,8 +9,9 @@ Equal sets are one node from here on, however many copies they have.
    set shares with every set it can be linked to.  (A set with too few non-empty groups meets by single shingles instead.)
 2. *Bound.*  Pairs that meet in fewer groups than linked sets of their sizes have the same are dropped.  Each set is also a
    point: its counts in a power of two of groups.  The sum of coordinate minima of two points bounds their overlap; pairs
-   whose bound is too low are dropped too.  Where more than MANY nodes meet, no pairs are listed; the nodes are kept together
-   by star edges (a pair that meets nowhere else has all its meetings counted).
+   whose bound is too low are dropped too.  Where more than MANY nodes meet, no pairs are listed, but each node counts such
+   places: a pair that meets elsewhere may lack as many meetings as the one with fewer of them has; a pair that meets in
+   them alone needs both to have enough, and nodes that have are kept together by star edges.
 3. *Tree.*  Connected pairs and stars form clusters, and each is searched in one task: its points are packed by size and
    coordinates into an R-tree whose boxes keep the largest coordinates; minima bound the overlap of a query with anything in
    a box, and then with each point.  Surviving pairs are verified on the sets.  Pairs that are connected already aren't
@@ -118,9 +119,12 @@ def _points(hashes: np.ndarray, start: np.ndarray) -> list[bytes]:
     return [count[b : b + g] for b, g in zip(base.tolist(), groups.tolist(), strict=True)]
 
 
-def filled_groups(hashes: np.ndarray, start: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[list[int]]]:
-    """The level of each set, and how many of its groups have shingles there and at each higher level it emits keys for."""
+def filled_groups(hashes: np.ndarray, start: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[list[int]], np.ndarray]:
+    """The level of each set, how many of its groups have shingles there and at each higher level it emits keys for, and the
+    fewest groups that it has in common with any set it is linked to."""
+    least = np.append(_levels(percent)[0], 1 << 62)
     size = np.diff(start)
+    common = np.full(len(size), 1 << 40)
     owner = np.repeat(np.arange(len(size)), size)
     out: list[list[int]] = [[] for _ in size]
     low = np.zeros(len(size), np.int64)
@@ -128,30 +132,33 @@ def filled_groups(hashes: np.ndarray, start: np.ndarray, percent: int = PERCENT)
         whose = owner[here[owner]]
         filled = np.unique(base[whose] + at)
         count = np.bincount(np.flatnonzero(here)[np.searchsorted(base[here], filled, "right") - 1], minlength=len(size))
+        largest = np.minimum(size * 100 // percent, least[level + 1] - 1)
+        left = count - (size + largest) * (100 - percent) // (100 + percent)
+        common[here] = np.minimum(common[here], left[here])
         for k in np.flatnonzero(here).tolist():
             if not out[k]:
                 low[k] = level[k]
             out[k].append(int(count[k]))
-    return low, out
+    return low, out, np.maximum(common, 1)
 
 
 def set_table(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, node, point, level, filled (see `filled_groups`) of each document, as a written table."""
+    """doc_id, n, node, point, level, filled, common (see `filled_groups`) of each document, as a written table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size, names, level = (np.zeros(b.num_rows, np.int64) for _ in range(3))
+            size, names, level, common = (np.zeros(b.num_rows, np.int64) for _ in range(4))
             points, filled = [], []
             for i, j, h, start in _sets(text_column(b, "text")):
                 size[i:j], names[i:j] = np.diff(start), set_names(h, start)
                 points += _points(h, start)
-                level[i:j], more = filled_groups(h, start, percent)
+                level[i:j], more, common[i:j] = filled_groups(h, start, percent)
                 filled += more
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(size), pa.array(names), pa.array(points, pa.binary()), pa.array(level), pa.array(filled, pa.list_(pa.int64()))],
-                names=["doc_id", "n", "node", "point", "level", "filled"])
+                [b.column(0), pa.array(size), pa.array(names), pa.array(points, pa.binary()), pa.array(level), pa.array(filled, pa.list_(pa.int64())),
+                 pa.array(common)], names=["doc_id", "n", "node", "point", "level", "filled", "common"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, point binary, level long, filled array<long>"))
+    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, point binary, level long, filled array<long>, common long"))
 
 
 def _grouped(hashes: np.ndarray, start: np.ndarray, use: np.ndarray, owner: np.ndarray, percent: int):
@@ -236,7 +243,8 @@ def _routed(shards: int, percent: int):
 
 
 def _met(many: int):
-    """Pairs of nodes with keys of the shard in common and how many; stars where more than `many` nodes have one."""
+    """Pairs of nodes with keys of the shard in common and how many (met > 0); where more than `many` nodes have one, the edges
+    of a star (met = 0), and for each node how many such keys it has (a = b)."""
     def run(table: pa.Table) -> pa.Table:
         node, count, key = (table.column(c).to_pylist() for c in ("node", "count", "key"))
         node = np.concatenate([np.frombuffer(x, "<i8") for x in node])
@@ -270,9 +278,10 @@ def _met(many: int):
             stars.append(np.stack([np.full(len(member) - 1, member[0]), member[1:]], 1))
         pairs, count = _counted(*(np.concatenate(x) for x in zip(*listed, strict=True)))
         stars = _counted(np.concatenate(stars))[0]
-        both = np.concatenate([pairs, stars])
+        crowded, times = np.unique(node[np.repeat(size > many, size)], return_counts=True)
+        both = np.concatenate([pairs, stars, np.stack([crowded, crowded], 1)])
         return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1]),
-                         "met": pa.array(np.concatenate([count, np.zeros(len(stars), np.int64)]))})
+                         "met": pa.array(np.concatenate([count, np.zeros(len(stars), np.int64), times]))})
 
     return run
 
@@ -297,14 +306,18 @@ def overlap_bounds(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return out
 
 
-def bounded_pairs(met: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b: the pairs that meet as often, and whose points leave room for as much overlap, as a link needs."""
+def candidate_edges(met: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """a, b: pairs that meet as often, and whose points leave room for as much overlap, as a link needs; and the star edges of
+    nodes that may be linked through crowded keys alone."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, m = (b.column(k).to_numpy() for k in (2, 3))
             bound = overlap_bounds(b.column(4).to_pylist(), b.column(5).to_pylist())
             yield b.select(["a", "b"]).filter(pa.array(bound >= least_overlap(n, m, percent)))
 
+    crowded = materialize(met.filter("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("met").alias("crowded")))
+    nodes = nodes.join(crowded, "node", "left").withColumn("crowded", F.coalesce("crowded", F.lit(0)))
+
     def side(k: str, *columns: str) -> DataFrame:
         return nodes.select(F.col("node").alias(k), *[F.col(c).alias(c + k) for c in columns])
 
@@ -312,13 +325,17 @@ def bounded_pairs(met: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> D
         """Groups of set k that are the same in any set it is linked to, of the other's size."""
         return F.get(F.col(f"filled{k}"), (F.greatest("levela", "levelb") - F.col(f"level{k}")).cast("int")) - F.col("differ")
 
-    pairs = met.filter("met > 0").groupBy("a", "b").agg(F.sum("met").alias("met"))
-    sized = pairs.join(side("a", "n", "level", "filled"), "a").join(side("b", "n", "level", "filled"), "b").filter(
+    pairs = met.filter("met > 0 AND a <> b").groupBy("a", "b").agg(F.sum("met").alias("met"))
+    about = ("n", "level", "filled", "crowded")
+    sized = pairs.join(side("a", *about), "a").join(side("b", *about), "b").filter(
         F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     differ = F.floor((F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent))
-    enough = sized.withColumn("differ", differ).filter(F.col("met") >= F.greatest(same("a"), same("b"), F.lit(1)))
+    least = F.greatest(same("a"), same("b"), F.lit(1)) - F.least("crowdeda", "crowdedb")
+    enough = sized.withColumn("differ", differ).filter(F.col("met") >= least)
     joined = enough.select("a", "b", "na", "nb").join(side("a", "point"), "a").join(side("b", "point"), "b")
-    return joined.select("a", "b", "na", "nb", "pointa", "pointb").mapInArrow(run, "a long, b long")
+    listed = joined.select("a", "b", "na", "nb", "pointa", "pointb").mapInArrow(run, "a long, b long")
+    able = nodes.filter("crowded > 0 AND crowded >= common").select(F.col("node").alias("b"))
+    return listed.union(met.filter("met = 0").select("a", "b").distinct().join(able, "b").select("a", "b"))
 
 
 class CountTree:
@@ -490,11 +507,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shards = max(1, -(-total // SHARD_BYTES))
     sets = set_table(docs, percent)
     nodes = materialize(sets.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "point", "level", "filled")]))
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "point", "level", "filled", "common")]))
     routed = docs.select("text").mapInArrow(_routed(shards, percent), PIECE)
     met = materialize(routed.groupBy("shard").applyInArrow(_met(MANY), "a long, b long, met long"))
-    edges = bounded_pairs(met, nodes, percent).union(met.filter("met = 0").select("a", "b"))
-    clusters = materialize(components(edges))
+    clusters = materialize(components(candidate_edges(met, nodes, percent)))
     nodes = nodes.select("node", "rep", "n")
     linked = components(verified_links(docs, nodes, clusters, shards, percent))
     label = nodes.join(linked, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))

@@ -98,7 +98,7 @@ def test_linked_sets_have_a_key_in_common_and_room_in_their_points():
     start = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
     key, who = N.group_keys(np.concatenate(sets), start, np.ones(len(sets), bool))
     points = N._points(np.concatenate(sets), start)
-    level, filled = N.filled_groups(np.concatenate(sets), start)
+    level, filled, common = N.filled_groups(np.concatenate(sets), start)
     linked = 0
     for i in range(0, len(sets), 2):
         a, b = sets[i], sets[i + 1]
@@ -107,6 +107,7 @@ def test_linked_sets_have_a_key_in_common_and_room_in_their_points():
         if both and 100 * both >= 80 * len(np.union1d(a, b)):
             met = np.intersect1d(key[who == i], key[who == i + 1]).size
             top, differ = max(level[i : i + 2]), (len(a) + len(b)) * 20 // 180
+            assert met >= max(common[i], common[i + 1])
             assert met >= max(1, filled[i][top - level[i]] - differ, filled[i + 1][top - level[i + 1]] - differ)
             linked += 1
     assert linked > 250
@@ -129,6 +130,8 @@ def test_components(spark):
     for _ in range(100):
         for a, b in edges:
             group[a] = group[b] = min(group[a], group[b])
-    got = {r["node"]: r["component"] for r in C.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {k: v for k, v in group.items() if any(k in e and e[0] != e[1] for e in edges)}
+    want = {k: v for k, v in group.items() if any(k in e and e[0] != e[1] for e in edges)}
+    for per_task in (500_000, 30):
+        got = C.components(spark.createDataFrame(edges, "a long, b long"), per_task).collect()
+        assert len(got) == len(want) and {r["node"]: r["component"] for r in got} == want
     assert C.components(spark.createDataFrame([], "a long, b long")).count() == 0
