@@ -35,7 +35,7 @@ from larder.llm.words import U64, Words, covered, raw, run_inside, shingles, sli
 
 WIDTH = 50
 ANCHOR = 20
-BLOCK_BYTES = 20 << 20
+BLOCK_BYTES = 12 << 20
 BYTES_PER_ANCHOR = 90
 CELL_BITS = 20
 LOAD = 0.25

@@ -30,7 +30,7 @@ from larder.llm.words import text_column
 from larder.session import materialize
 
 END_ID = 1
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 20
 RUN = 256
 MAGIC = b"EFT1"
 HEAD = struct.Struct("<4sIIQI")

@@ -19,8 +19,8 @@ import pyarrow as pa
 
 from larder.llm.words import LOWER, SLICE_BYTES, U64, Words, raw, slices
 
-KNOWN_PIECES = 1 << 20
-SLOTS = 1 << 20
+KNOWN_PIECES = 1 << 19
+SLOTS = 1 << 19
 BATCH = 4096
 # Kinds of bytes: 0 separator, 1 ASCII letter, 2 digit, 3 other ASCII, 4 part of a character beyond ASCII.
 KIND = np.full(256, 3, np.uint8)
