@@ -13,6 +13,9 @@ from ..functions.hashing import hash_hex
 from .ranking import with_global_rank, with_running_total
 
 
+POINTS_PER_ROW = 4096
+
+
 def positive_samples(item_attrs: DataFrame, item_vectors: DataFrame, attr_vectors: DataFrame) -> DataFrame:
     """(item_id, attr_id) of the map rows that have both an item and an attribute vector."""
     pairs = item_attrs.select(F.col("upc_nbr").alias("item_id"), "attr_id")
@@ -108,12 +111,11 @@ def popularity_negatives(
 ) -> DataFrame:
     """(item_id, attr_id, slot, neg_attr): attributes the item lacks, in proportion to n_rows.
 
-    Weights are laid end to end in attribute order. A drawn point finds its attribute by
-    an equi-join on equal-width buckets (as many as attributes), about two candidates per draw.
+    Weights are laid end to end in attribute order. A drawn point finds its attribute by an equi-join on the points, so that
+    neither popular nor rare attributes gather candidates.
     """
     laid = with_running_total(popularity, F.col("attr_id"), F.col("n_rows"), "start")
-    size = F.struct(F.sum("n_rows").alias("total"), F.count(F.lit(1)).alias("n"))
-    sizes = popularity.agg(size.alias("s")).select("s").scalar()
+    total = popularity.agg(F.sum("n_rows")).scalar()
     before = Window.partitionBy("item_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
     entries = positives.distinct().join(laid.select("attr_id", "start", "n_rows"), "attr_id").withColumn(
         "limit", F.col("start") - F.coalesce(F.sum("n_rows").over(before), F.lit(0))
@@ -124,7 +126,7 @@ def popularity_negatives(
             F.array_sort(F.collect_list(F.struct("limit", "n_rows", "attr_id"))).alias("profile"),
             F.sum("n_rows").alias("held"),
         )
-        .withColumn("total", sizes["total"])
+        .withColumn("total", total)
         .withColumn("free", F.col("total") - F.col("held"))
     )
     shifted = "r -> r + aggregate(filter(profile, x -> x.limit <= r), 0L, (a, x) -> a + x.n_rows)"
@@ -135,15 +137,14 @@ def popularity_negatives(
         "item_id", F.expr(f"inline(transform(profile, p -> struct(p.attr_id AS attr_id, {points} AS points)))")
     ).select("item_id", "attr_id", F.posexplode("points").alias("slot", "point"))
 
-    laid_out = laid.withColumn("width", F.ceil(sizes["total"] / sizes["n"])).withColumn("end", F.expr("start + n_rows"))
-    buckets = laid_out.select(
-        F.col("attr_id").alias("neg_attr"), "start", "end",
-        F.expr("explode(sequence(start div width, (end - 1) div width))").alias("bucket"),
-    )
-    at = drawn.withColumn("width", F.ceil(sizes["total"] / sizes["n"])).withColumn("bucket", F.expr("point div width"))
-    return at.join(buckets, "bucket").where("point >= start AND point < end").select(
-        "item_id", "attr_id", "slot", "neg_attr"
+    # One row a point: as many as the map has rows, and none with more than one draw's worth of candidates.
+    end = F.col("start") + F.col("n_rows") - 1
+    points = (
+        laid.where("n_rows > 0")
+        .select(F.col("attr_id").alias("neg_attr"), end.alias("end"), F.explode(F.sequence("start", end, F.lit(POINTS_PER_ROW))).alias("from"))
+        .select("neg_attr", F.explode(F.sequence("from", F.least(F.col("from") + POINTS_PER_ROW - 1, F.col("end")))).alias("point"))
     )
+    return drawn.join(points, "point").select("item_id", "attr_id", "slot", "neg_attr")
 
 
 def sample_negatives(
