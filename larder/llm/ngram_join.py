@@ -50,7 +50,7 @@ SHARED_NODES = 16
 SHARD_BYTES = 24 << 20
 MANY = 64
 FILTER_BITS = 1 << 24  # of the bitmap of wanted documents, 2 MB whatever the input
-HELD_KEYS = 1 << 22
+HELD_KEYS = 1 << 20
 HASH_BITS = U64(48)
 TRIES = 12
 STEP = 1.25  # ratio of the sizes of neighbouring levels
