@@ -44,7 +44,7 @@ WIDTH = 5
 PERCENT = 80
 GROUPS = 64
 BOX = 32
-LEAF = 4096
+LEAF = 1024
 LEAF_SHINGLES = 2_000_000
 SHARED_NODES = 16
 SHARD_BYTES = 24 << 20
