@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_hex
 from .ranking import with_global_rank, with_running_total
 
-
 POINTS_PER_ROW = 4096
 
 
