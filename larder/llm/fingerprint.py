@@ -119,7 +119,7 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     own = F.struct(F.col("bucket").alias("at"), F.lit(0).alias("guest"))
     sent = F.when(host.isNotNull(), F.array(own, F.struct(host.alias("at"), F.lit(1).alias("guest")))).otherwise(F.array(own))
     spread = rows.select(F.explode(sent).alias("to"), "doc_id", "text").select("to.at", "to.guest", "doc_id", "text")
-    ordered = spread.repartition(buckets, "at").sortWithinPartitions("at", "guest", F.desc_nulls_last("doc_id"), "text")
+    ordered = spread.repartitionById(buckets + 1, F.col("at") + 1).sortWithinPartitions("at", "guest", F.desc_nulls_last("doc_id"), "text")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # the row before, whose next one is not seen yet: (at, guest, doc_id, text, digest)

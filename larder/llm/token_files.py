@@ -159,7 +159,7 @@ def write(docs: DataFrame, vocabulary: str, end_id: int = END_ID, block_tokens:
             yield flush()
 
     placed = docs.select(ranges.bucket_of(F.col("doc_id"), cuts).alias("bucket"), F.col("doc_id").cast("long"), "text")
-    ordered = placed.repartition(buckets, "bucket").sortWithinPartitions("bucket", "doc_id", "text")
+    ordered = placed.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "doc_id", "text")
     return materialize(ordered.mapInArrow(blocks, "bucket int, block int, n_docs long, n_tokens long, payload binary"))
 
 
