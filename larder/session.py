@@ -57,7 +57,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_dirs.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="larder-"))
+    if sc.applicationId not in _local_dirs:
+        _local_dirs[sc.applicationId] = tempfile.mkdtemp(prefix="larder-")
+        _written.append(_local_dirs[sc.applicationId])
+    return _local_dirs[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
