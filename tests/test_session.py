@@ -5,30 +5,36 @@ import pytest
 from larder import session as S
 
 
+class Session:
+    """A session of the given master without any checkpoint folder."""
+
+    def __init__(self, master, named=None):
+        self.conf = type("Conf", (), {"get": staticmethod(lambda key, default: named or default)})
+        self.sparkContext = type("Context", (), {
+            "master": master, "applicationId": f"app-{master}", "getCheckpointDir": staticmethod(lambda: None)})
+
+
 def test_tables_are_written_below_the_shared_folder_and_released(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(S, "_written", [])
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        assert S.shared_dir(spark) == str(tmp_path)
-        table = S.materialize(spark.range(5))
-        assert table.count() == 5 and len(os.listdir(tmp_path)) == 1
-        S.release_tables()
-        assert os.listdir(tmp_path) == []
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-
-
-def test_only_a_local_master_may_go_without(spark):
-    class Context:
-        master, applicationId = "spark://host:7077", "app"
-
-        def getCheckpointDir(self):
-            return None
-
-    class Session:
-        sparkContext, conf = Context(), type("Conf", (), {"get": staticmethod(lambda key, default: default)})
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        S.shared_dir(Session())
-    assert S.shared_dir(spark) == S.shared_dir(spark)
-    assert spark.sparkContext.getCheckpointDir() is None
+    monkeypatch.setattr(S, "shared_dir", lambda spark: str(tmp_path))
+    table = S.materialize(spark.range(5))
+    assert table.count() == 5 and len(os.listdir(tmp_path)) == 1
+    S.release_tables()
+    assert os.listdir(tmp_path) == []
+
+
+def test_only_a_local_master_may_go_without(monkeypatch):
+    monkeypatch.setattr(S, "_written", [])
+    monkeypatch.setattr(S, "_local_dirs", {})
+    for master in ("spark://host:7077", "yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            S.shared_dir(Session(master))
+        assert S.shared_dir(Session(master, "hdfs:///shared")) == "hdfs:///shared"
+    local = S.shared_dir(Session("local[4]"))
+    assert os.path.isdir(local) and S.shared_dir(Session("local[4]")) == local
+
+
+def test_using_the_shared_folder_leaves_the_session_as_it_was(spark):
+    before = spark.sparkContext.getCheckpointDir()
+    S.materialize(spark.range(3))
+    assert spark.sparkContext.getCheckpointDir() == before
