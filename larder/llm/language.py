@@ -177,7 +177,7 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
 def _decide(model: Model | None, col: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, confidence and whether the text is accepted."""
     n = len(col)
-    letters = np.array([LETTER.search(t) is not None for t in col.to_pylist()], bool)
+    letters = np.array([LETTER.search(t.as_py()) is not None for t in col], bool)
     if model is None or not n:
         return [UNDETERMINED] * n, np.zeros(n), np.zeros(n, bool)
     p = model.probabilities(*raw(col))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.llm.components import components
-from larder.llm.substring_dedup import _split
+from larder.llm.substring_dedup import Members, split
 from larder.llm.words import U64, Words, mix, raw, run_inside, shingles, slices, text_column
 from larder.session import materialize
 
@@ -231,7 +231,7 @@ def _routed(shards: int, percent: int):
         order = np.lexsort((node, shard))
         key, node, shard = key[order], node[order], shard[order].astype(np.int64)
         out = []
-        for s, r in _split(shard):
+        for s, r in split(shard):
             who, count = np.unique(node[r], return_counts=True)
             out.append((s, who.tobytes(), count.astype("<u4").tobytes(), key[r].view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()))
         for i in range(0, len(out), 64):
@@ -253,12 +253,11 @@ def _met(many: int):
         key = np.zeros((len(part), 8), np.uint8)
         key[:, :KEY_BYTES] = part
         key = key.view("<u8").ravel()
-        node = np.repeat(node, count)
-        order = np.argsort(key, kind="stable")
-        key, node = key[order], node[order]
-        same = np.r_[False, key[1:] == key[:-1]]
-        more = same | np.r_[same[1:], False]
-        key, node = key[more], node[more]
+        ordered = np.sort(key)
+        shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+        del ordered, part
+        at = Members(shared).find(key)[0]  # nodes are spelt out for shared keys alone
+        key, node = key[at], node[np.searchsorted(np.cumsum(count), at, "right")]
         order = np.lexsort((node, key))
         key, node = key[order], node[order]
         once = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.zeros(0, bool)
@@ -428,7 +427,7 @@ def _joined(percent: int):
         order = right[np.lexsort((node[right], job[right]))]
         order = order[np.r_[True, (job[order][1:] != job[order][:-1]) | (node[order][1:] != node[order][:-1])]] if len(order) else order
         a, b = [], []
-        for _, r in _split(job[order]):
+        for _, r in split(job[order]):
             pick = order[r]
             part = np.concatenate([hashes[begin[k] : begin[k] + size[k]] for k in pick])
             start = np.concatenate([[0], np.cumsum(size[pick])])

@@ -99,7 +99,7 @@ def _windows(texts: pa.Array, width: int, anchor: int) -> Iterator[tuple[int, in
         yield i, j, Windows(Words(body[off[i] : off[j]], off[i : j + 1] - off[i]), width, anchor)
 
 
-def _split(key: np.ndarray) -> Iterator[tuple[int, slice]]:
+def split(key: np.ndarray) -> Iterator[tuple[int, slice]]:
     """Ranges of equal entries of a sorted array."""
     edge = np.flatnonzero(np.diff(key)) + 1
     for a, b in zip([0, *edge], [*edge, len(key)], strict=True):
@@ -120,13 +120,13 @@ def _partition_sketch(address: np.ndarray, block: np.ndarray, shards: int) -> It
     first, once = np.flatnonzero(new), size == 1
     mark = np.where(once, block[first], -1).astype(np.int32)
     rows = []
-    for shard, s in _split(address[first] >> U64(2 * CELL_BITS)):
+    for shard, s in split(address[first] >> U64(2 * CELL_BITS)):
         rows.append((shard, -1, _pack(address[first][s]), _pack(mark[s])))
     more = np.repeat(~once, size)
     known, where = address[more], block[more]
     order = np.lexsort((known, where))
     known, where = known[order], where[order]
-    for b, s in _split(where):
+    for b, s in split(where):
         rows.append((b % shards, b, _pack(np.unique(known[s])), None))
     for i in range(0, len(rows), 256):
         part = list(zip(*rows[i : i + 256], strict=True))
@@ -155,7 +155,7 @@ def _merged_sketch(table: pa.Table) -> pa.Table:
         estimate = np.minimum(*(n[c] for n, c in zip(counts, rows, strict=True)))
         told = (estimate >= 2) & (mark >= 0)
         order = np.lexsort((address[told], mark[told]))
-        for b, s in _split(mark[told][order]):
+        for b, s in split(mark[told][order]):
             blocks.append(b)
             found.append(_pack(address[told][order][s]))
     return pa.table({"block": pa.array(blocks, pa.int32()), "addresses": pa.array(found, pa.binary())})
@@ -172,7 +172,7 @@ def _texts(table: pa.Table) -> pa.Array:
     return pa.concat_arrays(col.chunks) if isinstance(col, pa.ChunkedArray) else col
 
 
-class _Members:
+class Members:
     """Whether values are in a set: a bit table first, then a search of the sorted set."""
 
     def __init__(self, values: np.ndarray):
@@ -222,7 +222,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, bl
         """The distinct windows of a block that are estimated repeated."""
         ids, known = _ids(texts)
         parts = [_unpack(a, "<u8") for a in told.column("addresses").to_pylist()]
-        repeated = _Members(np.unique(np.concatenate(parts)) if parts else np.zeros(0, U64))
+        repeated = Members(np.unique(np.concatenate(parts)) if parts else np.zeros(0, U64))
         high, low, doc = [], [], []
         for i, _, w in _windows(_texts(texts), width, anchor) if parts and len(ids) else ():
             mask = np.zeros(len(w.run), bool)
@@ -244,7 +244,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, bl
             high, low, several, doc = high[start], low[start], doc[last] > doc[start], doc[start]
             shard = (high % U64(n_blocks)).astype(np.int64)
             order = np.argsort(shard, kind="stable")
-            for s, r in _split(shard[order]):
+            for s, r in split(shard[order]):
                 k = order[r]
                 out.append((s, high[k].tobytes(), low[k].tobytes(), _pack(doc[k]), _pack(np.packbits(several[k]))))
         name = texts.column("block")[0].as_py() if len(texts) else -1
@@ -269,7 +269,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, bl
         least[order] = doc[order][np.flatnonzero(new)[np.cumsum(new) - 1]]
         told = np.flatnonzero(several | (doc > least))
         told = told[np.argsort(place[told], kind="stable")]
-        out = [(b, high[told[s]].tobytes(), low[told[s]].tobytes(), _pack(least[told[s]])) for b, s in _split(place[told])]
+        out = [(b, high[told[s]].tobytes(), low[told[s]].tobytes(), _pack(least[told[s]])) for b, s in split(place[told])]
         part = list(zip(*out, strict=True)) or [[]] * 4
         return pa.table({"block": pa.array(part[0], pa.int32()), "high": pa.array(part[1], pa.binary()),
                          "low": pa.array(part[2], pa.binary()), "doc": pa.array(part[3], pa.binary())})
@@ -284,7 +284,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, anchor: int = ANCHOR, bl
             least = np.concatenate([_unpack(x, "<i8") for x in told.column("doc").to_pylist()])
             order = np.argsort(high, kind="stable")
             high, low, least = high[order], low[order], least[order]
-            repeated = _Members(high)
+            repeated = Members(high)
         words_of, removed_of, kept_of = np.zeros(n, np.int64), np.zeros(n, np.int64), [b""] * n
         for i, j, w in _windows(_texts(texts), width, anchor) if n else ():
             words = w.words
