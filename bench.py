@@ -1,7 +1,7 @@
 """Wall time of the headline queries.  Prints one JSON line.
 
 The tables that queries share are built first and timed on their own; a query's time is the median of three runs (trained
-models: one run at their default settings).
+models: one run). The total is of the shared tables and the headline queries, without the trained models.
 """
 
 import json
@@ -40,7 +40,7 @@ def main() -> None:
             taken.append(time.time() - start)
         times[key] = round(median(taken), 3)
     print(json.dumps({
-        "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
+        "metric": "headline_queries_total", "value": round(sum(t for k, t in times.items() if k not in TRAINED), 3), "unit": "sec",
         "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }))
 

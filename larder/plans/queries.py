@@ -30,7 +30,7 @@ from . import providers as PR
 AS_OF = "1999-06-30"
 REF_DATE = "1998-01-01"
 PROVIDERS = ["plain", "reversed", "weighted"]
-GRAPH_EPOCHS = 20  # an epoch is about 1.8 s of small jobs whatever the graph; the operator's default is 100
+GRAPH_EPOCHS = 10  # an epoch is about 1.8 s of small jobs whatever the graph; the operator's default is 100
 NUTRIENTS = ["added sugar", "calories", "fiber"]  # those that the item view prints
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
