@@ -63,6 +63,33 @@ def test_rejection_is_calibrated(model):
     assert 0 <= model.limit <= L.REJECT_MOST and 0.2 < model.temperature < 5
 
 
+OTHERS = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi w swojej godności i prawach. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "zh": "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+    "markup": '<div class="x1"><span id="a3"><a href="/p?q=1&r=2"><td></td></a></span></div>' * 6,
+}
+
+
+def letters(seed):
+    rng = random.Random(seed)
+    return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(40))
+
+
+@pytest.mark.parametrize("learnt", [("de", "en", "es", "fr"), ("de", "en", "fr"), ("en", "fr")])
+def test_unlearned_languages_and_gibberish_go(documents, make, learnt):
+    known = documents.filter(documents["lang"].isin(*learnt))
+    model = L.train(known)
+    texts = [*OTHERS.values(), *(letters(k) for k in range(20))]
+    rows = make([(i, t, None) for i, t in enumerate(texts)])
+    assert L.accepted(rows, model).count() == 0
+    assert {r["accepted"] for r in L.predict(rows, model).collect()} == {False}
+    clean = known.filter(L.held_out(known["doc_id"]))
+    assert L.accepted(clean, model).count() >= 0.99 * clean.count()
+
+
 # ---- benchmark -----------------------------------------------------------
 
 def brute_tiles(x, y, least):
