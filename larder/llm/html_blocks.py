@@ -33,6 +33,7 @@ NAME_WORD = re.compile(r"[a-z]+")
 UNSEEN = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "head",
           "title", "select", "option", "button", "textarea", "datalist"}
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "xmp", "noembed", "noframes"}
+RAW_END = {tag: re.compile(f"</{tag}", re.I | re.A) for tag in RAW}  # sought in the page itself: lowering may lengthen it
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "input",
           "ins", "kbd", "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time",
@@ -89,7 +90,6 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked = in_link = unseen = 0
     at = 0
-    low = None
 
     def flush() -> None:
         nonlocal parts, linked
@@ -142,9 +142,8 @@ def blocks(page: str) -> list[Block]:
                 parts.append(" ")
             continue
         if tag in RAW:
-            low = page.lower() if low is None else low
-            end = low.find(f"</{tag}", at)
-            at = len(page) if end < 0 else end
+            end = RAW_END[tag].search(page, at)
+            at = end.start() if end else len(page)
             if tag == "xmp" and not unseen:
                 parts.append(page[m.end() : at])
         if tag in ("li", "a", "option") or tag in HEADINGS:  # these end an open one of their kind

@@ -13,6 +13,14 @@ def test_parts_of_a_page():
     assert H.main_text(page, H.trained()) == "Head & more\n\nFirst bold link. Next line\n\nSecond"
 
 
+def test_letters_that_lowering_lengthens():
+    tree = H.trained()
+    for tag in ("script", "style", "iframe", "noscript"):
+        page = f"<article><p>\u0130stanbul \u0130zmir</p><{tag}>x('<p>no</p>')</{tag.upper()}><p>after</p></article><p>\u212a</p>"
+        assert H.main_text(page, tree).startswith("\u0130stanbul \u0130zmir\n\nafter"), tag
+    assert [b.text for b in H.blocks("\u0130<xmp><b>\u0130</xmp>z")] == ["\u0130", "<b>\u0130", "z"]
+
+
 def test_pages_without_telling_names():
     text = "The harbour office said on monday that two ferries will sail each hour between the island and the town."
     page = f"<div><a href=/>Home</a></div><div>{text}</div><div>{text}</div><div>{text}</div><div><a href=/1>{text}</a></div><div>Imprint</div>"
