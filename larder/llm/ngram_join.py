@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from larder.llm.components import components
 from larder.llm.substring_dedup import Members, split
@@ -500,8 +501,8 @@ def verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, units
     return found.union(materialize(join(rows.withColumn("unit", F.col("job")))))
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id that links reach) of each document."""
+def _labelled(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, n, node (of the row's set), root (a name of what links reach from it) and component_id of each document."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     sets = set_table(docs, percent)
@@ -514,12 +515,50 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     linked = components(verified_links(docs, nodes, clusters, shards, percent))
     label = nodes.join(linked, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))
     least = label.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = label.join(least, "root").select("node", "component_id")
-    return sets.join(named, "node", "left").select(
+    named = label.join(least, "root").select("node", "root", "component_id")
+    return sets.select("doc_id", "n", "node").join(named, "node", "left")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id (the smallest doc_id that links reach) of each document."""
+    return _labelled(docs, percent).select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
+def _with_node(docs: DataFrame) -> DataFrame:
+    """`docs` and the node of each row's set, as column __node__."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            names = np.zeros(b.num_rows, np.int64)
+            for i, j, h, start in _sets(text_column(b, "text")):
+                names[i:j] = set_names(h, start)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names)], names=[*b.schema.names, "__node__"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("__node__", LongType())]))
+
+
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of `docs`, all columns, without those that are linked to a smaller doc_id (rows without an id stay)."""
-    gone = near_duplicates(docs, percent).filter("component_id < doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
+    """The rows of `docs`, all columns, of which each group of linked ones keeps its first: the row with the smallest doc_id
+    (null last), then the smallest node, then the smallest text; rows without words stay."""
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")
+    rows = materialize(_labelled(docs, percent).groupBy("doc_id", "node", "root").agg(F.count("*").alias("copies")))
+    first = materialize(rows.filter("root IS NOT NULL").groupBy("root").agg(F.min(place).alias("first")).select("root", "first.node", "first.doc_id"))
+    mine = rows.join(first.select("root", F.col("node").alias("first_node"), F.col("doc_id").alias("first_id")), "root", "left").withColumn(
+        "gone", F.col("root").isNotNull() & ~((F.col("node") == F.col("first_node")) & F.col("doc_id").eqNullSafe(F.col("first_id"))))
+    some = F.max(F.col("gone")) | (F.max(F.when(F.col("root").isNotNull() & ~F.col("gone"), F.col("copies")).otherwise(1)) > 1)
+    ids = materialize(mine.groupBy("doc_id").agg(F.min("gone").alias("whole"), some.alias("some")).filter("some"))
+    # An id goes whole, or only some of its rows do and they are looked at one by one.
+    kept = docs.join(ids.filter("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_anti").select(*[docs[c] for c in docs.columns])
+    part = ids.filter("NOT whole OR doc_id IS NULL")
+    if part.isEmpty():
+        return kept
+    none = not part.filter("doc_id IS NULL").isEmpty()
+    looked = docs.join(part.filter("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_semi").select(*[docs[c] for c in docs.columns])
+    if none:
+        kept, looked = kept.filter(docs["doc_id"].isNotNull()), looked.union(docs.filter(docs["doc_id"].isNull()))
+    words = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    copies = Window.partitionBy("doc_id", "__node__").orderBy("text", F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    once = _with_node(looked.filter(words)).withColumn("__copy__", F.row_number().over(copies)).filter("__copy__ = 1")
+    names = first.select(F.col("node").alias("__first__"), F.col("doc_id").alias("__id__"))
+    stay = once.join(names, (once["__node__"] == names["__first__"]) & once["doc_id"].eqNullSafe(names["__id__"]), "left_semi")
+    return kept.union(looked.filter(~words)).union(stay.select(*[f"`{c}`" for c in docs.columns]))

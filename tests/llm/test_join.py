@@ -74,6 +74,31 @@ def test_one_of_each(make, messy):
     assert N.one_of_each(messy).columns == messy.columns
 
 
+def test_one_row_of_each_where_ids_repeat(make):
+    rows = [
+        (7, "a b c d e f", "en"), (7, "only this one has these words", "en"), (3, "A b c d e f", "en"),  # an id of two groups
+        (5, "p q r s t u", "en"), (5, "p q r s t u", "en"), (5, "P q r s t u", "fr"),  # copies of one id
+        (None, "k l m n o", "en"), (None, "k l m n o", "en"), (None, "w x y z", "de"), (None, "a b c d e f", "en"), (9, "w x y z", "de"),
+        (8, "", "en"), (8, None, None), (8, "p q r s t u", "en"), (None, "", "en"), (None, " ", "en"), (2, "free", "en"), (2, "other", "en"),
+    ]
+    want = [(7, rows[1][1]), (3, rows[2][1]), (5, "P q r s t u"), (None, "k l m n o"), (9, "w x y z"), (8, ""), (8, None), (None, ""),
+            (None, " "), (2, "free"), (2, "other")]
+    got = N.one_of_each(make(rows))
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert got.columns == make([]).columns
+    assert N.one_of_each(make([])).count() == 0
+
+
+def test_one_row_of_each_of_messy_rows(messy, messy_rows):
+    """As many rows with words stay as there are groups, by the definition without ids."""
+    names = {i: k for k, i in enumerate(dict.fromkeys(r[0] for r in messy_rows))}
+    groups = {least for _, n, least in brute([(names[i] * 100 + k, t, g) for k, (i, t, g) in enumerate(messy_rows)]) if n}
+    got = [r["text"] for r in N.one_of_each(messy).collect()]
+    worded = lambda t: bool(re.search(r"[^\x20\x09-\x0D]", t or ""))
+    assert sum(map(worded, got)) == len(groups)
+    assert sum(not worded(t) for t in got) == sum(not worded(t) for _, t, _ in messy_rows)
+
+
 def test_tree_bound_never_loses_a_pair():
     rng = np.random.default_rng(0)
     sets = []
