@@ -11,8 +11,12 @@ that encoding's alphabet:
 
 Their squares add up to a chi-squared value of three degrees, whose p-value is combined over the corpus by the
 Benjamini-Hochberg rule within bands of length (short runs are many and their tests weak, so they don't set the limit for
-long ones).  Candidates that the rule rejects are structured text; the others are random, and become spans unless they
-touch a base span.  Counts for the rule are gathered over all documents as a histogram of bounded size.
+long ones).  Candidates that the rule rejects are structured text; the others are random, and become spans.  Counts for the rule are
+gathered over all documents as a histogram of bounded size.
+
+`scan` lists the random spans that touch no base span.  `redact` masks the union of the base spans and of all random ones; what a
+base span leaves of a run that it touches is judged by the same limits once more, alone, as the base span's own letters may
+make the whole run look structured.
 
 Defined cases: a null text is empty and has no span; equal rows give equal results; null doc_ids are kept; an empty table
 gives no row; other columns are ignored (`scan`) or kept (`redact`).
@@ -156,15 +160,36 @@ def rejected_steps(candidates: DataFrame, column: str) -> dict[int, int]:
     return {r["band"]: r["step"] for r in kept.collect()}
 
 
-def _all_spans(base: Column, judged: Column, limits: dict[int, int]) -> Column:
-    """Base spans and the random ones that touch none of them."""
-    limit = F.lit(-1)
-    random = judged
-    if limits:
-        table = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
-        random = F.filter(judged, lambda s: s["step"] > F.coalesce(F.element_at(table, s["band"]), limit))
-    apart = F.filter(random, lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    added = F.transform(apart, lambda s: F.struct(
+def _touches(base: Column, s: Column) -> Column:
+    return F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+
+
+def _random(judged: Column, limits: dict[int, int]) -> Column:
+    """The runs that the rule doesn't reject."""
+    if not limits:
+        return judged
+    table = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])
+    return F.filter(judged, lambda s: s["step"] > F.coalesce(F.element_at(table, s["band"]), F.lit(-1)))
+
+
+def _left_over(text: Column, base: Column, judged: Column) -> Column:
+    """Runs of what the base spans leave of the runs that they touch."""
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def blank(state, b):
+        gap = F.substring(text, state["at"] + 1, F.greatest(b["start"] - state["at"], F.lit(0)))
+        to = F.greatest(state["at"], b["end"])
+        covered = to - F.greatest(state["at"], b["start"])
+        return F.struct(to.alias("at"), F.concat(state["out"], gap, F.repeat(F.lit(" "), covered)).alias("out"))
+
+    blanked = F.aggregate(base, start, blank, lambda x: F.concat(x["out"], F.substring(text, x["at"] + 1, F.length(text))))
+    cut = F.exists(judged, lambda s: _touches(base, s) & ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
+    return F.when(cut, candidate_spans(blanked)).otherwise(F.array().cast("array<struct<start:int,end:int,band:int,step:int>>"))
+
+
+def _all_spans(base: Column, random: Column) -> Column:
+    """Base spans and random ones, by start and then by rule."""
+    added = F.transform(random, lambda s: F.struct(
         s["start"].alias("start"), F.lit(len(KINDS)).alias("rank"), s["end"].alias("end"), F.lit("random").alias("kind")))
     return F.array_sort(F.concat(base, added.cast(f"array<{SPAN}>")))
 
@@ -185,7 +210,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random of each document."""
     table, limits = _judged(docs, ["doc_id"])
     base = F.col("__found__.base")
-    spans = _all_spans(base, F.col("__found__.runs"), limits)
+    spans = _all_spans(base, F.filter(_random(F.col("__found__.runs"), limits), lambda s: ~_touches(base, s)))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     rows = table.select("doc_id", base.alias("base"), spans.alias("spans"))
     return rows.select("doc_id", *[count(k) for k, *_ in KINDS], F.sha2(_written(F.col("base")), 256).alias("base_sha256"),
@@ -195,7 +220,10 @@ def scan(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """`docs` with every span of its texts replaced by the mask; n_chars, where there, follows the new text."""
     table, limits = _judged(docs, docs.columns)
-    spans = _all_spans(F.col("__found__.base"), F.col("__found__.runs"), limits)
+    base, runs = F.col("__found__.base"), F.col("__found__.runs")
+    left = _left_over(F.coalesce(F.col("text"), F.lit("")), base, runs)
+    table = table.withColumn("__spans__", _all_spans(base, _random(F.concat(runs, left), limits)))
+    spans = F.col("__spans__")
     begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(state, s):

@@ -115,6 +115,23 @@ def test_redact(make, keys, messy, nothing):
     assert S.redact(messy).count() == messy.count() == S.scan(messy).count()
 
 
+def test_redact_what_a_base_span_leaves_of_a_run(make, keys):
+    rng = random.Random(8)
+    some = lambda n: "".join(rng.choice(S.ALPHABETS["base62"]) for _ in range(n))
+    access, digits = "AKIA" + "QRSTUVWXYZABCDEF", "0123456789abcdef01234567"
+    parts = [(some(a), base, some(b)) for base in (access + "/", "-" + digits + "-") for a, b in [(0, 40), (40, 0), (40, 40)] for _ in range(4)]
+    parts = [(a + "/" if base.startswith("AKIA") and a else a, base, b) for a, base, b in parts]
+    rows = [(i, f"é see {a}{base}{b} here", "en") for i, (a, base, b) in enumerate(parts)]
+    rows += [(100 + i, f"see {k} here", "en") for i, k in enumerate(keys)]
+    clean = {r["doc_id"]: r["text"] for r in S.redact(make(rows), "#").collect()}
+    hidden = [part not in clean[i] for i, (a, _, b) in enumerate(parts) for part in (a, b) if part]
+    assert sum(hidden) >= 0.85 * len(hidden)
+    assert all(t.startswith(("é see ", "see ")) and t.endswith(" here") for t in clean.values())
+    assert not any(access in t or digits in t for t in clean.values())
+    plain = make([(1, f"see thing_tion/{access}/thing_tion here", "en"), *rows[len(parts) :]])
+    assert S.redact(plain, "#").filter("doc_id = 1").first()["text"] == "see thing_tion/#/thing_tion here"
+
+
 def test_no_python_in_the_plan(make):
     plan = S.scan(make([(1, "x", "en")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
