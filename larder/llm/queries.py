@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, fingerprint, html_blocks, language, ngram_join, packing, secrets, sharding, substring_dedup, token_files
+from larder.llm import decontaminate, fingerprint, html_blocks, language, merkle, ngram_join, packing, secrets, sharding, substring_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,50 @@ SELECT doc_id, slot, printf('shard-%02d', seats[slot + 1]) AS shard FROM d, t
 @query
 def op10_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), vocabulary())
+
+
+@query
+def op11_manifest(spark, sf_dir):
+    odd = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    return merkle.manifest(documents(spark, sf_dir), odd, F.replace("text", F.lit("\n"), F.lit("")))
+
+
+def _manifest_sql() -> str:
+    """op11 in another engine: levels as a recursion over nodes, folding as one over a row's path."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(text if c == "text" else c) for c in merkle.FIELDS) + ")"
+    grow = lambda name, start: f"""{name}(tree, lvl, i, n, h) AS (
+    {start}
+    UNION ALL
+    SELECT tree, lvl + 1, i // {merkle.FANOUT}, (n + {merkle.FANOUT - 1}) // {merkle.FANOUT}, sha256(string_agg(h, '' ORDER BY i))
+    FROM {name} WHERE n > 1 GROUP BY tree, lvl, n, i // {merkle.FANOUT})""".replace("  # noqa: E731", "")
+    return rf"""
+WITH RECURSIVE
+crc(t) AS (SELECT list(c ORDER BY b) FROM (SELECT b, list_reduce(list_concat([b], range(8)),
+               lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS b))),
+d AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS i, count(*) OVER (PARTITION BY source) AS n,
+             xor(4294967295, list_reduce(list_concat([4294967295], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                                         lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]))) & 1 AS odd FROM documents, crc),
+o AS (SELECT source AS name, (row_number() OVER (ORDER BY source NULLS FIRST) - 1) AS tree FROM (SELECT DISTINCT source FROM documents)),
+l AS (SELECT doc_id, tree, i, n, {leaf("text")} AS h, CASE WHEN odd = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS g
+      FROM d JOIN o ON source IS NOT DISTINCT FROM name),
+{grow("a", "SELECT tree, 0::BIGINT, i, n, h FROM l")},
+sub AS (SELECT tree, h FROM a WHERE n = 1),
+{grow("b", "SELECT 0::BIGINT, 0::BIGINT, tree, count(*) OVER (), h FROM sub")},
+y AS (SELECT * FROM a WHERE n > 1 UNION ALL SELECT s.tree, b.lvl + 1000, b.i, b.n, b.h FROM b JOIN sub s ON b.n > 1
+      AND b.i // {merkle.FANOUT} = s.tree // pow({merkle.FANOUT}, b.lvl + 1)::BIGINT),
+p AS (SELECT l.doc_id, y.lvl, CASE WHEN y.lvl < 1000 THEN l.i // pow({merkle.FANOUT}, y.lvl)::BIGINT
+                                   ELSE l.tree // pow({merkle.FANOUT}, y.lvl - 1000)::BIGINT END AS own, y.i, y.h
+      FROM l JOIN y ON l.tree = y.tree AND (y.lvl >= 1000 OR y.i // {merkle.FANOUT} = l.i // pow({merkle.FANOUT}, y.lvl + 1)::BIGINT)),
+s AS (SELECT doc_id, lvl, coalesce(string_agg(h, '' ORDER BY i) FILTER (i < own), '') AS before,
+             coalesce(string_agg(h, '' ORDER BY i) FILTER (i > own), '') AS after, row_number() OVER (PARTITION BY doc_id ORDER BY lvl) AS k
+      FROM p GROUP BY doc_id, lvl),
+f(doc_id, k, h) AS (SELECT doc_id, 0::BIGINT, g FROM l UNION ALL SELECT f.doc_id, s.k, sha256(before || f.h || after) FROM f JOIN s ON s.doc_id = f.doc_id AND s.k = f.k + 1),
+folded AS (SELECT doc_id, arg_max(h, k) AS folded_root FROM f GROUP BY doc_id),
+proof AS (SELECT doc_id, sha256(string_agg(before || after, '' ORDER BY k)) AS proof FROM s GROUP BY doc_id)
+SELECT l.doc_id, l.h AS leaf, sub.h AS subroot, r.h AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = r.h AS verified
+FROM l JOIN sub USING (tree) JOIN folded USING (doc_id) LEFT JOIN proof USING (doc_id) CROSS JOIN (SELECT h FROM b WHERE n = 1) r
+"""
+
+
+ORACLE["op11_manifest"] = _manifest_sql()
