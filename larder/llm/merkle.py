@@ -76,8 +76,8 @@ def climb(nodes: DataFrame, largest: int, over: Callable[[DataFrame], DataFrame]
             F.when(more, digest(F.concat_ws("", *child))).otherwise(F.col("_h")).alias("_h"),
             F.when(more, F.concat("path", step)).otherwise(F.col("path")).alias("path"))
     if largest > span:
-        tops = now.filter(F.col("idx") % span == 0).select(
-            "tree", F.col(block).alias("idx"), F.ceil(F.col("size") / span).alias("size"), F.col("_h").alias("digest"))
+        tops = materialize(now.filter(F.col("idx") % span == 0).select(
+            "tree", F.col(block).alias("idx"), F.ceil(F.col("size") / span).alias("size"), F.col("_h").alias("digest")))
         above = climb(tops, -(-largest // span), over).drop("size", "digest").withColumnsRenamed({"idx": block, "path": "_up"})
         return now.join(above, ["tree", block]).select(
             *kept, F.concat("path", "_up").alias("path"), *[c for c in above.columns if c not in ("tree", block, "_up")])

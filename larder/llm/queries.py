@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.llm import decontaminate, fingerprint, html_blocks, language, merkle, ngram_join, packing, secrets, sharding, substring_dedup, token_files
+from larder.llm import decontaminate, fingerprint, html_blocks, language, merkle, ngram_join, packing, secrets, sharding, simhash, substring_dedup, token_alignment, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -211,3 +211,13 @@ FROM l JOIN sub USING (tree) JOIN folded USING (doc_id) LEFT JOIN proof USING (d
 
 
 ORACLE["op11_manifest"] = _manifest_sql()
+
+
+@query
+def op12_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op13_token_alignment(spark, sf_dir):
+    return token_alignment.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
