@@ -37,7 +37,8 @@ from larder.llm.words import U64, Words, raw, slices, text_column
 from larder.session import materialize
 
 CHUNK_BYTES = 8 << 20
-KNOWN_PIECES = 1 << 18
+KNOWN_PIECES = 1 << 20
+BATCH = 4096
 BITS_B = 15  # B's ids are below 2**15 and A's below 2**16, so that a pair is a positive int
 SPELT_OUT = 1 << 10  # links of the largest group whose pairs are listed
 WHITE = np.zeros(256, bool)
@@ -105,28 +106,54 @@ class Encoders:
         self.pool = [np.zeros(0, np.int32) for _ in "ab"]
         self.whole = np.zeros(0, bool)  # B gives the piece's bytes back (A always does)
 
-    def _encode(self, text: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def _alone(self, piece: list[bytes]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids by A and by B of each piece."""
+        text = [p.decode() for p in piece]
         a = [e.ids for e in self.a.encode_batch(text, add_special_tokens=False)]
         # B adds a space: a piece's own first space is left to it, and before a line feed the added one is a token by itself.
         b = self.b.encode([t[1:] if t[0] == " " else t for t in text], num_threads=1)
         return a, [ids[1:] if t[0] != " " else ids or [self.space] for t, ids in zip(text, b, strict=True)]
 
+    def _in_a_row(self, piece: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray]] | None:
+        """Ids by A and by B and their counts for pieces that are cut in each other's company as well; None if B changes a byte."""
+        text = (b" a" + b"".join(piece)).decode()
+        ids = [np.array(self.a.encode(text, add_special_tokens=False).ids, np.int32), np.array(self.b.encode(text[1:]), np.int32)]
+        if b"".join([self.bytes_b[i] for i in ids[1].tolist()]) != text.encode():
+            return None
+        stop = np.cumsum([2, *map(len, piece)])
+        counts = [np.diff(np.searchsorted(np.cumsum(size[i]), stop, "right")) for size, i in zip((self.size_a, self.size_b), ids, strict=True)]
+        return [i[len(i) - int(c.sum()) :] for i, c in zip(ids, counts, strict=True)], counts
+
     def _learn(self, pieces: Words, key: np.ndarray, place: np.ndarray) -> None:
+        """Encode those of the sorted keys that are new; place: a piece of each."""
         at = np.searchsorted(self.key, key)
         new = at == len(self.key)
         new[~new] = self.key[at[~new]] != key[~new]
         if not new.any():
             return
-        data = pieces.body.tobytes()
-        spans = zip(pieces.start[place[new]].tolist(), pieces.end[place[new]].tolist(), strict=True)
-        piece = [data[s:e] for s, e in spans]
-        ids = self._encode([p.decode() for p in piece])
-        given = [b"".join([self.bytes_b[i] for i in x]) == p for p, x in zip(piece, ids[1], strict=True)]
+        data, body = pieces.body.tobytes(), pieces.body
+        start, end = pieces.start[place[new]], pieces.end[place[new]]
+        # A piece that ends a text with white space is not cut like that inside one.
+        odd = WHITE[body[end - 1]] | (BEFORE_LAST[body[np.maximum(end - 2, 0)]] & LAST[body[end - 1]])
+        counts, ids, given = [np.zeros((2, 0), np.int64)], [[], []], np.ones(len(start), bool)
+        plain, rest = np.flatnonzero(~odd), np.flatnonzero(odd)
+        parts = [plain[i : i + BATCH] for i in range(0, len(plain), BATCH)] + [rest] * (len(rest) > 0)
+        for part in parts:
+            piece = [data[s:e] for s, e in zip(start[part].tolist(), end[part].tolist(), strict=True)]
+            row = None if part is rest else self._in_a_row(piece)
+            if row is None:
+                lists = self._alone(piece)
+                given[part] = [b"".join([self.bytes_b[i] for i in x]) == p for p, x in zip(piece, lists[1], strict=True)]
+                row = [np.array([i for x in k for i in x], np.int32) for k in lists], [[len(x) for x in k] for k in lists]
+            for k in (0, 1):
+                ids[k].append(row[0][k])
+            counts.append(np.array(row[1], np.int64))
+        count = np.concatenate(counts, axis=1)
+        back = np.argsort(np.concatenate(parts))
         for k in (0, 1):
-            count = np.array([len(x) for x in ids[k]], np.int64)
-            begin = np.cumsum(count) - count + len(self.pool[k])
-            self.pool[k] = np.concatenate([self.pool[k], np.array([i for x in ids[k] for i in x], np.int32)])
-            self.place[k] = [np.insert(old, at[new], add) for old, add in zip(self.place[k], (begin, count), strict=True)]
+            begin = np.cumsum(count[k]) - count[k] + len(self.pool[k])
+            self.pool[k] = np.concatenate([self.pool[k], *ids[k]])
+            self.place[k] = [np.insert(old, at[new], add[back]) for old, add in zip(self.place[k], (begin, count[k]), strict=True)]
         self.key = np.insert(self.key, at[new], key[new])
         self.whole = np.insert(self.whole, at[new], given)
 
