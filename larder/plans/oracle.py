@@ -508,6 +508,27 @@ oracle("provider_verdicts", ["norm", "distance"], """
            CASE WHEN dist_std / dist_mean < 0.2 THEN 'clustered' ELSE 'spread' END AS spread_verdict
     FROM norm JOIN distance USING (provider)""")
 
+# ---- training: what does not depend on the weights that are learnt ---------------------------------------
+
+oracle("sampled_neighborhoods", ["graph", "vocab"], """
+    WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY dst ORDER BY md5('42|0|' || src || '|' || dst), src) AS place FROM graph),
+    seed AS (SELECT (row_number() OVER (ORDER BY attr_id) - 1) // 16 AS batch, attr_id AS node FROM vocab),
+    one AS (SELECT s.batch, r.src, r.dst, r.w FROM seed s JOIN ranked r ON r.dst = s.node AND r.place <= 3),
+    met AS (SELECT DISTINCT batch, src AS node FROM one EXCEPT SELECT batch, node FROM seed),
+    two AS (SELECT m.batch, r.src, r.dst, r.w FROM met m JOIN ranked r ON r.dst = m.node AND r.place <= 2)
+    SELECT batch, src, dst, round(w, 4) AS w FROM one UNION ALL SELECT batch, src, dst, round(w, 4) FROM two""")
+oracle("best_epoch", [], """
+    WITH h AS (SELECT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS epoch, count(*) / 100.0 AS loss FROM orders GROUP BY 1)
+    SELECT epoch, loss AS val_loss FROM h WHERE epoch % 3 <> 0 ORDER BY loss, epoch LIMIT 1""")
+oracle("params_written", [], """
+    WITH n AS (SELECT c_nationkey, row_number() OVER (ORDER BY c_nationkey) - 1 AS i FROM (SELECT DISTINCT c_nationkey FROM customer)),
+    s AS (SELECT c_mktsegment, row_number() OVER (ORDER BY c_mktsegment) - 1 AS j, count(*) OVER () AS width FROM (SELECT DISTINCT c_mktsegment FROM customer)),
+    c AS (SELECT c_nationkey, c_mktsegment, count(*) AS n FROM customer GROUP BY ALL)
+    SELECT 'segments' AS name, (SELECT count(*) FROM n) || 'x' || width AS shape, CAST(i * width + j AS INTEGER) AS at,
+           CAST(coalesce(c.n, 0) AS DOUBLE) AS value
+    FROM n CROSS JOIN s LEFT JOIN c USING (c_nationkey, c_mktsegment)
+    UNION ALL SELECT 'nations', CAST((SELECT count(*) FROM n) AS VARCHAR), CAST(i AS INTEGER), CAST(c_nationkey AS DOUBLE) FROM n""")
+
 # ---- whole runs ------------------------------------------------------------------------------------------
 
 oracle("full_etl", ["meta", "map", "txn", "household", "nutrition_wide"], f"""
@@ -529,3 +550,16 @@ oracle("etl_written_history", ["txn", "map"], f"""
     SELECT household_id, attr_id, round(sum(item_qount * p_attr * exp(-days / 90.0)), 6) AS hist_score,
            CAST(min(days) AS BIGINT) AS last_seen_days
     FROM aged GROUP BY ALL HAVING sum(item_qount * p_attr * exp(-days / 90.0)) > 0.01""")
+
+CTES["written"] = (["txn", "map"], f"""
+    SELECT household_id, attr_id FROM (SELECT * FROM txn WHERE txn_date >= DATE '{AS_OF}' - INTERVAL 2 YEAR) JOIN map USING (upc_nbr) GROUP BY ALL
+    HAVING sum(item_qount * p_attr * exp(-(date_diff('day', txn_date, (
+      SELECT max(txn_date) FROM txn JOIN map USING (upc_nbr) WHERE txn_date >= DATE '{AS_OF}' - INTERVAL 2 YEAR))) / 90.0)) > 0.01""")
+oracle("run_providers", ["written", "vocab"], """
+    SELECT 'cooc_ae_item' AS provider, attr_id, 64 AS dim FROM vocab
+    UNION ALL SELECT DISTINCT 'cooc_ae_hh', attr_id, 64 FROM written
+    UNION ALL SELECT 'gcl', attr_id, 64 FROM (SELECT attr_id FROM vocab UNION SELECT attr_id FROM written)""")
+oracle("retail_pipeline_counts", ["written", "vocab", "item_vec"], """
+    SELECT 'item' AS side, count(*) AS n_items, CAST(count(*) * least(50, (SELECT count(*) FROM vocab)) AS BIGINT) AS n_rows FROM item_vec
+    UNION ALL SELECT 'household', count(DISTINCT household_id), CAST(count(DISTINCT household_id) * least(50, (SELECT count(*) FROM vocab)) AS BIGINT)
+    FROM written""")
