@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..session import materialize
 
@@ -49,7 +50,7 @@ def running_total(df: DataFrame, keys: list[Column], value: Column, name: str, r
     cut = df.withColumn("_value", value.cast("long"))
     cut = (cut.repartitionByRange(ranges, *keys) if ranges else cut.repartitionByRange(*keys)).sortWithinPartitions(*keys)
     placed = cut.select("*", F.spark_partition_id().alias("_range"))
-    schema = placed.schema.add("_inside", "long")
+    schema = StructType([*placed.schema.fields, StructField("_inside", LongType())])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = 0

@@ -3,7 +3,8 @@
 The loss is a mean over all cells, so its gradient is a sum over rows: each task
 sums the gradient of its rows, the sums are added on the executors, and one copy
 of the model comes back to the driver. Random masks are seeded by row, so the
-result does not depend on how rows are spread over tasks.
+result does not depend on how rows are spread over tasks. Models too large for that
+are trained in blocks (blocked_autoencoder.py).
 """
 
 import numpy as np
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_uniform
 from ..session import materialize
 from .alignment import unit_rows
+from .blocked_autoencoder import DROPOUT, fit_in_blocks
 from .params import SUM_SCHEMA, Adam, Params, as_chunks, known_settings, linear_init, shaped, sum_over_tasks
 
 # Configuration defaults.
@@ -22,8 +24,7 @@ AE_DEFAULTS = {
     "source": "item", "latent_dim": 64, "hidden_dim": 256, "epochs": 40,
     "noise_prob": 0.2, "pmi_shift": 1.0, "lr": 0.001, "batch_size": 256, "seed": 42,
 }
-DROPOUT = 0.2
-MAX_ATTRIBUTES = 50_000
+MODEL_BYTES = 64 << 20  # a larger model is kept and stepped in blocks
 ROWS_PER_STEP = 64
 
 
@@ -119,12 +120,13 @@ def train_epoch(rows: DataFrame, params: Params, n: int, noise: float, seed: int
 def fit_autoencoder(cells: DataFrame, vocabulary: DataFrame, config: dict | None = None) -> tuple[DataFrame, Params, list[float]]:
     """Train on the mirrored SPPMI cells; returns (attr_id, vector), the parameters and the loss per epoch.
 
-    vocabulary is (attr_id, idx); an attribute without cells has an all-zero row and still gets a vector.
+    vocabulary is (attr_id, idx); an attribute without cells has an all-zero row and still gets a vector. A model of more than
+    MODEL_BYTES is trained in blocks by the same steps, from other starting weights; its outer layers stay in their tables.
     """
     cfg = known_settings(AE_DEFAULTS, config)
     n = vocabulary.count()
-    if n > MAX_ATTRIBUTES:
-        raise ValueError(f"{n} attributes: the first and last layer grow with them; use at most {MAX_ATTRIBUTES}")
+    if 16 * n * cfg["hidden_dim"] > MODEL_BYTES:
+        return fit_in_blocks(cells, vocabulary, cfg)
     rows = materialize(matrix_rows(cells, vocabulary))
     params = init_params(n, cfg["hidden_dim"], cfg["latent_dim"], cfg["seed"])
     adam, losses = Adam(cfg["lr"]), []

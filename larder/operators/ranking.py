@@ -3,43 +3,17 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_hex
-from ..session import materialize
-
-
-def with_running_total(df: DataFrame, key: Column, value: Column, name: str, splits: int = 256) -> DataFrame:
-    """Add the sum of `value` over all rows with a smaller key; keys are unique strings.
-
-    Rows are cut into ranges at up to `splits` keys picked by hash (the only rows the
-    driver sees). The total is the one inside a range plus that of earlier ranges; only
-    the (at most splits + 1) range sums meet in one task, and they are broadcast.
-    The ranges are written to the shared folder, and counted and ranked from there.
-    """
-    keyed = df.withColumns({"_key": key, "_value": value.cast("bigint")})
-    picked = keyed.select("_key").orderBy(hash_hex(F.col("_key")), "_key").limit(splits).collect()
-    bounds = F.lit(sorted(r["_key"] for r in picked)).cast("array<string>")
-    ranged = materialize(
-        keyed.withColumn("_bounds", bounds)
-        .withColumn("_range", F.expr("size(filter(_bounds, b -> b <= _key))"))
-        .drop("_bounds")
-    )
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy("_range").agg(F.sum("_value").alias("_n"))
-        .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy("_range").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        ranged.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-        .join(F.broadcast(offsets), "_range")
-        .withColumn(name, F.col("_offset") + F.col("_inside"))
-        .drop("_key", "_value", "_range", "_inside", "_offset")
-    )
-
-
-def with_global_rank(df: DataFrame, key: Column, name: str, splits: int = 256) -> DataFrame:
+from ..functions.ordering import running_total
+
+
+def with_running_total(df: DataFrame, key: Column, value: Column, name: str, ranges: int | None = None) -> DataFrame:
+    """Add the sum of `value` over all rows with a smaller key; keys are unique strings."""
+    return running_total(df.withColumn("_key", key), [F.col("_key")], value, name, ranges).drop("_key")
+
+
+def with_global_rank(df: DataFrame, key: Column, name: str, ranges: int | None = None) -> DataFrame:
     """Add the 0-based rank of a unique string key."""
-    return with_running_total(df, key, F.lit(1), name, splits)
+    return with_running_total(df, key, F.lit(1), name, ranges)
 
 
 def top_k(scored: DataFrame, group: str | list[str], score: str, tie: str, k: int, rank: str = "rank") -> DataFrame:

@@ -440,7 +440,8 @@ def pattern(i: str, j: str, a: int, b: int, c: int, m: int) -> str:
     return f"((({i}) * {a} + ({j}) * {b} + {c}) % {m} - {m // 2}) / 10.0"
 
 
-oracle("ae_encode_fixed", ["item_cell", "vocab"], f"""
+for _key in ("ae_encode_fixed", "ae_encode_blocks"):
+    oracle(_key, ["item_cell", "vocab"], f"""
     WITH idx AS (SELECT attr_id, row_number() OVER (ORDER BY attr_id) - 1 AS i FROM vocab),
     w AS ({sppmi_sql("item_cell", 0.5, "w")}),
     hid AS (SELECT v.attr_id, j, greatest(coalesce(sum(w.w * ({pattern("d.i", "j", 7, 3, 0, 11)})), 0) + (j + 1) / 10.0, 0) AS h

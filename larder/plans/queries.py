@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,15 +11,16 @@ from ..functions import vectors as X
 from ..operators import alignment as AL
 from ..operators import attributes as A
 from ..operators import autoencoder as AE
+from ..operators import blocked_autoencoder as BA
 from ..operators import comparison as C
 from ..operators import contrastive as L
 from ..operators import cooccurrence as CO
 from ..operators import graph as G
 from ..operators import graph_encoder as GE
-from ..operators import neighborhoods as NB
-from ..operators import params as PA
 from ..operators import history as H
+from ..operators import neighborhoods as NB
 from ..operators import nutrition as N
+from ..operators import params as PA
 from ..operators import sampling as P
 from ..operators import scoring as R
 from ..session import Scratch, materialize, scratch_path
@@ -533,6 +535,27 @@ def ae_encode_fixed(spark, d):
     return _long(AE.encode(AE.matrix_rows(cells, vocabulary), params, n), "vector", 5)
 
 
+@query
+def ae_encode_blocks(spark, d):
+    """The same by a model in blocks of 64 attributes, as for vocabularies whose layers are too large for one place."""
+    item_attrs, block = _map(spark, d), 64
+    cells = CO.sppmi(materialize(CO.mirror(CO.item_cooccurrence(item_attrs))), 0.5)
+    vocabulary = materialize(G.indexed_vocabulary(materialize(G.attribute_vocabulary(item_attrs))))
+    n, pattern = vocabulary.count(), _pattern
+
+    def weights(batches):
+        for pdf in batches:
+            for blk in pdf["id"]:
+                rows = BA.block_rows(n, block, blk)
+                w1 = pattern(rows, 4, 7, 3, 7 * blk * block, 11)
+                yield pd.DataFrame([(blk, BA.pack([w1, np.zeros((rows, 4)), np.zeros(rows), np.zeros(rows)]), None)], columns=["blk", "m", "moments"])
+
+    inner = {"b1": np.arange(1, 5) / 10.0, "w2": _pattern(4, 3, 5, 2, 1, 7), "b2": np.arange(3) / 20.0}
+    entries = materialize(BA.sparse_entries(cells, vocabulary, block))
+    trainer = BA.Trainer(entries, spark.range(-(-n // block)).mapInPandas(weights, BA.PLACED), inner, n, AE.AE_DEFAULTS, block)
+    return _long(trainer.encode().join(vocabulary, "idx").select("attr_id", "vector"), "vector", 5)
+
+
 @query
 def graph_encode_fixed(spark, d):
     """Two layers of the graph encoder, with running statistics."""
