@@ -7,17 +7,17 @@ Equal sets are one node from here on, however many copies they have.
    shingles and similarity t differ in at most (n + m) (1 - t) / (1 + t).  So one group at least is the same, and not empty, in
    both; nodes meet by the hash of a group's whole content.  The number of groups goes by a level of sizes, which a
    set shares with every set it can be linked to.  (A set with too few non-empty groups meets by single shingles instead.)
-2. *Bound.*  Pairs that meet in fewer groups than linked sets of their sizes have the same are dropped.  Each set is also a
-   point: its counts in a power of two of groups.  The sum of coordinate minima of two points bounds their overlap; pairs
-   whose bound is too low are dropped too.  Where more than MANY nodes meet, no pairs are listed, but each node counts such
-   places: a pair that meets elsewhere may lack as many meetings as the one with fewer of them has; a pair that meets in
-   them alone needs both to have enough, and nodes that have are kept together by star edges.
-3. *Tree.*  Connected pairs and stars form clusters, and each is searched in one task: its points are packed by size and
-   coordinates into an R-tree whose boxes keep the largest coordinates; minima bound the overlap of a query with anything in
-   a box, and then with each point.  Surviving pairs are verified on the sets.  Pairs that are connected already aren't
-   verified again, so a dense group costs about one test a node.
-4. *Large clusters* are cut into leaves of at most LEAF nodes.  Leaves are joined in themselves, with a few nodes of the cluster
-   in all of them; if that leaves several components, every pair of leaves that can still hold a link is joined too.
+2. *Stars.*  No pairs are listed: the nodes with a key are joined to the smallest of them.  A linked set has a number of groups in
+   common with each of its partners, and a node that does not share as many keys, with whomever, is left out.
+3. *Tree.*  Stars form clusters.  Each set is a point, its counts in GROUPS groups, and the sum of coordinate minima of two
+   points bounds their overlap.  A cluster's points are packed by size and coordinates into an R-tree; boxes keep the largest
+   coordinates, so minima with a box bound the overlap with anything below it, and a search leaves out whole branches.
+   Surviving pairs are verified on the sets.  Pairs that are connected already aren't verified again, so a dense group costs about
+   one test a node.
+4. *Large clusters* are one tree over many tasks.  Their nodes, in order of size and coordinates, are cut into leaves; boxes of
+   BOX leaves, of BOX such boxes and so on are its upper levels.  Leaves are searched in themselves first, with a few nodes of the
+   cluster in all of them.  Then pairs of boxes go down the tree, and what their bounds leave at the bottom are pairs of leaves;
+   from these only nodes outside the cluster's largest component meet all others.
 
 No bucket, cluster or partner list is capped.  Components follow from the links.
 
@@ -31,11 +31,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
+from larder.functions.ordering import running_total
 from larder.llm.components import components
 from larder.llm.substring_dedup import Members, split
 from larder.llm.words import U64, Words, mix, raw, run_inside, shingles, slices, text_column
@@ -49,7 +51,6 @@ LEAF = 1024
 LEAF_SHINGLES = 2_000_000
 SHARED_NODES = 16
 SHARD_BYTES = 24 << 20
-MANY = 64
 FILTER_BITS = 1 << 24  # of the bitmap of wanted documents, 2 MB whatever the input
 HELD_KEYS = 1 << 20
 HASH_BITS = U64(48)
@@ -109,57 +110,32 @@ def least_overlap(n, m, percent: int = PERCENT):
     return -(-percent * (n + m) // (100 + percent))
 
 
-def _points(hashes: np.ndarray, start: np.ndarray) -> list[bytes]:
-    """Counts of each set in a power of two of groups, about four shingles to a group; a point of twice the groups folds onto it."""
-    size = np.diff(start)
-    groups = 1 << np.maximum(3, np.ceil(np.log2(np.maximum(size, 1) / 4)).astype(np.int64))
-    base = np.cumsum(groups) - groups
-    owner = np.repeat(np.arange(len(size)), size)
-    at = base[owner] + (mix(hashes) & (groups[owner] - 1).astype(U64)).astype(np.int64)
-    count = np.minimum(np.bincount(at, minlength=int(groups.sum())), 255).astype(np.uint8).tobytes()
-    return [count[b : b + g] for b, g in zip(base.tolist(), groups.tolist(), strict=True)]
-
-
-def filled_groups(hashes: np.ndarray, start: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, list[list[int]], np.ndarray]:
-    """The level of each set, how many of its groups have shingles there and at each higher level it emits keys for, and the
-    fewest groups that it has in common with any set it is linked to."""
+def least_common(hashes: np.ndarray, start: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The fewest groups that each set has in common with any set it is linked to, on any of its levels."""
     least = np.append(_levels(percent)[0], 1 << 62)
     size = np.diff(start)
     common = np.full(len(size), 1 << 40)
     owner = np.repeat(np.arange(len(size)), size)
-    out: list[list[int]] = [[] for _ in size]
-    low = np.zeros(len(size), np.int64)
     for here, level, base, at in _grouped(hashes, start, size > 0, owner, percent):
-        whose = owner[here[owner]]
-        filled = np.unique(base[whose] + at)
+        filled = np.unique(base[owner[here[owner]]] + at)
         count = np.bincount(np.flatnonzero(here)[np.searchsorted(base[here], filled, "right") - 1], minlength=len(size))
         largest = np.minimum(size * 100 // percent, least[level + 1] - 1)
         left = count - (size + largest) * (100 - percent) // (100 + percent)
         common[here] = np.minimum(common[here], left[here])
-        for k in np.flatnonzero(here).tolist():
-            if not out[k]:
-                low[k] = level[k]
-            out[k].append(int(count[k]))
-    return low, out, np.maximum(common, 1)
+    return np.maximum(common, 1)
 
 
 def set_table(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, node, point, level, filled, common (see `filled_groups`) of each document, as a written table."""
+    """doc_id, n, node, common (see `least_common`) of each document, as a written table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            size, names, level, common = (np.zeros(b.num_rows, np.int64) for _ in range(4))
-            points, filled = [], []
+            size, names, common = (np.zeros(b.num_rows, np.int64) for _ in range(3))
             for i, j, h, start in _sets(text_column(b, "text")):
-                size[i:j], names[i:j] = np.diff(start), set_names(h, start)
-                points += _points(h, start)
-                level[i:j], more, common[i:j] = filled_groups(h, start, percent)
-                filled += more
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(size), pa.array(names), pa.array(points, pa.binary()), pa.array(level), pa.array(filled, pa.list_(pa.int64())),
-                 pa.array(common)], names=["doc_id", "n", "node", "point", "level", "filled", "common"])
+                size[i:j], names[i:j], common[i:j] = np.diff(start), set_names(h, start), least_common(h, start, percent)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(names), pa.array(common)], names=["doc_id", "n", "node", "common"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, point binary, level long, filled array<long>, common long"))
+    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, common long"))
 
 
 def _grouped(hashes: np.ndarray, start: np.ndarray, use: np.ndarray, owner: np.ndarray, percent: int):
@@ -243,124 +219,79 @@ def _routed(shards: int, percent: int):
     return run
 
 
-def _met(many: int):
-    """Pairs of nodes with keys of the shard in common and how many (met > 0); where more than `many` nodes have one, the edges
-    of a star (met = 0), and for each node how many such keys it has (a = b)."""
-    def run(table: pa.Table) -> pa.Table:
-        node, count, key = (table.column(c).to_pylist() for c in ("node", "count", "key"))
-        node = np.concatenate([np.frombuffer(x, "<i8") for x in node])
-        count = np.concatenate([np.frombuffer(x, "<u4") for x in count])
-        part = np.concatenate([np.frombuffer(x, np.uint8) for x in key]).reshape(-1, KEY_BYTES)
-        key = np.zeros((len(part), 8), np.uint8)
-        key[:, :KEY_BYTES] = part
-        key = key.view("<u8").ravel()
-        ordered = np.sort(key)
-        shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        del ordered, part
-        at = Members(shared).find(key)[0]  # nodes are spelt out for shared keys alone
-        key, node = key[at], node[np.searchsorted(np.cumsum(count), at, "right")]
-        order = np.lexsort((node, key))
-        key, node = key[order], node[order]
-        once = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.zeros(0, bool)
-        key, node = key[once], node[once]
-        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-        size = np.diff(np.append(start, len(key)))
-        listed, stars = [(np.zeros((0, 2), np.int64), np.zeros(0, np.int64))], [np.zeros((0, 2), np.int64)]
-        for m in np.unique(size[(size > 1) & (size <= many)]):
-            i, j = np.triu_indices(m, 1)
-            first = start[size == m]
-            per = max(1, (1 << 20) // len(i))
-            for k in range(0, len(first), per):
-                member = node[first[k : k + per, None] + np.arange(m)]
-                listed.append(_counted(np.stack([member[:, i].ravel(), member[:, j].ravel()], 1)))
-        for k in np.flatnonzero(size > many):
-            member = node[start[k] : start[k] + size[k]]
-            stars.append(np.stack([np.full(len(member) - 1, member[0]), member[1:]], 1))
-        pairs, count = _counted(*(np.concatenate(x) for x in zip(*listed, strict=True)))
-        stars = _counted(np.concatenate(stars))[0]
-        crowded, times = np.unique(node[np.repeat(size > many, size)], return_counts=True)
-        both = np.concatenate([pairs, stars, np.stack([crowded, crowded], 1)])
-        return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1]),
-                         "met": pa.array(np.concatenate([count, np.zeros(len(stars), np.int64), times]))})
-
-    return run
-
-
-def _counted(pairs: np.ndarray, count: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct rows and the sums of their counts."""
+def _stars(table: pa.Table) -> pa.Table:
+    """a, b, keys: the smallest node of a key of the shard and another one that has it, with their number of such keys; and for the
+    smallest nodes (a = b) the number of keys in which they are that."""
+    node, count, key = (table.column(c).to_pylist() for c in ("node", "count", "key"))
+    node = np.concatenate([np.frombuffer(x, "<i8") for x in node])
+    count = np.concatenate([np.frombuffer(x, "<u4") for x in count])
+    part = np.concatenate([np.frombuffer(x, np.uint8) for x in key]).reshape(-1, KEY_BYTES)
+    key = np.zeros((len(part), 8), np.uint8)
+    key[:, :KEY_BYTES] = part
+    key = key.view("<u8").ravel()
+    ordered = np.sort(key)
+    shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    del ordered, part
+    at = Members(shared).find(key)[0]  # nodes are spelt out for shared keys alone
+    key, node = key[at], node[np.searchsorted(np.cumsum(count), at, "right")]
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    once = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.zeros(0, bool)
+    key, node = key[once], node[once]
+    start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    size = np.diff(np.append(start, len(key)))
+    more = np.repeat(size > 1, size)  # a key may be that of one node of several tasks
+    pairs, times = _counted(np.stack([np.repeat(node[start], size)[more], node[more]], 1))
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "keys": pa.array(times)})
+
+
+def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows and how often they occur."""
     order = np.lexsort((pairs[:, 1], pairs[:, 0]))
     pairs = pairs[order]
     first = np.flatnonzero(np.r_[True, (pairs[1:] != pairs[:-1]).any(1)]) if len(pairs) else np.zeros(0, np.int64)
-    total = np.concatenate([[0], np.cumsum(np.ones(len(pairs), np.int64) if count is None else count[order])])
-    return pairs[first], total[np.append(first[1:], len(pairs))] - total[first] if len(pairs) else np.zeros(0, np.int64)
+    return pairs[first], np.diff(np.append(first, len(pairs)))
 
 
-def overlap_bounds(a: list[bytes], b: list[bytes]) -> np.ndarray:
-    """The sum of coordinate minima of each pair of points."""
-    wide = np.array([[len(x), len(y)] for x, y in zip(a, b, strict=True)]).reshape(-1, 2)
-    out = np.zeros(len(a), np.int64)
-    for p, q in np.unique(wide, axis=0):
-        at, g = np.flatnonzero((wide == (p, q)).all(1)), min(p, q)
-        x, y = (np.frombuffer(b"".join([v[k] for k in at]), np.uint8).reshape(len(at), -1, g).astype(np.int32).sum(1) for v in (a, b))
-        out[at] = np.minimum(x, y).sum(1)
-    return out
+def star_edges(stars: DataFrame, nodes: DataFrame) -> DataFrame:
+    """a, b: those edges of the stars whose outer node shares as many keys as a link needs."""
+    shared = stars.groupBy(F.col("b").alias("node")).agg(F.sum("keys").alias("shared"))
+    able = nodes.join(shared, "node").filter("shared >= common").select(F.col("node").alias("b"))
+    return stars.filter("a <> b").select("a", "b").join(able, "b").select("a", "b")
 
 
-def candidate_edges(met: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """a, b: pairs that meet as often, and whose points leave room for as much overlap, as a link needs; and the star edges of
-    nodes that may be linked through crowded keys alone."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            n, m = (b.column(k).to_numpy() for k in (2, 3))
-            bound = overlap_bounds(b.column(4).to_pylist(), b.column(5).to_pylist())
-            yield b.select(["a", "b"]).filter(pa.array(bound >= least_overlap(n, m, percent)))
-
-    crowded = materialize(met.filter("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("met").alias("crowded")))
-    nodes = nodes.join(crowded, "node", "left").withColumn("crowded", F.coalesce("crowded", F.lit(0)))
-
-    def side(k: str, *columns: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(k), *[F.col(c).alias(c + k) for c in columns])
-
-    def same(k: str) -> Column:
-        """Groups of set k that are the same in any set it is linked to, of the other's size."""
-        return F.get(F.col(f"filled{k}"), (F.greatest("levela", "levelb") - F.col(f"level{k}")).cast("int")) - F.col("differ")
-
-    pairs = met.filter("met > 0 AND a <> b").groupBy("a", "b").agg(F.sum("met").alias("met"))
-    about = ("n", "level", "filled", "crowded")
-    sized = pairs.join(side("a", *about), "a").join(side("b", *about), "b").filter(
-        F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-    differ = F.floor((F.col("na") + F.col("nb")) * (100 - percent) / (100 + percent))
-    least = F.greatest(same("a"), same("b"), F.lit(1)) - F.least("crowdeda", "crowdedb")
-    enough = sized.withColumn("differ", differ).filter(F.col("met") >= least)
-    joined = enough.select("a", "b", "na", "nb").join(side("a", "point"), "a").join(side("b", "point"), "b")
-    listed = joined.select("a", "b", "na", "nb", "pointa", "pointb").mapInArrow(run, "a long, b long")
-    able = nodes.filter("crowded > 0 AND crowded >= common").select(F.col("node").alias("b"))
-    return listed.union(met.filter("met = 0").select("a", "b").distinct().join(able, "b").select("a", "b"))
+def may_link(high: np.ndarray, least, most, q: np.ndarray, n, m, percent: int = PERCENT) -> np.ndarray:
+    """Whether anything in boxes (largest coordinates, least and most size) can be linked with anything in boxes (q, n, m)."""
+    fits = (least * percent <= 100 * m) & (n * percent <= 100 * most)
+    # Of all sizes that two boxes leave, the smallest need the smallest overlap.
+    return fits & (np.minimum(high, q).sum(-1) >= least_overlap(np.maximum(n, -(-least * percent // 100)), np.maximum(least, -(-n * percent // 100)), percent))
 
 
 class CountTree:
-    """An R-tree of one level of boxes over group counts, packed by size and then by coordinates."""
+    """An R-tree over group counts, packed by size and then by coordinates; level 0 holds the points, each further one boxes of BOX."""
 
     def __init__(self, points: np.ndarray, size: np.ndarray, percent: int = PERCENT):
-        self.percent = percent
+        self.percent, self.visited = percent, 0
         self.order = np.lexsort((points[:, 1], points[:, 0], size))
-        self.points, self.size = points[self.order], size[self.order]
-        edge = np.arange(0, len(size), BOX)
-        self.high = np.maximum.reduceat(self.points, edge, axis=0)
-        self.least, self.most = np.minimum.reduceat(self.size, edge), np.maximum.reduceat(self.size, edge)
+        self.size = size[self.order]
+        self.levels = [(points[self.order], self.size, self.size)]
+        while len(self.levels[-1][1]) > 1:
+            high, least, most = self.levels[-1]
+            edge = np.arange(0, len(least), BOX)
+            self.levels.append((np.maximum.reduceat(high, edge, axis=0), np.minimum.reduceat(least, edge), np.maximum.reduceat(most, edge)))
 
     def search(self, i: int) -> np.ndarray:
         """Positions after i (in packed order) whose bound reaches the overlap they need with i."""
-        q, n = self.points[i], self.size[i]
-        first = i // BOX
-        fits = self.least[first:] * self.percent <= 100 * n
-        fits &= np.minimum(self.high[first:], q).sum(1) >= least_overlap(n, np.maximum(self.least[first:], n), self.percent)
-        box = first + np.flatnonzero(fits)
-        at = (box[:, None] * BOX + np.arange(BOX)).ravel()
-        at = at[(at > i) & (at < len(self.size))]
-        ok = self.size[at] * self.percent <= 100 * n
-        ok &= np.minimum(self.points[at], q).sum(1) >= least_overlap(n, self.size[at], self.percent)
-        return at[ok]
+        q, n = self.levels[0][0][i], self.size[i]
+        at = np.zeros(1, np.int64)
+        for level in range(len(self.levels) - 1, -1, -1):
+            high, least, most = self.levels[level]
+            if level < len(self.levels) - 1:
+                at = (at[:, None] * BOX + np.arange(BOX)).ravel()
+            at = at[(at < len(least)) & ((at + 1) * BOX**level - 1 > i)]
+            self.visited += len(at)
+            at = at[may_link(high[at], least[at], most[at], q, n, n, self.percent)]
+        return at
 
 
 def count_points(hashes: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -370,8 +301,9 @@ def count_points(hashes: np.ndarray, start: np.ndarray) -> np.ndarray:
     return np.bincount(code, minlength=(len(start) - 1) * GROUPS).reshape(-1, GROUPS).astype(np.int32)
 
 
-def links(hashes: np.ndarray, start: np.ndarray, known: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Verified pairs of sets that connect all that is linked; sets of equal `known` count as connected."""
+def links(hashes: np.ndarray, start: np.ndarray, known: np.ndarray | None = None, side: np.ndarray | None = None, percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Verified pairs of sets that connect all that is linked; sets of equal `known` count as connected, and sets of
+    one `side` have been searched among themselves."""
     m = len(start) - 1
     if m < 2:
         return []
@@ -380,6 +312,7 @@ def links(hashes: np.ndarray, start: np.ndarray, known: np.ndarray | None = None
     group = np.unique(known, return_inverse=True)[1][tree.order] if known is not None else np.arange(m)
     found = []
     sets = [hashes[start[k] : start[k + 1]] for k in tree.order]
+    side = side[tree.order] if side is not None else None
 
     def join(i: int, j: int) -> None:
         found.append((int(tree.order[i]), int(tree.order[j])))
@@ -390,6 +323,8 @@ def links(hashes: np.ndarray, start: np.ndarray, known: np.ndarray | None = None
             break
         left = tree.search(i)
         left = left[group[left] != group[i]]
+        if side is not None:
+            left = left[side[left] != side[i]]
         tries = 0
         while len(left) and tries < TRIES:
             j = left[0]
@@ -411,10 +346,10 @@ def links(hashes: np.ndarray, start: np.ndarray, known: np.ndarray | None = None
 
 
 def _joined(percent: int):
-    """Links of the jobs of one unit; a job is a cluster, a leaf, or a pair of leaves."""
+    """Links of the jobs of one unit; a job is a cluster, a leaf (side null), or a pair of leaves (sides)."""
     def run(table: pa.Table) -> pa.Table:
-        node, known = (table.column(c).to_numpy() for c in ("node", "known"))
-        job = table.column("job").to_numpy()
+        node, known, job = (table.column(c).to_numpy() for c in ("node", "known", "job"))
+        side = table.column("side").to_numpy()
         col = table.column("text").combine_chunks().cast(pa.large_string())
         col = pa.concat_arrays(col.chunks) if isinstance(col, pa.ChunkedArray) else col
         hashes, size, names = [], [], []
@@ -432,7 +367,8 @@ def _joined(percent: int):
             pick = order[r]
             part = np.concatenate([hashes[begin[k] : begin[k] + size[k]] for k in pick])
             start = np.concatenate([[0], np.cumsum(size[pick])])
-            for x, y in links(part, start, known[pick], percent):
+            apart = side[pick] if side[pick[0]] >= 0 else None
+            for x, y in links(part, start, known[pick], apart, percent):
                 a.append(node[pick[x]])
                 b.append(node[pick[y]])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
@@ -440,14 +376,6 @@ def _joined(percent: int):
     return run
 
 
-def _leaf(count: Column, shingles_: Column) -> Column:
-    return F.greatest(F.lit(1), F.ceil(count / LEAF), F.ceil(shingles_ / LEAF_SHINGLES)).cast("int")
-
-
-def _salt(node: Column, leaves: Column) -> Column:
-    return F.pmod(F.xxhash64(node, F.lit("leaf")), leaves).cast("int")
-
-
 def wanted(texts: DataFrame, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     """The rows of `texts` (rep, ...) whose rep is among `ids`, and some others: a bitmap of hashes, of fixed size, is broadcast so
     that most texts that a join would drop aren't shuffled for it."""
@@ -460,6 +388,58 @@ def wanted(texts: DataFrame, ids: DataFrame, bits: int = FILTER_BITS) -> DataFra
     return seen.filter(F.getbit(byte.cast("long"), F.pmod(F.col("bit"), F.lit(8)).cast("int")) == 1).select(*texts.columns)
 
 
+BOXES = "cluster long, at long, least long, most long, high binary"
+
+
+def _bytes(points: np.ndarray) -> list[bytes]:
+    return [p.astype("<u4").tobytes() for p in points]
+
+
+def _from_bytes(points) -> np.ndarray:
+    return np.frombuffer(b"".join(points), "<u4").reshape(-1, GROUPS).astype(np.int64)
+
+
+def boxes_of(rows: DataFrame) -> DataFrame:
+    """One box for each (cluster, at) of smaller ones or of points (least, most, high)."""
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        first = batch.iloc[0]
+        high = _from_bytes(batch["high"]).max(0)
+        return pd.DataFrame([(first["cluster"], first["at"], batch["least"].min(), batch["most"].max(), _bytes([high])[0])],
+                            columns=["cluster", "at", "least", "most", "high"])
+
+    return rows.groupBy("cluster", "at").applyInPandas(run, BOXES)
+
+
+def box_pairs(leaves: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """cluster, i, j: pairs of leaves (i < j) of a cluster between which there may be links, by pairs of boxes from the root down.
+
+    leaves (cluster, at, least, most, high) is a written table; leaves of a cluster are numbered in a row.
+    """
+    spans = leaves.groupBy("cluster").agg((F.max("at") - F.min("at") + 1).alias("n")).agg(F.max("n")).first()[0] or 0
+    levels = [leaves]
+    while spans > 2:
+        levels.append(materialize(boxes_of(levels[-1].withColumn("at", F.expr(f"at div {BOX}")))))
+        spans = (spans - 2) // BOX + 2  # boxes that as many in a row can touch
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = ([np.asarray(b.column(f"{c}{k}")) for c in ("least", "most")] for k in "ij")
+            high = [_from_bytes(b.column(f"high{k}").to_pylist()) for k in "ij"]
+            yield b.select(["cluster", "i", "j"]).filter(pa.array(may_link(high[0], *x, high[1], *y, percent)))
+
+    def side(level: DataFrame, k: str) -> DataFrame:
+        return level.select("cluster", F.col("at").alias(k), F.expr(f"at div {BOX}").alias(f"above{k}"), *[F.col(c).alias(c + k) for c in ("least", "most", "high")])
+
+    # The boxes of the highest level are one or two in a cluster.
+    top = levels[-1]
+    pairs = side(top, "i").join(side(top, "j").drop("abovej"), "cluster").filter("i <= j").drop("abovei").mapInArrow(run, "cluster long, i long, j long")
+    for level in reversed(levels[:-1]):
+        above = pairs.select("cluster", F.col("i").alias("abovei"), F.col("j").alias("abovej"))
+        met = above.join(side(level, "i"), ["cluster", "abovei"]).join(side(level, "j"), ["cluster", "abovej"]).filter("i <= j")
+        pairs = materialize(met.drop("abovei", "abovej").mapInArrow(run, "cluster long, i long, j long"))
+    return pairs.filter("i < j")
+
+
 def verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, units: int, percent: int = PERCENT) -> DataFrame:
     """a, b: links that connect all nodes of a cluster that are connected by links.
 
@@ -467,38 +447,62 @@ def verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, units
     """
     member = clusters.withColumnRenamed("component", "cluster").join(nodes, "node")
     sums = member.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
-    member = materialize(member.join(sums, "cluster").withColumn("leaves", _leaf(F.col("c"), F.col("s"))))
+    member = materialize(member.join(sums, "cluster").withColumn("whole", (F.col("c") <= LEAF) & (F.col("s") <= LEAF_SHINGLES)))
     texts = wanted(docs.select(F.col("doc_id").alias("rep"), "text"), member.select("rep"))
-    join = lambda rows: rows.join(texts, rows["rep"].eqNullSafe(texts["rep"])).select(
-        "unit", "job", "node", "known", "text").groupBy("unit").applyInArrow(_joined(percent), "a long, b long")
 
-    everywhere = F.pmod(F.xxhash64("node", F.lit("shared")), F.lit(1 << 30)) < F.lit(SHARED_NODES * (1 << 30)) / F.col("c")
-    leaf = F.when(everywhere, F.sequence(F.lit(0), F.col("leaves") - 1)).otherwise(F.array(_salt(F.col("node"), F.col("leaves"))))
-    rows = member.withColumn("leaf", F.explode(leaf))
-    rows = rows.withColumn("job", F.when(F.col("leaves") == 1, F.col("cluster")).otherwise(F.xxhash64("cluster", "leaf")))
-    rows = rows.withColumn("unit", F.when(F.col("leaves") == 1, F.pmod(F.xxhash64("cluster"), F.lit(units))).otherwise(F.col("job")))
-    found = materialize(join(rows.withColumn("known", F.col("node"))))
+    def with_texts(rows: DataFrame) -> DataFrame:
+        return rows.join(texts, rows["rep"].eqNullSafe(texts["rep"]))
+
+    def search(rows: DataFrame) -> DataFrame:
+        return with_texts(rows).select("unit", "job", "side", "node", "known", "text").groupBy("unit").applyInArrow(_joined(percent), "a long, b long")
 
-    large = member.filter("leaves > 1")
+    alone = F.lit(-1).alias("side")
+    small = member.filter("whole").select(F.pmod(F.xxhash64("cluster"), F.lit(units)).alias("unit"), F.col("cluster").alias("job"), alone, "node",
+                                          F.col("node").alias("known"), "rep")
+    large = member.filter("NOT whole").select("cluster", "node", "rep", "n", "c")
     if large.isEmpty():
-        return found
+        return materialize(search(small))
+
+    def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            right, high = np.zeros(b.num_rows, bool), [b""] * b.num_rows
+            node = b.column("node").to_numpy()
+            for i, j, h, start in _sets(text_column(b, "text")):
+                right[i:j] = set_names(h, start) == node[i:j]
+                high[i:j] = _bytes(count_points(h, start))
+            kept = b.select(["cluster", "node", "rep", "n", "c"])
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(high, pa.binary())], names=[*kept.schema.names, "high"]).filter(pa.array(right))
+
+    seen = with_texts(large).select("cluster", "node", texts["rep"], "n", "c", "text").mapInArrow(
+        points, "cluster long, node long, rep long, n long, c long, high binary")
+    seen = materialize(seen.groupBy("cluster", "node").agg(*[F.first(c).alias(c) for c in ("rep", "n", "c", "high")]))
+    # Leaves are runs of at most LEAF nodes and about LEAF_SHINGLES shingles, in order of size and coordinates.
+    weight = F.greatest(F.col("n"), F.lit(-(-LEAF_SHINGLES // LEAF)))
+    order = [F.col("cluster"), F.col("n"), F.hex(F.reverse(F.substring("high", 1, 4))), F.hex(F.reverse(F.substring("high", 5, 4))), F.col("node")]
+    packed = materialize(running_total(seen.repartition("cluster", "node"), order, weight, "ahead").withColumn("at", F.expr(f"ahead div {LEAF_SHINGLES}")).drop("ahead"))
+    leaves = materialize(boxes_of(packed.select("cluster", "at", F.col("n").alias("least"), F.col("n").alias("most"), "high")))
+
+    everywhere = F.pmod(F.xxhash64("node", F.lit("shared")), F.lit(1 << 30)) < F.lit(SHARED_NODES * (1 << 30)) / F.col("c")
+    copied = packed.filter(everywhere).drop("at").join(leaves.select("cluster", "at"), "cluster")
+    rows = packed.select("cluster", "at", "node", "rep").unionByName(copied.select("cluster", "at", "node", "rep")).distinct()
+    rows = rows.withColumn("job", F.xxhash64("cluster", "at"))
+    found = materialize(search(small.unionByName(rows.select(F.col("job").alias("unit"), "job", alone, "node", F.col("node").alias("known"), "rep"))))
+
     label = components(found).withColumnRenamed("component", "known")
-    large = materialize(large.join(label, "node", "left").withColumn("known", F.coalesce("known", "node")))
-    counts = large.groupBy("cluster", "known").agg(F.count("*").alias("k"))
-    first = Window.partitionBy("cluster").orderBy(F.desc("k"), "known")
-    main = counts.withColumn("r", F.row_number().over(first)).filter("r = 1").select("cluster", F.col("known").alias("main"))
-    large = large.join(main, "cluster").withColumn("other", F.col("known") != F.col("main"))
-    sums = large.groupBy("cluster").agg(
-        *[_leaf(F.sum(F.col("other").eqNullSafe(F.lit(o)).cast("long")), F.sum(F.when(F.col("other") == o, F.col("n")).otherwise(0))).alias(k)
-          for k, o in (("k1", True), ("k0", False))], F.max("other").alias("open")).filter("open")
-    large = large.join(sums, "cluster")
-    mine = F.when(F.col("other"), _salt(F.col("node"), F.col("k1"))).otherwise(_salt(F.col("node"), F.col("k0")))
-    pairs = F.when(F.col("other"), F.concat(
-        F.transform(F.sequence(F.lit(0), F.col("k1") - 1), lambda j: F.struct(F.lit(1).alias("kind"), F.least(F.col("mine"), j).alias("i"), F.greatest(F.col("mine"), j).alias("j"))),
-        F.transform(F.sequence(F.lit(0), F.col("k0") - 1), lambda j: F.struct(F.lit(0).alias("kind"), F.col("mine").alias("i"), j.alias("j"))),
-    )).otherwise(F.transform(F.sequence(F.lit(0), F.col("k1") - 1), lambda i: F.struct(F.lit(0).alias("kind"), i.alias("i"), F.col("mine").alias("j"))))
-    rows = large.withColumn("mine", mine).withColumn("p", F.explode(pairs)).withColumn("job", F.xxhash64("cluster", "p.kind", "p.i", "p.j"))
-    return found.union(materialize(join(rows.withColumn("unit", F.col("job")))))
+    packed = packed.drop("high").join(label, "node", "left").withColumn("known", F.coalesce("known", "node"))
+    largest = packed.groupBy("cluster", "known").count().groupBy("cluster").agg(F.max_by("known", F.struct("count", "known")).alias("main"))
+    packed = materialize(packed.join(largest, "cluster").withColumn("other", F.col("known") != F.col("main")))
+    open_ = packed.groupBy("cluster", "at").agg(F.max("other").alias("open"))
+    pairs = box_pairs(leaves, percent)
+    for k in "ij":
+        pairs = pairs.join(open_.withColumnsRenamed({"at": k, "open": f"open{k}"}), ["cluster", k])
+    pairs = pairs.filter("openi OR openj").withColumn("job", F.xxhash64("cluster", "i", "j"))
+    sent = None  # a leaf sends all its nodes where the other one has nodes outside the main component, else only its own such nodes
+    for number, (k, o) in enumerate(("ij", "ji")):
+        one = packed.join(pairs.select("cluster", F.col(k).alias("at"), "job", F.col(f"open{o}").alias("all")), ["cluster", "at"]).filter("all OR other")
+        one = one.select(F.col("job").alias("unit"), "job", F.lit(number).alias("side"), "node", "known", "rep")
+        sent = one if sent is None else sent.unionByName(one)
+    return found.union(materialize(search(sent)))
 
 
 def _labelled(docs: DataFrame, percent: int) -> DataFrame:
@@ -506,11 +510,10 @@ def _labelled(docs: DataFrame, percent: int) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     sets = set_table(docs, percent)
-    nodes = materialize(sets.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "point", "level", "filled", "common")]))
+    nodes = materialize(sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("common").alias("common")))
     routed = docs.select("text").mapInArrow(_routed(shards, percent), PIECE)
-    met = materialize(routed.groupBy("shard").applyInArrow(_met(MANY), "a long, b long, met long"))
-    clusters = materialize(components(candidate_edges(met, nodes, percent)))
+    stars = materialize(routed.groupBy("shard").applyInArrow(_stars, "a long, b long, keys long"))
+    clusters = materialize(components(star_edges(stars, nodes)))
     nodes = nodes.select("node", "rep", "n")
     linked = components(verified_links(docs, nodes, clusters, shards, percent))
     label = nodes.join(linked, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))

@@ -53,10 +53,11 @@ def families(seed=11):
     return rows
 
 
-@pytest.mark.parametrize("leaf,shard_bytes,shared,many", [(4096, 24 << 20, 16, 64), (4, 2000, 2, 3), (2, 2000, 0, 1)])
-def test_equals_brute_force(make, monkeypatch, leaf, shard_bytes, shared, many):
+@pytest.mark.parametrize("leaf,shard_bytes,shared,box", [(4096, 24 << 20, 16, 32), (4, 2000, 2, 32), (2, 2000, 0, 2)])
+def test_equals_brute_force(make, monkeypatch, leaf, shard_bytes, shared, box):
     monkeypatch.setattr(N, "LEAF", leaf)
-    monkeypatch.setattr(N, "MANY", many)
+    monkeypatch.setattr(N, "LEAF_SHINGLES", N.LEAF_SHINGLES if leaf > 4 else 600)
+    monkeypatch.setattr(N, "BOX", box)
     monkeypatch.setattr(N, "SHARD_BYTES", shard_bytes)
     monkeypatch.setattr(N, "SHARED_NODES", shared)
     rows = families()
@@ -113,6 +114,53 @@ def test_tree_bound_never_loses_a_pair():
         assert near <= set(tree.search(i).tolist())
 
 
+def test_search_leaves_out_branches(monkeypatch):
+    """A tree of four levels over sets of many sizes: a search visits few of its boxes and points."""
+    monkeypatch.setattr(N, "BOX", 8)
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 48, n).astype(np.uint64)) for n in rng.integers(30, 3000, 2000)]
+    start = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+    tree = N.CountTree(N.count_points(np.concatenate(sets), start), np.diff(start))
+    assert len(tree.levels) == 5
+    for i in range(2000):
+        tree.search(i)
+    assert tree.visited < 2000 * 2000 / 2 / 4
+
+
+@pytest.mark.parametrize("box,n", [(2, 1), (2, 3), (2, 13), (3, 40), (32, 40)])
+def test_pairs_of_leaves_by_boxes(spark, monkeypatch, box, n):
+    """Two clusters of leaves whose numbers begin anywhere: the pairs that remain are those that the bound leaves."""
+    monkeypatch.setattr(N, "BOX", box)
+    rng = np.random.default_rng(n)
+    rows = []
+    for cluster, at in ((5, 17), (9, 17 + n)):
+        sizes = np.sort(rng.integers(20, 400, 2 * n)).reshape(-1, 2)
+        for k in range(n):
+            rows.append((cluster, at + k, int(sizes[k, 0]), int(sizes[k, 1]), bytearray(rng.multinomial(sizes[k, 1] + 5, np.ones(64) / 64).astype("<u4").tobytes())))
+    got = {tuple(r) for r in N.box_pairs(N.materialize(spark.createDataFrame(rows, N.BOXES))).collect()}
+    want = set()
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[1] < y[1]:
+                p, q = (N._from_bytes([r[4]])[0] for r in (x, y))
+                if any(100 * min(a, b) >= 80 * max(a, b) and np.minimum(p, q).sum() >= N.least_overlap(a, b)
+                       for a in range(x[2], x[3] + 1) for b in range(y[2], y[3] + 1)):
+                    want.add((x[0], x[1], y[1]))
+    assert got >= want and len(got) <= len(want) + max(2, n)
+
+
+def test_stars_are_linear_in_what_shares_a_key(spark):
+    """Near copies in one group: as many rows at most as nodes and their keys, not as pairs."""
+    rows = {}
+    for n in (16, 64, 256):
+        words = [f"w{k}" for k in range(200)]
+        texts = [" ".join([*words[:50], f"x{i}", *words[50:]]) for i in range(n)]
+        routed = spark.createDataFrame([(t,) for t in texts], "text string").mapInArrow(N._routed(1, 80), N.PIECE)
+        stars = routed.groupBy("shard").applyInArrow(N._stars, "a long, b long, keys long")
+        rows[n] = stars.count()
+    assert rows[256] <= 2 * 256 and rows[64] <= 2 * 64 and rows[16] <= 2 * 16
+
+
 def test_linked_sets_have_a_key_in_common_and_room_in_their_points():
     rng = np.random.default_rng(1)
     sets = []
@@ -122,18 +170,16 @@ def test_linked_sets_have_a_key_in_common_and_room_in_their_points():
             sets += [np.unique(base), np.unique(np.concatenate([base[gone:], rng.integers(0, 1 << 48, new).astype(np.uint64)]))]
     start = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
     key, who = N.group_keys(np.concatenate(sets), start, np.ones(len(sets), bool))
-    points = N._points(np.concatenate(sets), start)
-    level, filled, common = N.filled_groups(np.concatenate(sets), start)
+    points = N.count_points(np.concatenate(sets), start)
+    common = N.least_common(np.concatenate(sets), start)
     linked = 0
     for i in range(0, len(sets), 2):
         a, b = sets[i], sets[i + 1]
         both = len(np.intersect1d(a, b))
-        assert N.overlap_bounds([points[i]], [points[i + 1]])[0] >= both
+        assert np.minimum(points[i], points[i + 1]).sum() >= both
         if both and 100 * both >= 80 * len(np.union1d(a, b)):
             met = np.intersect1d(key[who == i], key[who == i + 1]).size
-            top, differ = max(level[i : i + 2]), (len(a) + len(b)) * 20 // 180
             assert met >= max(common[i], common[i + 1])
-            assert met >= max(1, filled[i][top - level[i]] - differ, filled[i + 1][top - level[i + 1]] - differ)
             linked += 1
     assert linked > 250
 
