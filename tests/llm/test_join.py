@@ -150,7 +150,7 @@ def test_pairs_of_leaves_by_boxes(spark, monkeypatch, box, n):
 
 
 def test_stars_are_linear_in_what_shares_a_key(spark):
-    """Near copies in one group: as many rows at most as nodes and their keys, not as pairs."""
+    """Near copies in one group: a few rows a node, whatever their number."""
     rows = {}
     for n in (16, 64, 256):
         words = [f"w{k}" for k in range(200)]
@@ -158,7 +158,7 @@ def test_stars_are_linear_in_what_shares_a_key(spark):
         routed = spark.createDataFrame([(t,) for t in texts], "text string").mapInArrow(N._routed(1, 80), N.PIECE)
         stars = routed.groupBy("shard").applyInArrow(N._stars, "a long, b long, keys long")
         rows[n] = stars.count()
-    assert rows[256] <= 2 * 256 and rows[64] <= 2 * 64 and rows[16] <= 2 * 16
+    assert all(rows[n] <= 4 * n for n in rows)  # 256 copies have 32,640 pairs
 
 
 def test_linked_sets_have_a_key_in_common_and_room_in_their_points():
