@@ -38,3 +38,18 @@ def test_using_the_shared_folder_leaves_the_session_as_it_was(spark):
     before = spark.sparkContext.getCheckpointDir()
     S.materialize(spark.range(3))
     assert spark.sparkContext.getCheckpointDir() == before
+
+
+def test_small_batches_leave_what_is_set(spark):
+    key, before = "spark.sql.execution.arrow.maxRecordsPerBatch", {k: spark.conf.get(k) for k in S.SMALL_BATCHES}
+    try:
+        S.small_batches(spark)
+        assert spark.conf.get(key) == "1000" and spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "16m"
+        sizes = spark.range(0, 2500, 1, 1).mapInPandas(lambda it: (b.assign(id=len(b)).head(1) for b in it), "id long").collect()
+        assert [r["id"] for r in sizes] == [1000, 1000, 500]
+        spark.conf.set(key, "77")
+        S.small_batches(spark)
+        assert spark.conf.get(key) == "77"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
