@@ -247,11 +247,11 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model | None:
 
 
 def _decide(model: Model | None, col: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Language, confidence and whether the text is accepted."""
+    """Language, confidence and whether the text is accepted; without a model no language is told, and any text with a letter accepted."""
     n = len(col)
     letters = np.array([LETTER.search(t.as_py()) is not None for t in col], bool)
     if model is None or not n:
-        return [UNDETERMINED] * n, np.zeros(n), np.zeros(n, bool)
+        return [UNDETERMINED] * n, np.zeros(n), letters
     p, passed = model.judged(*raw(col))
     best = p.argmax(1)
     score = np.where(letters, p[np.arange(n), best], 0.0)
