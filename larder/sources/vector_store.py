@@ -1,5 +1,10 @@
 """Versioned store of attribute vectors, and frozen item vectors."""
 
+import functools
+import time
+import uuid
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -8,6 +13,8 @@ STORE_SCHEMA = (
     "created_at timestamp, provider string, model_version string"
 )
 
+COMMIT_SCHEMA = "folder string, provider string, model_version string, made bigint"
+
 
 def store_rows(
     vectors: DataFrame,
@@ -31,27 +38,49 @@ def store_rows(
 
 
 def write_vectors(rows: DataFrame, path: str) -> None:
-    """Write store rows; only the providers and versions among them are replaced."""
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("provider", "model_version")
-        .parquet(path)
-    )
+    """Write store rows as one commit; only the providers and versions among them are replaced.
+
+    Rows go to a folder of their own below `path`/data. They become visible by the last step alone, a small table below
+    `path`/commits that names the folder, its versions and when it was made, so a write that stops half-way is never read, and
+    readers of the version before keep their files.
+    """
+    spark = rows.sparkSession
+    folder = uuid.uuid4().hex
+    rows.write.partitionBy("provider", "model_version").parquet(f"{path}/data/{folder}")
+    written = spark.read.schema(STORE_SCHEMA).parquet(f"{path}/data/{folder}")
+    versions = written.select("provider", "model_version").distinct()
+    later = F.lit(time.time_ns())  # a later commit of a version replaces it
+    versions.select(F.lit(folder).alias("folder"), "provider", "model_version", later.alias("made")).coalesce(1).write.parquet(
+        f"{path}/commits/{folder}")
+
+
+def committed(spark: SparkSession, path: str) -> list[tuple[str, str, str]]:
+    """(folder, provider, model_version) of the store's versions, the last commit of each; a row a version, not a vector."""
+    commits = spark.read.schema(COMMIT_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{path}/commits")
+    newest = commits.groupBy("provider", "model_version").agg(F.max_by("folder", F.struct("made", "folder")).alias("folder"))
+    return sorted((r["folder"], r["provider"], r["model_version"]) for r in newest.collect())
 
 
 def read_store(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORE_SCHEMA).parquet(path)
+    """The rows of all committed versions, as of now."""
+    rows = spark.createDataFrame([], STORE_SCHEMA)
+    folders: dict[str, list[tuple[str, str]]] = {}
+    for folder, *version in committed(spark, path):
+        folders.setdefault(folder, []).append(tuple(version))
+    for folder, versions in folders.items():
+        data = spark.read.schema(STORE_SCHEMA).parquet(f"{path}/data/{folder}")
+        chosen = functools.reduce(or_, [(F.col("provider") == p) & (F.col("model_version") == v) for p, v in versions])
+        rows = rows.unionByName(data.where(chosen))
+    return rows
 
 
 def load_vectors(spark: SparkSession, path: str, provider: str, model_version: str) -> DataFrame:
     """The vectors of one provider and version, read from their partition alone; raises when there are none."""
-    rows = read_store(spark, path).where(
-        (F.col("provider") == provider) & (F.col("model_version") == model_version)
-    )
-    if rows.isEmpty():
-        raise ValueError(f"no vectors of provider {provider}, version {model_version} in {path}")
-    return rows
+    for folder, *version in committed(spark, path):
+        if version == [provider, model_version]:
+            return spark.read.schema(STORE_SCHEMA).parquet(f"{path}/data/{folder}").where(
+                (F.col("provider") == provider) & (F.col("model_version") == model_version))
+    raise ValueError(f"no vectors of provider {provider}, version {model_version} in {path}")
 
 
 def latest_vectors(store: DataFrame) -> DataFrame:

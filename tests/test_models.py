@@ -292,8 +292,9 @@ def test_loss_over_batches_of_many_blocks(spark):
 
 
 def test_graph_provider(shop):
-    provider = PR.GraphProvider({"dim": 16, "hidden_dim": 32, "n_layers": 2, "epochs": 3, "lr": 0.01, "min_cooccur": 1})
+    """Views are drawn anew each epoch, so single losses of seven nodes go up and down: means of ten are compared."""
+    provider = PR.GraphProvider({"dim": 16, "hidden_dim": 32, "n_layers": 2, "epochs": 40, "lr": 0.01, "min_cooccur": 1})
     provider.fit(shop)
     rows = provider.vectors().collect()
-    assert len(rows) == 7 and len(provider.losses) == 3 and provider.losses[-1] < provider.losses[0]
+    assert len(rows) == 7 and len(provider.losses) == 40 and np.mean(provider.losses[-10:]) < np.mean(provider.losses[:10]) - 0.05
     assert np.linalg.norm([r["vector"] for r in rows], axis=1) == pytest.approx(np.ones(7))

@@ -107,6 +107,26 @@ def test_store_round_trip(spark, sides, tmp_path):
         S.load_vectors(spark, path, "p", "none")
 
 
+def test_a_write_that_stops_half_way_is_never_read(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "store")
+    vectors = spark.createDataFrame([(f"a{i}", [1.0, float(i)]) for i in range(6)], "attr_id string, vector array<double>")
+    S.write_vectors(S.store_rows(vectors, "p", "1"), path)
+    before = S.read_store(spark, path)
+    with monkeypatch.context() as m:
+        m.setattr(S.time, "time_ns", lambda: 1 / 0)  # the rows are written, the commit isn't
+        with pytest.raises(ZeroDivisionError):
+            S.write_vectors(S.store_rows(vectors.limit(2), "p", "2"), path)
+    assert S.latest_vectors(S.read_store(spark, path)).select("model_version").distinct().collect()[0][0] == "1"
+    with pytest.raises(ValueError):
+        S.load_vectors(spark, path, "p", "2")
+    S.write_vectors(S.store_rows(vectors.limit(4), "p", "1"), path)
+    S.write_vectors(S.store_rows(vectors.limit(3), "p", "3").unionByName(S.store_rows(vectors, "q", "1")), path)
+    assert before.count() == 6 and S.read_store(spark, path).count() == 4 + 3 + 6  # a reader keeps the files it began with
+    assert S.load_vectors(spark, path, "p", "1").count() == 4
+    assert S.latest_vectors(S.read_store(spark, path)).groupBy("provider").count().orderBy("provider").collect() == [("p", 3), ("q", 6)]
+
+
+
 def test_frozen_vectors(spark):
     vectors = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "idx bigint, vector array<double>")
     assert {r["item_id"] for r in S.frozen_item_vectors(vectors).collect()} == {"item_0", "item_1"}
