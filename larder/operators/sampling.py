@@ -69,13 +69,24 @@ def indexed_profiles(positives: DataFrame, vocabulary: DataFrame) -> DataFrame:
         .agg(F.array_sort(F.collect_set(F.struct("idx", "attr_id"))).alias("profile"))
         .withColumn("vocab_size", size)
         .withColumn("gaps", F.expr("transform(profile, (x, j) -> x.idx - j)"))
+        .withColumn("steps", F.expr(halving_steps("profile")))
         .withColumn("free", F.expr("vocab_size - size(profile)"))
     )
 
 
+def halving_steps(array: str) -> str:
+    """Powers of two down to 1 with which places_up_to() reaches any place of a non-empty array."""
+    return f"transform(sequence(length(bin(size({array}))) - 1, 0, -1), e -> shiftleft(1, e))"
+
+
+def places_up_to(value: str) -> str:
+    """How many entries of a sorted array are at most r, by binary search over `steps`; value: the entry that `at + s` places end with."""
+    return f"aggregate(steps, 0, (at, s) -> if({value} <= r, at + s, at))"
+
+
 def uniform_draws(k: int, seed: int, epoch: int) -> str:
     """For profile entry p: k vocabulary indices of attributes the item lacks; of any when it has all."""
-    shifted = "r -> r + size(filter(gaps, g -> g <= r))"
+    shifted = f"r -> r + {places_up_to('get(gaps, at + s - 1)')}"
     return (
         f"if(free = 0, {_draws('vocab_size', k, seed, epoch)}, "
         f"transform({_draws('free', k, seed, epoch)}, {shifted}))"
@@ -115,20 +126,21 @@ def popularity_negatives(
     """
     laid = with_running_total(popularity, F.col("attr_id"), F.col("n_rows"), "start")
     total = popularity.agg(F.sum("n_rows")).scalar()
-    before = Window.partitionBy("item_id").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy("item_id").orderBy("start").rowsBetween(Window.unboundedPreceding, 0)
     entries = positives.distinct().join(laid.select("attr_id", "start", "n_rows"), "attr_id").withColumn(
-        "limit", F.col("start") - F.coalesce(F.sum("n_rows").over(before), F.lit(0))
-    )
+        "after", F.sum("n_rows").over(upto)
+    ).withColumn("limit", F.col("start") - F.col("after") + F.col("n_rows"))
     profiles = (
         entries.groupBy("item_id")
         .agg(
-            F.array_sort(F.collect_list(F.struct("limit", "n_rows", "attr_id"))).alias("profile"),
+            F.array_sort(F.collect_list(F.struct("limit", "after", "attr_id"))).alias("profile"),
             F.sum("n_rows").alias("held"),
         )
         .withColumn("total", total)
         .withColumn("free", F.col("total") - F.col("held"))
+        .withColumn("steps", F.expr(halving_steps("profile")))
     )
-    shifted = "r -> r + aggregate(filter(profile, x -> x.limit <= r), 0L, (a, x) -> a + x.n_rows)"
+    shifted = f"r -> r + coalesce(get(profile, {places_up_to('get(profile, at + s - 1).limit')} - 1).after, 0L)"
     points = (
         f"if(free = 0, {_draws('total', k, seed, epoch)}, transform({_draws('free', k, seed, epoch)}, {shifted}))"
     )

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,15 @@ def test_samples_need_both_vectors(spark):
     triples = P.training_triples(rows, items, attrs, negatives_per_pos=3)
     row = P.attach_vectors(triples, items, attrs).first()
     assert row["neg_attrs"] == ["z"] * 3 and len(row["neg_vectors"]) == 3
+
+
+def test_draws_over_a_profile_of_ten_thousand(spark):
+    """A draw is a binary search: looked up one by one, these 100,000 draws would take some 10**9 comparisons."""
+    held = spark.range(20_000).where("id % 2 = 0").selectExpr("'i' AS item_id", "printf('a%05d', id) AS attr_id")
+    weights = spark.range(20_000).selectExpr("printf('a%05d', id) AS attr_id", "1 + id % 3 AS n_rows")
+    for draw in (lambda: P.uniform_negatives(held, weights), lambda: P.popularity_negatives(held, weights)):
+        began = time.perf_counter()
+        rows = draw().select("neg_attr").collect()
+        assert time.perf_counter() - began < 60
+        negatives = {r["neg_attr"] for r in rows}
+        assert len(rows) == 50_000 and all(int(a[1:]) % 2 for a in negatives) and len(negatives) > 9_000
