@@ -7,6 +7,7 @@ from ..functions.hashing import hash_uniform
 from .cooccurrence import household_cooccurrence, mirror
 from .pairs import pair_sums
 from .ranking import with_global_rank
+from .vector_sums import weighted_sums
 
 # Weight of a household edge against an item edge, and the guard in the z-score.
 HOUSEHOLD_FACTOR = 0.5
@@ -148,12 +149,9 @@ def neighbor_mean(edges: DataFrame, nodes: DataFrame, dim: int, vector: str = "f
     Sums are partial before the shuffle, so a hub costs one row per task. A node with no incoming entry gets zeros.
     """
     messages = edges.join(nodes.select(F.col("attr_id").alias("src"), F.col(vector).alias("v")), "src")
-    sums = messages.groupBy(F.col("dst").alias("attr_id")).agg(
-        F.greatest(F.sum("w"), F.lit(1.0)).alias("degree"),
-        *[F.sum(F.col("w") * F.get("v", F.lit(i))).alias(f"s{i}") for i in range(dim)],
-    )
-    means = sums.select("attr_id", F.array(*[F.col(f"s{i}") / F.col("degree") for i in range(dim)]).alias("m"))
-    zeros = F.array_repeat(F.lit(0.0), dim)
+    sums = weighted_sums(messages.withColumnRenamed("dst", "attr_id"), "attr_id", F.col("w"), F.col("v"))
+    degree = F.greatest(F.col("weight"), F.lit(1.0))
+    means = sums.select("attr_id", F.transform("sums", lambda s: s / degree).alias("m"))
     return nodes.select("attr_id").join(means, "attr_id", "left").select(
-        "attr_id", F.coalesce("m", zeros).alias("neighbors")
+        "attr_id", F.coalesce("m", F.array_repeat(F.lit(0.0), dim)).alias("neighbors")
     )

@@ -1,9 +1,11 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from larder.operators import blocks, contrastive
 from larder.operators import comparison as C
 from larder.operators import scoring as R
+from larder.operators import vector_sums as VS
 from larder.functions import vectors as X
 from larder.sources import vector_store as S
 
@@ -85,7 +87,7 @@ def test_household_profile(spark, sides):
     _, attrs, _, right = sides
     history = spark.createDataFrame([("h", "attr001", 3.0), ("h", "attr004", 1.0)], "household_id string, attr_id string, hist_score double")
     want = 3 * attrs[1] + attrs[4]
-    got = R.household_profiles(history, right, 8).first()["vector"]
+    got = R.household_profiles(history, right).first()["vector"]
     assert got == pytest.approx(list(want / np.linalg.norm(want)))
     best = R.household_affinity_topk(history, right, k=23).orderBy("rank").collect()
     assert [r["rank"] for r in best] == list(range(1, 24))
@@ -157,3 +159,25 @@ def test_distance_sample_skips_self(spark):
     common = table(spark, m, "attr").selectExpr("attr_id", "'p' AS provider", "vector")
     got = C.distance_stats(common, seed=5, attributes=6, others=2).first()
     assert got["n_distances"] == 12
+
+
+@pytest.mark.parametrize("held", [1 << 13, 3])
+def test_weighted_sums_of_vectors(spark, monkeypatch, held):
+    monkeypatch.setattr(VS, "HELD_KEYS", held)
+    rng = np.random.default_rng(0)
+    rows = [(None if k == 9 else f"k{k}", float(w), v.tolist()) for k, w, v in zip(rng.integers(0, 10, 400), rng.random(400), rng.normal(size=(400, 5)), strict=True)]
+    df = spark.createDataFrame([*rows, ("k1", None, [1.0] * 5), ("k1", 1.0, None), ("gone", 1.0, None)], "id string, w double, v array<double>").repartition(6)
+    got = {r["id"]: (r["weight"], r["sums"]) for r in VS.weighted_sums(df, "id", F.col("w"), F.col("v")).collect()}
+    assert got.keys() == {r[0] for r in rows}
+    for key, (weight, sums) in got.items():
+        mine = [(w, np.array(v)) for k, w, v in rows if k == key]
+        assert weight == pytest.approx(sum(w for w, _ in mine)) and sums == pytest.approx(sum(w * v for w, v in mine).tolist())
+
+
+def test_plan_of_vector_sums_does_not_widen(spark):
+    plans = []
+    for dim in (64, 512):
+        df = spark.range(3).select(F.col("id").cast("string").alias("id"), F.lit(1.0).alias("w"), F.array_repeat(F.rand(1), dim).alias("v"))
+        plans.append(VS.weighted_sums(df, "id", F.col("w"), F.col("v")))
+        assert len(plans[-1].first()["sums"]) == dim
+    assert [len(p.columns) for p in plans] == [3, 3]
