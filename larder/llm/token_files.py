@@ -9,8 +9,11 @@ Layout, little-endian: magic "EFT1"; counts of documents, null ids and ids (u32,
 the ends' sequence; the doc_ids' sequence; ids.  A sequence: n, low bits (u32 each), least value (i64), bytes of the high
 bits (u32), low part, high part, directory (u32 each run).
 
+Documents go to ranges of (doc_id, hash of the text) by Spark's range exchange, so that neither the driver nor a task holds
+the cuts, and rows of one doc_id can be in several ranges.  A range's blocks know their starts in it; only a total a range is added up.
+
 Defined cases: a null or empty text is a document of the end id alone; null doc_ids come first; equal doc_ids are in
-order of their text; an empty table gives no row; other columns are ignored.
+order of a hash of their text, then of the text; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,9 +24,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.ordering import totals_before
 from larder.llm import ranges
 from larder.llm.tokens import shared_encoder
 from larder.llm.words import text_column
@@ -120,58 +125,45 @@ class Block:
 
 
 def write(docs: DataFrame, vocabulary: str, end_id: int = END_ID, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """The written table of blocks: bucket, block, n_docs, n_tokens, payload; documents ascend by (bucket, block)."""
+    """The written table of blocks: bucket, block, n_docs, start (among the bucket's ids), n_tokens, payload; documents ascend by (bucket, block)."""
     buckets = ranges.bucket_count(docs)
-    cuts = ranges.cut_points(docs, buckets)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, held, size, bucket, block = shared_encoder(vocabulary), [], 0, None, 0
+        encoder, held, size, block, start = shared_encoder(vocabulary), [], 0, 0, 0
+        bucket = TaskContext.get().partitionId()
 
         def flush() -> pa.RecordBatch:
-            nonlocal held, size, block
+            nonlocal held, size, block, start
             names = [d for h in held for d in h[0]]
             counts = np.concatenate([h[1] for h in held])
             ids = np.concatenate([h[2] for h in held])
-            row = [[bucket], [block], [len(names)], [len(ids)], [encode_block(names, counts, ids)]]
-            held, size, block = [], 0, block + 1
+            row = [[bucket], [block], [len(names)], [start], [len(ids)], [encode_block(names, counts, ids)]]
+            held, size, block, start = [], 0, block + 1, start + len(ids)
             return pa.RecordBatch.from_arrays(
-                [pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.large_binary()), strict=True)],
-                names=["bucket", "block", "n_docs", "n_tokens", "payload"])
+                [pa.array(v, t) for v, t in zip(row, (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.large_binary()), strict=True)],
+                names=["bucket", "block", "n_docs", "start", "n_tokens", "payload"])
 
         for batch in batches:
-            names, place = batch.column(1).to_pylist(), np.asarray(batch.column(0))
+            names = batch.column(0).to_pylist()
             for first, counts, ids in encoder.ids(text_column(batch, "text")):
-                stop = np.cumsum(counts)
-                ids = np.insert(ids, stop, end_id)
-                stop = stop + np.arange(1, len(counts) + 1)
-                edge = np.flatnonzero(np.diff(place[first : first + len(counts)])) + 1
-                for a, b in zip([0, *edge], [*edge, len(counts)], strict=True):
-                    if place[first + a] != bucket:
-                        if held:
-                            yield flush()
-                        bucket, block = int(place[first + a]), 0
-                    low = stop[a - 1] if a else 0
-                    held.append((names[first + a : first + b], counts[a:b] + 1, ids[low : stop[b - 1]]))
-                    size += int(stop[b - 1] - low)
-                    if size >= block_tokens:
-                        yield flush()
+                ids = np.insert(ids, np.cumsum(counts), end_id)
+                held.append((names[first : first + len(counts)], counts + 1, ids))
+                size += len(ids)
+                if size >= block_tokens:
+                    yield flush()
         if held:
             yield flush()
 
-    placed = docs.select(ranges.bucket_of(F.col("doc_id"), cuts).alias("bucket"), F.col("doc_id").cast("long"), "text")
-    ordered = placed.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "doc_id", "text")
-    return materialize(ordered.mapInArrow(blocks, "bucket int, block int, n_docs long, n_tokens long, payload binary"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    placed = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange(buckets, *order)
+    ordered = placed.sortWithinPartitions(*order, "text")
+    return materialize(ordered.mapInArrow(blocks, "bucket int, block int, n_docs long, start long, n_tokens long, payload binary"))
 
 
 def read(blocks: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document in written blocks."""
-    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy("bucket").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = blocks.select("bucket", "block", "n_tokens")
-    whole = sizes.groupBy("bucket").agg(F.sum("n_tokens").alias("all")).select(
-        "bucket", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("ahead"))  # a row a bucket
-    start = sizes.withColumn("within", F.coalesce(F.sum("n_tokens").over(within), F.lit(0))).join(whole, "bucket").select(
-        "bucket", "block", (F.col("ahead") + F.col("within")).alias("start"))
+    sums = blocks.groupBy(F.col("bucket").alias("_range")).agg(F.sum("n_tokens").alias("n"))
+    ahead = totals_before(sums, "n", "ahead").select(F.col("_range").alias("bucket"), "ahead")
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -184,5 +176,5 @@ def read(blocks: DataFrame) -> DataFrame:
                     [pa.array(block.doc_ids(), pa.int64()), pa.array(first + base), pa.array(last - first), pa.array(crc, pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    joined = blocks.select("bucket", "block", "payload").join(F.broadcast(start), ["bucket", "block"])
-    return joined.select("start", "payload").mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    joined = blocks.select("bucket", "start", "payload").join(ahead, "bucket").select((F.col("ahead") + F.col("start")).alias("start"), "payload")
+    return joined.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long")
