@@ -163,7 +163,8 @@ def write(docs: DataFrame, vocabulary: str, end_id: int = END_ID, block_tokens:
 def read(blocks: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document in written blocks."""
     sums = blocks.groupBy(F.col("bucket").alias("_range")).agg(F.sum("n_tokens").alias("n"))
-    ahead = totals_before(sums, "n", "ahead").select(F.col("_range").alias("bucket"), "ahead")
+    # A written table, so that Spark knows its size when it plans the join: blocks are not shuffled for it while it is small.
+    ahead = materialize(totals_before(sums, "n", "ahead").select(F.col("_range").alias("bucket"), "ahead"))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
