@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from larder.llm.labelled import PAGES
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|\Z)", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+)))?""")
+# A quote opens a value after "=" alone; elsewhere, as in an unquoted value, it is a character like others.
+VALUE = r"""(?:"[^"]*(?:"|\Z)|'[^']*(?:'|\Z)|[^\s>"'][^\s>]*|(?=>)|\Z)"""
+MARKUP = re.compile(rf"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*{VALUE})*)(?:>|\Z)", re.S)
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*)))?""")
 NAME_WORD = re.compile(r"[a-z]+")
 
 # Names of the HTML standard, by what they do to blocks.

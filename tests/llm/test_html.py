@@ -62,3 +62,12 @@ def test_test_pages(spark):
         inside = re.search(r"<article>(.*?)(</article|$)", pages[r["page_id"]], re.S)[1]
         plain = [" ".join(html.unescape(re.sub(r"<br>|<[^>]*(>|$)", lambda m: " " if m[0] == "<br>" else "", x)).split()) for x in re.split(r"</?(?:p|h1)>", inside)]
         assert r["text"] == "\n\n".join(x for x in plain if x) and r["n_chars"] == len(r["text"])
+
+
+def test_quotes_open_values_after_an_equals_sign_alone():
+    tree = H.trained()
+    for tag in ("<p title=it's>", "<p title=a=\"b>", "<p it's>", "<p a'b=\"c > d\">", "<p title = 'x > y'>", "<p title=>", "<p x='1'y=\"2\">", "<p title=a\"b>"):
+        page = f"<article>{tag}First words</p><p>Second <a href=/it's>link</a> don't stop</p></article>"
+        assert H.main_text(page, tree) == "First words\n\nSecond link don't stop", tag
+    assert H.main_text("<article><p>a</p><p title='x > <b>y", tree) == "a"
+    assert H.MARKUP.match("<a " + "x='" * 20_000 + ">")
