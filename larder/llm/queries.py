@@ -60,22 +60,27 @@ def op3_secrets(spark, sf_dir):
 def _secret_sql() -> str:
     """op3 in another engine: the rules, the battery of tests and the limits."""
     quote = lambda p: "'" + p.replace("'", "''") + "'"
-    kinds = [(k, p) for k, p, *_ in secrets.KINDS] + [("random", secrets.CANDIDATE)]
-    found = " UNION ALL ".join(
-        f"SELECT doc_id, '{k}' AS kind, {r} AS rank, regexp_extract_all(text, {quote(p)}) AS hits, string_split_regex(text, {quote(p)}) AS gaps FROM d"
-        for r, (k, p) in enumerate(kinds))
+    def hits(table: str, rank: int, kind: str, pattern: str) -> str:
+        return f"""SELECT doc_id, '{kind}' AS kind, {rank} AS rank, hits[i] AS hit,
+                          (sum(len(gaps[i]) + len(hits[i])) OVER (PARTITION BY doc_id ORDER BY i) - len(hits[i]))::BIGINT AS a
+                   FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM (
+                         SELECT doc_id, regexp_extract_all(text, {quote(pattern)}) AS hits, string_split_regex(text, {quote(pattern)}) AS gaps FROM {table}))"""
+
+    rules = " UNION ALL ".join(hits("d", r, k, p) for r, (k, p, *_) in enumerate(secrets.KINDS))
     alphabet = " ".join(f"WHEN '{k}' THEN '{a}'" for k, a in secrets.ALPHABETS.items())
     band = " + ".join(f"(len(hit) >= {b})::INTEGER" for b in secrets.BANDS)
     return rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-f AS (SELECT * FROM ({found}) WHERE len(hits) > 0),
-s AS (SELECT doc_id, kind, rank, hits[i] AS hit, (sum(len(gaps[i]) + len(hits[i])) OVER (PARTITION BY doc_id, kind ORDER BY i) - len(hits[i]))::BIGINT AS a
-      FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM f)),
+s AS ({rules}),
 base AS (SELECT doc_id, kind, rank, a, a + len(hit) AS b FROM s
          WHERE (kind = 'assign' AND len(regexp_extract(hit, {quote(secrets.KINDS[0][1])}, 2)) >= 6) OR (kind = 'access' AND len(hit) >= 20) OR kind = 'hex'),
+laid AS (SELECT *, coalesce(max(b) OVER (PARTITION BY doc_id ORDER BY a, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS done FROM base),
+rest AS (SELECT doc_id, string_agg(substr(text, done + 1, greatest(a - done, 0)) || repeat(' ', greatest(b - greatest(done, a), 0)), '' ORDER BY a, rank)
+                        || substr(any_value(text), max(b) + 1) AS text FROM laid JOIN d USING (doc_id) GROUP BY doc_id
+         UNION ALL SELECT doc_id, text FROM d ANTI JOIN base USING (doc_id)),
 run AS (SELECT *, CASE WHEN regexp_full_match(hit, '[0-9a-f]+|[0-9A-F]+') THEN 'base16' WHEN regexp_full_match(hit, '[A-Z2-7]+=*') THEN 'base32'
                        WHEN regexp_full_match(hit, '[0-9a-z]+|[0-9A-Z]+') THEN 'base36' WHEN regexp_full_match(hit, '[0-9A-Za-z]+') THEN 'base62' ELSE 'base64' END AS code
-        FROM s WHERE kind = 'random' AND regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')),
+        FROM ({hits('rest', 3, 'random', secrets.CANDIDATE)}) WHERE regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]')),
 sym AS (SELECT doc_id, a, a + len(hit) AS b, {band} AS band, len(letters)::DOUBLE AS k,
                list_transform(string_split(CASE WHEN code IN ('base16', 'base36') THEN lower(plain) ELSE plain END, ''), lambda c: instr(letters, c) - 1) AS x
         FROM (SELECT *, CASE code {alphabet} END AS letters, translate(rtrim(hit, '='), '-_', '+/') AS plain FROM run)),
@@ -92,8 +97,7 @@ p AS (SELECT doc_id, a, b, band, t * (0.254829592 + t * (-0.284496736 + t * (1.4
 step AS (SELECT *, least(ceil((ln(greatest(p, exp({secrets.LEAST_LOG}))) - ({secrets.LEAST_LOG})) / {-secrets.LEAST_LOG} * {secrets.STEPS}), {secrets.STEPS})::INTEGER AS step FROM p),
 cum AS (SELECT band, step, sum(count(*)) OVER (PARTITION BY band ORDER BY step) AS k, sum(count(*)) OVER (PARTITION BY band) AS m FROM step GROUP BY band, step),
 lim AS (SELECT band, max(step) AS lim FROM cum WHERE exp((step / {secrets.STEPS}.0 - 1) * {-secrets.LEAST_LOG}) <= {secrets.LEVEL} * k / m GROUP BY band),
-rnd AS (SELECT doc_id, 'random' AS kind, 3 AS rank, a, b FROM step LEFT JOIN lim USING (band) WHERE step > coalesce(lim, -1)
-        AND NOT EXISTS (SELECT 1 FROM base WHERE base.doc_id = step.doc_id AND base.a < step.b AND step.a < base.b)),
+rnd AS (SELECT doc_id, 'random' AS kind, 3 AS rank, a, b FROM step LEFT JOIN lim USING (band) WHERE step > coalesce(lim, -1)),
 every AS (SELECT * FROM base UNION ALL SELECT * FROM rnd),
 agg AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
                count(*) FILTER (kind = 'random') AS n_random, string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, rank) FILTER (rank < 3) AS base,

@@ -14,12 +14,12 @@ Benjamini-Hochberg rule within bands of length (short runs are many and their te
 long ones).  Candidates that the rule rejects are structured text; the others are random, and become spans.  Counts for the rule are
 gathered over all documents as a histogram of bounded size.
 
-`scan` lists the random spans that touch no base span.  `redact` masks the union of the base spans and of all random ones; what a
-base span leaves of a run that it touches is judged by the same limits once more, alone, as the base span's own letters may
-make the whole run look structured.
+The rules come first: runs are sought in what the base spans leave of the text, so that a key beside one is judged alone and no
+random span touches a base span.  `scan` lists the spans, `redact` masks them.
 
 Defined cases: a null text is empty and has no span; equal rows give equal results; null doc_ids are kept; an empty table
-gives no row; other columns are ignored (`scan`) or kept (`redact`).
+gives no row; other columns are ignored (`scan`) or kept, whatever their names (`redact`).  A text of any length is one row's
+work, whose time grows with its length and, but for a logarithm, with its hits.
 """
 
 from __future__ import annotations
@@ -45,22 +45,58 @@ PER_CELL = 4  # symbols that a cell of the chi-squared table expects at least
 STEPS = 512  # p-values are counted in steps of 1 / STEPS of their logarithm's range
 LEAST_LOG = -40.0
 MASK = "[SECRET]"
+CHUNK_BITS = 12  # parts of a text are taken from chunks of 4,096 characters
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with the value evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(values: Column, join) -> Column:
+    """join over the first 1, 2, ... values, by doubling: n log n steps, where appending to an array would take n squared."""
+
+    def whole(x: Column) -> Column:
+        rounds = F.sequence(F.lit(0), F.floor(F.log2(F.greatest(F.size(x), F.lit(1)))).cast("int"))
+        shifts = F.transform(rounds, lambda r: F.pow(F.lit(2.0), r).cast("int"))
+        return F.aggregate(shifts, x, lambda seen, shift: F.transform(
+            seen, lambda v, i: F.when(i >= shift, join(v, F.get(seen, i - shift))).otherwise(v)))
+
+    return _let(values, whole)
+
+
 def _spans(text: Column, pattern: str) -> Column:
     """array<struct<start, text>> of the leftmost non-overlapping matches; positions in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    pairs = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("hit"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,text:string>>").alias("out"))
 
-    def step(state, pair):
-        begin = state["at"] + F.length(pair["gap"])
-        one = F.struct(begin.cast("int").alias("start"), pair["hit"].alias("text"))
-        return F.struct((begin + F.length(pair["hit"])).cast("int").alias("at"), F.concat(state["out"], F.array(one)).alias("out"))
+    def placed(x: Column) -> Column:
+        ends = _running(F.transform(x["hits"], lambda h, i: F.length(F.get(x["gaps"], i)) + F.length(h)), lambda v, w: v + w)
+        return F.transform(F.arrays_zip(x["hits"].alias("hit"), ends.alias("end")),
+                           lambda y: F.struct((y["end"] - F.length(y["hit"])).alias("start"), y["hit"].alias("text")))
+
+    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, pattern, -1).alias("gaps"))
+    return _let(found, placed)
+
+
+def _replaced(text: Column, spans: Column, fill) -> Column:
+    """The text with fill(at, span) for each span; the spans ascend by start, and `at` is where those before it end.
+
+    Parts are taken from chunks of the text, as a substring is sought from the start of its string.
+    """
 
-    walked = F.aggregate(F.filter(pairs, lambda p: p["hit"].isNotNull()), start, step, lambda s: s["out"])
-    return F.when(F.size(found) > 0, walked).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
+    def part(chunks: Column, a: Column, b: Column) -> Column:
+        first = F.shiftright(a, CHUNK_BITS)
+        near = F.slice(chunks, first + 1, F.greatest(F.shiftright(b, CHUNK_BITS) - first + 1, F.lit(0)))
+        return F.substring(F.array_join(near, ""), a.bitwiseAND((1 << CHUNK_BITS) - 1) + 1, F.greatest(b - a, F.lit(0)))
+
+    def build(x: Column) -> Column:
+        at = lambda i: F.coalesce(F.get(x["upto"], i - 1), F.lit(0))
+        parts = F.transform(spans, lambda s, i: F.concat(part(x["chunks"], at(i), s["start"]), fill(at(i), s)))
+        return F.concat(F.array_join(parts, ""), part(x["chunks"], at(F.size(x["upto"])), F.length(text)))
+
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{1 << CHUNK_BITS}}}"), F.lit(0))
+    upto = _running(F.transform(spans, lambda s: s["end"]), F.greatest)
+    return F.when(F.size(spans) > 0, _let(F.struct(chunks.alias("chunks"), upto.alias("upto")), build)).otherwise(text)
 
 
 def _rule_spans(text: Column, rank: int, kind: str, pattern: str, group: int, least: int) -> Column:
@@ -160,10 +196,6 @@ def rejected_steps(candidates: DataFrame, column: str) -> dict[int, int]:
     return {r["band"]: r["step"] for r in kept.collect()}
 
 
-def _touches(base: Column, s: Column) -> Column:
-    return F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-
-
 def _random(judged: Column, limits: dict[int, int]) -> Column:
     """The runs that the rule doesn't reject."""
     if not limits:
@@ -172,21 +204,6 @@ def _random(judged: Column, limits: dict[int, int]) -> Column:
     return F.filter(judged, lambda s: s["step"] > F.coalesce(F.element_at(table, s["band"]), F.lit(-1)))
 
 
-def _left_over(text: Column, base: Column, judged: Column) -> Column:
-    """Runs of what the base spans leave of the runs that they touch."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def blank(state, b):
-        gap = F.substring(text, state["at"] + 1, F.greatest(b["start"] - state["at"], F.lit(0)))
-        to = F.greatest(state["at"], b["end"])
-        covered = to - F.greatest(state["at"], b["start"])
-        return F.struct(to.alias("at"), F.concat(state["out"], gap, F.repeat(F.lit(" "), covered)).alias("out"))
-
-    blanked = F.aggregate(base, start, blank, lambda x: F.concat(x["out"], F.substring(text, x["at"] + 1, F.length(text))))
-    cut = F.exists(judged, lambda s: _touches(base, s) & ~F.exists(base, lambda b: (b["start"] <= s["start"]) & (s["end"] <= b["end"])))
-    return F.when(cut, candidate_spans(blanked)).otherwise(F.array().cast("array<struct<start:int,end:int,band:int,step:int>>"))
-
-
 def _all_spans(base: Column, random: Column) -> Column:
     """Base spans and random ones, by start and then by rule."""
     added = F.transform(random, lambda s: F.struct(
@@ -198,19 +215,26 @@ def _written(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def _judged(docs: DataFrame, kept: list[str]) -> tuple[DataFrame, dict[int, int]]:
-    """A written table of the kept columns with both kinds of spans, and the limits that follow from all of it."""
-    text = F.coalesce(docs["text"], F.lit(""))
-    found = F.struct(base_spans(text).alias("base"), candidate_spans(text).alias("runs"))
-    table = materialize(docs.select(*[docs[c] for c in kept], found.alias("__found__")))
-    return table, rejected_steps(table, "__found__.runs")
+def _found(text: Column) -> Column:
+    """struct<base, runs>: the spans of the rules, and the judged runs of what they leave of the text."""
+    blank = lambda at, b: F.repeat(F.lit(" "), F.greatest(b["end"] - F.greatest(at, b["start"]), F.lit(0)))
+    return _let(base_spans(text), lambda base: F.struct(
+        base.alias("base"), candidate_spans(_replaced(text, base, blank)).alias("runs")))
+
+
+def _free_name(df: DataFrame) -> str:
+    """A column name that the table does not have."""
+    taken, name = {c.lower() for c in df.columns}, "found"
+    while name in taken:
+        name += "_"
+    return name
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_random of each document."""
-    table, limits = _judged(docs, ["doc_id"])
-    base = F.col("__found__.base")
-    spans = _all_spans(base, F.filter(_random(F.col("__found__.runs"), limits), lambda s: ~_touches(base, s)))
+    table = materialize(docs.select("doc_id", _found(F.coalesce("text", F.lit(""))).alias("found")))
+    base = F.col("found.base")
+    spans = _all_spans(base, _random(F.col("found.runs"), rejected_steps(table, "found.runs")))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     rows = table.select("doc_id", base.alias("base"), spans.alias("spans"))
     return rows.select("doc_id", *[count(k) for k, *_ in KINDS], F.sha2(_written(F.col("base")), 256).alias("base_sha256"),
@@ -219,27 +243,16 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """`docs` with every span of its texts replaced by the mask; n_chars, where there, follows the new text."""
-    table, limits = _judged(docs, docs.columns)
-    base, runs = F.col("__found__.base"), F.col("__found__.runs")
-    left = _left_over(F.coalesce(F.col("text"), F.lit("")), base, runs)
-    table = table.withColumn("__spans__", _all_spans(base, _random(F.concat(runs, left), limits)))
-    spans = F.col("__spans__")
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def step(state, s):
-        gap = F.substring("text", state["at"] + 1, F.greatest(s["start"] - state["at"], F.lit(0)))
-        add = F.when(s["start"] >= state["at"], F.array(gap, F.lit(mask))).otherwise(F.array().cast("array<string>"))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], add).alias("out"))
-
-    def join(state):
-        rest = F.substring("text", state["at"] + 1, F.length("text"))
-        return F.concat(F.array_join(state["out"], ""), rest)
-
-    clean = F.when(F.size(spans) > 0, F.aggregate(spans, begin, step, join)).otherwise(F.col("text"))
-    changed = table.withColumn("text", clean)
+    name = _free_name(docs)
+    table = materialize(docs.select("*", _found(F.coalesce("text", F.lit(""))).alias(name)))
+    found = F.col(name)
+    limits = rejected_steps(table.select(found["runs"].alias("runs")), "runs")
+    # A span that begins inside an earlier one goes with it.
+    fill = lambda at, s: F.when(s["start"] >= at, F.lit(mask)).otherwise(F.lit(""))
+    clean = table.withColumn(name, _let(_all_spans(found["base"], _random(found["runs"], limits)), lambda spans: F.struct(
+        F.size(spans).alias("n"), _replaced(F.col("text"), spans, fill).alias("text"))))
+    out = {"text": found["text"]}
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        same = F.size(spans) == 0
-        changed = table.select("*", clean.alias("__clean__")).withColumn(
-            "n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("__clean__").cast(kind))).withColumn("text", F.col("__clean__"))
-    return changed.select(*docs.columns)
+        out["n_chars"] = F.when(found["n"] == 0, F.col("n_chars")).otherwise(F.length(found["text"]).cast(kind))
+    return clean.withColumns(out).select(*docs.columns)
