@@ -69,13 +69,16 @@ def _running(values: Column, join) -> Column:
 def _spans(text: Column, pattern: str) -> Column:
     """array<struct<start, text>> of the leftmost non-overlapping matches; positions in code points."""
 
-    def placed(x: Column) -> Column:
-        ends = _running(F.transform(x["hits"], lambda h, i: F.length(F.get(x["gaps"], i)) + F.length(h)), lambda v, w: v + w)
-        return F.transform(F.arrays_zip(x["hits"].alias("hit"), ends.alias("end")),
-                           lambda y: F.struct((y["end"] - F.length(y["hit"])).alias("start"), y["hit"].alias("text")))
+    def placed(hits: Column) -> Column:
+        def at(gaps: Column) -> Column:
+            ends = _running(F.transform(hits, lambda h, i: F.length(F.get(gaps, i)) + F.length(h)), lambda v, w: v + w)
+            return F.transform(F.arrays_zip(hits.alias("hit"), ends.alias("end")),
+                               lambda y: F.struct((y["end"] - F.length(y["hit"])).alias("start"), y["hit"].alias("text")))
 
-    found = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"), F.split(text, pattern, -1).alias("gaps"))
-    return _let(found, placed)
+        # Most texts have no match and are not split.
+        return F.when(F.size(hits) > 0, _let(F.split(text, pattern, -1), at)).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
+
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
 
 
 def _replaced(text: Column, spans: Column, fill) -> Column:
