@@ -15,8 +15,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import top_k
-
 BROADCAST_BYTES = 64 * 1024 * 1024
 RIGHT_BLOCK = 4096
 LEFT_PACK = 2048
@@ -47,7 +45,7 @@ def sorted_matrix(vectors: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return ids[order], to_matrix(table.column("vector"))[order]
 
 
-def _sliced(kernel: Kernel, ids, left, right_ids, right) -> Iterator[pd.DataFrame]:
+def sliced(kernel: Kernel, ids, left, right_ids, right) -> Iterator[pd.DataFrame]:
     per = max(1, SLICE_CELLS // max(1, len(right_ids)))
     for lo in range(0, len(ids), per):
         yield kernel(ids[lo : lo + per], left[lo : lo + per], right_ids, right)
@@ -71,7 +69,7 @@ def block_product(
             for batch in batches:
                 if batch.num_rows and len(right_ids):
                     ids = batch.column("id").to_numpy(zero_copy_only=False)
-                    for out in _sliced(kernel, ids, to_matrix(batch.column("vector")), right_ids, matrix):
+                    for out in sliced(kernel, ids, to_matrix(batch.column("vector")), right_ids, matrix):
                         yield pa.RecordBatch.from_pandas(out, preserve_index=False)
 
         return left.select("id", "vector").mapInArrow(against_all, schema), True
@@ -99,7 +97,7 @@ def block_product(
                 a, b = lefts.values, rights.values
                 ids, right_ids = (x.field("id").to_numpy(zero_copy_only=False) for x in (a, b))
                 left_m, right_m = to_matrix(a.field("vector")), to_matrix(b.field("vector"))
-                for out in _sliced(kernel, ids, left_m, right_ids, right_m):
+                for out in sliced(kernel, ids, left_m, right_ids, right_m):
                     yield pa.RecordBatch.from_pandas(out, preserve_index=False)
 
     return met.select("l", "r").mapInArrow(against_block, schema), False
@@ -109,7 +107,7 @@ def best_k(k: int, skip_self: bool = False, digits: int = 12) -> Kernel:
     """Kernel: the k largest dot products per left id; ties by right id.
 
     The order is by rounded scores (column `by`), so that equal pairs tie whatever block they were in; partial results of
-    blocks merge by the same order (`best_matches`).  Scores come out unrounded.
+    blocks merge by the same order (`pruned.best_matches`).  Scores come out unrounded.
     """
 
     def kernel(ids, left, right_ids, right):
@@ -139,18 +137,6 @@ def best_k(k: int, skip_self: bool = False, digits: int = 12) -> Kernel:
     return kernel
 
 
-def best_matches(
-    left: DataFrame, right: DataFrame, k: int, skip_self: bool = False, limit_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """(id, other, score, rank): the k largest dot products per left id, the same whether right was broadcast or not."""
-    best, whole = block_product(
-        left, right, best_k(k, skip_self), "id string, other string, score double, by double, rank int", limit_bytes
-    )
-    if not whole:
-        best = top_k(best.drop("rank"), "id", "by", "other", k)
-    return best.select("id", "other", "score", "rank")
-
-
 def all_scores(ids, left, right_ids, right) -> pd.DataFrame:
     """Kernel: every dot product."""
     scores = left @ right.T
