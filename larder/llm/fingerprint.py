@@ -7,7 +7,7 @@ bounded by UNLIKE, the mean difference of unrelated codes, and likeness is 1 min
 
 Defined cases: a null text is empty; texts of under three bytes have no triplets, so they differ by length alone; equal
 texts have equal digests; rows of equal doc_id are in order of their text, and null doc_ids come last; in a table of one
-row the next document is the row itself; other columns are ignored.
+row the next document is the row itself; other columns are ignored.  Rows that share doc_id and the first PREFIX characters are one task's.
 """
 
 from __future__ import annotations
@@ -17,11 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.functions.ordering import running_total
 from larder.llm import ranges
 from larder.llm.words import SLICE_BYTES, mix, raw, slices
+from larder.session import materialize
 
 BUCKETS = 128
 UNLIKE = 208
@@ -98,48 +101,78 @@ def edited(text: str, after: str) -> str:
 FIELDS = {"doc_id": pa.int64(), "n_chars": pa.int64(), "edited_sha256": pa.string(), "fingerprint": pa.string(),
           "edited_fingerprint": pa.string(), "near_edited": pa.float64(), "near_next": pa.float64()}
 OUT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+#: A compared row, or the first or last row of a range with its text, which waits for its neighbour in another range.
+EDGES = {"range": pa.int32(), "edge": pa.string(), "text": pa.large_string()}
+PREFIX = 64  # rows of equal doc_id are dealt to ranges by so many characters of their texts
+
+
+def _compared(ids: list, texts: list[str], after: list[str], marks: np.ndarray, marks_after: np.ndarray) -> Iterator[list[pa.Array]]:
+    """The columns of FIELDS for rows and their next texts."""
+    for i in range(0, len(ids), 512):
+        part = slice(i, i + 512)
+        changed = [edited(t, u) for t, u in zip(texts[part], after[part], strict=True)]
+        new = digests_of(changed)
+        yield [pa.array(v, t) for v, t in zip((
+            ids[part], [len(t) for t in texts[part]], [hashlib.sha256(t.encode()).hexdigest() for t in changed],
+            [m.tobytes().hex() for m in marks[part]], [m.tobytes().hex() for m in new],
+            likeness(marks[part], new), likeness(marks[part], marks_after[part]),
+        ), FIELDS.values(), strict=True)]
+
+
+def _compare_in_ranges(docs: DataFrame) -> DataFrame:
+    """The written table of all rows that meet their next one in their own range, and of the rows at the ranges' edges."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    order = F.desc_nulls_last("doc_id")
+    placed = rows.repartitionByRange(ranges.bucket_count(docs), order, F.substring("text", 1, PREFIX)).sortWithinPartitions(order, "text")
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = TaskContext.get().partitionId(), None  # held: the row before, whose next one is not seen yet
+        names = [*FIELDS, *EDGES]
 
-def compare_with_next(docs: DataFrame) -> DataFrame:
-    """Fingerprints of each text, of its edited text, and their likeness, in descending order of doc_id.
+        def edge(kind: str, doc_id: int | None, text: str) -> pa.RecordBatch:
+            nulls = [pa.nulls(1, t) for k, t in FIELDS.items() if k != "doc_id"]
+            columns = [pa.array([v], t) for v, t in zip((at, kind, text), EDGES.values(), strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array([doc_id], pa.int64()), *nulls, *columns], names=names)
 
-    Texts are shuffled once, to ranges of ids.  The first document of each range goes to the range before it too, as a guest
-    after the last row, so that every row meets its next one in its own task.
-    """
-    buckets = ranges.bucket_count(docs)
-    cuts = ranges.cut_points(docs, buckets)
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.withColumn("bucket", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(ranges.bucket_of(F.col("doc_id"), cuts)))
-    tops = {r["bucket"]: r["top"] for r in rows.groupBy("bucket").agg(F.max("doc_id").alias("top")).collect()}  # a row a range
-    order = sorted(tops, reverse=True)
-    visits = {b: order[k - 1] for k, b in enumerate(order)}  # the first range follows the last one
-    seats = docs.sparkSession.createDataFrame([(b, tops[b], visits[b]) for b in order], "bucket int, top long, host int")
-    rows = rows.join(F.broadcast(seats), "bucket")
-    host = F.when(F.col("doc_id").eqNullSafe(F.col("top")), F.col("host"))
-    own = F.struct(F.col("bucket").alias("at"), F.lit(0).alias("guest"))
-    sent = F.when(host.isNotNull(), F.array(own, F.struct(host.alias("at"), F.lit(1).alias("guest")))).otherwise(F.array(own))
-    spread = rows.select(F.explode(sent).alias("to"), "doc_id", "text").select("to.at", "to.guest", "doc_id", "text")
-    ordered = spread.repartitionById(buckets + 1, F.col("at") + 1).sortWithinPartitions("at", "guest", F.desc_nulls_last("doc_id"), "text")
+        for batch in batches:
+            ids, texts = (c.to_pylist() for c in batch.columns)
+            if not ids:
+                continue
+            marks = digests_of(texts)
+            if held is None:
+                yield edge("first", ids[0], texts[0])
+            else:
+                ids, texts, marks = [held[0], *ids], [held[1], *texts], np.concatenate([held[2][None], marks])
+            held = ids[-1], texts[-1], marks[-1]
+            for columns in _compared(ids[:-1], texts[:-1], texts[1:], marks[:-1], marks[1:]):
+                yield pa.RecordBatch.from_arrays([*columns, *(pa.nulls(len(columns[0]), t) for t in EDGES.values())], names=names)
+        if held is not None:
+            yield edge("last", held[0], held[1])
+
+    return materialize(placed.mapInArrow(compare, f"{OUT}, range int, edge string, text string"))
+
+
+def _compare_edges(edges: DataFrame) -> DataFrame:
+    """The last row of each range against the first one of the next range that has rows; the first range follows the last one."""
+    firsts = edges.filter("edge = 'first'")
+    numbers = materialize(running_total(firsts.select("range"), [F.col("range")], F.lit(1), "number"))
+    count = max(1, numbers.count())
+    lasts = edges.filter("edge = 'last'").join(numbers, "range").select("number", "doc_id", "text")
+    nexts = firsts.join(numbers, "range").select(F.pmod(F.col("number") - 1, F.lit(count)).alias("number"), F.col("text").alias("after"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # the row before, whose next one is not seen yet: (at, guest, doc_id, text, digest)
         for batch in batches:
-            at, guest, ids, texts = (c.to_pylist() for c in batch.columns)
-            marks = digests_of(texts)
-            if last is not None:
-                at, guest, ids, texts = [last[0], *at], [last[1], *guest], [last[2], *ids], [last[3], *texts]
-                marks = np.concatenate([last[4][None], marks])
-            done = [k for k in range(len(ids) - 1) if not guest[k] and at[k] == at[k + 1]]
-            last = (at[-1], guest[-1], ids[-1], texts[-1], marks[-1])
-            for i in range(0, len(done), 512):
-                part = np.array(done[i : i + 512])
-                changed = [edited(texts[k], texts[k + 1]) for k in part]
-                new = digests_of(changed)
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip((
-                    [ids[k] for k in part], [len(texts[k]) for k in part],
-                    [hashlib.sha256(t.encode()).hexdigest() for t in changed],
-                    [m.tobytes().hex() for m in marks[part]], [m.tobytes().hex() for m in new],
-                    likeness(marks[part], new), likeness(marks[part], marks[part + 1]),
-                ), FIELDS.values(), strict=True)], names=list(FIELDS))
-
-    return ordered.mapInArrow(compare, OUT)
+            ids, texts, after = (c.to_pylist() for c in batch.columns)
+            for columns in _compared(ids, texts, after, digests_of(texts), digests_of(after)):
+                yield pa.RecordBatch.from_arrays(columns, names=list(FIELDS))
+
+    return lasts.join(nexts, "number").select("doc_id", "text", "after").mapInArrow(compare, OUT)
+
+
+def compare_with_next(docs: DataFrame) -> DataFrame:
+    """Fingerprints of each text, of its edited text, and their likeness, in descending order of doc_id.
+
+    Texts are shuffled once, by Spark's range exchange.  Two rows a range, its first and its last, are joined by the ranges' running numbers.
+    """
+    table = _compare_in_ranges(docs)
+    return table.filter("edge IS NULL").select(*FIELDS).unionByName(_compare_edges(table.filter("edge IS NOT NULL")))

@@ -1,8 +1,8 @@
-"""Documents in doc_id order over many tasks: consecutive ranges of ids, one bucket each."""
+"""How many ranges of consecutive ids hold documents of some size."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BUCKET_BYTES = 24 << 20
@@ -12,18 +12,3 @@ def bucket_count(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, least: int =
     """Buckets so that one holds about `bucket_bytes` of text."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     return max(least, -(-total // bucket_bytes))
-
-
-def cut_points(docs: DataFrame, buckets: int) -> list[int]:
-    """At most buckets - 1 ascending ids that cut the rows into ranges of about equal counts."""
-    at = [i / buckets for i in range(1, buckets)]
-    found = docs.agg(F.percentile_approx("doc_id", at, 10 * buckets).alias("p")).first()["p"]
-    return sorted(set(found or []))
-
-
-def bucket_of(doc_id: Column, cuts: list[int]) -> Column:
-    """0 for ids up to the first cut and for nulls, then 1, 2, ..., by the number of lower cuts."""
-    if not cuts:
-        return F.lit(0)
-    edges = F.lit(cuts)
-    return F.coalesce(F.array_size(F.filter(edges, lambda c: c < doc_id)), F.lit(0)).cast("int")

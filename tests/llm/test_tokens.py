@@ -138,6 +138,16 @@ def test_every_row_meets_its_next(make):
         assert r["near_next"] == D.likeness(own, mark)[0] and r["fingerprint"] == own[0].tobytes().hex()
 
 
+def test_ranges_without_rows_and_ranges_of_one_row(make, monkeypatch):
+    """More ranges than rows: every next row is in another range, and some ranges are empty."""
+    monkeypatch.setattr(D.ranges, "bucket_count", lambda docs: 40)
+    for n in (1, 2, 9, 60):
+        rows = [(5 if i < 4 else i * 3, f"{'same ' * 20} {i} " * (i % 5 + 1), "en") for i in range(n)]
+        order = sorted(rows, key=lambda r: (-r[0], r[1]))
+        want = sorted((r[0], D.likeness(D.digests_of([r[1]]), D.digests_of([order[(k + 1) % n][1]]))[0]) for k, r in enumerate(order))
+        assert sorted((r["doc_id"], r["near_next"]) for r in D.compare_with_next(make(rows)).collect()) == want
+
+
 @settings(max_examples=40, deadline=None)
 @given(st.text(max_size=300), st.text(max_size=300))
 def test_difference_is_a_bounded_score(x, y):
