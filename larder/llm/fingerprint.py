@@ -30,7 +30,7 @@ BUCKETS = 128
 UNLIKE = 208
 DIGEST_BYTES = 2 + BUCKETS // 4
 _SEED = mix(np.arange(1, 3 * 3 * 256 + 1, dtype=np.uint64)).astype(np.uint32).reshape(3, 3, 256)
-_TRIPLETS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
+TRIPLETS = ((0, 1, 2), (0, 1, 3), (0, 2, 3))
 _LENGTH_STEP = np.log(1.1)
 
 
@@ -47,7 +47,7 @@ def _digests(body: np.ndarray, off: np.ndarray) -> np.ndarray:
     n, length = len(off) - 1, np.diff(off)
     text = np.repeat(np.arange(n, dtype=np.int32), length)
     count = np.zeros(n * BUCKETS, np.int64)
-    for k, (a, b, c) in enumerate(_TRIPLETS):
+    for k, (a, b, c) in enumerate(TRIPLETS):
         if len(body) <= c:
             continue
         size = len(body) - c

@@ -121,6 +121,46 @@ def op5_fingerprint(spark, sf_dir):
     return fingerprint.compare_with_next(documents(spark, sf_dir))
 
 
+def _fingerprint_sql() -> str:
+    """op5 in another engine: bytes as rows, triplet hashes from the same rule, quartiles and differences as lists."""
+    d = fingerprint
+    seeds = ", ".join(f"max(v) FILTER (i // 256 = {3 * k + p}) AS s{k}{p}" for k in range(3) for p in range(3))
+    letters = "wxyz"
+    hashes = ", ".join(
+        f"xor(({letters[a]}.s{k}0 + {letters[b]}.s{k}1) % 4294967296, {letters[c]}.s{k}2)" for k, (a, b, c) in enumerate(d.TRIPLETS))
+    seen = " ".join(f"LEFT JOIN seeds {v} ON {v}.byte = r.{v}" for v in letters)
+    unlike = lambda x, y: (
+        f"1.0::DOUBLE - least({d.UNLIKE}, list_sum(list_transform(range(1, {d.BUCKETS + 1}), lambda i: [0, 1, 2, 6][abs({x}.codes[i] - {y}.codes[i]) + 1]))"
+        f" + abs({x}.size - {y}.size) + abs({x}.low - {y}.low) + abs({x}.mid - {y}.mid))::DOUBLE / {d.UNLIKE}")
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT *, coalesce(lead(t) OVER o, first_value(t) OVER o) AS u FROM d WINDOW o AS (ORDER BY doc_id DESC NULLS LAST, t)),
+e AS (SELECT *, substr(t, 1, len(t) - len(t) // 3) || substr(u, 1, len(t) // 3) AS v FROM n),
+s AS MATERIALIZED (SELECT t, row_number() OVER () AS k FROM (SELECT t FROM e UNION SELECT v FROM e)),
+b AS (SELECT k, list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::INTEGER) AS bytes FROM s),
+m0 AS (SELECT i, (i + 1)::UBIGINT AS x FROM range(2304) r(i)),
+m1 AS (SELECT i, (xor(x, x >> 30)::UHUGEINT * {0xBF58476D1CE4E5B9}::UHUGEINT % 18446744073709551616::UHUGEINT)::UBIGINT AS x FROM m0),
+m2 AS (SELECT i, (xor(x, x >> 27)::UHUGEINT * {0x94D049BB133111EB}::UHUGEINT % 18446744073709551616::UHUGEINT)::UBIGINT AS x FROM m1),
+seeds AS (SELECT byte, {seeds} FROM (SELECT i, i % 256 AS byte, xor(x, x >> 31) % 4294967296 AS v FROM m2) GROUP BY byte),
+r AS (SELECT k, unnest(bytes) AS w, unnest(bytes[2:]) AS x, unnest(bytes[3:]) AS y, unnest(bytes[4:]) AS z FROM b),
+h AS (SELECT k, unnest([{hashes}]) AS h FROM r {seen}),
+c AS (SELECT k, (h::UBIGINT * 2654435761 % 4294967296) >> 25 AS bucket, count(*) AS n FROM h WHERE h IS NOT NULL GROUP BY ALL),
+l AS (SELECT s.k, list(coalesce(c.n, 0) ORDER BY g.bucket) AS counts FROM s CROSS JOIN (SELECT range::UBIGINT AS bucket FROM range({d.BUCKETS})) g LEFT JOIN c ON c.k = s.k AND c.bucket = g.bucket GROUP BY s.k),
+q AS (SELECT t, counts, list_sort(counts) AS o FROM l JOIN s USING (k)),
+f AS (SELECT t, list_transform(counts, lambda c: (c > o[{d.BUCKETS // 4}])::INTEGER + (c > o[{d.BUCKETS // 2}])::INTEGER + (c > o[{3 * d.BUCKETS // 4}])::INTEGER) AS codes,
+             floor(least(255, ln(greatest(octet_length(encode(t)), 1)) / ln(1.1)))::INTEGER AS size,
+             least(15, o[{d.BUCKETS // 4}] * 16 // greatest(o[{3 * d.BUCKETS // 4}], 1)) AS low, least(15, o[{d.BUCKETS // 2}] * 16 // greatest(o[{3 * d.BUCKETS // 4}], 1)) AS mid FROM q),
+p AS (SELECT *, printf('%02x%02x', size, (low * 16 + mid)::INTEGER) || array_to_string(list_transform(range(0, {d.BUCKETS // 4}), lambda i:
+             printf('%02x', codes[4 * i + 1] + 4 * codes[4 * i + 2] + 16 * codes[4 * i + 3] + 64 * codes[4 * i + 4])), '') AS mark FROM f)
+SELECT doc_id, len(e.t)::BIGINT AS n_chars, sha256(e.v) AS edited_sha256, a.mark AS fingerprint, b.mark AS edited_fingerprint,
+       {unlike("a", "b")} AS near_edited, {unlike("a", "c")} AS near_next
+FROM e JOIN p a ON a.t = e.t JOIN p b ON b.t = e.v JOIN p c ON c.t = e.u
+"""
+
+
+ORACLE["op5_fingerprint"] = _fingerprint_sql()
+
+
 @query
 def op6_ngram_join(spark, sf_dir):
     return ngram_join.near_duplicates(documents(spark, sf_dir))
