@@ -78,14 +78,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, folders: tuple[str, ...] = ()) -> DataFrame:
     """Write once to the shared folder and read from there, so that lineage ends and an executor loss costs a re-read.
 
-    The table is deleted when the driver ends.
+    With `folders`, rows lie in a folder for each value of those columns. The table is deleted when the driver ends.
     """
     path = scratch_path(df.sparkSession, "table")
     _written.append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*folders).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
