@@ -195,13 +195,14 @@ def op8_decontamination(spark, sf_dir):
 
 @query
 def op9_sharding(spark, sf_dir):
-    return sharding.place(documents(spark, sf_dir).select("doc_id"), SHARDS)
+    rows = sharding.write(documents(spark, sf_dir), SHARDS)
+    return rows.select("doc_id", "slot", "shard", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
 ORACLE["op9_sharding"] = f"""
 WITH t AS (SELECT [{", ".join(map(str, sharding.lookup_table(SHARDS)))}] AS seats),
-     d AS (SELECT doc_id, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % {sharding.SLOTS} AS slot FROM documents)
-SELECT doc_id, slot, printf('shard-%02d', seats[slot + 1]) AS shard FROM d, t
+     d AS (SELECT doc_id, text, ('0x' || substr(md5(doc_id::VARCHAR), 1, 15))::BIGINT % {sharding.SLOTS} AS slot FROM documents)
+SELECT doc_id, slot, printf('shard-%02d', seats[slot + 1]) AS shard, sha256(coalesce(text, '')) AS text_sha256 FROM d, t
 """
 
 

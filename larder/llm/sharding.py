@@ -6,7 +6,8 @@ slots to within one, and adding or removing a shard moves few slots.  The table
 it is broadcast, and a row's shard is one look-up at md5(key) modulo `slots`.
 
 Defined cases: a null key is placed like the empty string; equal keys go to one shard; an empty table gives no row; other
-columns are kept, but those named slot or shard are replaced.
+columns are kept, but those named slot or shard are replaced.  Rows of one shard go to its files by a hash of key and text, so that a
+shard with most rows, or a key with many texts, is many tasks' work.
 """
 
 from __future__ import annotations
@@ -16,7 +17,11 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm import ranges
+from larder.session import materialize
+
 SLOTS = 4099
+FILE_BYTES = 128 << 20  # of text in a file of a shard
 
 
 def _number(text: str) -> int:
@@ -56,3 +61,11 @@ def place(docs: DataFrame, shards: list[str], key: str = "doc_id", slots: int =
     seats = docs.sparkSession.createDataFrame([(i, shards[s]) for i, s in enumerate(table)], "slot long, shard string")
     placed = docs.drop("shard").withColumn("slot", slot_of(docs[key], slots))
     return placed.join(F.broadcast(seats), "slot").select(*[c for c in placed.columns if c != "slot"], "slot", "shard")
+
+
+def write(docs: DataFrame, shards: list[str], key: str = "doc_id", slots: int = SLOTS, file_bytes: int = FILE_BYTES) -> DataFrame:
+    """The written table of whole rows with slot and shard, a folder a shard."""
+    files = ranges.bucket_count(docs, file_bytes, 2 * len(shards))
+    placed = place(docs, shards, key, slots)
+    part = F.pmod(F.xxhash64(key, "text"), F.lit(-(-files // len(shards))))
+    return materialize(placed.repartition(files, F.col("shard"), part), ("shard",)).select(*placed.columns)

@@ -205,3 +205,13 @@ def test_place(messy, nothing):
         slot = M._number("" if r["doc_id"] is None else str(r["doc_id"])) % M.SLOTS
         assert (r["slot"], r["shard"]) == (slot, names[table[slot]])
     assert M.place(nothing, names).count() == 0
+
+
+def test_whole_rows_are_written_by_shard(messy, nothing):
+    names = ["a=1", "b/2", "c", "d d"]
+    placed, written = M.place(messy, names), M.write(messy, names, file_bytes=1000)
+    assert written.columns == placed.columns
+    assert sorted(map(str, written.collect())) == sorted(map(str, placed.collect()))
+    files = {f.split("/shard=")[1].split("/")[0] for f in written.inputFiles()}
+    assert len(files) == placed.select("shard").distinct().count()
+    assert M.write(nothing, names).count() == 0
