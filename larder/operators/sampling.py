@@ -6,13 +6,18 @@ past the attributes the item has, so nothing is rejected and no list of the othe
 attributes is built.
 """
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..functions.hashing import hash_hex
 from .ranking import with_global_rank, with_running_total
 
 POINTS_PER_ROW = 4096
+SHARD_ROWS = 4096
 
 
 def positive_samples(item_attrs: DataFrame, item_vectors: DataFrame, attr_vectors: DataFrame) -> DataFrame:
@@ -185,19 +190,38 @@ def training_triples(
     return triples.join(split, "item_id").select("split", "item_id", "pos_attr", "neg_attrs")
 
 
-def attach_vectors(triples: DataFrame, item_vectors: DataFrame, attr_vectors: DataFrame) -> DataFrame:
-    """Add item, positive and negative vectors to (item_id, pos_attr, neg_attrs) rows by joins."""
-    by_id = attr_vectors.select("attr_id", "vector")
-    long = triples.select(
-        "item_id", "pos_attr", "neg_attrs", F.posexplode(F.concat(F.array("pos_attr"), "neg_attrs")).alias("slot", "attr_id")
-    )
-    vectors = (
-        long.join(by_id, "attr_id")
-        .groupBy("item_id", "pos_attr", "neg_attrs")
-        .agg(F.array_sort(F.collect_list(F.struct("slot", "vector")))["vector"].alias("v"))
-        .select("item_id", "pos_attr", "neg_attrs", F.get("v", F.lit(0)).alias("pos_vector"),
-                F.expr("slice(v, 2, size(v))").alias("neg_vectors"))
-    )
-    return vectors.join(
-        item_vectors.select("item_id", F.col("vector").alias("item_vector")), "item_id"
-    )
+def shard_vectors(triples: DataFrame, attr_vectors: DataFrame, shards: int) -> tuple[DataFrame, DataFrame]:
+    """The triples with their `shard`, a hash of the item, and (shard, attr_id, vector): each attribute that a shard draws, once."""
+    sharded = triples.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)))
+    drawn = sharded.select("shard", F.explode(F.concat(F.array("pos_attr"), "neg_attrs")).alias("attr_id")).distinct()
+    return sharded, drawn.join(attr_vectors.select("attr_id", "vector"), "attr_id").select("shard", "attr_id", "vector")
+
+
+def attach_vectors(
+    triples: DataFrame, item_vectors: DataFrame, attr_vectors: DataFrame, shard_rows: int = SHARD_ROWS
+) -> DataFrame:
+    """Add item, positive and negative vectors to (item_id, pos_attr, neg_attrs) rows; those without a positive's vector go,
+    and negatives without one are left out.
+
+    A vector travels once to each shard of about `shard_rows` triples that draws it, not once to each draw.
+    """
+    triples = triples.select("item_id", "pos_attr", "neg_attrs")
+    shards = max(1, -(-triples.count() // shard_rows))
+    sharded, fetched = shard_vectors(triples, attr_vectors, shards)
+    vector = fetched.schema["vector"].dataType
+    schema = StructType([*triples.schema.fields, StructField("pos_vector", vector), StructField("neg_vectors", ArrayType(vector))])
+
+    def look_up(rows: pa.Table, known: pa.Table) -> pa.Table:
+        ids, vectors = (known.column(c).combine_chunks() for c in ("attr_id", "vector"))
+        rows = rows.select(["item_id", "pos_attr", "neg_attrs"])
+        rows = rows.filter(pc.is_in(rows.column("pos_attr"), ids)).combine_chunks()
+        negatives = rows.column("neg_attrs").combine_chunks()
+        at = pc.index_in(negatives.flatten(), ids)
+        upto = np.concatenate([[0], np.cumsum(np.asarray(pc.is_valid(at)))])
+        ends = upto[np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(negatives), 0)))])]
+        neg_vectors = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), vectors.take(at.drop_null()))
+        pos_vector = vectors.take(pc.index_in(rows.column("pos_attr").combine_chunks(), ids))
+        return rows.append_column("pos_vector", pos_vector).append_column("neg_vectors", neg_vectors)
+
+    met = sharded.groupBy("shard").cogroup(fetched.withColumnRenamed("shard", "of").groupBy("of")).applyInArrow(look_up, schema)
+    return met.join(item_vectors.select("item_id", F.col("vector").alias("item_vector")), "item_id")

@@ -85,6 +85,24 @@ def test_samples_need_both_vectors(spark):
     assert row["neg_attrs"] == ["z"] * 3 and len(row["neg_vectors"]) == 3
 
 
+@pytest.mark.parametrize("shard_rows", [1 << 14, 7])
+def test_vectors_travel_once_to_a_shard(spark, shard_rows):
+    items, attrs = (spark.createDataFrame([(f"{key[0]}{k}", [float(k), 0.5]) for k in range(n)], f"{key} string, vector array<double>")
+                    for key, n in (("item_id", 30), ("attr_id", 12)))
+    rows = [(f"i{k % 30}", f"a{k % 13}", [f"a{(k + j) % 13}" for j in range(1, 6)]) for k in range(390)]  # a12 has no vector
+    triples = spark.createDataFrame(rows, "item_id string, pos_attr string, neg_attrs array<string>").repartition(5)
+    _, fetched = P.shard_vectors(triples, attrs, 4)
+    assert fetched.count() == fetched.select("shard", "attr_id").distinct().count() <= 4 * 12
+    known = {r["attr_id"]: r["vector"] for r in attrs.collect()}
+    own = {r["item_id"]: r["vector"] for r in items.collect()}
+    got = P.attach_vectors(triples, items, attrs, shard_rows).collect()
+    assert sorted((r["item_id"], r["pos_attr"]) for r in got) == sorted((i, p) for i, p, _ in rows if p in known)
+    for r in got:
+        assert r["pos_vector"] == known[r["pos_attr"]] and r["item_vector"] == own[r["item_id"]]
+        assert r["neg_vectors"] == [known[a] for a in r["neg_attrs"] if a in known]
+    assert P.attach_vectors(triples.limit(0), items, attrs).count() == 0
+
+
 def test_draws_over_a_profile_of_ten_thousand(spark):
     """A draw is a binary search: looked up one by one, these 100,000 draws would take some 10**9 comparisons."""
     held = spark.range(20_000).where("id % 2 = 0").selectExpr("'i' AS item_id", "printf('a%05d', id) AS attr_id")
