@@ -387,10 +387,10 @@ def _attr_vectors(spark, d, item_attrs):
     vocabulary = G.indexed_vocabulary(materialize(G.attribute_vocabulary(item_attrs)))
     vectors = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding")
     n = vectors.agg(F.count(F.lit(1))).scalar()
+    # The number is a column before the join: a broadcast does not wait for a subquery in its join key.
+    numbered = vocabulary.withColumn("vec_id", F.pmod(F.col("idx") * 3, n))
     return materialize(
-        vocabulary.join(vectors, F.col("vec_id") == F.pmod(F.col("idx") * 3, n)).select(
-            "attr_id", F.col("embedding").cast("array<double>").alias("vector")
-        )
+        numbered.join(vectors, "vec_id").select("attr_id", F.col("embedding").cast("array<double>").alias("vector"))
     )
 
 

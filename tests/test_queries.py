@@ -60,3 +60,15 @@ def test_pipeline_end_to_end(spark, tmp_path):
     assert spark.read.option("header", True).csv(f"{tmp_path}/models/alignment_cooc_ae_item/training_history").count() == 1
     with pytest.raises(ValueError):
         PR.version_of("unknown", specs)
+
+
+def test_attribute_vectors_with_a_small_vocabulary_beside_many_vectors(spark, db):
+    """The vocabulary's side is the one that is broadcast: embeddings lie above the threshold, as they do in larger tables."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100000")
+    try:
+        got = canon(entry.queries()["attr_popularity"](spark, SF).toPandas())
+    finally:
+        spark.conf.set(key, before)
+    assert got.equals(canon(db.execute(entry.oracle_sql()["attr_popularity"]).df()))
