@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
+from ..session import materialize
+
 
 def build_hh_item(txns: DataFrame, basket: str = "txn") -> DataFrame:
     """Transactions under their output names. basket is the transaction ('txn') or household and day ('household_day')."""
@@ -44,7 +46,7 @@ def build_hh_attr_history(
     the time to fall to 1/e. Days are whole ones: of two timestamps, the floor of their difference. The reference day is the last purchase of any mapped item
     unless given. Purchases of one item by one household are summed before they fan
     out to the item's attributes, so the join and the last shuffle carry pairs
-    (household, item), not transactions.
+    (household, item), not transactions, and no rows by attribute.
     """
     mapped = item_attrs.where("upc_nbr IS NOT NULL AND attr_id IS NOT NULL").select("upc_nbr", "attr_id", "p_attr")
     timed = isinstance(txns.schema["txn_date"].dataType, (TimestampType, TimestampNTZType))
@@ -69,14 +71,21 @@ def build_hh_attr_history(
             F.min("days_ago").alias("days_ago"),
         )
     )
+    # A pair travels to its household once, with the codes of its item's attributes, and fans out there: the last grouping needs
+    # no shuffle of its own. Codes are numbers of a written table, so that they mean the same to both joins.
+    codes = materialize(mapped.select("attr_id").distinct().withColumn("code", F.monotonically_increasing_id()))
+    held = mapped.join(codes, "attr_id").groupBy("upc_nbr").agg(F.collect_list(F.struct("code", "p_attr")).alias("held"))
+    pairs = by_item.join(held, "upc_nbr").select("household_id", "weight", "days_ago", "held").repartition("household_id")
     return (
-        by_item.join(mapped, "upc_nbr")
-        .groupBy("household_id", "attr_id")
+        pairs.select("household_id", "weight", "days_ago", F.inline("held"))
+        .groupBy("household_id", "code")
         .agg(
             F.sum(F.col("weight") * F.col("p_attr")).alias("hist_score"),
             F.min("days_ago").cast("bigint").alias("last_seen_days"),
         )
         .where(F.col("hist_score") > min_score)
+        .join(codes, "code")
+        .select("household_id", "attr_id", "hist_score", "last_seen_days")
     )
 
 

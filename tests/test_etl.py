@@ -1,7 +1,9 @@
 import datetime as dt
 import math
+import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from larder.functions.text import with_nutrition_pairs
 from larder.operators import attributes as A
@@ -138,3 +140,17 @@ def test_scans_and_sinks(spark, tmp_path):
     assert T.write_table(rows, str(tmp_path / "t")) == 2
     assert T.read_optional(spark, str(tmp_path / "t")).count() == 2
     assert T.table_counts({"x": rows}).first()["row_count"] == 2
+
+
+def test_history_fans_out_at_the_household_without_a_shuffle_by_attribute(spark, shop):
+    txns = spark.createDataFrame(
+        [("h1", "item1", "1998-01-01", 2.0), ("h1", "item4", "1998-01-01", 1.0), ("h2", "item3", "1998-01-01", 4.0)],
+        "household_id string, upc_nbr string, txn_date string, item_qount double",
+    ).withColumn("txn_date", F.to_date("txn_date"))
+    out = H.build_hh_attr_history(txns, shop["map_item_attribute"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(household_id#" in plan
+    assert not re.search(r"hashpartitioning\(household_id#\d+, (attr_id|code)#", plan)
+    got = {(r["household_id"], r["attr_id"]): r["hist_score"] for r in out.collect()}
+    assert got == {("h1", "brand_a"): 3.0, ("h1", "health_organic"): 2.0, ("h1", "category_dairy"): 2.0, ("h1", "health_vegan"): 1.0,
+                   ("h2", "brand_c"): 4.0, ("h2", "category_snacks"): 4.0}
