@@ -12,7 +12,7 @@ LIST_TOKEN = r"""("(?:[^"\\]|\\.)*"|'(?:[^'\\]|\\.)*'|[A-Za-z_]+|[-+]?(?:\d+\.?\
 NUMBER = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 # Text that JSON reads differently from the printed list: tuples, single quotes, None, open commas, bare signs and dots.
 NOT_JSON = r"""[('+\\]|None|,\s*\]|[^0-9]\.[0-9]|[0-9]\.[^0-9]"""
-
+TASKS_PER_CORE = 4
 
 # The characters that count as white space.
 WHITE_SPACE = (
@@ -38,9 +38,7 @@ def code(prefix: str, e: str) -> str:
 
 def _as_json(text: Column) -> Column:
     """A printed list as JSON: tuples become lists, numbers and both kinds of quotes JSON strings, None null."""
-    tokens = F.regexp_extract_all(text, F.lit(LIST_TOKEN), F.lit(1))
-    closing = lambda i: F.coalesce(F.get(tokens, i + 1).isin("]", ")"), F.lit(False))
-    kept = F.filter(tokens, lambda t, i: ~((t == ",") & closing(i)))
+    found = F.regexp_extract_all(text, F.lit(LIST_TOKEN), F.lit(1))
 
     def json(t: Column) -> Column:
         inner = F.substring(t, F.lit(2), F.length(t) - 2)
@@ -52,7 +50,13 @@ def _as_json(text: Column) -> Column:
             .when(t.rlike(NUMBER), F.concat(F.lit('"'), t, F.lit('"'))).otherwise(t)
         )
 
-    return F.array_join(F.transform(kept, json), " ")
+    def listed(tokens: Column) -> Column:
+        closing = lambda i: F.coalesce(F.get(tokens, i + 1).isin("]", ")"), F.lit(False))
+        kept = F.filter(tokens, lambda t, i: ~((t == ",") & closing(i)))
+        return F.array_join(F.transform(kept, json), " ")
+
+    # The tokens are bound as the one element of an array, so that they are not found again for each of them.
+    return F.get(F.transform(F.array(found), listed), F.lit(0))
 
 
 def with_nutrition_pairs(items: DataFrame, column: str = "nutrition_nm", out: str = "_pairs") -> DataFrame:
@@ -69,8 +73,10 @@ def with_nutrition_pairs(items: DataFrame, column: str = "nutrition_nm", out: st
              THEN cast(array() AS array<struct<name: string, value: double>>)
              ELSE transform(_rows, e -> named_struct('name', {name}, 'value', {value})) END"""
     last = f"filter({out}, (e, i) -> NOT exists(slice({out}, i + 2, size({out})), x -> x.name = e.name))"
+    # Reading the text takes far longer than reading the file, so rows are dealt to all cores, however few pieces the file has.
+    dealt = items.repartition(TASKS_PER_CORE * items.sparkSession.sparkContext.defaultParallelism)
     return (
-        items.withColumn("_rows", F.from_json(text, "array<array<string>>"))
+        dealt.withColumn("_rows", F.from_json(text, "array<array<string>>"))
         .withColumn(out, F.expr(pairs))
         .withColumn(out, F.expr(last))
         .drop("_rows")

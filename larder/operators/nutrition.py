@@ -28,7 +28,7 @@ def build_item_nutrition(items: DataFrame, names: list[str] = list(NUTRITION_COL
     """One row per item: upc_id and one column per kept nutrient among `names`.
 
     Names become columns, so the caller says which; the known ones are the default. Wide rows are made
-    in place from the parsed list, without a shuffle.
+    in place from the parsed list, without a grouping.
     """
     columns = {n: NUTRITION_COLUMNS.get(n, n) for n in names}
     kept = {n: c for n, c in columns.items() if c.endswith(KEPT_SUFFIXES)}

@@ -154,3 +154,11 @@ def test_history_fans_out_at_the_household_without_a_shuffle_by_attribute(spark,
     got = {(r["household_id"], r["attr_id"]): r["hist_score"] for r in out.collect()}
     assert got == {("h1", "brand_a"): 3.0, ("h1", "health_organic"): 2.0, ("h1", "category_dairy"): 2.0, ("h1", "health_vegan"): 1.0,
                    ("h2", "brand_c"): 4.0, ("h2", "category_snacks"): 4.0}
+
+
+def test_nutrition_of_a_table_in_one_piece_is_read_by_many_tasks(spark):
+    rows = spark.range(0, 2000, 1, 1).selectExpr("CAST(id AS string) AS upc_nbr", "concat('((\"calories\", ', id, '),)') AS nutrition_nm")
+    read = with_nutrition_pairs(rows)
+    tasks = {r["t"]: r["n"] for r in read.groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()}
+    assert len(tasks) >= 8 and max(tasks.values()) < 500
+    assert read.where("size(_pairs) = 1 AND _pairs[0].value = CAST(upc_nbr AS double)").count() == 2000
