@@ -60,7 +60,8 @@ def _nutrition_levels() -> str:
 
 def _exploded(items: DataFrame, blocks: str, *keep: str) -> DataFrame:
     """One row per item attribute, in a single pass over the items."""
-    return items.select(*keep, F.expr(f"inline(filter({blocks}, a -> a.attr_id IS NOT NULL))"))
+    # Outer, as Spark would else build the list a second time to test its size, below any shuffle.
+    return items.select(*keep, F.expr(f"inline_outer({blocks})")).where(F.col("attr_id").isNotNull())
 
 
 def nutrition_vocabulary(spark) -> DataFrame:

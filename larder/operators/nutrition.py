@@ -38,9 +38,11 @@ def build_item_nutrition(items: DataFrame, names: list[str] = list(NUTRITION_COL
 
 def nutrition_long(items: DataFrame) -> DataFrame:
     """(upc_id, nutrient, value): the parsed list as rows."""
-    return with_nutrition_pairs(items).select(
-        F.col("upc_nbr").alias("upc_id"), F.expr("inline(_pairs) AS (nutrient, value)")
+    # Outer, as Spark would else test the list's size below the shuffle, and so read each text twice; a pair has a name.
+    rows = with_nutrition_pairs(items).select(
+        F.col("upc_nbr").alias("upc_id"), F.expr("inline_outer(_pairs) AS (nutrient, value)")
     )
+    return rows.where(F.col("nutrient").isNotNull())
 
 
 def pivot_nutrition(items: DataFrame, names: list[str] = list(NUTRITION_COLUMNS)) -> DataFrame:
