@@ -7,14 +7,17 @@ Equal sets are one node from here on, however many copies they have.
    shingles and similarity t differ in at most (n + m) (1 - t) / (1 + t).  So one group at least is the same, and not empty, in
    both; nodes meet by the hash of a group's whole content.  The number of groups goes by a level of sizes, which a
    set shares with every set it can be linked to.  (A set with too few non-empty groups meets by single shingles instead.)
-2. *Stars.*  No pairs are listed: the nodes with a key are joined to the smallest of them.  A linked set has a number of groups in
-   common with each of its partners, and a node that does not share as many keys, with whomever, is left out.
-3. *Tree.*  Stars form clusters.  Each set is a point, its counts in GROUPS groups, and the sum of coordinate minima of two
+2. *Families.*  Before that, sets that agree in a pair of least hashes (one of BANDS pairs) are put in one family, each under a
+   constant number of rows.  A family is one node among the keys, so that near copies, which share nearly all of their keys, don't
+   meet in every shard of keys.  Families decide nothing: all members of one are in one cluster.
+3. *Stars.*  No pairs are listed: the families with a key are joined to the smallest of them.  A linked set has a number of groups in
+   common with each of its partners, and a family that does not share as many keys, with whomever, is left out.
+4. *Tree.*  Families and stars form clusters.  Each set is a point, its counts in GROUPS groups, and the sum of coordinate minima of two
    points bounds their overlap.  A cluster's points are packed by size and coordinates into an R-tree; boxes keep the largest
    coordinates, so minima with a box bound the overlap with anything below it, and a search leaves out whole branches.
    Surviving pairs are verified on the sets.  Pairs that are connected already aren't verified again, so a dense group costs about
    one test a node.
-4. *Large clusters* are one tree over many tasks.  Their nodes, in order of size and coordinates, are cut into leaves; boxes of
+5. *Large clusters* are one tree over many tasks.  Their nodes, in order of size and coordinates, are cut into leaves; boxes of
    BOX leaves, of BOX such boxes and so on are its upper levels.  Leaves are searched in themselves first, with a few nodes of the
    cluster in all of them.  Then pairs of boxes go down the tree, and what their bounds leave at the bottom are pairs of leaves;
    from these only nodes outside the cluster's largest component meet all others.
@@ -39,6 +42,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from larder.functions.ordering import running_total
 from larder.llm.components import components
+from larder.llm.hot_keys import look_up
 from larder.llm.substring_dedup import Members, split
 from larder.llm.words import U64, Words, mix, raw, run_inside, shingles, slices, text_column
 from larder.session import materialize
@@ -51,7 +55,10 @@ LEAF = 1024
 LEAF_SHINGLES = 2_000_000
 SHARED_NODES = 16
 SHARD_BYTES = 24 << 20
-FILTER_BITS = 1 << 24  # of the bitmap of wanted documents, 2 MB whatever the input
+FILTER_BITS = 1 << 24  # of the bitmaps of wanted documents and of families' nodes, 2 MB each whatever the input
+BITMAP_BITS = 1 << 15  # of one row of Spark's bitmap aggregate
+BANDS = 4
+BAND_ROWS = 2
 HELD_KEYS = 1 << 20
 HASH_BITS = U64(48)
 TRIES = 12
@@ -125,17 +132,43 @@ def least_common(hashes: np.ndarray, start: np.ndarray, percent: int = PERCENT)
     return np.maximum(common, 1)
 
 
+def band_values(hashes: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """BANDS numbers of each set, each the hash of its BAND_ROWS least shingles by as many orders; 0 for the empty set."""
+    filled = np.diff(start) > 0
+    out = np.zeros((len(filled), BANDS), U64)
+    if filled.any():
+        for band in range(BANDS):
+            value = np.full(int(filled.sum()), band + 1, U64)
+            for row in range(BAND_ROWS):
+                order = mix(hashes ^ mix(np.array([BAND_ROWS * band + row + 1], U64)))
+                value = mix(value ^ np.minimum.reduceat(order, start[:-1][filled]))
+            out[filled, band] = value
+    return out.view(np.int64)
+
+
 def set_table(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n, node, common (see `least_common`) of each document, as a written table."""
+    """doc_id, n, node, common (see `least_common`), bands of each document, as a written table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             size, names, common = (np.zeros(b.num_rows, np.int64) for _ in range(3))
+            bands = np.zeros((b.num_rows, BANDS), np.int64)
             for i, j, h, start in _sets(text_column(b, "text")):
                 size[i:j], names[i:j], common[i:j] = np.diff(start), set_names(h, start), least_common(h, start, percent)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(names), pa.array(common)], names=["doc_id", "n", "node", "common"])
+                bands[i:j] = band_values(h, start)
+            bands = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * BANDS), pa.array(bands.ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(size), pa.array(names), pa.array(common), bands],
+                                             names=["doc_id", "n", "node", "common", "bands"])
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, common long"))
+    return materialize(rows.mapInArrow(run, "doc_id long, n long, node long, common long, bands array<long>"))
+
+
+def families(nodes: DataFrame) -> DataFrame:
+    """node, family (its smallest node) of the nodes that have a band in common with another one, as a written table."""
+    bands = materialize(nodes.select("node", F.explode("bands").alias("band")))
+    heads = bands.groupBy("band").agg(F.min("node").alias("head"), F.max("node").alias("last")).filter("head < last").select("band", "head")
+    found = look_up(bands, heads, "band").select(F.col("head").alias("a"), F.col("node").alias("b"))
+    return materialize(components(found).withColumnRenamed("component", "family"))
 
 
 def _grouped(hashes: np.ndarray, start: np.ndarray, use: np.ndarray, owner: np.ndarray, percent: int):
@@ -182,31 +215,63 @@ PIECE = "shard int, node binary, count binary, key binary"
 KEY_BYTES = 5
 
 
-def _routed(shards: int, percent: int):
-    """Each set's keys, packed by shard, once for each set in a task."""
+def node_bitmap(nodes: DataFrame) -> np.ndarray | None:
+    """FILTER_BITS bits (a power of two), marked by the low bits of the nodes; None without nodes."""
+    parts = -(-FILTER_BITS // BITMAP_BITS)
+    place = F.pmod("node", F.lit(parts * BITMAP_BITS)) + 1  # Spark's bitmaps begin with 1
+    marks = nodes.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bitmap")).collect()
+    if not marks:
+        return None
+    bits = np.zeros((parts, BITMAP_BITS // 8), np.uint8)
+    for r in marks:
+        bits[r["part"] - 1] = np.frombuffer(r["bitmap"], np.uint8)
+    return bits.ravel()
+
+
+def marked(bits: np.ndarray | None, node: np.ndarray) -> np.ndarray:
+    """Whether the bitmap has the nodes, and maybe others."""
+    if bits is None:
+        return np.zeros(len(node), bool)
+    at = node.view(U64) % U64(8 * len(bits))
+    return (bits[at >> U64(3)] >> (at & U64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _routed(shards: int, percent: int, bits: np.ndarray | None = None):
+    """Each set's keys, packed by shard, once for each set in a task, but for sets that the bitmap has; where rows name the node
+    they stand for and its family, the keys of that node, under its family's name."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, seen = [], 0, np.zeros(0, np.int64)
         for b in batches:
-            for _, _, h, start in _sets(text_column(b, "text")):
+            named = "family" in b.schema.names
+            for i, j, h, start in _sets(text_column(b, "text")):
                 names = set_names(h, start)
+                if named:
+                    family = b.column("family").to_numpy()[i:j]
+                    able = np.flatnonzero(names == b.column("node").to_numpy()[i:j])  # another row of the doc_id may have another text
+                else:
+                    family, able = names, np.flatnonzero(~marked(bits, names))
                 use = np.zeros(len(names), bool)
-                use[np.unique(names, return_index=True)[1]] = True
+                use[able[np.unique(names[able], return_index=True)[1]]] = True
                 use &= ~np.isin(names, seen)
                 seen = np.concatenate([seen, names[use]])
                 key, who = group_keys(h, start, use, percent)
-                held.append((key, names[who]))
+                held.append((key, family[who]))
                 rows += len(key)
                 if rows > HELD_KEYS:
-                    yield from pack(held)
+                    yield from pack(held, named)
                     held, rows, seen = [], 0, seen[:0]
         if rows:
-            yield from pack(held)
+            yield from pack(held, named)
 
-    def pack(held: list) -> Iterator[pa.RecordBatch]:
+    def pack(held: list, named: bool) -> Iterator[pa.RecordBatch]:
         key, node = (np.concatenate([x[k] for x in held]) for k in (0, 1))
         shard = (key >> U64(40)) % U64(shards)
-        order = np.lexsort((node, shard))
+        order = np.lexsort((key, node, shard) if named else (node, shard))
         key, node, shard = key[order], node[order], shard[order].astype(np.int64)
+        if named:  # sets of a family share keys
+            once = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
+            key, node, shard = key[once], node[once], shard[once]
         out = []
         for s, r in split(shard):
             who, count = np.unique(node[r], return_counts=True)
@@ -245,6 +310,27 @@ def _stars(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "keys": pa.array(times)})
 
 
+def key_stars(docs: DataFrame, nodes: DataFrame, family: DataFrame, shards: int, percent: int = PERCENT) -> DataFrame:
+    """What `_stars` finds in all shards, with families in place of their nodes, as a written table.
+
+    nodes (node, rep) and family (node, family) are written tables.  Nodes of families get their keys from a document that has
+    the set and is joined with them; all others (but for a few, by the bitmap) straight from the documents.
+    """
+    bits = node_bitmap(family)
+    routed = docs.select("text").mapInArrow(_routed(shards, percent, bits), PIECE)
+    if bits is not None:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                yield b.filter(pa.array(marked(bits, b.column("node").to_numpy())))
+
+        apart = nodes.select("node", "rep").mapInArrow(run, "node long, rep long").join(family, "node", "left")
+        apart = materialize(apart.withColumn("family", F.coalesce("family", "node")))
+        texts = wanted(docs.select(F.col("doc_id").alias("rep"), "text"), apart.select("rep"))
+        texts = apart.join(texts, apart["rep"].eqNullSafe(texts["rep"])).select("node", "family", "text")
+        routed = routed.unionByName(texts.mapInArrow(_routed(shards, percent), PIECE))
+    return materialize(routed.groupBy("shard").applyInArrow(_stars, "a long, b long, keys long"))
+
+
 def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows and how often they occur."""
     order = np.lexsort((pairs[:, 1], pairs[:, 0]))
@@ -254,12 +340,21 @@ def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def star_edges(stars: DataFrame, nodes: DataFrame) -> DataFrame:
-    """a, b: those edges of the stars whose outer node shares as many keys as a link needs."""
+    """a, b: those edges of the stars whose outer node (of `nodes`: node, common) shares as many keys as a link needs."""
     shared = stars.groupBy(F.col("b").alias("node")).agg(F.sum("keys").alias("shared"))
     able = nodes.join(shared, "node").filter("shared >= common").select(F.col("node").alias("b"))
     return stars.filter("a <> b").select("a", "b").join(able, "b").select("a", "b")
 
 
+def candidates(stars: DataFrame, nodes: DataFrame, family: DataFrame) -> DataFrame:
+    """node, component: the clusters made of families and of what their stars connect."""
+    common = nodes.join(family, "node", "left").groupBy(F.coalesce("family", "node").alias("node")).agg(F.min("common").alias("common"))
+    joined = materialize(components(star_edges(stars, common)))
+    heads = family.select("family").distinct().join(joined.withColumnRenamed("node", "family"), "family", "left")
+    members = look_up(family, heads.select("family", F.coalesce("component", "family").alias("component")), "family")
+    return members.select("node", "component").unionByName(joined.join(family.select("node"), "node", "left_anti"))
+
+
 def may_link(high: np.ndarray, least, most, q: np.ndarray, n, m, percent: int = PERCENT) -> np.ndarray:
     """Whether anything in boxes (largest coordinates, least and most size) can be linked with anything in boxes (q, n, m)."""
     fits = (least * percent <= 100 * m) & (n * percent <= 100 * most)
@@ -510,10 +605,10 @@ def _labelled(docs: DataFrame, percent: int) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
     sets = set_table(docs, percent)
-    nodes = materialize(sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("common").alias("common")))
-    routed = docs.select("text").mapInArrow(_routed(shards, percent), PIECE)
-    stars = materialize(routed.groupBy("shard").applyInArrow(_stars, "a long, b long, keys long"))
-    clusters = materialize(components(star_edges(stars, nodes)))
+    nodes = materialize(sets.filter("n > 0").groupBy("node").agg(
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "common", "bands")]))
+    family = families(nodes)
+    clusters = materialize(candidates(key_stars(docs, nodes, family, shards, percent), nodes, family))
     nodes = nodes.select("node", "rep", "n")
     linked = components(verified_links(docs, nodes, clusters, shards, percent))
     label = nodes.join(linked, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))

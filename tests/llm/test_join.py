@@ -161,6 +161,55 @@ def test_stars_are_linear_in_what_shares_a_key(spark):
     assert all(rows[n] <= 4 * n for n in rows)  # 256 copies have 32,640 pairs
 
 
+def near_copies(n, at=50):
+    words = [f"w{k}" for k in range(200)]
+    return [" ".join([*words[:at], f"x{i}", *words[at:]]) for i in range(n)]
+
+
+def test_stars_grow_with_nodes_whatever_the_shards(make):
+    """Near copies share keys in all shards, but are one family there: the rows of the stars don't multiply by the shards."""
+    rng = random.Random(4)
+    rows, nodes = {}, 0
+    for n, shards in ((64, 1), (64, 64), (256, 64)):
+        texts = [*near_copies(n), *near_copies(n, 120), *(" ".join(f"{rng.randrange(10**6)}" for _ in range(100)) for _ in range(n))]
+        docs = make([(i, t, "en") for i, t in enumerate(texts)])
+        table = N.set_table(docs)
+        nodes = N.materialize(table.selectExpr("node", "doc_id AS rep", "n", "common", "bands"))
+        family = N.families(nodes)
+        stars = N.key_stars(docs, nodes, family, shards)
+        rows[n, shards] = stars.count()
+        clusters = [r["count"] for r in N.candidates(stars, nodes, family).groupBy("component").count().collect()]
+        assert clusters == [2 * n]  # texts of the two kinds of copies are linked, too
+    assert rows[64, 64] <= 128 and rows[256, 64] <= 512, rows
+
+
+@pytest.mark.parametrize("bits", [8, 1 << 16])
+def test_bitmap_of_nodes(spark, monkeypatch, bits):
+    monkeypatch.setattr(N, "FILTER_BITS", bits)
+    nodes = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 4000, np.int64)
+    some = N.node_bitmap(spark.createDataFrame([(int(x),) for x in [*nodes[:1000], -1, 0, 1, -(1 << 63), (1 << 63) - 1]], "node long"))
+    assert N.marked(some, nodes[:1000]).all() and N.marked(some, np.array([-1, 0, 1, -(1 << 63), (1 << 63) - 1])).all()
+    assert N.marked(some, nodes[1000:]).mean() < 0.1
+    assert N.node_bitmap(spark.createDataFrame([], "node long")) is None and not N.marked(None, nodes).any()
+
+
+def test_equals_brute_force_where_the_bitmap_is_full(make, monkeypatch):
+    """Sets of no family that the bitmap has are routed with the families."""
+    monkeypatch.setattr(N, "FILTER_BITS", 8)
+    monkeypatch.setattr(N, "marked", lambda bits, node: np.ones(len(node), bool) if bits is not None else np.zeros(len(node), bool))
+    rows = families(7)
+    rows += [(rows[0][0], "a text of another row with this doc_id", "en"), (rows[1][0], rows[2][1], "en")]
+    assert sorted(map(tuple, N.near_duplicates(make(rows)).collect()), key=str) == brute(rows)
+
+
+def test_bands():
+    h = np.array([5, 9, 11, 5, 9, 11, 7], np.uint64)
+    bands = N.band_values(h, np.array([0, 0, 3, 3, 6, 7, 7]))
+    assert (bands[[0, 2, 5]] == 0).all() and (bands[1] == bands[3]).all() and not (bands[1] == bands[4]).any()
+    assert len(set(bands[1].tolist())) == N.BANDS
+    assert N.band_values(h[:0], np.array([0, 0])).tolist() == [[0] * N.BANDS]
+
+
 def test_linked_sets_have_a_key_in_common_and_room_in_their_points():
     rng = np.random.default_rng(1)
     sets = []
