@@ -9,7 +9,8 @@ Equal sets are one node from here on, however many copies they have.
    set shares with every set it can be linked to.  (A set with too few non-empty groups meets by single shingles instead.)
 2. *Families.*  Before that, sets that agree in a pair of least hashes (one of BANDS pairs) are put in one family, each under a
    constant number of rows.  A family is one node among the keys, so that near copies, which share nearly all of their keys, don't
-   meet in every shard of keys.  Families decide nothing: all members of one are in one cluster.
+   meet in every shard of keys.  Families decide nothing: all members of one are in one cluster.  All other nodes go to the shards
+   under numbers that count up within a task's piece, so that what a key costs there doesn't grow with the number of shards.
 3. *Stars.*  No pairs are listed: the families with a key are joined to the smallest of them.  A linked set has a number of groups in
    common with each of its partners, and a family that does not share as many keys, with whomever, is left out.
 4. *Tree.*  Families and stars form clusters.  Each set is a point, its counts in GROUPS groups, and the sum of coordinate minima of two
@@ -211,7 +212,7 @@ def group_keys(hashes: np.ndarray, start: np.ndarray, use: np.ndarray, percent:
     return (np.concatenate(keys), np.concatenate(owners)) if keys else (np.zeros(0, U64), np.zeros(0, np.int64))
 
 
-PIECE = "shard int, node binary, count binary, key binary"
+PIECE = "shard int, base long, node binary, step binary, key binary"
 KEY_BYTES = 5
 
 
@@ -237,59 +238,85 @@ def marked(bits: np.ndarray | None, node: np.ndarray) -> np.ndarray:
     return (bits[at >> U64(3)] >> (at & U64(7)).astype(np.uint8) & 1).astype(bool)
 
 
+def _steps(at: np.ndarray) -> bytes:
+    """Ascending numbers as their differences, all in the fewest bytes that hold the largest one."""
+    step = np.diff(at, prepend=0)
+    return step.astype(np.min_scalar_type(step.max())).tobytes()
+
+
+def _ascending(steps: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(steps, f"<u{len(steps) // n}"), dtype=np.int64)
+
+
 def _routed(shards: int, percent: int, bits: np.ndarray | None = None):
     """Each set's keys, packed by shard, once for each set in a task, but for sets that the bitmap has; where rows name the node
-    they stand for and its family, the keys of that node, under its family's name."""
+    they stand for and its family, the keys of that node, under its family's name.
+
+    Pieces with a base have nodes' numbers in place of nodes: base, base + 1 and so on.  The nodes themselves go once to a shard
+    below 0, which is for them alone.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows, seen = [], 0, np.zeros(0, np.int64)
+        held, nodes, rows, seen = [], 0, 0, np.zeros(0, np.int64)
         for b in batches:
             named = "family" in b.schema.names
             for i, j, h, start in _sets(text_column(b, "text")):
                 names = set_names(h, start)
                 if named:
-                    family = b.column("family").to_numpy()[i:j]
                     able = np.flatnonzero(names == b.column("node").to_numpy()[i:j])  # another row of the doc_id may have another text
                 else:
-                    family, able = names, np.flatnonzero(~marked(bits, names))
+                    able = np.flatnonzero(~marked(bits, names))
                 use = np.zeros(len(names), bool)
                 use[able[np.unique(names[able], return_index=True)[1]]] = True
                 use &= ~np.isin(names, seen)
                 seen = np.concatenate([seen, names[use]])
                 key, who = group_keys(h, start, use, percent)
-                held.append((key, family[who]))
+                held.append((key, b.column("family").to_numpy()[i:j][who] if named else nodes + (np.cumsum(use) - 1)[who]))
+                nodes += int(use.sum())
                 rows += len(key)
                 if rows > HELD_KEYS:
-                    yield from pack(held, named)
-                    held, rows, seen = [], 0, seen[:0]
+                    yield from pack(held, None if named else seen)
+                    held, nodes, rows, seen = [], 0, 0, seen[:0]
         if rows:
-            yield from pack(held, named)
+            yield from pack(held, None if named else seen)
 
-    def pack(held: list, named: bool) -> Iterator[pa.RecordBatch]:
+    def pack(held: list, nodes: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         key, node = (np.concatenate([x[k] for x in held]) for k in (0, 1))
         shard = (key >> U64(40)) % U64(shards)
-        order = np.lexsort((key, node, shard) if named else (node, shard))
+        order = np.lexsort((key, node, shard) if nodes is None else (node, shard))
         key, node, shard = key[order], node[order], shard[order].astype(np.int64)
-        if named:  # sets of a family share keys
+        out, base = [], None
+        if nodes is None:  # sets of a family share keys
             once = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])]
             key, node, shard = key[once], node[once], shard[once]
-        out = []
+        else:
+            base = int(mix(mix(nodes.view(U64)).sum(keepdims=True)).view(np.int64)[0])
+            out.append((-1 - base % (1 << 30), base, nodes.tobytes(), None, None))
         for s, r in split(shard):
-            who, count = np.unique(node[r], return_counts=True)
-            out.append((s, who.tobytes(), count.astype("<u4").tobytes(), key[r].view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()))
+            who, at = (None, node[r]) if nodes is not None else np.unique(node[r], return_inverse=True)
+            out.append((s, base, None if who is None else who.tobytes(), _steps(at), key[r].view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES].tobytes()))
         for i in range(0, len(out), 64):
             part = list(zip(*out[i : i + 64], strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), *(pa.array(p, pa.binary()) for p in part[1:])],
-                                             names=["shard", "node", "count", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(part[0], pa.int32()), pa.array(part[1], pa.int64()), *(pa.array(p, pa.binary()) for p in part[2:])],
+                                             names=["shard", "base", "node", "step", "key"])
 
     return run
 
 
+def _numbers(base: int, at: np.ndarray) -> np.ndarray:
+    """The numbers that stand for the nodes at these places of a piece; they wrap around at 64 bits."""
+    return (np.array([base], np.int64).view(U64) + at.astype(U64)).view(np.int64)
+
+
 def _stars(table: pa.Table) -> pa.Table:
     """a, b, keys: the smallest node of a key of the shard and another one that has it, with their number of such keys; and for the
-    smallest nodes (a = b) the number of keys in which they are that."""
-    node, count, key = (table.column(c).to_pylist() for c in ("node", "count", "key"))
-    node = np.concatenate([np.frombuffer(x, "<i8") for x in node])
-    count = np.concatenate([np.frombuffer(x, "<u4") for x in count])
+    smallest nodes (a = b) the number of keys in which they are that.  Nodes may be numbers here; the shards below 0 tell the
+    nodes (b) of the numbers (a), with keys 0."""
+    base, node, step, key = (table.column(c).to_pylist() for c in ("base", "node", "step", "key"))
+    if table.column("shard")[0].as_py() < 0:
+        node = [np.frombuffer(x, "<i8") for x in node]
+        number = np.concatenate([_numbers(k, np.arange(len(x))) for k, x in zip(base, node, strict=True)])
+        return pa.table({"a": pa.array(number), "b": pa.array(np.concatenate(node)), "keys": pa.array(np.zeros(len(number), np.int64))})
+    end = np.cumsum([len(x) // KEY_BYTES for x in key])
     part = np.concatenate([np.frombuffer(x, np.uint8) for x in key]).reshape(-1, KEY_BYTES)
     key = np.zeros((len(part), 8), np.uint8)
     key[:, :KEY_BYTES] = part
@@ -298,7 +325,14 @@ def _stars(table: pa.Table) -> pa.Table:
     shared = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
     del ordered, part
     at = Members(shared).find(key)[0]  # nodes are spelt out for shared keys alone
-    key, node = key[at], node[np.searchsorted(np.cumsum(count), at, "right")]
+    key, whose = key[at], []
+    cut = np.searchsorted(at, np.append(0, end))
+    for k, (first, last) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+        if first < last:
+            begin = end[k - 1] if k else 0
+            place = _ascending(step[k], int(end[k] - begin))[at[first:last] - begin]
+            whose.append(np.frombuffer(node[k], "<i8")[place] if node[k] is not None else _numbers(base[k], place))
+    node = np.concatenate(whose) if whose else np.zeros(0, np.int64)
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
     once = np.r_[True, (key[1:] != key[:-1]) | (node[1:] != node[:-1])] if len(key) else np.zeros(0, bool)
@@ -310,13 +344,15 @@ def _stars(table: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1]), "keys": pa.array(times)})
 
 
-def key_stars(docs: DataFrame, nodes: DataFrame, family: DataFrame, shards: int, percent: int = PERCENT) -> DataFrame:
+def key_stars(docs: DataFrame, nodes: DataFrame, family: DataFrame, shards: int, percent: int = PERCENT, repeated: DataFrame | None = None) -> DataFrame:
     """What `_stars` finds in all shards, with families in place of their nodes, as a written table.
 
-    nodes (node, rep) and family (node, family) are written tables.  Nodes of families get their keys from a document that has
-    the set and is joined with them; all others (but for a few, by the bitmap) straight from the documents.
+    nodes (node, rep), family (node, family) and repeated (node) are written tables.  Nodes of families and repeated ones, those of
+    several documents, get their keys from a document that has the set and is joined with them; all others (but for a few, by
+    the bitmap) straight from the documents.  (A node of several documents that isn't among the repeated has a number in each task.)
     """
-    bits = node_bitmap(family)
+    apart = None
+    bits = node_bitmap(family.select("node") if repeated is None else family.select("node").unionByName(repeated))
     routed = docs.select("text").mapInArrow(_routed(shards, percent, bits), PIECE)
     if bits is not None:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,9 +362,16 @@ def key_stars(docs: DataFrame, nodes: DataFrame, family: DataFrame, shards: int,
         apart = nodes.select("node", "rep").mapInArrow(run, "node long, rep long").join(family, "node", "left")
         apart = materialize(apart.withColumn("family", F.coalesce("family", "node")))
         texts = wanted(docs.select(F.col("doc_id").alias("rep"), "text"), apart.select("rep"))
-        texts = apart.join(texts, apart["rep"].eqNullSafe(texts["rep"])).select("node", "family", "text")
+        texts = joined_texts(apart, texts).select("node", "family", "text")
         routed = routed.unionByName(texts.mapInArrow(_routed(shards, percent), PIECE))
-    return materialize(routed.groupBy("shard").applyInArrow(_stars, "a long, b long, keys long"))
+    found = materialize(routed.groupBy("shard").applyInArrow(_stars, "a long, b long, keys long"))
+    stars = found.filter("keys > 0")
+    names = found.filter("keys = 0").select("a", F.col("b").alias("node"))
+    if apart is not None:
+        names = names.unionByName(apart.select(F.col("family").alias("a"), F.col("family").alias("node")).distinct())
+    for end in "ba":
+        stars = materialize(look_up(stars, names.select(F.col("a").alias(end), "node"), end).drop(end).withColumnRenamed("node", end))
+    return stars.select("a", "b", "keys")
 
 
 def _counted(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -471,6 +514,12 @@ def _joined(percent: int):
     return run
 
 
+def joined_texts(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """rows and their texts, both by rep.  Rows are dealt out at all sizes and never broadcast, so that what is shuffled
+    is in proportion to the texts that are asked for."""
+    return rows.hint("merge").join(texts, rows["rep"].eqNullSafe(texts["rep"]))
+
+
 def wanted(texts: DataFrame, ids: DataFrame, bits: int = FILTER_BITS) -> DataFrame:
     """The rows of `texts` (rep, ...) whose rep is among `ids`, and some others: a bitmap of hashes, of fixed size, is broadcast so
     that most texts that a join would drop aren't shuffled for it."""
@@ -543,20 +592,19 @@ def verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, units
     member = clusters.withColumnRenamed("component", "cluster").join(nodes, "node")
     sums = member.groupBy("cluster").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
     member = materialize(member.join(sums, "cluster").withColumn("whole", (F.col("c") <= LEAF) & (F.col("s") <= LEAF_SHINGLES)))
-    texts = wanted(docs.select(F.col("doc_id").alias("rep"), "text"), member.select("rep"))
 
-    def with_texts(rows: DataFrame) -> DataFrame:
-        return rows.join(texts, rows["rep"].eqNullSafe(texts["rep"]))
+    def with_texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
+        return joined_texts(rows, wanted(docs.select(F.col("doc_id").alias("rep"), "text"), ids.select("rep")))
 
-    def search(rows: DataFrame) -> DataFrame:
-        return with_texts(rows).select("unit", "job", "side", "node", "known", "text").groupBy("unit").applyInArrow(_joined(percent), "a long, b long")
+    def search(rows: DataFrame, ids: DataFrame) -> DataFrame:
+        return with_texts(rows, ids).select("unit", "job", "side", "node", "known", "text").groupBy("unit").applyInArrow(_joined(percent), "a long, b long")
 
     alone = F.lit(-1).alias("side")
     small = member.filter("whole").select(F.pmod(F.xxhash64("cluster"), F.lit(units)).alias("unit"), F.col("cluster").alias("job"), alone, "node",
                                           F.col("node").alias("known"), "rep")
     large = member.filter("NOT whole").select("cluster", "node", "rep", "n", "c")
     if large.isEmpty():
-        return materialize(search(small))
+        return materialize(search(small, member))
 
     def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -568,7 +616,7 @@ def verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, units
             kept = b.select(["cluster", "node", "rep", "n", "c"])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(high, pa.binary())], names=[*kept.schema.names, "high"]).filter(pa.array(right))
 
-    seen = with_texts(large).select("cluster", "node", texts["rep"], "n", "c", "text").mapInArrow(
+    seen = with_texts(large, large).select("cluster", "node", large["rep"], "n", "c", "text").mapInArrow(
         points, "cluster long, node long, rep long, n long, c long, high binary")
     seen = materialize(seen.groupBy("cluster", "node").agg(*[F.first(c).alias(c) for c in ("rep", "n", "c", "high")]))
     # Leaves are runs of at most LEAF nodes and about LEAF_SHINGLES shingles, in order of size and coordinates.
@@ -581,7 +629,7 @@ def verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, units
     copied = packed.filter(everywhere).drop("at").join(leaves.select("cluster", "at"), "cluster")
     rows = packed.select("cluster", "at", "node", "rep").unionByName(copied.select("cluster", "at", "node", "rep")).distinct()
     rows = rows.withColumn("job", F.xxhash64("cluster", "at"))
-    found = materialize(search(small.unionByName(rows.select(F.col("job").alias("unit"), "job", alone, "node", F.col("node").alias("known"), "rep"))))
+    found = materialize(search(small.unionByName(rows.select(F.col("job").alias("unit"), "job", alone, "node", F.col("node").alias("known"), "rep")), member))
 
     label = components(found).withColumnRenamed("component", "known")
     packed = packed.drop("high").join(label, "node", "left").withColumn("known", F.coalesce("known", "node"))
@@ -597,7 +645,8 @@ def verified_links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, units
         one = packed.join(pairs.select("cluster", F.col(k).alias("at"), "job", F.col(f"open{o}").alias("all")), ["cluster", "at"]).filter("all OR other")
         one = one.select(F.col("job").alias("unit"), "job", F.lit(number).alias("side"), "node", "known", "rep")
         sent = one if sent is None else sent.unionByName(one)
-    return found.union(materialize(search(sent)))
+    sent = materialize(sent)
+    return found.union(materialize(search(sent, sent)))
 
 
 def _labelled(docs: DataFrame, percent: int) -> DataFrame:
@@ -606,9 +655,10 @@ def _labelled(docs: DataFrame, percent: int) -> DataFrame:
     shards = max(1, -(-total // SHARD_BYTES))
     sets = set_table(docs, percent)
     nodes = materialize(sets.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "common", "bands")]))
+        F.min("doc_id").alias("rep"), F.count("*").alias("copies"), *[F.first(c).alias(c) for c in ("n", "common", "bands")]))
     family = families(nodes)
-    clusters = materialize(candidates(key_stars(docs, nodes, family, shards, percent), nodes, family))
+    repeated = nodes.filter("copies > 1").select("node")
+    clusters = materialize(candidates(key_stars(docs, nodes, family, shards, percent, repeated), nodes, family))
     nodes = nodes.select("node", "rep", "n")
     linked = components(verified_links(docs, nodes, clusters, shards, percent))
     label = nodes.join(linked, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from larder.llm import components as C
@@ -183,6 +184,49 @@ def test_stars_grow_with_nodes_whatever_the_shards(make):
     assert rows[64, 64] <= 128 and rows[256, 64] <= 512, rows
 
 
+def test_bytes_of_a_key_whatever_the_shards():
+    """What is sent for a key stays about the same where each key of a text goes to a shard of its own."""
+    rng = random.Random(8)
+    batch = pa.record_batch({"text": [" ".join(f"{rng.randrange(10**6)}" for _ in range(400)) for _ in range(600)]})
+    bytes_of = {}
+    for shards in (1, 20, 2000):
+        sent = [r for b in N._routed(shards, 80)(iter([batch])) for r in b.to_pylist()]
+        keys = sum(len(r["key"] or b"") for r in sent) // N.KEY_BYTES
+        bytes_of[shards] = sum(len(v) for r in sent for v in r.values() if isinstance(v, bytes)) / keys
+    assert keys > 100_000 and all(x < N.KEY_BYTES + 1.2 for x in bytes_of.values()), bytes_of
+
+
+@pytest.mark.parametrize("top", [0, 1, 255, 256, 70_000, 1 << 33])
+def test_steps(top):
+    at = np.sort(np.r_[top, np.random.default_rng(top).integers(0, top + 1, 50)])
+    assert (N._ascending(N._steps(at), len(at)) == at).all()
+    assert (N._ascending(N._steps(at[-1:]), 1) == top).all()
+
+
+@pytest.mark.parametrize("shards", [1, 300])
+def test_stars_name_nodes_whatever_task_they_come_from(make, shards):
+    """Sets that share keys but no band, in several tasks: stars are told in nodes, not in the numbers of a task's pieces."""
+    rows = [(i, " ".join([*(f"w{k}" for k in range(30)), *(f"y{i}x{k}" for k in range(60))]), "en") for i in range(40)] * 2
+    docs = make([(i, f"{t} {t}" if i % 2 else t, g) for i, t, g in rows]).repartition(5)
+    nodes = N.materialize(N.set_table(docs).groupBy("node").agg(*[N.F.min(c).alias(a) for c, a in (("doc_id", "rep"), ("common", "common"), ("bands", "bands"))], N.F.count("*").alias("copies")))
+    family = N.families(nodes)
+    got = N.key_stars(N.materialize(docs), nodes, family, shards, repeated=nodes.filter("copies > 1").select("node")).collect()
+    names = {r["node"] for r in nodes.collect()} - {r["node"] for r in family.collect()} | {r["family"] for r in family.collect()}
+    assert got and {r[c] for r in got for c in "ab"} <= names
+    once = N.key_stars(N.materialize(docs.dropDuplicates(["doc_id"])), nodes, family, shards).collect()
+    count = lambda rows: sum(r["keys"] for r in rows)
+    assert count(once) == count(got) and {r["keys"] > 0 for r in got} == {True}
+
+
+def test_texts_are_dealt_out_at_all_sizes(spark):
+    rows = spark.createDataFrame([(1, 5), (None, 6), (3, 7)], "rep long, node long")
+    texts = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "rep long, text string")
+    got = N.joined_texts(rows, texts).select("node", "text")
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert sorted(map(tuple, got.collect())) == [(5, "a"), (6, "c")]
+
+
 @pytest.mark.parametrize("bits", [8, 1 << 16])
 def test_bitmap_of_nodes(spark, monkeypatch, bits):
     monkeypatch.setattr(N, "FILTER_BITS", bits)
