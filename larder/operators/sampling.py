@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..functions.hashing import hash_hex
+from ..session import materialize
 from .ranking import with_global_rank, with_running_total
 
 POINTS_PER_ROW = 4096
@@ -126,7 +127,7 @@ def popularity_negatives(
 ) -> DataFrame:
     """(item_id, attr_id, slot, neg_attr): attributes the item lacks, in proportion to n_rows.
 
-    Weights are laid end to end in attribute order. A drawn point finds its attribute by an equi-join on the points, so that
+    Weights are laid end to end in attribute order. A drawn point finds its attribute by an equi-join on stretches of points, so that
     neither popular nor rare attributes gather candidates.
     """
     laid = with_running_total(popularity, F.col("attr_id"), F.col("n_rows"), "start")
@@ -151,16 +152,19 @@ def popularity_negatives(
     )
     drawn = profiles.select(
         "item_id", F.expr(f"inline(transform(profile, p -> struct(p.attr_id AS attr_id, {points} AS points)))")
-    ).select("item_id", "attr_id", F.posexplode("points").alias("slot", "point"))
+    ).select("item_id", "attr_id", F.posexplode("points").alias("slot", "r"))
 
-    # One row a point: as many as the map has rows, and none with more than one draw's worth of candidates.
-    end = F.col("start") + F.col("n_rows") - 1
-    points = (
+    # A row a stretch of points: its attributes in order, in which a draw finds its own by a binary search. A popular attribute has a
+    # row a stretch, not one a map row, and a stretch of rare ones holds no more of them than points. Written, so that Spark sees its size.
+    last = f"(start + n_rows - 1) div {POINTS_PER_ROW}"
+    stretches = materialize(
         laid.where("n_rows > 0")
-        .select(F.col("attr_id").alias("neg_attr"), end.alias("end"), F.explode(F.sequence("start", end, F.lit(POINTS_PER_ROW))).alias("from"))
-        .select("neg_attr", F.explode(F.sequence("from", F.least(F.col("from") + POINTS_PER_ROW - 1, F.col("end")))).alias("point"))
+        .select(F.struct("start", F.col("attr_id").alias("neg_attr")).alias("entry"), F.expr(f"explode(sequence(start div {POINTS_PER_ROW}, {last}))").alias("stretch"))
+        .groupBy("stretch").agg(F.array_sort(F.collect_list("entry")).alias("entries"))
     )
-    return drawn.join(points, "point").select("item_id", "attr_id", "slot", "neg_attr")
+    found = F.expr(f"get(entries, {places_up_to('get(entries, at + s - 1).start')} - 1).neg_attr").alias("neg_attr")
+    met = drawn.withColumn("stretch", F.expr(f"r div {POINTS_PER_ROW}")).join(stretches, "stretch")
+    return met.withColumn("steps", F.expr(halving_steps("entries"))).select("item_id", "attr_id", "slot", found)
 
 
 def sample_negatives(

@@ -1,4 +1,5 @@
 import time
+from hashlib import md5
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,6 +68,30 @@ def test_popularity_draws_follow_the_weights(spark):
     assert share == {"a": pytest.approx(0.6, abs=0.03), "b": pytest.approx(0.3, abs=0.03), "c": pytest.approx(0.1, abs=0.03)}
 
 
+def test_popularity_draws_need_no_row_a_map_row(spark):
+    """Weights that add up to 2 * 10**9: a row a point of them could neither be broadcast nor shuffled here."""
+    positives = spark.range(2000).selectExpr("cast(id AS string) AS item_id", "'own' AS attr_id")
+    rare = [(f"r{i:04d}", 1 + i % 2) for i in range(5000)]
+    weights = spark.createDataFrame([("a", 10**9), *rare, ("b", 10**9 - 1), ("own", 3)], "attr_id string, n_rows bigint")
+    began = time.perf_counter()
+    got = {r["neg_attr"]: r["count"] for r in P.popularity_negatives(positives, weights, k=3).groupBy("neg_attr").count().collect()}
+    assert time.perf_counter() - began < 60
+    assert sum(got.values()) == 6000 and set(got) <= {"a", "b", *(a for a, _ in rare)}
+    assert got["a"] == pytest.approx(3000, abs=200)
+
+
+def test_popularity_draws_find_the_attribute_of_their_point(spark):
+    """Every point is drawn somewhere; each is looked up in the weights one by one, on both sides of the edges of stretches."""
+    weights = [(f"a{i:03d}", w) for i, w in enumerate([4095, 1, 1, 4096, 3, 9000, 0, 2, 1, 4093, 17])]
+    positives = spark.range(1500).selectExpr("cast(id AS string) AS item_id", "'a005' AS attr_id")
+    got = P.popularity_negatives(positives, spark.createDataFrame(weights, "attr_id string, n_rows bigint"), k=4, seed=5, epoch=2).collect()
+    line = [a for a, w in weights if a != "a005" for _ in range(w)]
+    assert len(got) == 6000
+    for r in got:
+        draw = int(md5(f"5|2|{r['item_id']}|a005|{r['slot']}".encode()).hexdigest()[:15], 16) % len(line)
+        assert r["neg_attr"] == line[draw]
+
+
 def test_epochs_draw_anew(spark):
     positives = spark.range(50).selectExpr("cast(id AS string) AS item_id", "'a00' AS attr_id")
     attrs = vectors(spark, [f"a{i:02d}" for i in range(40)])
