@@ -1,6 +1,7 @@
 """Weighted sums of vectors by key, as arrays: partial sums in each task, one shuffle of them, and a merge.
 
-The plan is the same for any dimension, and a key of many rows costs one row a task.
+The plan is the same for any dimension, and a key of many rows costs one row a task. Where rows only name their vectors, and those
+are few enough to broadcast, the rows themselves are shuffled, and the sums are products of a key's weights with the vectors.
 """
 
 from collections.abc import Iterator
@@ -10,9 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import to_matrix
+from .blocks import BROADCAST_BYTES, sorted_matrix, to_matrix, vector_bytes
 
 HELD_KEYS = 1 << 13
+DENSE = 8  # cells of a key-by-vector matrix for each of its rows, up to which it is held whole
 
 
 def _grouped(key: pa.Array, weight: np.ndarray, sums: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -69,3 +71,42 @@ def weighted_sums(rows: DataFrame, key: str, weight: Column, vector: Column) ->
     parts = seen.where("weight IS NOT NULL AND vector IS NOT NULL").mapInArrow(_partial, schema)
     merged = parts.repartition("key").sortWithinPartitions("key").mapInArrow(_merge, schema)
     return merged.withColumnRenamed("key", key)
+
+
+def _products(at: np.ndarray, weight: np.ndarray, starts: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """For each run of rows the sum of weight * matrix[at]."""
+    if len(starts) * len(matrix) <= DENSE * len(at):
+        run = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(at)]))
+        return np.bincount(run * len(matrix) + at, weight, len(starts) * len(matrix)).reshape(len(starts), -1) @ matrix
+    return np.add.reduceat(weight[:, None] * matrix[at], starts, axis=0)
+
+
+def named_sums(rows: DataFrame, key: str, name: str, weight: Column, vectors: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """weighted_sums() of rows joined on column `name` to vectors (name, vector): a row without a vector is left out."""
+    vectors = vectors.select(name, "vector").where(F.col(name).isNotNull() & F.col("vector").isNotNull())
+    n, size = vector_bytes(vectors.withColumnRenamed(name, "id"))
+    if not n or size > limit_bytes:
+        return weighted_sums(rows.join(vectors, name), key, weight, F.col("vector"))
+    spark, kind = rows.sparkSession, rows.schema[key].dataType.simpleString()
+    ids, matrix = sorted_matrix(vectors.withColumnRenamed(name, "id"))
+    _, first, number, copies = np.unique(ids.astype(str), return_index=True, return_inverse=True, return_counts=True)
+    handle = spark.sparkContext.broadcast((np.add.reduceat(matrix, first, axis=0), copies.astype(float)))
+    numbers = spark.createDataFrame([(i, int(k)) for i, k in zip(ids[first], number[first], strict=True)], f"{name} {vectors.schema[name].dataType.simpleString()}, at int")
+    seen = rows.select(F.col(key).alias("key"), name, weight.cast("double").alias("weight")).where("weight IS NOT NULL")
+    # The broadcast join keeps rows where they are, so those that are dealt out by key already need no shuffle here.
+    dealt = seen.join(F.broadcast(numbers), name).select("key", "at", "weight").repartition("key").sortWithinPartitions("key")
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matrix, copies = handle.value
+
+        def parts() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if b.num_rows:
+                    coded = b.column("key").dictionary_encode(null_encoding="encode")
+                    starts = np.flatnonzero(np.r_[True, np.diff(coded.indices.to_numpy()) != 0])
+                    at, own = b.column("at").to_numpy(), b.column("weight").to_numpy()
+                    yield _batch(coded.dictionary, np.add.reduceat(own * copies[at], starts), _products(at, own, starts, matrix))
+
+        yield from _merge(parts())
+
+    return dealt.mapInArrow(add, f"key {kind}, weight double, sums array<double>").withColumnRenamed("key", key)

@@ -174,6 +174,38 @@ def test_weighted_sums_of_vectors(spark, monkeypatch, held):
         assert weight == pytest.approx(sum(w for w, _ in mine)) and sums == pytest.approx(sum(w * v for w, v in mine).tolist())
 
 
+@pytest.mark.parametrize("dense, limit", [(8, 1 << 20), (0, 1 << 20), (8, 0)])
+def test_sums_of_named_vectors(spark, monkeypatch, dense, limit):
+    """Broadcast or joined, by products of matrices or row by row: names without a vector are left out, one with two counts twice."""
+    monkeypatch.setattr(VS, "DENSE", dense)
+    rng = np.random.default_rng(3)
+    vectors = [(f"a{k % 11}", rng.normal(size=5).tolist()) for k in range(12)]  # a0 twice
+    rows = [(None if k == 9 else f"k{k}", f"a{a}", float(w)) for k, a, w in zip(rng.integers(0, 10, 400), rng.integers(0, 13, 400), rng.random(400), strict=True)]
+    df = spark.createDataFrame([*rows, ("k1", "a1", None), ("gone", "a12", 1.0), ("gone", None, 1.0)], "id string, attr_id string, w double").repartition(6)
+    named = spark.createDataFrame([*vectors, ("a11", None), (None, [1.0] * 5)], "attr_id string, vector array<double>")
+    got = {r["id"]: (r["weight"], r["sums"]) for r in VS.named_sums(df, "id", "attr_id", F.col("w"), named, limit).collect()}
+    want: dict = {}
+    for key, a, w in rows:
+        for _, v in (x for x in vectors if x[0] == a):
+            weight, sums = want.get(key, (0.0, np.zeros(5)))
+            want[key] = weight + w, sums + w * np.array(v)
+    assert got.keys() == want.keys()
+    for key, (weight, sums) in want.items():
+        assert got[key] == (pytest.approx(weight), pytest.approx(sums.tolist()))
+    assert VS.named_sums(df, "id", "attr_id", F.col("w"), named.limit(0), limit).count() == 0
+
+
+def test_profiles_shuffle_rows_not_vectors(spark):
+    """History that is dealt out by household stays where it is, and no shuffle carries a vector."""
+    history = spark.range(4000).selectExpr("cast(id % 900 AS string) AS household_id", "concat('attr00', id % 7) AS attr_id", "1.0D + id AS hist_score")
+    attrs = spark.createDataFrame([(f"attr00{k}", [float(k + 1)] * 64) for k in range(7)], "attr_id string, vector array<double>")
+    profiles = R.household_profiles(history.repartition("household_id"), attrs)
+    assert profiles.count() == 900
+    plan = profiles._jdf.queryExecution().sparkPlan().toString()
+    assert "sums" not in plan.split("MapInArrow", 1)[1].split("\n", 1)[1]
+    assert profiles._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 1
+
+
 def test_plan_of_vector_sums_does_not_widen(spark):
     plans = []
     for dim in (64, 512):
