@@ -76,6 +76,27 @@ def test_infonce_equals_dense_computation(monkeypatch, spark, limit):
     assert got["loss"] == pytest.approx(want) and got["n_anchors"] == 18
 
 
+@pytest.mark.parametrize("n, block, team", [(40, 7, 11), (40, 3, 1000), (7, 50, 1), (133, 4, 30)])
+def test_infonce_multiplies_each_pair_once(monkeypatch, spark, n, block, team):
+    """Blocks and teams of any number: each pair of vectors counts for both, and is multiplied once (a block with itself: twice)."""
+    monkeypatch.setattr(blocks, "RIGHT_BLOCK", block)
+    monkeypatch.setattr(blocks, "TEAM_ROWS", team)
+    monkeypatch.setattr(contrastive, "TILE", (3, 5))
+    rng = np.random.default_rng(n)
+    z = unit(rng.normal(size=(n, 4)))
+    both = table(spark, z, "attr").withColumnRenamed("attr_id", "id")
+    e = np.exp((z @ z.T - 1) / 0.3)
+    np.fill_diagonal(e, 0)
+    got = {r["id"]: r["total"] for r in contrastive._pair_sums(both, n, 0.3).groupBy("id").agg(F.sum("total").alias("total")).collect()}
+    assert got == {f"attr{i:03d}": pytest.approx(t) for i, t in enumerate(e.sum(1))}
+    state, pairs = contrastive._PairSums(0.3), []
+    monkeypatch.setattr(state, "_tiles", lambda left, right, totals, met: pairs.append((met is None) + 1))
+    state.add(0, 0, None, np.arange(3).astype(object), z[:3])
+    state.add(0, 1, None, np.arange(3).astype(object), z[3:6])
+    list(state.meet(np.arange(3).astype(object), z[:3], [{"group": 1, "part": 0}, {"group": 0, "part": 1}]))
+    assert pairs == [2, 1]
+
+
 def test_vector_functions(spark):
     row = spark.createDataFrame([([0.0, 0.0], [3.0, 4.0])], "z array<double>, v array<double>").select(
         X.l2_normalize("z").alias("z"), X.l2_normalize("v").alias("v"), X.vec_cos("z", "v").alias("c"), X.vec_l2("z", "v").alias("d")
