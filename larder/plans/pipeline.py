@@ -9,6 +9,7 @@ from ..operators.alignment import align_attributes, train_alignment, write_train
 from ..operators.comparison import compare_embeddings
 from ..operators.params import read_params, write_params
 from ..operators.scoring import affinity_summary, affinity_topk, household_affinity_topk
+from ..session import materialize
 from ..sources import tables as T
 from ..sources.vector_store import latest_vectors, load_vectors, read_store
 from .providers import DEFAULT_SPECS, run_all_providers, version_of
@@ -102,7 +103,11 @@ def run_pipeline(
     as_of: str | None = None,
     top_k: int = 50,
 ) -> dict:
-    """All steps in order, below `root`; scoring uses the first provider of the specs."""
+    """All steps in order, below `root`; scoring uses the first provider of the specs.
+
+    The frozen vectors are written once, as training and scoring read them many times.
+    """
+    frozen_items = materialize(frozen_items)
     spark, specs = items.sparkSession, DEFAULT_SPECS if specs is None else specs
     data, models = f"{root}/data", f"{root}/models"
     names = [s["name"] for s in specs]

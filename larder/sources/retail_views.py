@@ -94,7 +94,8 @@ def provider_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def item_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(item_id, vector): frozen vectors of the items that have one."""
-    parts = _load(spark, sf_dir, "part").select("p_partkey")
+    # Merged, as Spark takes one well-packed column for small and would broadcast the keys of all items.
+    parts = _load(spark, sf_dir, "part").select("p_partkey").hint("merge")
     vecs = _load(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return parts.join(vecs, F.col("p_partkey") == F.col("vec_id")).select(
         F.col("p_partkey").cast("string").alias("item_id"),

@@ -62,6 +62,13 @@ def test_pipeline_end_to_end(spark, tmp_path):
         PR.version_of("unknown", specs)
 
 
+def test_keys_of_all_items_are_not_broadcast(spark):
+    """One column of well-packed items looks small whatever their number; only the vectors' side may be taken to every task."""
+    vectors = V.item_vectors(spark, SF)
+    assert vectors.count() == 200
+    assert "Broadcast" not in vectors._jdf.queryExecution().sparkPlan().toString()
+
+
 def test_attribute_vectors_with_a_small_vocabulary_beside_many_vectors(spark, db):
     """The vocabulary's side is the one that is broadcast: embeddings lie above the threshold, as they do in larger tables."""
     key = "spark.sql.autoBroadcastJoinThreshold"
