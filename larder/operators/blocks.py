@@ -19,6 +19,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 RIGHT_BLOCK = 4096
 LEFT_PACK = 2048
 SLICE_CELLS = 4_000_000
+WHOLE = 8  # right rows for each of the k wanted, up to which a left row's scores are sorted whole
 TEAM_ROWS = 65_536  # left rows that one task holds while right blocks stream past
 PACKS = "array<struct<group: int, part: int>>"
 
@@ -163,25 +164,30 @@ def best_k(k: int, skip_self: bool = False, digits: int = 12) -> Kernel:
             same = np.flatnonzero(right_ids[at] == ids)
             scores[same, at[same]] = -np.inf
         n = scores.shape[1]
-        if k < n:
-            floor = np.partition(scores, n - k, axis=1)[:, n - k]
-            rows, cols = np.nonzero(scores >= floor[:, None])
-        else:
-            rows, cols = np.divmod(np.arange(scores.size), n)
+        if n <= max(1, WHOLE) * k:  # a sort of whole rows is cheaper than the search for their floors
+            cols = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            rows, cols = np.repeat(np.arange(len(cols)), cols.shape[1]), cols.ravel()
+            values = scores[rows, cols]
+            return _matches(ids, right_ids, raw, rows, cols, values, np.tile(np.arange(1, min(k, n) + 1), len(raw)), np.isfinite(values))
+        floor = np.partition(scores, n - k, axis=1)[:, n - k]
+        rows, cols = np.nonzero(scores >= floor[:, None])
         values = scores[rows, cols]
         order = np.lexsort((cols, -values, rows))
         rows, cols, values = rows[order], cols[order], values[order]
         first = np.searchsorted(rows, rows, side="left")
         rank = np.arange(len(rows)) - first + 1
-        keep = (rank <= k) & np.isfinite(values)
-        return pd.DataFrame({
-            "id": ids[rows[keep]], "other": right_ids[cols[keep]],
-            "score": raw[rows[keep], cols[keep]], "by": values[keep], "rank": rank[keep].astype(np.int32),
-        })
+        return _matches(ids, right_ids, raw, rows, cols, values, rank, (rank <= k) & np.isfinite(values))
 
     return kernel
 
 
+def _matches(ids, right_ids, raw, rows, cols, values, rank, keep) -> pd.DataFrame:
+    rows, cols = rows[keep], cols[keep]
+    return pd.DataFrame({
+        "id": ids[rows], "other": right_ids[cols], "score": raw[rows, cols], "by": values[keep], "rank": rank[keep].astype(np.int32),
+    })
+
+
 def all_scores(ids, left, right_ids, right) -> pd.DataFrame:
     """Kernel: every dot product."""
     scores = left @ right.T

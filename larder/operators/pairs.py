@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -140,6 +141,39 @@ def _within_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield from cells.flush()
 
 
+def _once_a_group(frame: pd.DataFrame) -> pd.DataFrame:
+    """Rows of whole groups, by number, with one row a key: the one of the largest value. A null, -inf here, is less than all."""
+    pair = frame["grp"].to_numpy() << 32 | frame["key"].to_numpy()
+    order = np.argsort(pair, kind="stable")
+    pair = pair[order]
+    first = np.flatnonzero(np.r_[True, pair[1:] != pair[:-1]])
+    if len(first) == len(pair):
+        return frame
+    values = np.maximum.reduceat(frame["val"].to_numpy()[order], first)
+    return pd.DataFrame({"grp": pair[first] >> 32, "key": pair[first] & 0xFFFFFFFF, "val": values})
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """_within_groups() over rows sorted by group, keys of a group repeated or not, by numbers that stand for a task's groups and keys."""
+    number: dict[str, int] = {}
+
+    def frames() -> Iterator[pd.DataFrame]:
+        at, last = -1, None  # the running number of the last group, and its text
+        for b in batches:
+            if b.num_rows:
+                groups, keys = (b.column(c).dictionary_encode() for c in ("grp", "key"))
+                codes = np.array([number.setdefault(k, len(number)) for k in keys.dictionary.to_pylist()], dtype=np.int64)
+                start = at if groups.dictionary[0].as_py() == last else at + 1
+                at, last = start + len(groups.dictionary) - 1, groups.dictionary[-1].as_py()
+                values = b.column("val").fill_null(-np.inf).to_numpy()
+                yield pd.DataFrame({"grp": start + groups.indices.to_numpy().astype(np.int64), "key": codes[keys.indices.to_numpy()], "val": values})
+
+    for out in _within_groups(_once_a_group(c).replace({"val": -np.inf}, np.nan) for c in _chunks(frames(), ["grp"]) if len(c)):
+        names = np.array(list(number), dtype=object)
+        named = _frame(*(names[out[c].to_numpy(np.int64)] for c in ("src", "dst")), out["w"].to_numpy())
+        yield pa.RecordBatch.from_pandas(named, preserve_index=False)
+
+
 def _between_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Products of key block lo with key block hi, summed over the groups of a chunk."""
     for chunk in _chunks(batches, ["lo", "hi", "grp"]):
@@ -197,13 +231,9 @@ def pair_sums(
 
 
 def _narrow(rows: DataFrame) -> DataFrame:
-    """Whole groups side by side: one shuffle, then the sums of each task."""
-    return (
-        rows.repartition("grp")
-        .groupBy("grp", "key").agg(F.max("val").cast("double").alias("val"))
-        .sortWithinPartitions("grp")
-        .mapInPandas(_within_groups, SCHEMA)
-    )
+    """Whole groups side by side: one shuffle, then the sums of each task, which sees to keys that a group repeats."""
+    dealt = rows.withColumn("val", F.col("val").cast("double")).repartition("grp").sortWithinPartitions("grp")
+    return dealt.mapInArrow(_numbered, SCHEMA)
 
 
 def _wide(rows: DataFrame, key_blocks: int) -> DataFrame:

@@ -3,6 +3,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -159,3 +160,19 @@ def test_neighbor_mean_of_isolated_node(spark):
     edges = spark.createDataFrame([("a", "b", 0.5)], "src string, dst string, w double")
     got = {r["attr_id"]: r["neighbors"] for r in G.neighbor_mean(edges, nodes, 2).collect()}
     assert got == {"a": [0.0, 0.0], "b": [0.5, 1.0]}
+
+
+@pytest.mark.parametrize("chunk, batch", [(100_000, 10_000), (7, 5), (40, 1)])
+def test_repeated_keys_count_once_with_their_largest_value(monkeypatch, chunk, batch):
+    """Groups over the borders of batches and chunks; a null value is less than any other."""
+    monkeypatch.setattr(pairs, "CHUNK_ROWS", chunk)
+    rng = np.random.default_rng(8)
+    df = pd.DataFrame({"grp": [f"g{g:02d}" for g in np.sort(rng.integers(0, 30, 400))], "key": [f"k{k}" for k in rng.integers(0, 9, 400)], "val": rng.random(400)})
+    df.loc[df.duplicated(["grp", "key"]) & (rng.random(400) < 0.3), "val"] = None
+    once = df.groupby(["grp", "key"])["val"].max().unstack().fillna(0.0)
+    batches = pa.Table.from_pandas(df, preserve_index=False).to_batches(batch)
+    out = pa.Table.from_batches(list(pairs._numbered(iter(batches)))).to_pandas().groupby(["src", "dst"])["w"].sum()
+    for a in once:
+        for b in once:
+            if a < b:
+                assert out[a, b] == pytest.approx((once[a] * once[b]).sum())

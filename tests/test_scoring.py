@@ -56,6 +56,20 @@ def test_block_join_and_broadcast_agree_on_ties(monkeypatch, spark):
     assert near[0][["attr_id", "neighbor", "rank"]].equals(near[1][["attr_id", "neighbor", "rank"]])
 
 
+@pytest.mark.parametrize("k", [1, 7, 40, 60])
+def test_best_of_few_right_rows(monkeypatch, k):
+    """Sorted whole or cut by a floor first: the same rows; ties go by right id, and the row itself is left out."""
+    rng = np.random.default_rng(k)
+    rows = unit(rng.normal(size=(12, 3)))[rng.integers(0, 12, 50)]
+    ids, sorts, own = np.array([f"v{i:02d}" for i in range(50)], object), [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **b: sorts.append(1) or own(*a, **b))
+    got = []
+    for whole in (0, 1 << 20):
+        monkeypatch.setattr(blocks, "WHOLE", whole)
+        got.append(blocks.best_k(k, True)(ids[:4], rows[:4], ids, rows).sort_values(["id", "rank"], ignore_index=True))
+    assert got[0].equals(got[1]) and len(sorts) == 1 + (k >= 50) and len(got[0]) == 4 * min(k, 49)
+
+
 def test_neighbors_drop_self_by_id_even_when_tied(spark):
     twins = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.0]), ("c", [0.0, 1.0])], "attr_id string, vector array<double>")
     got = {(r["attr_id"], r["rank"]): r["neighbor"] for r in C.nearest_neighbors(twins, 2).collect()}
