@@ -41,6 +41,12 @@ def test_topk_broadcast_and_block_join_agree_with_numpy(monkeypatch, sides, limi
     assert R.affinity_scores(left, right, limit_bytes=limit).count() == 40 * 23
 
 
+def test_all_scores_are_made_by_all_cores(spark, sides):
+    _, _, left, right = sides
+    tasks = R.affinity_scores(left.coalesce(1), right).groupBy(F.spark_partition_id()).count().count()
+    assert tasks == spark.sparkContext.defaultParallelism
+
+
 def test_block_join_and_broadcast_agree_on_ties(monkeypatch, spark):
     """Copies and multiples of nine directions: most places of a ranking are ties, which ids decide."""
     monkeypatch.setattr(blocks, "RIGHT_BLOCK", 16)
